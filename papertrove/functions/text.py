@@ -164,10 +164,9 @@ def recursive_chunker(size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP):
 def chunk_recursive(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
     """Chunks of ``text`` cut at blank lines, lines, words and then characters, as an array.
 
-    Texts of at most ``size`` characters that cannot be cut (less than ``size``, or with no piece that long) are one
-    chunk and never leave the JVM.
+    Texts of at most ``size`` characters are one chunk and never leave the JVM.
     """
     trimmed = F.trim(text, F.lit(BLANKS))
     one = F.when(F.length(trimmed) > 0, F.array(trimmed))
-    to_python = F.when(F.length(text) >= size, text)
-    return F.when(F.length(text) < size, one).otherwise(recursive_chunker(size, overlap)(to_python))
+    to_python = F.when(F.length(text) > size, text)
+    return F.when(F.length(text) <= size, one).otherwise(recursive_chunker(size, overlap)(to_python))
