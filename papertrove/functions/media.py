@@ -113,7 +113,8 @@ def image_size(content: Column, mime_type: Column) -> Column:
         .when((mime_type == "image/gif") & (F.length(content) >= 10), gif)
         .when(mime_type == "image/jpeg", jpeg_size(F.when(mime_type == "image/jpeg", content)))
     )
-    return F.when(~F.exists(size, lambda side: side.isNull()), size)
+    # transform(array(x), f) binds x once.
+    return F.transform(F.array(size), lambda s: F.when(~F.exists(s, lambda side: side.isNull()), s))[0]
 
 
 def fit_within(width: Column, height: Column, max_side: int = MAX_IMAGE_SIDE) -> Column:

@@ -23,48 +23,56 @@ def _token_dimension(token: Column, dimensions: int) -> Column:
 
 
 def hash_embed(text: Column, dimensions: int = DIMENSIONS) -> Column:
-    """Unit-length bag-of-words vector as ``struct<dims array<int>, weights array<double>>``, dims ascending.
+    """Unit-length bag-of-words vector as ``array<struct<dim int, weight double>>``, dims ascending.
 
     The whole vector is made inside the row, with no shuffle: sort the token dimensions, keep the place where each run
     of equal values begins, and take the distance to the next one as the count.
     """
-    sorted_dims = F.array_sort(F.transform(tokens(text), lambda token: _token_dimension(token, dimensions)))
+    sorted_dims = F.sort_array(F.transform(tokens(text), lambda token: _token_dimension(token, dimensions)))
 
     def from_sorted(run: Column) -> Column:
         begins = F.filter(
             F.sequence(F.lit(0), F.size(run) - 1),
             lambda i: (i == 0) | (F.get(run, i) != F.get(run, i - 1)),
         )
-        return let(begins, lambda b: from_begins(run, b))
+        return let(begins, lambda b: let(counted(run, b), unit))
+
+    def counted(run: Column, begins: Column) -> Column:
+        return F.transform(
+            begins,
+            lambda i, n: F.struct(
+                F.get(run, i).alias("dim"),
+                (F.coalesce(F.get(begins, n + 1), F.size(run)) - i).cast("double").alias("weight"),
+            ),
+        )
 
-    def from_begins(run: Column, begins: Column) -> Column:
-        dims = F.transform(begins, lambda i: F.get(run, i))
-        counts = F.transform(begins, lambda i, n: (F.coalesce(F.get(begins, n + 1), F.size(run)) - i).cast("double"))
-        return let(counts, lambda c: F.struct(dims.alias("dims"), _unit(c).alias("weights")))
+    def unit(entries: Column) -> Column:
+        squares = F.aggregate(entries, F.lit(0.0), lambda total, e: total + e["weight"] * e["weight"])
+        return let(
+            F.sqrt(squares),
+            lambda norm: F.transform(
+                entries, lambda e: F.struct(e["dim"].alias("dim"), (e["weight"] / norm).alias("weight"))
+            ),
+        )
 
-    empty = F.struct(
-        F.array().cast("array<int>").alias("dims"), F.array().cast("array<double>").alias("weights")
-    )
+    empty = F.array().cast("array<struct<dim:int,weight:double>>")
     return let(sorted_dims, lambda run: F.when(F.size(run) > 0, from_sorted(run)).otherwise(empty))
 
 
-def _unit(values: Column) -> Column:
-    norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda total, x: total + x * x))
-    return let(norm, lambda n: F.transform(values, lambda x: x / n))
-
-
 def dense(vector: Column, dimensions: int = DIMENSIONS) -> Column:
-    """A sparse vector struct as an array with one place per dimension."""
-    lookup = F.map_from_arrays(vector["dims"], vector["weights"])
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda d: F.coalesce(F.try_element_at(lookup, d), F.lit(0.0))
+    """A sparse vector as an array with one place per dimension."""
+    places = F.sequence(F.lit(0), F.lit(dimensions - 1))
+    return let(
+        F.map_from_entries(vector),
+        lambda lookup: F.transform(places, lambda d: F.coalesce(F.try_element_at(lookup, d), F.lit(0.0))),
     )
 
 
 def sparse_dot(vector: Column, dense_side: Column) -> Column:
-    """Product of a sparse vector struct with a dense array."""
-    parts = F.zip_with(vector["dims"], vector["weights"], lambda d, w: w * F.get(dense_side, d))
-    return F.aggregate(parts, F.lit(0.0), lambda total, x: total + x)
+    """Product of a sparse vector with a dense array."""
+    return F.aggregate(
+        vector, F.lit(0.0), lambda total, e: total + e["weight"] * F.get(dense_side, e["dim"])
+    )
 
 
 def dot(left: Column, right: Column) -> Column:

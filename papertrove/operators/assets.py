@@ -57,8 +57,16 @@ def extract_images(content: Column, mime_type: Column) -> Column:
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Even out rows before costly per-row work; by default over all cores of the cluster."""
-    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
+    """Even out rows before costly per-row work, over ``partitions`` or the cores of the cluster.
+
+    Without a number, rows that already come in at least as many partitions as there are cores stay where they are: a
+    large input is never shuffled for this, and one that is small enough to leave cores idle is cheap to move.
+    """
+    if partitions is None:
+        partitions = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= partitions:
+            return df
+    return df.repartition(partitions)
 
 
 def image_inventory(images: DataFrame, content: str = "source_content", max_side: int = MAX_IMAGE_SIDE) -> DataFrame:
@@ -71,6 +79,17 @@ def image_inventory(images: DataFrame, content: str = "source_content", max_side
     return sized.withColumn("resized_image_size", media.fit_within(size[0], size[1], max_side))
 
 
+def diagrams_only(images: DataFrame, size: str = "original_image_size") -> DataFrame:
+    """Images within the diagram bounds, with ``width`` and ``height``; images without a size are left out.
+
+    The test sits inside a generator. As a plain filter on the size it would be pushed below the projection that reads
+    the headers and read them again for every comparison.
+    """
+    sides = F.array(F.struct(F.col(size)[0].alias("width"), F.col(size)[1].alias("height")))
+    kept = F.filter(sides, lambda s: media.is_diagram(s["width"], s["height"]))
+    return explode_structs(images, kept)
+
+
 def image_files(files: DataFrame) -> DataFrame:
     """Binary file rows to one row per image. Bytes stay in the scan's own partition: there is no shuffle here."""
     source = binary_source(files).withColumn("source_mime_type", media.sniff_mime(F.col("source_content")))

@@ -51,6 +51,8 @@ def score_batches(
     def score_udf(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
         for columns in batches:
+            # A single input column arrives as a bare Series.
+            columns = columns if isinstance(columns, tuple) else (columns,)
             scored = [score(scorer, row) for row in zip(*columns)]
             yield pd.DataFrame({"value": [v for v, _ in scored], "error": [e for _, e in scored]}, dtype=object)
 
@@ -80,7 +82,7 @@ def nearest_centroid(
         .scalar()
     )
     scored = F.transform(
-        packed,
+        F.col("_centers"),
         lambda c, i: F.struct(
             F.round(vectors.cosine(F.col(vector), c["centroid"]), 6).alias("score"),
             (-i).alias("rank"),
@@ -88,9 +90,10 @@ def nearest_centroid(
         ),
     )
     return (
-        rows.withColumn("_best", F.array_max(scored))
+        rows.withColumn("_centers", packed)
+        .withColumn("_best", F.array_max(scored))
         .withColumns({"class_label": F.col("_best.label"), "class_score": F.col("_best.score")})
-        .drop("_best")
+        .drop("_best", "_centers")
     )
 
 

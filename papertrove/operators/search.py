@@ -21,7 +21,7 @@ MAX_QUERY_BYTES = 64 << 20
 # Rows of one tile side, and the rows multiplied at once inside a tile.
 QUERY_BLOCK = 16_384
 VECTOR_BLOCK = 131_072
-SLICE_ROWS = 2_048
+SLICE_ROWS = 1_024
 
 
 # ---------------------------------------------------------------- text questions
@@ -52,9 +52,9 @@ def similarity_search(
         question = index.sparkSession.createDataFrame([(question,)], "text string")
     asked = vectors.hash_embed(F.col(question.columns[0]), dimensions)
     asked = question.select(asked.alias("v")).select(vectors.dense(F.col("v"), dimensions).alias("q"))
-    score = F.round(vectors.sparse_dot(F.col(vector), asked.scalar()), DIGITS)
+    score = F.round(vectors.sparse_dot(F.col(vector), F.col("_asked")), DIGITS)
     wanted = list(dict.fromkeys([*columns, *keys]))
-    best = index.select(*wanted, score.alias("score")).orderBy(F.desc("score"), *keys).limit(k)
+    best = index.withColumn("_asked", asked.scalar()).select(*wanted, score.alias("score")).orderBy(F.desc("score"), *keys).limit(k)
     return best.select(*columns, "score")
 
 
@@ -68,20 +68,62 @@ def field_at(row: Column, position: int) -> Column:
     return F.get(row, F.lit(position))
 
 
+def search_many(
+    index: DataFrame,
+    questions: DataFrame,
+    k: int = TOP_K,
+    question_key: str = "question_id",
+    key: str = "id",
+    vector: str = "vector",
+    dimensions: int = vectors.DIMENSIONS,
+    max_query_bytes: int = MAX_QUERY_BYTES,
+    vector_block: int = VECTOR_BLOCK,
+) -> DataFrame:
+    """Batch form: ``(query_id, neighbor_id, score, rank)`` for every question, in one pass over the index.
+
+    Joining on words would meet every row at the common ones. Instead the question vectors go to the rows when their
+    dense size is within ``max_query_bytes``, else both sides are tiled as in ``knn_blocked``.
+    """
+
+    def entries(df: DataFrame, id_column: str, name: str) -> DataFrame:
+        return df.select(F.col(id_column).cast("long").alias(name), F.col(vector).alias("v"))
+
+    def matrix_of(table: pa.Table | pa.RecordBatch) -> np.ndarray:
+        return _dense_rows(table.column("v"), dimensions)
+
+    asked, held = entries(questions, question_key, "query_id"), entries(index, key, "key")
+    most = max_query_bytes // (8 * dimensions)
+    if asked.limit(most + 1).count() <= most:
+        return _rank(_scan_with(asked.toArrow(), held, k, matrix_of), k)
+    return _rank(_tiled(asked, held, k, most, vector_block, matrix_of), k)
+
+
 # ---------------------------------------------------------------- dense vectors
 
 
 def _unit_rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Arrow list column to a matrix of unit rows; zero vectors stay zero."""
-    array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    if isinstance(array, pa.ChunkedArray):
-        array = pa.concat_arrays(array.chunks)
+    array = _one_array(column)
     flat = array.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     matrix = flat.reshape(len(array), -1) if len(array) else flat.reshape(0, 1)
     norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
     return matrix / np.where(norms == 0, 1.0, norms)
 
 
+def _dense_rows(column: pa.ChunkedArray | pa.Array, dimensions: int) -> np.ndarray:
+    """Sparse Arrow vectors to a matrix with one column per dimension."""
+    array = _one_array(column)
+    lengths = array.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    dims, weights = (f.to_numpy(zero_copy_only=False) for f in array.flatten().flatten())
+    matrix = np.zeros((len(array), dimensions))
+    matrix[np.repeat(np.arange(len(array)), lengths), dims] = weights
+    return matrix
+
+
+def _one_array(column: pa.ChunkedArray | pa.Array) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+
+
 class _Best:
     """The best ``k`` (score, key) of each query over the blocks seen so far; ties go to the smaller key."""
 
@@ -144,23 +186,28 @@ def knn_exact(
     The vectors are scanned where they lie; the queries travel to them if their measured size is within
     ``max_query_bytes``. A larger query set goes to ``knn_blocked``, which gives the same rows.
     """
-    spark = queries.sparkSession
     asked = _named(queries, query_key, vector, "query_id")
     size = asked.agg(F.coalesce(F.sum(F.size("v")), F.lit(0)).alias("n")).first().n * 8
     if size > max_query_bytes:
         return knn_blocked(queries, vectors_, k, query_key, vector_key, vector)
-    table = asked.toArrow()
-    sent = spark.sparkContext.broadcast((table.column("query_id").to_numpy(), _unit_rows(table.column("v"))))
+    held = _named(vectors_, vector_key, vector, "key")
+    return _rank(_scan_with(asked.toArrow(), held, k, lambda t: _unit_rows(t.column("v"))), k)
+
+
+def _scan_with(asked: pa.Table, held: DataFrame, k: int, matrix_of) -> DataFrame:
+    """Score the rows of ``held`` against a small query table, each where it lies; at most ``k`` per query and task."""
+    sent = held.sparkSession.sparkContext.broadcast((asked.column("query_id").to_numpy(), matrix_of(asked)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_keys, matrix = sent.value
         best = _Best(matrix, k)
         for batch in batches:
-            if batch.num_rows:
-                best.add(batch.column("key").to_numpy(), _unit_rows(batch.column("v")))
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                best.add(part.column("key").to_numpy(), matrix_of(part))
         yield from best.table(query_keys).to_batches()
 
-    return _rank(_named(vectors_, vector_key, vector, "key").mapInArrow(scan, RESULT), k)
+    return held.mapInArrow(scan, RESULT)
 
 
 def _blocks(rows: int, block_rows: int, at_least: int = 1) -> int:
@@ -168,11 +215,14 @@ def _blocks(rows: int, block_rows: int, at_least: int = 1) -> int:
     return max(-(-rows // block_rows), min(at_least, -(-rows // SLICE_ROWS)), 1)
 
 
-def _tile_top_k(k: int):
+def _tile_top_k(k: int, matrix_of):
     def tile(key: tuple, queries: pa.Table, block: pa.Table) -> pa.Table:
-        best = _Best(_unit_rows(queries.column("v")), k)
-        if queries.num_rows and block.num_rows:
-            best.add(block.column("key").to_numpy(), _unit_rows(block.column("v")))
+        if not queries.num_rows or not block.num_rows:
+            return _Best(np.empty((0, 1)), k).table(np.empty(0, np.int64))
+        best = _Best(matrix_of(queries), k)
+        for at in range(0, block.num_rows, SLICE_ROWS):
+            part = block.slice(at, SLICE_ROWS)
+            best.add(part.column("key").to_numpy(), matrix_of(part))
         return best.table(queries.column("query_id").to_numpy())
 
     return tile
@@ -194,11 +244,14 @@ def knn_blocked(
     in one task that returns only its best ``k`` per query. A vector is sent once per query block and a query once per
     vector block; block sizes come from the row counts, so equal values cannot swell a block.
     """
-    spark = queries.sparkSession
     asked = _named(queries, query_key, vector, "query_id")
     held = _named(vectors_, vector_key, vector, "key")
+    return _rank(_tiled(asked, held, k, query_block, vector_block, lambda t: _unit_rows(t.column("v"))), k)
+
+
+def _tiled(asked: DataFrame, held: DataFrame, k: int, query_block: int, vector_block: int, matrix_of) -> DataFrame:
     n_queries = _blocks(asked.count(), query_block)
-    n_vectors = _blocks(held.count(), vector_block, spark.sparkContext.defaultParallelism)
+    n_vectors = _blocks(held.count(), vector_block, asked.sparkSession.sparkContext.defaultParallelism)
     asked = asked.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(n_queries))).withColumn(
         "vb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_vectors - 1).cast("long")))
     )
@@ -206,7 +259,7 @@ def knn_blocked(
         "qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_queries - 1).cast("long")))
     )
     tiles = asked.groupBy("qb", "vb").cogroup(held.groupBy("qb", "vb"))
-    return _rank(tiles.applyInArrow(_tile_top_k(k), RESULT), k)
+    return tiles.applyInArrow(_tile_top_k(k, matrix_of), RESULT)
 
 
 # ---------------------------------------------------------------- cells
@@ -236,28 +289,37 @@ def _centers(held: DataFrame, cells: int, seed: int, rounds: int) -> np.ndarray:
     return np.array(model.clusterCenters())
 
 
-def _nearest_cells(df: DataFrame, key: str, centers: np.ndarray, n: int) -> DataFrame:
-    """Each row with its ``n`` nearest cells: ``(key, v, cell, distance)``, distances between unit vectors."""
+def _visit_cells(df: DataFrame, key: str, centers: np.ndarray, choose) -> DataFrame:
+    """Rows repeated for the cells that ``choose(distances, batch)`` marks: ``(key, v, cell, distance)``.
+
+    ``distances`` holds one row per vector and one column per cell, ``choose`` returns a mask of the same shape.
+    """
     sent = df.sparkSession.sparkContext.broadcast(centers)
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             distances = _distances(_unit_rows(batch.column("v")), sent.value)
-            nearest = np.argsort(distances, axis=1, kind="stable")[:, :n]
-            row = np.repeat(np.arange(batch.num_rows), nearest.shape[1])
+            rows, cells = np.nonzero(choose(distances, batch))
+            taken = pa.array(rows)
             yield pa.record_batch(
                 {
-                    key: batch.column(key).take(pa.array(row)),
-                    "v": batch.column("v").take(pa.array(row)),
-                    "cell": nearest.ravel().astype(np.int32),
-                    "distance": np.take_along_axis(distances, nearest, 1).ravel(),
+                    key: batch.column(key).take(taken),
+                    "v": batch.column("v").take(taken),
+                    "cell": cells.astype(np.int32),
+                    "distance": distances[rows, cells],
                 }
             )
 
     element = df.schema["v"].dataType.elementType.simpleString()
-    return df.mapInArrow(assign, f"{key} bigint, v array<{element}>, cell int, distance double")
+    return df.mapInArrow(visit, f"{key} bigint, v array<{element}>, cell int, distance double")
+
+
+def _nearest(distances: np.ndarray, n: int) -> np.ndarray:
+    """Mask of the ``n`` nearest cells of each row; equal distances go to the lower cell."""
+    places = np.argsort(np.argsort(distances, axis=1, kind="stable"), axis=1, kind="stable")
+    return places < n
 
 
 def _distances(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -280,7 +342,9 @@ def _cell_tiles(visits: DataFrame, held: DataFrame, sizes: dict[int, int], k: in
         F.explode(F.sequence(F.lit(0), q_parts - 1)).alias("qb"),
     )
     tile_key = ("cell", "qb", "vb")
-    return left.groupBy(*tile_key).cogroup(right.groupBy(*tile_key)).applyInArrow(_tile_top_k(k), RESULT)
+    return left.groupBy(*tile_key).cogroup(right.groupBy(*tile_key)).applyInArrow(
+        _tile_top_k(k, lambda t: _unit_rows(t.column("v"))), RESULT
+    )
 
 
 def knn_cells(
@@ -300,35 +364,39 @@ def knn_cells(
 ) -> DataFrame:
     """Top-k by cells: vectors are grouped around centers and a query looks into its ``probes`` nearest cells.
 
-    Approximate by itself. With ``exact`` every query then visits each further cell that could still hold a better
-    vector (distance to its center minus its radius is within the k-th best distance), which gives the rows of
-    ``knn_exact``. Copies are searched once: only the first ``k`` of equal vectors are kept on one side, and equal
-    queries share one search on the other.
+    A query that finds fewer than ``k`` vectors there looks into all the others. Approximate by itself. With ``exact``
+    every query also visits each further cell that could still hold a better vector (distance to its center minus the
+    cell's radius is within the k-th best distance), which gives the rows of ``knn_exact``. Copies are searched once:
+    only the first ``k`` of equal vectors are kept on one side, and equal queries share one search on the other.
     """
     asked_all = _named(queries, query_key, vector, "query_id")
-    asked = one_per_copy(asked_all, "query_id", "v")
-    kept = first_copies(_named(vectors_, vector_key, vector, "key"), "key", "v", k)
-    kept = stage(kept, "knn-vectors")
+    asked = stage(one_per_copy(asked_all, "query_id", "v"), "knn-queries")
+    kept = stage(first_copies(_named(vectors_, vector_key, vector, "key"), "key", "v", k), "knn-vectors")
     centers = _centers(kept, cells, seed, rounds)
-    held = stage(_nearest_cells(kept, "key", centers, 1), "knn-cells")
-    near = stage(_nearest_cells(asked, "query_id", centers, len(centers) if exact else probes), "knn-visits")
+    held = stage(_visit_cells(kept, "key", centers, lambda d, batch: _nearest(d, 1)), "knn-cells")
     stats = held.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius")).collect()
     sizes = {r.cell: r.n for r in stats}
-    place = W.partitionBy("query_id").orderBy("distance", "cell")
-    near = near.withColumn("_place", F.row_number().over(place))
-    first = near.where(F.col("_place") <= probes)
-    found = _cell_tiles(first, held, sizes, k, query_block, vector_block)
-    if exact:
-        found = stage(found, "knn-first")
-        # Unit vectors: distance^2 = 2 - 2 cos. Half a unit of the last digit covers the rounding of the score.
-        kth = _rank(found, k).where(F.col("rank") == k).select(
-            "query_id", F.sqrt(2 - 2 * F.greatest(F.lit(-1.0), F.col("score") - 10.0**-DIGITS)).alias("reach")
-        )
-        radius = {r.cell: r.radius for r in stats}
-        radii = F.get(F.array(*[F.lit(radius.get(c, -10.0)) for c in range(max(sizes) + 1)]), F.col("cell"))
-        rest = near.where(F.col("_place") > probes).join(kth, "query_id", "left")
-        more = rest.where(F.col("reach").isNull() | (F.col("distance") - radii <= F.col("reach") + 1e-9))
-        found = found.unionByName(_cell_tiles(more, held, sizes, k, query_block, vector_block))
+    # A cell without vectors is out of reach of every query.
+    radii = np.full(len(centers), -10.0)
+    radii[[r.cell for r in stats]] = [r.radius for r in stats]
+
+    first = _visit_cells(asked, "query_id", centers, lambda d, batch: _nearest(d, probes))
+    found = stage(_cell_tiles(stage(first, "knn-visits"), held, sizes, k, query_block, vector_block), "knn-first")
+
+    # Unit vectors: distance^2 = 2 - 2 cos. One unit of the last digit covers the rounding of the score.
+    cosine = F.greatest(F.lit(-1.0), F.col("score") - 10.0**-DIGITS)
+    kth = _rank(found, k).where(F.col("rank") == k).select("query_id", F.sqrt(2 - 2 * cosine).alias("reach"))
+    open_queries = asked.join(kth, "query_id", "left")
+    if not exact:
+        open_queries = open_queries.where(F.col("reach").isNull())
+
+    def further(distances: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+        reach = batch.column("reach").to_numpy(zero_copy_only=False).astype(np.float64)
+        reach = np.where(np.isnan(reach), np.inf, reach)[:, None]
+        return ~_nearest(distances, probes) & (distances - radii[None, :] <= reach + 1e-9)
+
+    more = stage(_visit_cells(open_queries, "query_id", centers, further), "knn-visits")
+    found = found.unionByName(_cell_tiles(more, held, sizes, k, query_block, vector_block))
     best = _rank(found, k).withColumnRenamed("query_id", "_copy_of")
     copies = asked_all.join(asked.withColumnRenamed("query_id", "_copy_of"), "v").select("query_id", "_copy_of")
     return copies.join(best, "_copy_of").select("query_id", "neighbor_id", "score", "rank")

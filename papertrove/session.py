@@ -17,6 +17,7 @@ def get_session(master: str | None = None, **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         builder = builder.master(master)

@@ -19,9 +19,11 @@ def open_folder(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def child_names(path: str) -> list[str]:
-    """Names directly under a folder; none when the folder is not there."""
+    """Names directly under a folder; none when it is a file or not there."""
     files, root = open_folder(path)
-    return [entry.base_name for entry in files.get_file_info(fs.FileSelector(root, allow_not_found=True))]
+    if files.get_file_info(root).type != fs.FileType.Directory:
+        return []
+    return [entry.base_name for entry in files.get_file_info(fs.FileSelector(root))]
 
 
 def is_complete(path: str) -> bool:
