@@ -80,5 +80,9 @@ def dot(left: Column, right: Column) -> Column:
     return F.aggregate(parts, F.lit(0.0), lambda total, x: total + x)
 
 
-def cosine(left: Column, right: Column) -> Column:
-    return dot(left, right) / (F.sqrt(dot(left, left)) * F.sqrt(dot(right, right)))
+def unit(vector: Column) -> Column:
+    """The vector with length 1, as doubles; a zero vector stays zero."""
+    return let(
+        F.sqrt(dot(vector, vector)),
+        lambda norm: F.transform(vector, lambda x: x.cast("double") / F.when(norm == 0, 1.0).otherwise(norm)),
+    )

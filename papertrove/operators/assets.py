@@ -56,19 +56,6 @@ def extract_images(content: Column, mime_type: Column) -> Column:
     return F.when(media.is_image(mime_type), F.array(image))
 
 
-def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Even out rows before costly per-row work, over ``partitions`` or the cores of the cluster.
-
-    Without a number, rows that already come in at least as many partitions as there are cores stay where they are: a
-    large input is never shuffled for this, and one that is small enough to leave cores idle is cheap to move.
-    """
-    if partitions is None:
-        partitions = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= partitions:
-            return df
-    return df.repartition(partitions)
-
-
 def image_inventory(images: DataFrame, content: str = "source_content", max_side: int = MAX_IMAGE_SIDE) -> DataFrame:
     """Type, size and fitted size of image bytes; the bytes themselves are dropped."""
     bytes_ = F.col(content)
@@ -143,17 +130,13 @@ def save_assets(df: DataFrame, path_column: str, bytes_column: str, batch_rows:
     the table the same job wrote, so that looking at it does not write the files again. A file is written under another
     name and moved, so a reader never sees half of it; one that fails is reported and does not stop the job.
     """
-    folders = df.select(F.regexp_extract(path_column, r"^(.*)/[^/]*$", 1).alias("folder")).distinct()
-
-    def make_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made: set[str] = set()
         for batch in batches:
-            for folder in batch["folder"]:
+            for folder in {str(path).rpartition("/")[0] for path in batch[path_column]} - made:
                 files, root = open_folder(folder)
                 files.create_dir(root, recursive=True)
-            yield batch.iloc[:0]
-
-    def write_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+                made.add(folder)
             errors = [_save(p, b) for p, b in zip(batch[path_column], batch[bytes_column])]
             yield pd.DataFrame(
                 {
@@ -167,7 +150,6 @@ def save_assets(df: DataFrame, path_column: str, bytes_column: str, batch_rows:
     report = work_folder(spark, "save-report")
     schema = "path string, status string, error string"
     with arrow_batch(spark, batch_rows):
-        folders.mapInPandas(make_folders, "folder string").write.format("noop").mode("overwrite").save()
         df.select(path_column, bytes_column).mapInPandas(write_files, schema).write.parquet(report)
     return spark.read.schema(schema).parquet(report)
 

@@ -76,24 +76,23 @@ def nearest_centroid(
     allowed = list(allowed)
     if len(allowed) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes")
+    center = F.struct(F.col(label).alias("label"), vectors.unit(F.col("centroid")).alias("unit"))
     packed = (
-        centers.where(F.col(label).isin(allowed))
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(label).alias("label"), F.col("centroid")))).alias("centers"))
-        .scalar()
+        centers.where(F.col(label).isin(allowed)).agg(F.array_sort(F.collect_list(center)).alias("centers")).scalar()
     )
     scored = F.transform(
         F.col("_centers"),
         lambda c, i: F.struct(
-            F.round(vectors.cosine(F.col(vector), c["centroid"]), 6).alias("score"),
+            F.round(vectors.dot(F.col("_unit"), c["unit"]), 6).alias("score"),
             (-i).alias("rank"),
             c["label"].alias("label"),
         ),
     )
     return (
-        rows.withColumn("_centers", packed)
+        rows.withColumns({"_centers": packed, "_unit": vectors.unit(F.col(vector))})
         .withColumn("_best", F.array_max(scored))
         .withColumns({"class_label": F.col("_best.label"), "class_score": F.col("_best.score")})
-        .drop("_best", "_centers")
+        .drop("_best", "_centers", "_unit")
     )
 
 

@@ -32,6 +32,15 @@ def embed_text(rows: DataFrame, text: str, name: str = "vector", dimensions: int
     return rows.withColumn(name, vectors.hash_embed(F.col(text), dimensions))
 
 
+def vector_entries(rows: DataFrame, text: str, keep: Sequence[str], dimensions: int = vectors.DIMENSIONS) -> DataFrame:
+    """Long form of the text vectors: ``(keep, dim, weight)``.
+
+    The vector is handed to the generator as an expression. From a column of its own Spark would infer a filter on that
+    column's size, push it down to the scan and compute every vector three times.
+    """
+    return rows.select(*keep, F.inline(vectors.hash_embed(F.col(text), dimensions)))
+
+
 def similarity_search(
     index: DataFrame,
     question: str | DataFrame,

@@ -15,7 +15,7 @@ from papertrove.plans.oracle_parts import path_sql, stem_sql
 from papertrove.plans.registry import registered
 from papertrove.sources.files import source_path
 from papertrove.sources.storage import work_folder
-from papertrove.sources.tables import load
+from papertrove.sources.tables import load, spread
 
 WITH_FILES = f"WITH {samples.FILE_BYTES_SQL}"
 
@@ -126,7 +126,7 @@ links AS (
 @registered(f"""WITH {LINKS_SQL}
 SELECT page_id, asset, 1 AS page_number, CAST(ordinal AS INTEGER) AS ordinal FROM links""")
 def asset_extract(spark: SparkSession, folder: str) -> DataFrame:
-    pages = load(spark, folder, "pages").select("page_id", "html")
+    pages = spread(load(spark, folder, "pages")).select("page_id", "html")
     return explode_structs(pages, assets.linked_assets(F.col("html")), drop=["html"])
 
 

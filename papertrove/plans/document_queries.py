@@ -18,7 +18,7 @@ from papertrove.plans.oracle_parts import (
 )
 from papertrove.plans.registry import registered
 from papertrove.sources.files import scan_binary, source_path
-from papertrove.sources.tables import load
+from papertrove.sources.tables import load, spread
 
 def _file_digests(files: DataFrame) -> DataFrame:
     return files.select(
@@ -50,12 +50,12 @@ def normalize_path(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered(f"SELECT page_id, {text_sql()} AS content FROM pages")
 def html_to_text(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "pages").select("page_id", text.html_to_text("html").alias("content"))
+    return spread(load(spark, folder, "pages")).select("page_id", text.html_to_text("html").alias("content"))
 
 
 @registered(f"SELECT page_id, {markdown_sql()} AS content FROM pages")
 def html_to_markdown(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "pages").select("page_id", text.html_to_markdown("html").alias("content"))
+    return spread(load(spark, folder, "pages")).select("page_id", text.html_to_markdown("html").alias("content"))
 
 
 @registered("""
@@ -64,7 +64,7 @@ SELECT doc_id, CAST(i AS INTEGER) AS page_number, page_content FROM (
          generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
 WHERE regexp_matches(page_content, '\\S')""")
 def page_export(spark: SparkSession, folder: str) -> DataFrame:
-    rows = load(spark, folder, "documents").select("doc_id", "text")
+    rows = spread(load(spark, folder, "documents").select("doc_id", "text"))
     return docs.explode_structs(rows, text.split_pages("text", "\n"), drop=["text"]).select(
         "doc_id", "page_number", "page_content"
     )
@@ -72,7 +72,7 @@ def page_export(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered(fixed_chunks_sql("documents", "doc_id"))
 def chunk_fixed(spark: SparkSession, folder: str) -> DataFrame:
-    rows = load(spark, folder, "documents").select("doc_id", "text")
+    rows = spread(load(spark, folder, "documents").select("doc_id", "text"))
     return docs.explode_chunks(rows, text.chunk_fixed(F.col("text")), name="chunk").drop("text")
 
 
@@ -81,7 +81,7 @@ WITH RECURSIVE src AS (SELECT doc_id AS id, text FROM documents),
 {recursive_chunks_sql('src')}
 SELECT id AS doc_id, chunk_index, chunk FROM chunked""")
 def chunk_recursive(spark: SparkSession, folder: str) -> DataFrame:
-    rows = load(spark, folder, "documents").select("doc_id", "text")
+    rows = spread(load(spark, folder, "documents").select("doc_id", "text"))
     return docs.explode_chunks(rows, text.chunk_recursive(F.col("text")), name="chunk").drop("text")
 
 
@@ -103,7 +103,7 @@ WITH RECURSIVE src AS (SELECT {path_sql('url')} AS id, {markdown_sql()} AS text
 SELECT id AS source_path, chunk_index, chunk AS chunks FROM chunked""")
 def process_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Web pages to markdown to chunks, the document job."""
-    pages = load(spark, folder, "pages").select(
+    pages = spread(load(spark, folder, "pages").select("url", "html")).select(
         source_path("url").alias("source_path"), text.html_to_markdown("html").alias("content")
     )
     return docs.process_documents(pages)

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from papertrove.config import DOCUMENT_BATCH_ROWS, IMAGE_BATCH_ROWS, TOP_K
+from papertrove.config import DOCUMENT_BATCH_ROWS, IMAGE_BATCH_ROWS, TOP_K, Settings
 from papertrove.functions import media, text
 from papertrove.operators import assets, documents, scoring, search, tables
 from papertrove.session import arrow_batch
 from papertrove.sources.files import scan_binary
 from papertrove.sources.storage import stage
+from papertrove.sources.tables import spread
 
 
 def build_document_index(
@@ -47,7 +48,7 @@ def score_images(
     model call is repeated. A class outside the closed list becomes null.
     """
     names = [name for name, _ in classes]
-    rows = assets.spread(images, partitions)
+    rows = spread(images, partitions)
     rows = scoring.score_batches(rows, ["extracted_image"], "_caption", T.StringType(), make_captioner)
 
     def bounded() -> Callable:
@@ -96,10 +97,17 @@ def build_image_index(
         return tables.create_or_replace(index, table, key, root, order_by=order), report
 
 
+def ask(index: DataFrame, question: str | DataFrame, settings: Settings) -> DataFrame:
+    """The configured number of rows of an index that best match a question, with the configured columns."""
+    columns = settings.result_columns or (settings.primary_key, settings.text_column)
+    return search.similarity_search(index, question, columns, settings.top_k, key=settings.primary_key)
+
+
 def chunk_search(
     documents_: DataFrame, question: str | DataFrame, k: int = TOP_K, key: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """Which chunks of the documents best match a question: chunk, embed, score and keep the best; no shuffle."""
-    chunks = documents.explode_chunks(documents_.select(key, text_column), text.chunk_fixed(F.col(text_column)), name="content")
-    index = search.embed_text(chunks.drop(text_column), "content")
+    """Which chunks of the documents best match a question: chunk, embed, score and keep the best."""
+    texts = spread(documents_.select(key, text_column))
+    chunks = documents.explode_chunks(texts, text.chunk_fixed(F.col(text_column)), name="content").drop(text_column)
+    index = search.embed_text(chunks, "content")
     return search.similarity_search(index, question, [key, "chunk_index", "content"], k, key=[key, "chunk_index"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papertrove.sources.tables import load
+from papertrove.sources.tables import load, spread
 
 # Width and height that a document's image header declares.
 WIDTH = "(n_chars * 7 + doc_id) % 3000 + 1"
@@ -36,7 +36,8 @@ def file_bytes(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("kind") == 3, F.lit("255044462D312E37"))
         .otherwise("")
     )
-    sized = load(spark, folder, "documents").select(
+    texts = spread(load(spark, folder, "documents").select("doc_id", "text", "source", "n_chars"))
+    sized = texts.select(
         "doc_id", "text", "source",
         F.concat(F.lit("/files/"), "source", F.lit("/doc."), F.col("doc_id").cast("string"), F.lit(".bin")).alias("source_path"),
         F.expr("cast(doc_id % 5 as int)").alias("kind"),

@@ -11,7 +11,7 @@ from papertrove.operators import search
 from papertrove.plans.jobs import chunk_search
 from papertrove.plans.oracle_parts import fixed_chunks_sql, vectors_sql
 from papertrove.plans.registry import registered
-from papertrove.sources.tables import load
+from papertrove.sources.tables import load, spread
 
 SEARCH_SQL = f"""
 WITH chunks AS ({fixed_chunks_sql('documents', 'doc_id')}),
@@ -48,8 +48,8 @@ def search_rows(spark: SparkSession, folder: str) -> DataFrame:
 @registered(f"""
 SELECT doc_id, dim, round(weight, 6) AS weight FROM ({vectors_sql('documents', 'doc_id', 'text')})""")
 def hash_embed(spark: SparkSession, folder: str) -> DataFrame:
-    rows = search.embed_text(load(spark, folder, "documents").select("doc_id", "text"), "text")
-    entries = rows.select("doc_id", F.inline("vector"))
+    rows = spread(load(spark, folder, "documents").select("doc_id", "text"))
+    entries = search.vector_entries(rows, "text", ["doc_id"])
     return entries.select("doc_id", "dim", F.round("weight", 6).alias("weight"))
 
 
@@ -62,7 +62,7 @@ SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDE
 FROM hits QUALIFY rank <= 5""")
 def search_many(spark: SparkSession, folder: str) -> DataFrame:
     """The documents that best match every benchmark question, in one pass over the documents."""
-    index = search.embed_text(load(spark, folder, "documents").select("doc_id", "text"), "text")
+    index = search.embed_text(spread(load(spark, folder, "documents").select("doc_id", "text")), "text")
     asked = search.embed_text(load(spark, folder, "benchmark").select("item_id", "text"), "text")
     found = search.search_many(index, asked, question_key="item_id", key="doc_id")
     return found.select(F.col("query_id").alias("item_id"), F.col("neighbor_id").alias("doc_id"), "score", "rank")

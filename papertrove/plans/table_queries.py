@@ -14,7 +14,7 @@ from papertrove.plans import samples
 from papertrove.plans.oracle_parts import fixed_chunks_sql
 from papertrove.plans.registry import registered
 from papertrove.sources.storage import child_names, work_folder
-from papertrove.sources.tables import load, scan_table
+from papertrove.sources.tables import load, scan_table, spread
 from papertrove.streaming.sync import change_stream, open_index
 
 MIDDLE = "2024-01-16 00:00:00"
@@ -24,7 +24,7 @@ FROM ({fixed_chunks_sql('documents', 'doc_id')})"""
 
 
 def _chunks(spark: SparkSession, folder: str) -> DataFrame:
-    rows = load(spark, folder, "documents").select("doc_id", "text")
+    rows = spread(load(spark, folder, "documents").select("doc_id", "text"))
     return docs.explode_chunks(rows, text.chunk_fixed(F.col("text")), name="content").drop("text")
 
 
@@ -42,22 +42,22 @@ def index_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @registered("""
-SELECT count(*) AS n_rows, count(DISTINCT id) AS n_keys, CAST(0 AS BIGINT) AS n_missing, CAST(sum(length(text)) AS BIGINT) AS n_chars
-FROM (SELECT 'd' || doc_id AS id, text FROM documents UNION ALL SELECT 'p' || page_id, html FROM pages)""")
+SELECT kind, n, md5(text) AS digest, count(*) OVER () AS n_rows, CAST(0 AS BIGINT) AS n_null_keys,
+       CAST(0 AS BIGINT) AS n_repeated_keys
+FROM (SELECT 'd' AS kind, doc_id AS n, text FROM documents UNION ALL SELECT 'p', page_id, html FROM pages)""")
 def index_append(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as a keyed table, web pages appended to it; keys are generated, so the check counts them."""
+    """Documents as a keyed table, web pages appended to it, and the audit of the generated keys beside every row."""
     name = f"append_{uuid.uuid4().hex}"
     documents = load(spark, folder, "documents").select(F.lit("d").alias("kind"), F.col("doc_id").alias("n"), "text")
-    pages = load(spark, folder, "pages").select(F.lit("p").alias("kind"), F.col("page_id").alias("n"), F.col("html").alias("text"))
+    pages = load(spark, folder, "pages").select(
+        F.lit("p").alias("kind"), F.col("page_id").alias("n"), F.col("html").alias("text")
+    )
     tables.create_or_replace(documents, name, "id", work_folder(spark, "index-append"))
     tables.append(pages, name, "id")
     table = scan_table(spark, name)
-    audit = keys.key_violations(table.select("id"), "id").select(
-        (F.col("n_rows") - F.col("n_null_keys") - F.col("n_repeated_rows") + F.col("n_repeated_keys")).alias("n_keys"),
-        F.col("n_null_keys").alias("n_missing"),
-    )
-    totals = table.agg(F.count("*").alias("n_rows"), F.sum(F.length("text")).alias("n_chars"))
-    return totals.withColumns({"n_keys": audit.select("n_keys").scalar(), "n_missing": audit.select("n_missing").scalar()})
+    audit = keys.key_violations(table.select("id"), "id")
+    counts = {c: audit.select(c).scalar() for c in ("n_rows", "n_null_keys", "n_repeated_keys")}
+    return table.select("kind", "n", F.md5(F.col("text").cast("binary")).alias("digest")).withColumns(counts)
 
 
 AUDITED = (

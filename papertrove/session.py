@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+PACKAGE = Path(__file__).resolve().parent
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -38,3 +42,18 @@ def arrow_batch(spark: SparkSession, rows: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(ARROW_ROWS, before)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that their Python workers can import it.
+
+    Not needed when it is installed there or named in ``--py-files``.
+    """
+    name = f"{PACKAGE.name}.zip"
+    if any(Path(shipped).name == name for shipped in spark.sparkContext.listFiles):
+        return
+    archive = Path(tempfile.mkdtemp()) / name
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(PACKAGE.rglob("*.py")):
+            out.write(source, source.relative_to(PACKAGE.parent))
+    spark.sparkContext.addPyFile(str(archive))

@@ -21,3 +21,17 @@ def class_prompts(spark: SparkSession, classes: Iterable[tuple[str, str | None]]
     for name, prompt in classes:
         first.setdefault(name, prompt)
     return spark.createDataFrame(list(first.items()), "class_name string, prompt string")
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Even out rows before costly per-row work, over ``partitions`` or the cores of the cluster.
+
+    Without a number, rows of a scan that already come in at least as many partitions as there are cores stay where
+    they are: a large input is never shuffled for this, and one that is small enough to leave cores idle is cheap to
+    move. The partitions of a plan with a shuffle are only known by running it, so call this on scans.
+    """
+    if partitions is None:
+        partitions = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= partitions:
+            return df
+    return df.repartition(partitions)

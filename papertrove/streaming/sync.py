@@ -104,15 +104,19 @@ class SyncedIndex:
                 if stored is not None:
                     newest = self._newer_than(newest, stored)
             embed(newest).write.mode("overwrite").parquet(f"{folder}/changes/batch={batch_id}")
-            written = spark.read.parquet(f"{folder}/changes/batch={batch_id}")
-            pending = written.count() + (0 if changes is None else changes.count())
-            if base is None or pending > self.compact_share * base.count():
+            if base is None or self._pending(spark, folder) > self.compact_share * base.count():
                 base, changes = self._parts(spark, folder, batch_id + 1)
                 rows = self._all_rows(base, changes)
                 rows.write.mode("overwrite").parquet(f"{folder}/base/batch={batch_id}")
 
         return apply_batch
 
+    def _pending(self, spark: SparkSession, folder: str) -> int:
+        """Rows written as changes since the newest base, from the Parquet footers."""
+        since = max(self._complete(f"{folder}/base", "batch="), default=-1)
+        batches = [n for n in self._complete(f"{folder}/changes", "batch=") if n > since]
+        return spark.read.parquet(*[f"{folder}/changes/batch={n}" for n in batches]).count() if batches else 0
+
     def _newer_than(self, incoming: DataFrame, stored: DataFrame) -> DataFrame:
         """Drop incoming rows that are not newer than the stored row of their key: late and repeated ones.
 
