@@ -6,14 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The wording the models are asked with.
-CLASSIFY_TEXT = "Classify this image using provided tools"
-DECK_TEXT = "Summarize the deck of slides."
+CLASSIFY_REQUEST = "Classify this image using provided tools"
+SUMMARY_REQUEST = "Summarize this image of a %s using the provided tools."
+INSTRUCTIONS = "%s Instructions: %s"
+IMAGE_MARK = "<|image_%d|>\n"
+DECK_REQUEST = "Summarize the deck of slides."
 
 
 def summary_prompt(class_name: Column, prompt: Column) -> Column:
     """The summary request for a class; instructions are added only when there are any."""
-    request = F.concat(F.lit("Summarize this image of a "), class_name, F.lit(" using the provided tools."))
-    return F.when(F.length(prompt) > 0, F.concat(request, F.lit(" Instructions: "), prompt)).otherwise(request)
+    request = F.when(class_name.isNotNull(), F.format_string(SUMMARY_REQUEST, class_name))
+    return F.when(F.length(prompt) > 0, request_with(request, prompt)).otherwise(request)
+
+
+def request_with(request: Column, instructions: Column) -> Column:
+    return F.when(request.isNotNull() & instructions.isNotNull(), F.format_string(INSTRUCTIONS, request, instructions))
 
 
 def message(text: Column, url: Column) -> Column:
@@ -26,9 +33,6 @@ def message(text: Column, url: Column) -> Column:
 
 
 def deck_text(images: Column) -> Column:
-    """``<|image_1|>`` to ``<|image_n|>``, one a line, then the request."""
-    marks = F.transform(
-        F.sequence(F.lit(1), images.cast("int")),
-        lambda i: F.concat(F.lit("<|image_"), i.cast("string"), F.lit("|>\n")),
-    )
-    return F.concat(F.array_join(marks, ""), F.lit(DECK_TEXT))
+    """One mark a line for each of the images, counted from 1, then the request."""
+    marks = F.transform(F.sequence(F.lit(1), images.cast("int")), lambda i: F.format_string(IMAGE_MARK, i))
+    return F.concat(F.array_join(marks, ""), F.lit(DECK_REQUEST))

@@ -22,6 +22,10 @@ MAX_QUERY_BYTES = 64 << 20
 QUERY_BLOCK = 16_384
 VECTOR_BLOCK = 131_072
 SLICE_ROWS = 1_024
+TASKS_PER_CORE = 4
+# Bounds of the number of cells; their centers travel to every task.
+MIN_CELLS = 16
+MAX_CELLS = 4_096
 
 
 # ---------------------------------------------------------------- text questions
@@ -205,7 +209,8 @@ def knn_exact(
 
 def _scan_with(asked: pa.Table, held: DataFrame, k: int, matrix_of) -> DataFrame:
     """Score the rows of ``held`` against a small query table, each where it lies; at most ``k`` per query and task."""
-    sent = held.sparkSession.sparkContext.broadcast((asked.column("query_id").to_numpy(), matrix_of(asked)))
+    context = held.sparkSession.sparkContext
+    sent = context.broadcast((asked.column("query_id").to_numpy(), matrix_of(asked)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_keys, matrix = sent.value
@@ -216,7 +221,8 @@ def _scan_with(asked: pa.Table, held: DataFrame, k: int, matrix_of) -> DataFrame
                 best.add(part.column("key").to_numpy(), matrix_of(part))
         yield from best.table(query_keys).to_batches()
 
-    return held.mapInArrow(scan, RESULT)
+    # Every task returns k rows per query, so more tasks than the cluster can keep busy only make the last step larger.
+    return held.coalesce(TASKS_PER_CORE * context.defaultParallelism).mapInArrow(scan, RESULT)
 
 
 def _blocks(rows: int, block_rows: int, at_least: int = 1) -> int:
@@ -360,7 +366,7 @@ def knn_cells(
     queries: DataFrame,
     vectors_: DataFrame,
     k: int = TOP_K,
-    cells: int = 16,
+    cells: int | None = None,
     probes: int = 4,
     exact: bool = False,
     query_key: str = "vec_id",
@@ -373,6 +379,8 @@ def knn_cells(
 ) -> DataFrame:
     """Top-k by cells: vectors are grouped around centers and a query looks into its ``probes`` nearest cells.
 
+    The number of ``cells`` grows with the square root of the rows unless it is given.
+
     A query that finds fewer than ``k`` vectors there looks into all the others. Approximate by itself. With ``exact``
     every query also visits each further cell that could still hold a better vector (distance to its center minus the
     cell's radius is within the k-th best distance), which gives the rows of ``knn_exact``. Copies are searched once:
@@ -381,6 +389,8 @@ def knn_cells(
     asked_all = _named(queries, query_key, vector, "query_id")
     asked = stage(one_per_copy(asked_all, "query_id", "v"), "knn-queries")
     kept = stage(first_copies(_named(vectors_, vector_key, vector, "key"), "key", "v", k), "knn-vectors")
+    if cells is None:
+        cells = int(min(max(kept.count() ** 0.5 / 2, MIN_CELLS), MAX_CELLS))
     centers = _centers(kept, cells, seed, rounds)
     held = stage(_visit_cells(kept, "key", centers, lambda d, batch: _nearest(d, 1)), "knn-cells")
     stats = held.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius")).collect()

@@ -88,3 +88,16 @@ def table_changes(old: DataFrame, new: DataFrame, key: str | Sequence[str]) -> D
     return both.select(*keys, F.explode(changes).alias("_change")).select(
         "_change.change_type", *[c if c in keys else F.col(f"_change.row.{c}").alias(c) for c in new.columns]
     )
+
+
+def change_feed(old: DataFrame | None, new: DataFrame, key: str | Sequence[str], version: int) -> DataFrame:
+    """The rows a synced index needs to follow a table from ``old`` to ``new``.
+
+    New and changed rows as they are now, removed rows with ``removed`` set, all stamped with ``version``, which has to
+    grow from one feed to the next. Without ``old`` every row of ``new`` is fed.
+    """
+    stamp = F.lit(version).cast("long").alias("version")
+    if old is None:
+        return new.select(stamp, F.lit(False).alias("removed"), *new.columns)
+    changes = table_changes(old, new, key).where(F.col("change_type") != "update_preimage")
+    return changes.select(stamp, (F.col("change_type") == "delete").alias("removed"), *new.columns)

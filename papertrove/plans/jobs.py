@@ -15,6 +15,7 @@ from papertrove.session import arrow_batch
 from papertrove.sources.files import scan_binary
 from papertrove.sources.storage import stage
 from papertrove.sources.tables import spread
+from papertrove.streaming.sync import SyncedIndex, change_stream
 
 
 def build_document_index(
@@ -43,19 +44,20 @@ def score_images(
 ) -> DataFrame:
     """Add ``image_caption``, ``image_classification`` and ``image_summary`` to rows with ``base64_image``.
 
-    Captioner ``(bytes)``, classifier ``(base64, class names)`` and summarizer ``(prompt, data url)`` are loaded once per
-    task. Rows are spread before the models and written after each stage that a filter or join looks at, so that no
+    Captioner ``(bytes)``, classifier ``(data url, class names)`` and summarizer ``(prompt, data url)`` are loaded once
+    per task; ``prompts.CLASSIFY_REQUEST`` is the text to classify with. Rows are spread before the models and written after each stage that a filter or join looks at, so that no
     model call is repeated. A class outside the closed list becomes null.
     """
     names = [name for name, _ in classes]
     rows = spread(images, partitions)
+    rows = rows.withColumn("_url", media.data_url(F.col("image_mime_type"), F.col("base64_image")))
     rows = scoring.score_batches(rows, ["extracted_image"], "_caption", T.StringType(), make_captioner)
 
     def bounded() -> Callable:
         classify = make_classifier()
-        return lambda encoded: classify(encoded, names)
+        return lambda url: classify(url, names)
 
-    rows = scoring.score_batches(rows, ["base64_image"], "_class", T.StringType(), bounded)
+    rows = scoring.score_batches(rows, ["_url"], "_class", T.StringType(), bounded)
     rows = stage(rows, "classified-images").withColumns(
         {
             "image_caption": F.col("_caption.value"),
@@ -63,7 +65,6 @@ def score_images(
         }
     )
     rows = scoring.build_prompt(rows, "image_classification", classes)
-    rows = rows.withColumn("_url", media.data_url(F.col("image_mime_type"), F.col("base64_image")))
     rows = scoring.score_batches(rows, ["summary_prompt", "_url"], "_summary", T.StringType(), make_summarizer)
     return rows.withColumns(
         {
@@ -97,6 +98,21 @@ def build_image_index(
         return tables.create_or_replace(index, table, key, root, order_by=order), report
 
 
+def follow_table(
+    old: DataFrame | None,
+    new: DataFrame,
+    index: SyncedIndex,
+    feed: str,
+    version: int,
+    text_column: str = "content",
+    full_refresh: bool = False,
+) -> None:
+    """Write what changed between two states of a table to the feed folder and sync the index from it."""
+    tables.change_feed(old, new, index.key, version).write.mode("append").parquet(feed)
+    source = change_stream(new.sparkSession, feed)
+    index.sync(source, text_column, deleted=F.col("removed"), full_refresh=full_refresh)
+
+
 def ask(index: DataFrame, question: str | DataFrame, settings: Settings) -> DataFrame:
     """The configured number of rows of an index that best match a question, with the configured columns."""
     columns = settings.result_columns or (settings.primary_key, settings.text_column)

@@ -125,7 +125,7 @@ def test_image_index(spark, folder):
         return caption
 
     def classifier():
-        return lambda encoded, names: names[1] if len(encoded) % 8 else "not in the list"
+        return lambda url, names: names[1] if len(url) % 8 else "not in the list"
 
     def summarizer():
         def summary(prompt, url):
@@ -153,3 +153,19 @@ def test_image_index(spark, folder):
             assert row.content == want
     assert {r.status for r in report.collect()} == {"success"}
     assert sorted(p.name for p in (folder / "saved").iterdir()) == sorted(r.image_path.rpartition("/")[2] for r in rows)
+
+
+def test_index_follows_a_table(spark, tmp_path):
+    from papertrove.streaming.sync import open_index
+
+    schema = "source_path string, chunk_index int, content string"
+    first = spark.createDataFrame([("a", 0, "a dog"), ("a", 1, "a cat"), ("b", 0, "a cow")], schema)
+    second = spark.createDataFrame([("a", 0, "a dog"), ("b", 0, "two cows"), ("c", 0, "a hen")], schema)
+    index = open_index(f"{tmp_path}/index", ["source_path", "chunk_index"], "version")
+    feed = f"{tmp_path}/feed"
+    for version, (old, new) in enumerate([(None, first), (first, second), (second, second)]):
+        jobs.follow_table(old, new, index, feed, version)
+        live = index.read(spark).select(*new.columns).collect()
+        assert sorted(map(tuple, live)) == sorted(map(tuple, new.collect()))
+    versions = {(r.source_path, r.version) for r in index.read(spark).collect()}
+    assert versions == {("a", 0), ("b", 1), ("c", 1)}
