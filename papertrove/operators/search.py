@@ -18,9 +18,9 @@ from papertrove.sources.storage import stage
 DIGITS = 6
 # The exact search sends its query vectors to every task only below this size; larger sets are tiled.
 MAX_QUERY_BYTES = 64 << 20
-# Rows of one tile side, and the rows multiplied at once inside a tile.
-QUERY_BLOCK = 16_384
-VECTOR_BLOCK = 131_072
+# Size of one tile side as doubles, and the rows multiplied at once inside a tile.
+QUERY_BLOCK_BYTES = 32 << 20
+VECTOR_BLOCK_BYTES = 128 << 20
 SLICE_ROWS = 1_024
 TASKS_PER_CORE = 4
 # Bounds of the number of cells; their centers travel to every task.
@@ -90,7 +90,7 @@ def search_many(
     vector: str = "vector",
     dimensions: int = vectors.DIMENSIONS,
     max_query_bytes: int = MAX_QUERY_BYTES,
-    vector_block: int = VECTOR_BLOCK,
+    vector_block: int | None = None,
 ) -> DataFrame:
     """Batch form: ``(query_id, neighbor_id, score, rank)`` for every question, in one pass over the index.
 
@@ -108,7 +108,8 @@ def search_many(
     most = max_query_bytes // (8 * dimensions)
     if asked.limit(most + 1).count() <= most:
         return _rank(_scan_with(asked.toArrow(), held, k, matrix_of), k)
-    return _rank(_tiled(asked, held, k, most, vector_block, matrix_of), k)
+    block = vector_block or VECTOR_BLOCK_BYTES // (8 * dimensions)
+    return _rank(_tiled(asked, held, k, most, block, matrix_of), k)
 
 
 # ---------------------------------------------------------------- dense vectors
@@ -225,6 +226,13 @@ def _scan_with(asked: pa.Table, held: DataFrame, k: int, matrix_of) -> DataFrame
     return held.coalesce(TASKS_PER_CORE * context.defaultParallelism).mapInArrow(scan, RESULT)
 
 
+def _block_rows(df: DataFrame, query_block: int | None, vector_block: int | None) -> tuple[int, int]:
+    """Rows of a query block and a vector block: those given, else as many as fit their sizes."""
+    first = df.select(F.size("v").alias("n")).first()
+    row_bytes = 8 * max(first.n if first else 1, 1)
+    return query_block or -(-QUERY_BLOCK_BYTES // row_bytes), vector_block or -(-VECTOR_BLOCK_BYTES // row_bytes)
+
+
 def _blocks(rows: int, block_rows: int, at_least: int = 1) -> int:
     """Blocks of at most ``block_rows``; more when there are idle cores and enough rows to share."""
     return max(-(-rows // block_rows), min(at_least, -(-rows // SLICE_ROWS)), 1)
@@ -250,8 +258,8 @@ def knn_blocked(
     query_key: str = "vec_id",
     vector_key: str = "vec_id",
     vector: str = "embedding",
-    query_block: int = QUERY_BLOCK,
-    vector_block: int = VECTOR_BLOCK,
+    query_block: int | None = None,
+    vector_block: int | None = None,
 ) -> DataFrame:
     """Same rows as ``knn_exact`` for query sets of any size.
 
@@ -261,6 +269,7 @@ def knn_blocked(
     """
     asked = _named(queries, query_key, vector, "query_id")
     held = _named(vectors_, vector_key, vector, "key")
+    query_block, vector_block = _block_rows(held, query_block, vector_block)
     return _rank(_tiled(asked, held, k, query_block, vector_block, lambda t: _unit_rows(t.column("v"))), k)
 
 
@@ -372,8 +381,8 @@ def knn_cells(
     query_key: str = "vec_id",
     vector_key: str = "vec_id",
     vector: str = "embedding",
-    query_block: int = QUERY_BLOCK,
-    vector_block: int = VECTOR_BLOCK,
+    query_block: int | None = None,
+    vector_block: int | None = None,
     seed: int = 42,
     rounds: int = 5,
 ) -> DataFrame:
@@ -391,6 +400,7 @@ def knn_cells(
     kept = stage(first_copies(_named(vectors_, vector_key, vector, "key"), "key", "v", k), "knn-vectors")
     if cells is None:
         cells = int(min(max(kept.count() ** 0.5 / 2, MIN_CELLS), MAX_CELLS))
+    query_block, vector_block = _block_rows(kept, query_block, vector_block)
     centers = _centers(kept, cells, seed, rounds)
     held = stage(_visit_cells(kept, "key", centers, lambda d, batch: _nearest(d, 1)), "knn-cells")
     stats = held.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius")).collect()

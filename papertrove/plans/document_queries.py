@@ -98,9 +98,9 @@ def chunk_loss(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @registered(f"""
-WITH RECURSIVE src AS (SELECT {path_sql('url')} AS id, {markdown_sql()} AS text FROM pages),
+WITH RECURSIVE src AS (SELECT page_id AS id, {markdown_sql()} AS text FROM pages),
 {recursive_chunks_sql('src')}
-SELECT id AS source_path, chunk_index, chunk AS chunks FROM chunked""")
+SELECT {path_sql('url')} AS source_path, chunk_index, chunk AS chunks FROM chunked JOIN pages ON id = page_id""")
 def process_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Web pages to markdown to chunks, the document job."""
     pages = spread(load(spark, folder, "pages").select("url", "html")).select(

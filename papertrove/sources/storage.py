@@ -12,18 +12,20 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def open_folder(path: str) -> tuple[fs.FileSystem, str]:
-    """The Arrow file system of a path or URI, and the path inside it."""
+    """The Arrow file system of a path or URI, and the path inside it; for use inside tasks."""
     if "://" in path:
         return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return fs.LocalFileSystem(), path.removeprefix("file:")
 
 
 def child_names(path: str) -> list[str]:
-    """Names directly under a folder; none when it is a file or not there."""
-    files, root = open_folder(path)
-    if files.get_file_info(root).type != fs.FileType.Directory:
+    """Names directly under a folder, seen with the session's own file systems; none when there is no such folder."""
+    context = SparkSession.active().sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(where) or not files.getFileStatus(where).isDirectory():
         return []
-    return [entry.base_name for entry in files.get_file_info(fs.FileSelector(root))]
+    return [entry.getPath().getName() for entry in files.listStatus(where)]
 
 
 def is_complete(path: str) -> bool:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from papertrove.functions import vectors
 from papertrove.operators.tables import latest_rows
-from papertrove.sources.storage import child_names, is_complete
+from papertrove.sources.storage import child_names, is_complete, stage
 
 DELETED = "_deleted"
 # Changed rows kept beside the base, as a share of its rows, before a new base is written.
@@ -98,7 +98,8 @@ class SyncedIndex:
     def _apply(self, folder: str, embed: Callable[[DataFrame], DataFrame], deleted: Column):
         def apply_batch(batch: DataFrame, batch_id: int) -> None:
             spark = batch.sparkSession
-            newest = latest_rows(batch.withColumn(DELETED, F.coalesce(deleted, F.lit(False))), self.key, self.version)
+            marked = batch.withColumn(DELETED, F.coalesce(deleted, F.lit(False)))
+            newest = stage(latest_rows(marked, self.key, self.version), "sync-batch")
             base, changes = self._parts(spark, folder, batch_id)
             for stored in (base, changes):
                 if stored is not None:
@@ -120,9 +121,12 @@ class SyncedIndex:
     def _newer_than(self, incoming: DataFrame, stored: DataFrame) -> DataFrame:
         """Drop incoming rows that are not newer than the stored row of their key: late and repeated ones.
 
-        Only keys and versions of the stored rows are read.
+        Only keys and versions of the stored rows are read, and of these only the incoming keys' rows are shuffled
+        when the incoming keys are few enough to be sent to every task.
         """
         held = stored.select(*self.key, F.struct(*self.version).alias("_held"))
+        if incoming.count() <= BROADCAST_KEYS:
+            held = held.join(F.broadcast(incoming.select(*self.key)), list(self.key), "left_semi")
         joined = incoming.join(held, list(self.key), "left")
         return joined.where(F.col("_held").isNull() | (F.struct(*self.version) > F.col("_held"))).drop("_held")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -14,7 +15,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-FOLDER = "/root/testdata/sf0.01"
+CHECKED = "/root/testdata/sf0.01"
+FOLDER = os.environ.get("COMPARE_SF_DIR", CHECKED)
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
@@ -73,7 +75,7 @@ def main(names: list[str]) -> int:
         start = time.time()
         try:
             frame = query(spark, FOLDER)
-            found = difference(frame, con, oracles[name]) if name in oracles else f"rows only: {frame.count()}"
+            found = difference(frame, con, oracles[name].replace(CHECKED, FOLDER)) if name in oracles else f"rows only: {frame.count()}"
         except Exception as error:
             found = f"{type(error).__name__}: {str(error)[:1500]}"
         bad += bool(found) and not found.startswith("rows only")
