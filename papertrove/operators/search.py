@@ -81,6 +81,51 @@ def field_at(row: Column, position: int) -> Column:
     return F.get(row, F.lit(position))
 
 
+def write_postings(
+    rows: DataFrame,
+    text: str,
+    keys: Sequence[str],
+    path: str,
+    parts: int = 64,
+    salts: int = 4,
+    dimensions: int = vectors.DIMENSIONS,
+) -> None:
+    """Store the text vectors by dimension, so that a question only reads the dimensions it has.
+
+    Dimensions share ``parts`` folders and are sorted inside each file. A dimension that most rows have is spread over
+    ``salts`` tasks and files by a hash of the key; both numbers should grow with the data.
+    """
+    entries = vector_entries(rows, text, keys, dimensions).withColumn("part", F.col("dim") % parts)
+    salted = entries.repartition("part", F.pmod(F.xxhash64(*keys), F.lit(salts)))
+    salted.sortWithinPartitions("part", "dim", *keys).write.partitionBy("part").parquet(path)
+
+
+def search_postings(
+    postings: DataFrame,
+    question: str | DataFrame,
+    keys: Sequence[str],
+    k: int = TOP_K,
+    parts: int = 64,
+    dimensions: int = vectors.DIMENSIONS,
+) -> DataFrame:
+    """``(keys, score)`` of the ``k`` best rows that share a token with the question, read from stored postings.
+
+    The question's entries, at most one per dimension, become literals: the scan opens only their folders and skips row
+    groups without them. Products are summed per key before the shuffle. Same scores as ``similarity_search``; rows that
+    share no token are not returned.
+    """
+    if isinstance(question, str):
+        question = postings.sparkSession.createDataFrame([(question,)], "text string")
+    asked = question.select(vectors.hash_embed(F.col(question.columns[0]), dimensions).alias("v")).first().v
+    hits = postings.where(
+        F.col("part").isin(sorted({e.dim % parts for e in asked})) & F.col("dim").isin([e.dim for e in asked])
+    )
+    pairs = [F.lit(value) for e in asked for value in (e.dim, e.weight)]
+    weight = F.try_element_at(F.create_map(*pairs), F.col("dim")) if pairs else F.lit(0.0)
+    scored = hits.groupBy(*keys).agg(F.round(F.sum(F.col("weight") * weight), DIGITS).alias("score"))
+    return scored.orderBy(F.desc("score"), *keys).limit(k)
+
+
 def search_many(
     index: DataFrame,
     questions: DataFrame,

@@ -11,6 +11,7 @@ from papertrove.operators import search
 from papertrove.plans.jobs import chunk_search
 from papertrove.plans.oracle_parts import fixed_chunks_sql, vectors_sql
 from papertrove.plans.registry import registered
+from papertrove.sources.storage import work_folder
 from papertrove.sources.tables import load, spread
 
 SEARCH_SQL = f"""
@@ -35,6 +36,16 @@ def search_one(spark: SparkSession, folder: str) -> DataFrame:
     return chunk_search(load(spark, folder, "documents"), _question(spark, folder))
 
 
+@registered(f"{SEARCH_SQL} SELECT doc_id, chunk_index, score FROM best")
+def search_postings(spark: SparkSession, folder: str) -> DataFrame:
+    """The answers of ``search_one`` out of vectors stored by dimension."""
+    rows = spread(load(spark, folder, "documents").select("doc_id", "text"))
+    chunks = docs.explode_chunks(rows, text.chunk_fixed(F.col("text")), name="content").drop("text")
+    path, keys = work_folder(spark, "postings"), ["doc_id", "chunk_index"]
+    search.write_postings(chunks, "content", keys, path, parts=8, salts=2)
+    return search.search_postings(spark.read.parquet(path), _question(spark, folder), keys, parts=8)
+
+
 @registered(f"""{SEARCH_SQL}
 SELECT content AS field_0, CAST(doc_id AS VARCHAR) AS field_1, CAST(chunk_index AS VARCHAR) AS field_2, score FROM best""")
 def search_rows(spark: SparkSession, folder: str) -> DataFrame:

@@ -135,6 +135,25 @@ def test_similarity_search(spark):
     assert rows.select(search.field_at(F.col("row"), 1)).first()[0] == str(want[0][0])
 
 
+@pytest.mark.parametrize("question", ["the dog", "nothing like it", ""])
+def test_search_postings(spark, tmp_path, question):
+    rows = spark.createDataFrame(list(enumerate(TEXTS)), "id int, content string")
+    path = f"{tmp_path}/postings"
+    search.write_postings(rows, "content", ["id"], path, parts=3, salts=2)
+    found = search.search_postings(spark.read.parquet(path), question, ["id"], k=3, parts=3)
+    want = sorted((s for s in text_scores(question).items() if s[1] > 0), key=lambda s: (-s[1], s[0]))[:3]
+    assert [(r.id, r.score) for r in found.collect()] == want
+
+
+def test_postings_prune_the_scan(spark, tmp_path):
+    rows = spark.createDataFrame(list(enumerate(TEXTS)), "id int, content string")
+    search.write_postings(rows, "content", ["id"], f"{tmp_path}/p")
+    found = search.search_postings(spark.read.parquet(f"{tmp_path}/p"), "dog", ["id"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan or "PartitionFilters: [(part" in plan
+    assert "PushedFilters: [" in plan and "dim" in plan.split("PushedFilters: [")[1].split("]")[0]
+
+
 @pytest.mark.parametrize("bound", [1 << 30, 2 * 8 * 4096])
 def test_search_many(spark, bound):
     index = search.embed_text(spark.createDataFrame(list(enumerate(TEXTS)), "id int, content string"), "content")
