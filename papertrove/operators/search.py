@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from papertrove.config import TOP_K
 from papertrove.functions import vectors
-from papertrove.sources.storage import stage
+from papertrove.sources.storage import stage, work_folder
 
 # Scores are compared after rounding to this many digits; equal scores are ordered by key.
 DIGITS = 6
@@ -87,17 +87,17 @@ def write_postings(
     keys: Sequence[str],
     path: str,
     parts: int = 64,
-    salts: int = 4,
     dimensions: int = vectors.DIMENSIONS,
 ) -> None:
     """Store the text vectors by dimension, so that a question only reads the dimensions it has.
 
-    Dimensions share ``parts`` folders and are sorted inside each file. A dimension that most rows have is spread over
-    ``salts`` tasks and files by a hash of the key; both numbers should grow with the data.
+    Dimensions share ``parts`` folders, a number that should grow with the data, and are sorted inside each file. The
+    rows are rebalanced, not just partitioned, by folder: adaptive execution cuts a folder that holds a dimension most
+    rows have into files of even size.
     """
     entries = vector_entries(rows, text, keys, dimensions).withColumn("part", F.col("dim") % parts)
-    salted = entries.repartition("part", F.pmod(F.xxhash64(*keys), F.lit(salts)))
-    salted.sortWithinPartitions("part", "dim", *keys).write.partitionBy("part").parquet(path)
+    ordered = entries.hint("rebalance", "part").sortWithinPartitions("part", "dim", *keys)
+    ordered.write.partitionBy("part").parquet(path)
 
 
 def search_postings(
@@ -396,17 +396,16 @@ def _distances(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0))
 
 
-def _cell_tiles(visits: DataFrame, held: DataFrame, sizes: dict[int, int], k: int, query_block: int, vector_block: int):
+def _cell_tiles(visits: DataFrame, held: DataFrame, sizes: Sequence[int], k: int, query_block: int, vector_block: int):
     """Best ``k`` of every visit ``(query_id, v, cell)``; a crowded cell is split on both sides."""
-    n_cells = max(sizes) + 1
     asked = {r.cell: r.n for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    q_parts = F.get(F.array(*[F.lit(_blocks(asked.get(c, 0), query_block)) for c in range(n_cells)]), F.col("cell"))
-    v_parts = F.get(F.array(*[F.lit(_blocks(sizes.get(c, 0), vector_block)) for c in range(n_cells)]), F.col("cell"))
+    q_parts = F.get(F.array(*[F.lit(_blocks(asked.get(c, 0), query_block)) for c in range(len(sizes))]), F.col("cell"))
+    v_parts = F.get(F.array(*[F.lit(_blocks(n, vector_block)) for n in sizes]), F.col("cell"))
     left = visits.select(
         "query_id", "v", "cell", F.pmod(F.xxhash64("query_id"), q_parts).cast("int").alias("qb"),
         F.explode(F.sequence(F.lit(0), v_parts - 1)).alias("vb"),
     )
-    right = held.select(
+    right = held.where(F.col("cell").isin(list(asked))).select(
         "key", "v", "cell", F.pmod(F.xxhash64("key"), v_parts).cast("int").alias("vb"),
         F.explode(F.sequence(F.lit(0), q_parts - 1)).alias("qb"),
     )
@@ -416,46 +415,69 @@ def _cell_tiles(visits: DataFrame, held: DataFrame, sizes: dict[int, int], k: in
     )
 
 
-def knn_cells(
-    queries: DataFrame,
+def write_cells(
     vectors_: DataFrame,
-    k: int = TOP_K,
+    path: str,
     cells: int | None = None,
+    max_k: int = 100,
+    vector_key: str = "vec_id",
+    vector: str = "embedding",
+    seed: int = 42,
+    rounds: int = 5,
+) -> None:
+    """Store vectors by cell: grouped around k-means centers, a folder per cell, with each cell's size and radius.
+
+    The number of ``cells`` grows with the square root of the rows unless it is given. Of equal vectors only the first
+    ``max_k`` are kept, the most one search may ask for, so copies cannot fill a cell.
+    """
+    spark = vectors_.sparkSession
+    kept = stage(first_copies(_named(vectors_, vector_key, vector, "key"), "key", "v", max_k), "cell-vectors")
+    if cells is None:
+        cells = int(min(max(kept.count() ** 0.5 / 2, MIN_CELLS), MAX_CELLS))
+    centers = _centers(kept, cells, seed, rounds)
+    placed = _visit_cells(kept, "key", centers, lambda d, batch: _nearest(d, 1))
+    placed.hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{path}/vectors")
+    held = spark.read.parquet(f"{path}/vectors")
+    sizes = held.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius"))
+    rows = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centers)], "cell int, center array<double>")
+    rows.join(sizes, "cell", "left").withColumn("max_k", F.lit(max_k)).write.parquet(f"{path}/cells")
+
+
+def search_cells(
+    queries: DataFrame,
+    path: str,
+    k: int = TOP_K,
     probes: int = 4,
     exact: bool = False,
     query_key: str = "vec_id",
-    vector_key: str = "vec_id",
     vector: str = "embedding",
     query_block: int | None = None,
     vector_block: int | None = None,
-    seed: int = 42,
-    rounds: int = 5,
 ) -> DataFrame:
-    """Top-k by cells: vectors are grouped around centers and a query looks into its ``probes`` nearest cells.
-
-    The number of ``cells`` grows with the square root of the rows unless it is given.
+    """Top-k from vectors stored by cell: a query looks into its ``probes`` nearest cells.
 
     A query that finds fewer than ``k`` vectors there looks into all the others. Approximate by itself. With ``exact``
     every query also visits each further cell that could still hold a better vector (distance to its center minus the
-    cell's radius is within the k-th best distance), which gives the rows of ``knn_exact``. Copies are searched once:
-    only the first ``k`` of equal vectors are kept on one side, and equal queries share one search on the other.
+    cell's radius is within the k-th best distance), which gives the rows of ``knn_exact``. Only the folders of visited
+    cells are read, crowded cells are split on both sides, and equal queries share one search.
     """
-    asked_all = _named(queries, query_key, vector, "query_id")
-    asked = stage(one_per_copy(asked_all, "query_id", "v"), "knn-queries")
-    kept = stage(first_copies(_named(vectors_, vector_key, vector, "key"), "key", "v", k), "knn-vectors")
-    if cells is None:
-        cells = int(min(max(kept.count() ** 0.5 / 2, MIN_CELLS), MAX_CELLS))
-    query_block, vector_block = _block_rows(kept, query_block, vector_block)
-    centers = _centers(kept, cells, seed, rounds)
-    held = stage(_visit_cells(kept, "key", centers, lambda d, batch: _nearest(d, 1)), "knn-cells")
-    stats = held.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius")).collect()
-    sizes = {r.cell: r.n for r in stats}
+    spark = queries.sparkSession
+    held = spark.read.parquet(f"{path}/vectors")
+    # One row per cell, at most MAX_CELLS or the number the index was written with.
+    layout = spark.read.parquet(f"{path}/cells").orderBy("cell").collect()
+    if k > layout[0].max_k:
+        raise ValueError(f"the index was written for at most {layout[0].max_k} neighbors")
+    centers = np.array([r.center for r in layout])
+    sizes = [r.n or 0 for r in layout]
     # A cell without vectors is out of reach of every query.
-    radii = np.full(len(centers), -10.0)
-    radii[[r.cell for r in stats]] = [r.radius for r in stats]
+    radii = np.array([-10.0 if r.radius is None else r.radius for r in layout])
+    query_block, vector_block = _block_rows(held, query_block, vector_block)
 
+    asked_all = _named(queries, query_key, vector, "query_id")
+    asked = stage(one_per_copy(asked_all, "query_id", "v"), "cell-queries")
     first = _visit_cells(asked, "query_id", centers, lambda d, batch: _nearest(d, probes))
-    found = stage(_cell_tiles(stage(first, "knn-visits"), held, sizes, k, query_block, vector_block), "knn-first")
+    found = _cell_tiles(stage(first, "cell-visits"), held, sizes, k, query_block, vector_block)
+    found = stage(found, "cell-first")
 
     # Unit vectors: distance^2 = 2 - 2 cos. One unit of the last digit covers the rounding of the score.
     cosine = F.greatest(F.lit(-1.0), F.col("score") - 10.0**-DIGITS)
@@ -469,8 +491,26 @@ def knn_cells(
         reach = np.where(np.isnan(reach), np.inf, reach)[:, None]
         return ~_nearest(distances, probes) & (distances - radii[None, :] <= reach + 1e-9)
 
-    more = stage(_visit_cells(open_queries, "query_id", centers, further), "knn-visits")
+    more = stage(_visit_cells(open_queries, "query_id", centers, further), "cell-visits")
     found = found.unionByName(_cell_tiles(more, held, sizes, k, query_block, vector_block))
     best = _rank(found, k).withColumnRenamed("query_id", "_copy_of")
     copies = asked_all.join(asked.withColumnRenamed("query_id", "_copy_of"), "v").select("query_id", "_copy_of")
     return copies.join(best, "_copy_of").select("query_id", "neighbor_id", "score", "rank")
+
+
+def knn_cells(
+    queries: DataFrame,
+    vectors_: DataFrame,
+    k: int = TOP_K,
+    cells: int | None = None,
+    probes: int = 4,
+    exact: bool = False,
+    query_key: str = "vec_id",
+    vector_key: str = "vec_id",
+    vector: str = "embedding",
+    **blocks: int,
+) -> DataFrame:
+    """``write_cells`` into a work folder, then ``search_cells``: for vectors that are searched once."""
+    path = work_folder(queries.sparkSession, "cells")
+    write_cells(vectors_, path, cells, k, vector_key, vector)
+    return search_cells(queries, path, k, probes, exact, query_key, vector, **blocks)

@@ -42,7 +42,7 @@ def search_postings(spark: SparkSession, folder: str) -> DataFrame:
     rows = spread(load(spark, folder, "documents").select("doc_id", "text"))
     chunks = docs.explode_chunks(rows, text.chunk_fixed(F.col("text")), name="content").drop("text")
     path, keys = work_folder(spark, "postings"), ["doc_id", "chunk_index"]
-    search.write_postings(chunks, "content", keys, path, parts=8, salts=2)
+    search.write_postings(chunks, "content", keys, path, parts=8)
     return search.search_postings(spark.read.parquet(path), _question(spark, folder), keys, parts=8)
 
 

@@ -72,6 +72,16 @@ def test_cells_alone_return_k_rows(spark, crowd_frame):
     assert {r["count"] for r in found.groupBy("query_id").count().collect()} == {4}
 
 
+def test_stored_cells_answer_many_searches(spark, tmp_path, crowd, crowd_frame):
+    search.write_cells(crowd_frame, str(tmp_path), cells=6, max_k=4)
+    for low, k in ((0, 4), (600, 2)):
+        asked = crowd_frame.where(F.col("vec_id") >= low)
+        found = search.search_cells(asked, str(tmp_path), k, probes=1, exact=True)
+        assert as_set(found) == brute_force([c for c in crowd if c[0] >= low], crowd, k)
+    with pytest.raises(ValueError, match="at most 4"):
+        search.search_cells(crowd_frame, str(tmp_path), 5)
+
+
 def test_fewer_vectors_than_k(spark, crowd, crowd_frame):
     few = crowd_frame.where("vec_id <= 7")
     want = brute_force(crowd, [c for c in crowd if c[0] <= 7], 5)
@@ -139,7 +149,7 @@ def test_similarity_search(spark):
 def test_search_postings(spark, tmp_path, question):
     rows = spark.createDataFrame(list(enumerate(TEXTS)), "id int, content string")
     path = f"{tmp_path}/postings"
-    search.write_postings(rows, "content", ["id"], path, parts=3, salts=2)
+    search.write_postings(rows, "content", ["id"], path, parts=3)
     found = search.search_postings(spark.read.parquet(path), question, ["id"], k=3, parts=3)
     want = sorted((s for s in text_scores(question).items() if s[1] > 0), key=lambda s: (-s[1], s[0]))[:3]
     assert [(r.id, r.score) for r in found.collect()] == want
