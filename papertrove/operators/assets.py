@@ -14,7 +14,7 @@ from papertrove.functions import media
 from papertrove.operators.documents import explode_structs
 from papertrove.session import arrow_batch
 from papertrove.sources.files import binary_source
-from papertrove.sources.storage import open_folder, work_folder
+from papertrove.sources.storage import default_file_system, open_folder, work_folder
 
 # The columns of an image index before its text.
 IMAGE_INDEX_COLUMNS = (
@@ -108,12 +108,12 @@ def image_index_projection(images: DataFrame, text_column: str = "image_summary"
     return images.select(*IMAGE_INDEX_COLUMNS, F.col(text_column).alias("content"))
 
 
-def _save(path: str, content: bytes | None) -> str | None:
+def _save(path: str, content: bytes | None, default: str) -> str | None:
     """Write one file; the error text when that fails, else none. A retried task overwrites its own earlier file."""
     try:
         if content is None:
             return "no bytes"
-        files, target = open_folder(path)
+        files, target = open_folder(path, default)
         part = f"{target}.{uuid.uuid4().hex}.part"
         with files.open_output_stream(part) as out:
             out.write(content)
@@ -130,14 +130,17 @@ def save_assets(df: DataFrame, path_column: str, bytes_column: str, batch_rows:
     the table the same job wrote, so that looking at it does not write the files again. A file is written under another
     name and moved, so a reader never sees half of it; one that fails is reported and does not stop the job.
     """
+    spark = df.sparkSession
+    default = default_file_system(spark)
+
     def write_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made: set[str] = set()
         for batch in batches:
             for folder in {str(path).rpartition("/")[0] for path in batch[path_column]} - made:
-                files, root = open_folder(folder)
+                files, root = open_folder(folder, default)
                 files.create_dir(root, recursive=True)
                 made.add(folder)
-            errors = [_save(p, b) for p, b in zip(batch[path_column], batch[bytes_column])]
+            errors = [_save(p, b, default) for p, b in zip(batch[path_column], batch[bytes_column])]
             yield pd.DataFrame(
                 {
                     "path": batch[path_column],
@@ -146,7 +149,6 @@ def save_assets(df: DataFrame, path_column: str, bytes_column: str, batch_rows:
                 }
             )
 
-    spark = df.sparkSession
     report = work_folder(spark, "save-report")
     schema = "path string, status string, error string"
     with arrow_batch(spark, batch_rows):

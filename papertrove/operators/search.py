@@ -67,8 +67,8 @@ def similarity_search(
     asked = question.select(asked.alias("v")).select(vectors.dense(F.col("v"), dimensions).alias("q"))
     score = F.round(vectors.sparse_dot(F.col(vector), F.col("_asked")), DIGITS)
     wanted = list(dict.fromkeys([*columns, *keys]))
-    best = index.withColumn("_asked", asked.scalar()).select(*wanted, score.alias("score")).orderBy(F.desc("score"), *keys).limit(k)
-    return best.select(*columns, "score")
+    scored = index.withColumn("_asked", asked.scalar()).select(*wanted, score.alias("score"))
+    return scored.orderBy(F.desc("score"), *keys).limit(k).select(*columns, "score")
 
 
 def result_rows(results: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -164,7 +164,8 @@ images AS (
          {EXTENSION_SQL.replace('CASE mime', 'CASE t.mime')} AS ext
   FROM typed t JOIN fitted f USING (doc_id)),
 scored AS (
-  SELECT *, list_value({', '.join(f"'{c}'" for c in CLASS_NAMES)})[CAST(n % {len(CLASS_NAMES)} AS INTEGER) + 1] AS class FROM images)
+  SELECT *, list_value({', '.join(f"'{c}'" for c in CLASS_NAMES)})[CAST(n % {len(CLASS_NAMES)} AS INTEGER) + 1] AS class
+  FROM images)
 SELECT source_path, mime AS image_mime_type, 1 AS page_number, 1 AS ordinal, width, height, fit_width, fit_height,
        '/images/' || {stem_sql('source_path')} || '-' || left(md5(source_path), 8) || '-page1-index1' || ext AS image_path,
        n || ' bytes' AS image_caption, class AS image_classification,
@@ -179,7 +180,8 @@ def process_assets(spark: SparkSession, folder: str) -> DataFrame:
     images = explode_structs(
         typed, assets.extract_images(F.col("source_content"), F.col("source_mime_type")), drop=["source_content"]
     )
-    images = assets.describe_images(images.where(F.col("image_mime_type").isin("image/png", "image/gif", "image/jpeg")), "/images")
+    sized = images.where(F.col("image_mime_type").isin("image/png", "image/gif", "image/jpeg"))
+    images = assets.describe_images(sized, "/images")
     names = list(CLASS_NAMES)
     images = scoring.score_batches(
         images, ["extracted_image"], "_caption", T.StringType(), lambda: lambda content: f"{len(content)} bytes"
@@ -190,7 +192,8 @@ def process_assets(spark: SparkSession, folder: str) -> DataFrame:
     images = images.withColumns(
         {"image_caption": F.col("_caption.value"), "image_classification": F.col("_class.value")}
     )
-    classes = [(name, "Be brief." if name == "default" else "Name the places." if name == "map" else None) for name in names]
+    prompts = {"default": "Be brief.", "map": "Name the places."}
+    classes = [(name, prompts.get(name)) for name in names]
     images = scoring.build_prompt(images, "image_classification", classes)
     size, fit = F.col("original_image_size"), F.col("resized_image_size")
     return images.select(

@@ -45,8 +45,9 @@ def score_images(
     """Add ``image_caption``, ``image_classification`` and ``image_summary`` to rows with ``base64_image``.
 
     Captioner ``(bytes)``, classifier ``(data url, class names)`` and summarizer ``(prompt, data url)`` are loaded once
-    per task; ``prompts.CLASSIFY_REQUEST`` is the text to classify with. Rows are spread before the models and written after each stage that a filter or join looks at, so that no
-    model call is repeated. A class outside the closed list becomes null.
+    per task; ``prompts.CLASSIFY_REQUEST`` is the text to classify with. Rows are spread before the models and written
+    once the classes are known, so that no model call is repeated by what looks at them. A class outside the closed list
+    becomes null.
     """
     names = [name for name, _ in classes]
     rows = spread(images, partitions)

@@ -30,7 +30,8 @@ def recursive_chunks_sql(source: str, size: int = 1000, overlap: int = 200) -> s
         here = f"seg{level}"
         if separator is None:
             runs.append(
-                f"SELECT id, lo AS run, range(lo, lo + length(txt)) AS starts, range(lo + 1, lo + length(txt) + 1) AS ends FROM {here}"
+                f"SELECT id, lo AS run, range(lo, lo + length(txt)) AS starts, "
+                f"range(lo + 1, lo + length(txt) + 1) AS ends FROM {here}"
             )
             continue
         parts.append(
@@ -43,7 +44,8 @@ def recursive_chunks_sql(source: str, size: int = 1000, overlap: int = 200) -> s
               FROM {here} WHERE contains(txt, {separator})))
   WHERE length(piece) > 0),
 grouped{level} AS (
-  SELECT *, sum(CASE WHEN length(piece) >= {size} THEN 1 ELSE 0 END) OVER (PARTITION BY id, seg ORDER BY lo) AS g FROM pieces{level})"""
+  SELECT *, sum(CASE WHEN length(piece) >= {size} THEN 1 ELSE 0 END) OVER (PARTITION BY id, seg ORDER BY lo) AS g
+  FROM pieces{level})"""
         )
         runs.append(
             f"""SELECT id, CAST(min(lo) AS BIGINT) AS run, list(CAST(lo AS BIGINT) ORDER BY lo) AS starts,

@@ -39,7 +39,7 @@ def file_bytes(spark: SparkSession, folder: str) -> DataFrame:
     texts = spread(load(spark, folder, "documents").select("doc_id", "text", "source", "n_chars"))
     sized = texts.select(
         "doc_id", "text", "source",
-        F.concat(F.lit("/files/"), "source", F.lit("/doc."), F.col("doc_id").cast("string"), F.lit(".bin")).alias("source_path"),
+        F.format_string("/files/%s/doc.%d.bin", "source", "doc_id").alias("source_path"),
         F.expr("cast(doc_id % 5 as int)").alias("kind"),
         F.expr(WIDTH).alias("w"), F.expr(HEIGHT).alias("h"),
     )

@@ -109,7 +109,8 @@ def table_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SYNC_SQL = """
-SELECT user_id, event_id, content, CAST(list_unique(list_filter(regexp_split_to_array(content, '[^a-z]+'), lambda t: t <> '')) AS BIGINT) AS n_dims
+SELECT user_id, event_id, content,
+       CAST(list_unique(list_filter(regexp_split_to_array(content, '[^a-z]+'), lambda t: t <> '')) AS BIGINT) AS n_dims
 FROM (SELECT user_id, event_id, event_type, event_type || ' ' || props AS content,
              row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 WHERE rn = 1 AND event_type <> 'error'"""

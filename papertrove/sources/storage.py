@@ -11,8 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def open_folder(path: str) -> tuple[fs.FileSystem, str]:
+def default_file_system(spark: SparkSession) -> str:
+    """The file system that paths without a scheme belong to."""
+    return spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+
+
+def open_folder(path: str, default: str = "file:///") -> tuple[fs.FileSystem, str]:
     """The Arrow file system of a path or URI, and the path inside it; for use inside tasks."""
+    if path.startswith("/") and not default.startswith("file:"):
+        path = default.rstrip("/") + path
     if "://" in path:
         return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return fs.LocalFileSystem(), path.removeprefix("file:")
