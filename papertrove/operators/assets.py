@@ -108,12 +108,19 @@ def image_index_projection(images: DataFrame, text_column: str = "image_summary"
     return images.select(*IMAGE_INDEX_COLUMNS, F.col(text_column).alias("content"))
 
 
-def _save(path: str, content: bytes | None, default: str) -> str | None:
-    """Write one file; the error text when that fails, else none. A retried task overwrites its own earlier file."""
+def _save(path: str, content: bytes | None, default: str, made: set[str]) -> str | None:
+    """Write one file; the error text when that fails, else none. A retried task overwrites its own earlier file.
+
+    ``made`` remembers the folders this task has made sure of.
+    """
     try:
         if content is None:
             return "no bytes"
         files, target = open_folder(path, default)
+        folder = target.rpartition("/")[0]
+        if folder not in made:
+            files.create_dir(folder, recursive=True)
+            made.add(folder)
         part = f"{target}.{uuid.uuid4().hex}.part"
         with files.open_output_stream(part) as out:
             out.write(content)
@@ -136,11 +143,7 @@ def save_assets(df: DataFrame, path_column: str, bytes_column: str, batch_rows:
     def write_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made: set[str] = set()
         for batch in batches:
-            for folder in {str(path).rpartition("/")[0] for path in batch[path_column]} - made:
-                files, root = open_folder(folder, default)
-                files.create_dir(root, recursive=True)
-                made.add(folder)
-            errors = [_save(p, b, default) for p, b in zip(batch[path_column], batch[bytes_column])]
+            errors = [_save(p, b, default, made) for p, b in zip(batch[path_column], batch[bytes_column])]
             yield pd.DataFrame(
                 {
                     "path": batch[path_column],

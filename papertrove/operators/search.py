@@ -493,7 +493,10 @@ def search_cells(
 
     more = stage(_visit_cells(open_queries, "query_id", centers, further), "cell-visits")
     found = found.unionByName(_cell_tiles(more, held, sizes, k, query_block, vector_block))
-    best = _rank(found, k).withColumnRenamed("query_id", "_copy_of")
+    best = _rank(found, k).select("query_id", "neighbor_id", "score", "rank")
+    if asked.count() == asked_all.count():
+        return best
+    best = best.withColumnRenamed("query_id", "_copy_of")
     copies = asked_all.join(asked.withColumnRenamed("query_id", "_copy_of"), "v").select("query_id", "_copy_of")
     return copies.join(best, "_copy_of").select("query_id", "neighbor_id", "score", "rank")
 

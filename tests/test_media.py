@@ -105,10 +105,12 @@ def test_extension(spark):
 def test_save_assets_reports_and_repeats(spark, tmp_path):
     rows = [(f"{tmp_path}/out/{i}.bin", bytes([i]) * 5) for i in range(20)]
     rows += [(f"{tmp_path}/out/none.bin", None), (f"{tmp_path}/out/0.bin/below", b"x")]
-    frame = spark.createDataFrame(rows, "p string, b binary")
+    # The last path lies below a file, so its folder cannot be made.
+    frame = spark.createDataFrame(rows, "p string, b binary").coalesce(1)
     for _ in range(2):
-        report = {r.path.rpartition("/out/")[2]: r for r in assets.save_assets(frame.limit(21), "p", "b").collect()}
+        report = {r.path.rpartition("/out/")[2]: r for r in assets.save_assets(frame, "p", "b").coalesce(1).collect()}
         assert sum(r.status == "success" for r in report.values()) == 20
+        assert report["0.bin/below"].status == "error"
         assert report["none.bin"].status == "error" and report["none.bin"].error == "no bytes"
         assert sorted(p.name for p in (tmp_path / "out").iterdir()) == sorted(f"{i}.bin" for i in range(20))
     assert (tmp_path / "out" / "7.bin").read_bytes() == bytes([7]) * 5
