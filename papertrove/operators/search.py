@@ -423,7 +423,7 @@ def write_cells(
     vector_key: str = "vec_id",
     vector: str = "embedding",
     seed: int = 42,
-    rounds: int = 5,
+    rounds: int = 3,
 ) -> None:
     """Store vectors by cell: grouped around k-means centers, a folder per cell, with each cell's size and radius.
 
@@ -492,7 +492,8 @@ def search_cells(
         return ~_nearest(distances, probes) & (distances - radii[None, :] <= reach + 1e-9)
 
     more = stage(_visit_cells(open_queries, "query_id", centers, further), "cell-visits")
-    found = found.unionByName(_cell_tiles(more, held, sizes, k, query_block, vector_block))
+    if not more.isEmpty():
+        found = found.unionByName(_cell_tiles(more, held, sizes, k, query_block, vector_block))
     best = _rank(found, k).select("query_id", "neighbor_id", "score", "rank")
     if asked.count() == asked_all.count():
         return best

@@ -52,6 +52,7 @@ def ship_package(spark: SparkSession) -> None:
     name = f"{PACKAGE.name}.zip"
     if any(Path(shipped).name == name for shipped in spark.sparkContext.listFiles):
         return
+    # The driver's own copy; Spark hands it to the executors.
     archive = Path(tempfile.mkdtemp()) / name
     with zipfile.ZipFile(archive, "w") as out:
         for source in sorted(PACKAGE.rglob("*.py")):
