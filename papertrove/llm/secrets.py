@@ -1,0 +1,266 @@
+"""Secret scans with structural confirmation.
+
+Patterns name candidates; runs of base64 and hex and dotted tokens are then decoded and their inner structure is parsed
+(lengths that nest and fill the outer value exactly, a signed token's header) before a span of that kind is reported.
+"""
+
+from __future__ import annotations
+
+import base64
+import binascii
+import hashlib
+import json
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+#: In the order in which spans of one start are listed; the first three are the base kinds.
+KINDS = ("assign", "access", "hex", "private_key", "ssh_key", "signed_token")
+BASE_KINDS = KINDS[:3]
+MASK = "[SECRET]"
+
+_ASSIGN = re.compile(
+    r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII
+)
+_ASSIGN_HINTS = ("passw", "secret", "token", "api")
+_ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+_HEX = re.compile(r"[0-9a-f]{24,}+")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}+")
+_HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}+")
+_TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{2,}+\.[A-Za-z0-9_-]*+(?![A-Za-z0-9_.-]*\.[A-Za-z0-9_-])")
+_SSH_MAGIC = b"openssh-key-v1\0"
+_SEQUENCE, _INTEGER, _BITS, _OCTETS, _OID = 0x30, 0x02, 0x03, 0x04, 0x06
+
+Span = tuple[str, int, int]
+
+
+def base_spans(text: str) -> list[Span]:
+    """Matches of the three base patterns, leftmost and non-overlapping per kind; code points, end exclusive."""
+    found: list[Span] = []
+    folded = text.lower()
+    if any(hint in folded for hint in _ASSIGN_HINTS):
+        found += [("assign", *m.span()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
+    if "AKIA" in text:
+        found += [("access", *m.span()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
+    # A maximal run is what the shorter pattern would match too, so asking for 24 at once only skips failing matches.
+    found += [("hex", *m.span()) for m in _HEX.finditer(text)]
+    return found
+
+
+def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
+    """Tag and value of every element when their lengths fill ``data`` exactly, else None."""
+    items, at = [], 0
+    while at < len(data):
+        head = der_length(data, at)
+        if head is None or head[1] > len(data):
+            return None
+        items.append((data[at], data[head[0] : head[1]]))
+        at = head[1]
+    return items
+
+
+def der_length(data: bytes, at: int = 0) -> tuple[int, int] | None:
+    """Start and end of the value of the element at ``at``; None when its length is not in shortest definite form."""
+    if at + 2 > len(data):
+        return None
+    first = data[at + 1]
+    if first < 0x80:
+        return at + 2, at + 2 + first
+    size = first & 0x7F
+    if not 1 <= size <= 4 or at + 2 + size > len(data):
+        return None
+    length = int.from_bytes(data[at + 2 : at + 2 + size], "big")
+    if length < 0x80 or length >> (8 * (size - 1)) == 0:
+        return None
+    return at + 2 + size, at + 2 + size + length
+
+
+def is_private_key(data: bytes) -> bool:
+    """True for an RSA, EC or wrapped (also encrypted) private key whose nested lengths all fit."""
+    outer = der_items(data)
+    if not outer or len(outer) != 1 or outer[0][0] != _SEQUENCE:
+        return False
+    parts = der_items(outer[0][1])
+    if not parts:
+        return False
+    tags = [tag for tag, _ in parts]
+    if tags[:9] == [_INTEGER] * 9 and len(parts) <= 10:
+        return all(value for _, value in parts)
+    if tags[:2] == [_INTEGER, _OCTETS] and parts[0][1] == b"\1":
+        return len(parts[1][1]) >= 16 and all(tag >= 0xA0 for tag in tags[2:])
+    if tags[:3] == [_INTEGER, _SEQUENCE, _OCTETS] and parts[0][1] in (b"\0", b"\1"):
+        return _is_algorithm(parts[1][1]) and bool(parts[2][1])
+    if tags == [_SEQUENCE, _OCTETS]:
+        return _is_algorithm(parts[0][1]) and len(parts[1][1]) >= 16 and len(parts[1][1]) % 8 == 0
+    return False
+
+
+def _is_algorithm(data: bytes) -> bool:
+    items = der_items(data)
+    return bool(items) and items[0][0] == _OID and len(items[0][1]) >= 3
+
+
+def is_ssh_key(data: bytes) -> bool:
+    """True for an OpenSSH private key file: its length-prefixed strings must fill it exactly."""
+    return data.startswith(_SSH_MAGIC) and ssh_end(data) == len(data)
+
+
+def ssh_end(data: bytes) -> int | None:
+    """Where the strings of an OpenSSH private key end by their own lengths; None if they do not fit together."""
+    at, keys = len(_SSH_MAGIC), 1
+    for part in range(5):
+        if part == 3:
+            keys = int.from_bytes(data[at : at + 4], "big")
+            at += 4
+        for _ in range(keys if part == 3 else 1):
+            if at + 4 > len(data):
+                return None
+            end = at + 4 + int.from_bytes(data[at : at + 4], "big")
+            if end > len(data):
+                return None
+            at = end
+    return at if keys >= 1 else None
+
+
+def is_signed_token(token: str) -> bool:
+    """True when header and claims of a dotted token are JSON objects and the header names how it is signed."""
+    header, claims, signature = token.split(".")
+    try:
+        head, body = (json.loads(_url_bytes(part)) for part in (header, claims))
+    except (ValueError, RecursionError):
+        return False
+    if not isinstance(head, dict) or not isinstance(body, dict) or not isinstance(head.get("alg"), str):
+        return False
+    return bool(signature) or head["alg"].lower() == "none"
+
+
+def _url_bytes(part: str) -> bytes:
+    return base64.b64decode(part + "=" * (-len(part) % 4), altchars=b"-_", validate=True)
+
+
+def _base64_run(text: str, start: int) -> Iterator[tuple[int, str]]:
+    """End and characters of the run at ``start``: its first line, and then with the lines that may continue it."""
+    end = start
+    taken = []
+    while True:
+        stop = end
+        while stop < len(text) and (text[stop].isascii() and (text[stop].isalnum() or text[stop] in "+/")):
+            stop += 1
+        taken.append(text[end:stop])
+        done = stop
+        while done < len(text) and done < stop + 2 and text[done] == "=":
+            done += 1
+        yield done, "".join(taken)
+        line = re.compile(r"\r?\n[\x20\t]*").match(text, stop)
+        if not line or done > stop or line.end() >= len(text) or stop == end:
+            return
+        end = line.end()
+
+
+def _decoded(characters: str) -> bytes:
+    characters = characters[: len(characters) - (len(characters) % 4 == 1)]
+    return base64.b64decode(characters + "=" * (-len(characters) % 4))
+
+
+def confirmed_spans(text: str) -> list[Span]:
+    """Keys and signed tokens whose decoded structure was parsed to its end."""
+    found: list[Span] = []
+    reached = 0
+    for m in _BASE64.finditer(text):
+        if m.start() < reached:
+            continue
+        head = base64.b64decode(text[m.start() : m.start() + 32])
+        if head[0] != _SEQUENCE and not head.startswith(_SSH_MAGIC):
+            continue
+        need = der_length(head) if head[0] == _SEQUENCE else None
+        for end, characters in _base64_run(text, m.start()):
+            if need and len(characters) * 3 // 4 < need[1]:
+                continue
+            data = _decoded(characters)
+            if need:
+                if len(data) == need[1] and is_private_key(data):
+                    found.append(("private_key", m.start(), end))
+                    reached = end
+                break
+            if head[0] != _SEQUENCE and is_ssh_key(data):
+                found.append(("ssh_key", m.start(), end))
+                reached = end
+                break
+    for m in _HEX_ANY.finditer(text):
+        if text.startswith("30", m.start()) and (m.end() - m.start()) % 2 == 0 and is_private_key(binascii.unhexlify(m[0])):
+            found.append(("private_key", *m.span()))
+    if text.count(".") >= 2:
+        found += [("signed_token", *m.span()) for m in _TOKEN.finditer(text) if is_signed_token(m[0])]
+    return found
+
+
+def secret_spans(text: str | None) -> list[Span]:
+    """All spans, by start and then by kind as in ``KINDS``; none for null or empty."""
+    if not text:
+        return []
+    found = set(base_spans(text)) | set(confirmed_spans(text))
+    return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+
+
+def masked(text: str | None, mask: str = MASK) -> str | None:
+    """The text with every run of touching spans replaced by ``mask``."""
+    if not text:
+        return text
+    out, at = [], 0
+    for _, start, end in secret_spans(text):
+        if start >= at:
+            out += [text[at:start], mask]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def _listed(spans: list[Span]) -> str:
+    return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
+
+
+_SCAN = StructType(
+    [
+        *(StructField(f"n_{kind}", LongType()) for kind in KINDS),
+        StructField("base_sha256", StringType()),
+        StructField("spans", StringType()),
+    ]
+)
+
+
+def scan_text(text: Column) -> Column:
+    """A struct of counts per kind, the digest of the base spans and all spans as ``kind:start:end``, comma-joined."""
+
+    @F.pandas_udf(_SCAN)
+    def scan(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text in texts:
+            spans = secret_spans(text)
+            kinds = [s[0] for s in spans]
+            base = _listed([s for s in spans if s[0] in BASE_KINDS])
+            rows.append((*map(kinds.count, KINDS), hashlib.sha256(base.encode()).hexdigest(), _listed(spans)))
+        return pd.DataFrame(rows, columns=_SCAN.names)
+
+    return scan(text)
+
+
+def find_secrets(documents: DataFrame) -> DataFrame:
+    """One row per row of ``documents`` (``doc_id, text``; others do not matter), repeats included.
+
+    A null or empty text has no spans; a null ``doc_id`` stays null; texts of any length are scanned whole.
+    """
+    found = documents.select(F.col("doc_id").cast("long"), scan_text(F.col("text").cast("string")).alias("found"))
+    return found.select("doc_id", "found.*")
+
+
+def redact(documents: DataFrame, mask: str = MASK) -> DataFrame:
+    """``documents`` with every secret in ``text`` replaced by ``mask``; all other columns as they were."""
+
+    @F.pandas_udf(StringType())
+    def redacted(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: masked(text, mask), na_action="ignore")
+
+    return documents.withColumn("text", redacted(F.col("text").cast("string")))
