@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papertrove.llm import decontaminate, packing, secrets
+from papertrove.llm import decontaminate, packing, secret_scan
 from papertrove.session import ship_package
 from papertrove.sources import stage
 
@@ -23,7 +23,7 @@ def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets in the texts; no document goes."""
     ship_package(spark)
-    return secrets.redact(docs)
+    return secret_scan.redact(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

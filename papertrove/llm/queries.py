@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papertrove.llm import decontaminate, packing, secrets, token_files
+from papertrove.llm import decontaminate, packing, secret_scan, token_files
 from papertrove.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -29,7 +29,7 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of all documents."""
-    return secrets.find_secrets(_table(spark, folder, "documents"))
+    return secret_scan.find_secrets(_table(spark, folder, "documents"))
 
 
 @registered
