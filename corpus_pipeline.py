@@ -6,13 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papertrove.llm import decontaminate, packing, secret_scan
+from papertrove.llm import decontaminate, packing, quality_rules, secret_scan, simhash
 from papertrove.session import ship_package
 from papertrove.sources import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove lines that fail a rule, and documents that the rules reject."""
+    return quality_rules.clean_documents(docs)
+
+
+def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of every group of near-duplicates."""
+    ship_package(spark)
+    return simhash.first_of_each(docs)
+
+
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of which a benchmark covers at least one word in twenty."""
     ship_package(spark)
@@ -33,6 +44,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", clean_lines),
+    ("near-duplicates", keep_first_copies),
     ("decontamination", remove_contaminated),
     ("secrets", mask_secrets),
     ("packing", pack_sequences),

@@ -36,14 +36,19 @@ def token_stream(documents: DataFrame, vocabulary: str = WORD_BPE, end_id: int =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
         encoder = word_encoder(vocabulary)
-        size, end = encoder.dtype.itemsize, np.array([end_id], encoder.dtype).tobytes()
         for piece in slices(batches, "text"):
-            ids = [one + end for one in encoder.encode(piece.column("text").to_pylist())]
-            counts = [len(one) // size for one in ids]
-            places = at + np.cumsum([0, *counts])
+            ids, bounds = encoder.encode(piece.column("text"), end_id)
+            held = pa.py_buffer(ids)
+            data = pa.Array.from_buffers(
+                pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds * encoder.dtype.itemsize), held]
+            )
+            places = at + bounds
             at = int(places[-1])
             doc_ids = piece.column("doc_id").combine_chunks()
-            yield table(_STREAM, part=[part] * len(ids), at=places[:-1], doc_id=doc_ids, n_tokens=counts, ids=ids)
+            counts = np.diff(bounds)
+            yield table(
+                _STREAM, part=[part] * len(counts), at=places[:-1], doc_id=doc_ids, n_tokens=counts, ids=data.cast(pa.binary())
+            )
 
     kept = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return kept.mapInArrow(encode, "part int, at long, doc_id long, n_tokens long, ids binary")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papertrove.llm import chat, decontaminate, packing, quality_rules, secret_scan, token_files
+from papertrove.llm import chat, decontaminate, packing, quality_rules, secret_scan, simhash, token_files
 from papertrove.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -59,3 +59,9 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdicts of all documents."""
     return quality_rules.quality_report(_table(spark, folder, "documents")).drop("clean_text")
+
+
+@registered
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints and near-duplicate components of all documents."""
+    return simhash.near_duplicates(_table(spark, folder, "documents"))

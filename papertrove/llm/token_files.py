@@ -137,7 +137,6 @@ def write_tokens(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         encoder = word_encoder(vocabulary)
-        end = np.array([end_id], encoder.dtype).tobytes()
         writer, sink = None, None
         for piece in slices(batches, "text"):
             if writer is None:
@@ -146,14 +145,14 @@ def write_tokens(
                 name = f"{part:06d}-{uuid.uuid4().hex}.arrows"
                 sink = files.open_output_stream(f"{inside}/{name}")
                 writer = SequenceWriter(sink, sequence, batch, encoder.dtype)
-            at, counts = [], []
-            for ids in encoder.encode(piece.column("text").to_pylist()):
-                at.append(writer.tokens)
-                writer.add(ids + end)
-                counts.append(writer.tokens - at[-1])
-            rows = len(counts)
-            ids = piece.column("doc_id").combine_chunks()
-            yield table(_CONTENTS, part=[part] * rows, file=[name] * rows, doc_id=ids, at=at, n_tokens=counts)
+            ids, bounds = encoder.encode(piece.column("text"), end_id)
+            at = writer.tokens + bounds[:-1]
+            writer.add(ids.tobytes())
+            rows = len(at)
+            doc_ids = piece.column("doc_id").combine_chunks()
+            yield table(
+                _CONTENTS, part=[part] * rows, file=[name] * rows, doc_id=doc_ids, at=at, n_tokens=np.diff(bounds)
+            )
         if writer is not None:
             writer.close()
             sink.close()

@@ -7,23 +7,25 @@ spaces. Each worker keeps the ids of the words it met first; others are encoded
 from __future__ import annotations
 
 import itertools
-import re
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
+from papertrove.llm.words import Words
+
 WORD_BPE = "word_bpe_49k.json"
-KEPT_WORDS = 500_000
-_PLAIN = bytes(32 if c == 10 else c for c in range(256))
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in _PLAIN)
-#: Where a word of a-z and digits meets ASCII marks that end it; the tokenizer always cuts there.
-_TAIL = re.compile(rb"(?<=[a-z0-9])(?=[!-/:-@\[-`{-\x7e]++(?: |\Z))")
+KEPT_WORDS = 800_000
+_LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
+_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
+_MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 _kept: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
-    """Ids of texts as little-endian bytes of the narrowest type that holds the vocabulary."""
+    """Ids of texts in the narrowest unsigned type that holds the vocabulary."""
 
     def __init__(self, file: str):
         self.tokenizer = Tokenizer.from_file(file)
@@ -32,21 +34,44 @@ class WordEncoder:
         self.ends_word[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of every text, without special ones; null counts as empty."""
-        data = [(text or "").encode() for text in texts]
+    def encode(self, texts: pa.ChunkedArray | pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in order, every text closed by ``end_id``, and the ``len + 1`` bounds of the texts; null is empty."""
+        words = Words(texts, b" \n")
+        data = words.data
         # Upper and lower case of A-Z give the same ids, but a special token's name must stay as it is.
-        split = [
-            (text.translate(_PLAIN) if b"<|" in text else _TAIL.sub(b" ", text.translate(_LOWER))).split(b" ")
-            for text in data
-        ]
-        words = set().union(*split)
-        ids = {word: self.words[word] for word in words & self.words.keys()}
-        fresh = list(words - ids.keys())
-        found = self._encoded(fresh)
+        if b"<|" not in data.tobytes():
+            data = _LOWER[data]
+        which, distinct = pd.factorize(words.codes(data))
+        first = np.empty(len(distinct), np.int64)
+        first[which[::-1]] = np.arange(len(which))[::-1]
+        held = data.tobytes()
+        spelled = [held[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)]
+        ids = {word: self.words[word] for word in spelled if word in self.words}
+        found = self._fresh({word for word in spelled if word not in ids})
         self.words.update(itertools.islice(found.items(), max(0, KEPT_WORDS - len(self.words))))
         of = (ids | found).__getitem__
-        return [b"".join(map(of, words)) for words in split]
+        pieces = [*map(of, spelled), np.array([end_id], self.dtype).tobytes()]
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.dtype.itemsize
+        # The end follows the last word of every text, as one more word.
+        order = np.insert(which, words.bounds[1:], len(distinct))
+        flat = np.frombuffer(b"".join(map(pieces.__getitem__, order.tolist())), self.dtype)
+        bounds = words.bounds + np.arange(len(words.bounds))
+        return flat, np.append(0, np.cumsum(sizes[order]))[bounds]
+
+    def _fresh(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are not kept yet; ASCII marks that end a word after a letter are pieces of their own."""
+        tails: dict[bytes, bytes] = {}
+        for word in words:
+            core = word.rstrip(_MARKS)
+            if len(core) < len(word) and core and core[-1] in _LETTERS and b"<|" not in word:
+                tails[word] = core
+        parts = (words - tails.keys()) | set(tails.values()) | {word[len(core) :] for word, core in tails.items()}
+        known = {part: self.words[part] for part in parts & self.words.keys()}
+        found = self._encoded(list(parts - known.keys()))
+        known |= found
+        for word, core in tails.items():
+            found[word] = known[core] + known[word[len(core) :]]
+        return found
 
     def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
         out: dict[bytes, bytes] = {}

@@ -21,8 +21,6 @@ ASCII_SPACE = b"\x20\t\n\x0b\x0c\r"
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _BYTE_CODES = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64)
-_IS_WORD = np.ones(256, bool)
-_IS_WORD[np.frombuffer(ASCII_SPACE, np.uint8)] = False
 
 
 def id_or_none(column: str = "doc_id") -> Column:
@@ -67,14 +65,16 @@ def buffers(texts: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """The words of some texts: runs of bytes other than ASCII white space.
+    """The words of some texts: runs of bytes other than separators, by default ASCII white space.
 
     ``starts`` and ``ends`` are byte positions in ``data``; document ``i`` has the words ``bounds[i]:bounds[i + 1]``.
     """
 
-    def __init__(self, texts: pa.ChunkedArray | pa.Array):
+    def __init__(self, texts: pa.ChunkedArray | pa.Array, separators: bytes = ASCII_SPACE):
         self.data, self.offsets = buffers(texts)
-        inside = _IS_WORD[self.data]
+        is_word = np.ones(256, bool)
+        is_word[np.frombuffer(separators, np.uint8)] = False
+        inside = is_word[self.data]
         first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1]
         last[:-1] &= ~inside[1:]
