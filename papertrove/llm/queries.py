@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papertrove.llm import chat, decontaminate, packing, quality_rules, secret_scan, simhash, token_files
+from papertrove.llm import chat, decontaminate, packing, quality_rules, secret_scan, simhash, substrings, token_files
 from papertrove.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -65,3 +65,9 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints and near-duplicate components of all documents."""
     return simhash.near_duplicates(_table(spark, folder, "documents"))
+
+
+@registered
+def op7_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without words of repeated 20-word windows."""
+    return substrings.remove_repeats(_table(spark, folder, "documents"), with_text=False)
