@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papertrove.llm import chat, decontaminate, packing, quality_rules, secret_scan, simhash, substrings, token_files
+from papertrove.llm import chat, decontaminate, language_model, packing, quality_rules, secret_scan, simhash, substrings, token_files
 from papertrove.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -71,3 +71,9 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op7_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without words of repeated 20-word windows."""
     return substrings.remove_repeats(_table(spark, folder, "documents"), with_text=False)
+
+
+@registered
+def op5_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram and network scores of all documents."""
+    return language_model.score_documents(_table(spark, folder, "documents"))
