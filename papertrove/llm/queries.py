@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papertrove.llm import chat, decontaminate, language_model, packing, quality_rules, secret_scan, simhash, substrings, token_files
+from papertrove.llm import chat, decontaminate, language_model, packing, quality_model, quality_rules, secret_scan, simhash, substrings, token_files
 from papertrove.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -77,3 +77,9 @@ def op7_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
 def op5_language_model(spark: SparkSession, folder: str) -> DataFrame:
     """Unigram and network scores of all documents."""
     return language_model.score_documents(_table(spark, folder, "documents"))
+
+
+@registered
+def op3_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality_model.score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
