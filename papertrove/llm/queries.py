@@ -4,11 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papertrove.llm import chat, decontaminate, language_model, packing, quality_model, quality_rules, secret_scan, simhash, substrings, token_files
+from papertrove.llm import (
+    chat,
+    decontaminate,
+    language_model,
+    oracles,
+    packing,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    simhash,
+    substrings,
+    token_files,
+)
 from papertrove.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+#: The other queries rest on tokens, fingerprints, parsed structures or learned models; tests compare them with brute force.
+ORACLES: dict[str, str] = {
+    "op6_decontaminate": oracles.DECONTAMINATION,
+    "op7_repeated_passages": oracles.REPEATS,
+    "op8_chat_format": oracles.CHAT,
+    "op9_quality_rules": oracles.QUALITY,
+}
 
 
 def registered(query: Query) -> Query:

@@ -1,0 +1,289 @@
+"""Decontamination, secrets, quality rules, repeated passages and near-duplicates against brute force."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import json
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from papertrove.llm import decontaminate, quality_rules, secret_scan, simhash, substrings
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, spans string, found int, words string, judged int, code long"
+
+
+def documents(spark, texts, ids=None):
+    ids = range(len(texts)) if ids is None else ids
+    rows = [(i, text, "clash", 1, "clash", 2, 3) for i, text in zip(ids, texts, strict=True)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def random_texts(seed: int, count: int, words: int, vocabulary: int) -> list[str]:
+    rng = random.Random(seed)
+    names = [f"w{i}" for i in range(vocabulary)]
+    return [" ".join(rng.choices(names, k=rng.randrange(words))) for _ in range(count)]
+
+
+# Decontamination
+
+
+def brute_hits(text, items):
+    words = decontaminate.words_of(text)
+    hit, names = set(), set()
+    for item, body in items:
+        for window in decontaminate.windows_of(body):
+            for start in range(len(words) - len(window) + 1):
+                if tuple(words[start : start + len(window)]) == window:
+                    hit.update(range(start, start + len(window)))
+                    names.add("null" if item is None else str(item))
+    return len(words), len(hit), sorted(names)
+
+
+@pytest.mark.parametrize("pass_windows", [1_000_000, 7])
+def test_decontamination_equals_brute_force(spark, pass_windows):
+    items = list(enumerate(random_texts(1, 6, 30, 3))) + [(10, "w1"), (11, "W0 w1-w2"), (None, "w2 w2 w2"), (12, None), (13, "")]
+    items += [(10, "w1"), (2, items[2][1])]
+    texts = [*random_texts(2, 25, 60, 3), None, "", "...", "W1", "é w1,w2", items[0][1] + " tail"]
+    docs = documents(spark, [*texts, texts[0]], [*range(len(texts) - 1), None, 0])
+    benchmark = spark.createDataFrame([(i, t) for i, t in items], "item_id long, text string")
+    rows = decontaminate.contamination(docs, benchmark, pass_windows).collect()
+    expected = []
+    for i, text in zip([*range(len(texts) - 1), None, 0], [*texts, texts[0]], strict=True):
+        n, hit, names = brute_hits(text, items)
+        digest = hashlib.sha256(",".join(names).encode()).hexdigest()
+        expected.append((i, n, hit, len(names), digest, hit > 0 and 20 * hit >= n))
+    assert Counter(tuple(row)[:6] for row in rows) == Counter(expected)
+    clean = decontaminate.clean_documents(docs, benchmark, pass_windows)
+    assert clean.columns == docs.columns
+    assert Counter(r["doc_id"] for r in clean.collect()) == Counter(row[0] for row in expected if not row[5])
+
+
+def test_decontamination_of_empty_tables(spark):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert [r["n_hit"] for r in decontaminate.contamination(documents(spark, ["a b"]), none).collect()] == [0]
+    assert decontaminate.contamination(documents(spark, []), none).collect() == []
+
+
+# Secrets
+
+
+def der(tag: int, *parts: bytes) -> bytes:
+    body = b"".join(parts)
+    size = bytes([len(body)]) if len(body) < 128 else bytes([0x82]) + len(body).to_bytes(2, "big")
+    return bytes([tag]) + size + body
+
+
+RSA = der(0x30, *[der(2, bytes([1]) * (1 if i in (0, 2) else 40)) for i in range(9)])
+WRAPPED = der(0x30, der(2, b"\0"), der(0x30, der(6, b"\x2a\x86\x48"), b"\x05\0"), der(4, RSA))
+PUBLIC = der(0x30, der(0x30, der(6, b"\x2a\x86\x48"), b"\x05\0"), der(3, b"\0" + RSA))
+
+
+def ssh_key() -> bytes:
+    field = lambda data: len(data).to_bytes(4, "big") + data
+    return b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + b"\0\0\0\1" + field(b"k" * 51) + field(b"p" * 90)
+
+
+def token(head: dict) -> str:
+    part = lambda value: base64.urlsafe_b64encode(json.dumps(value).encode()).decode().rstrip("=")
+    return f"{part(head)}.{part({'sub': 'a'})}.c2lnbmF0dXJl"
+
+
+def lines(data: bytes) -> str:
+    text = base64.b64encode(data).decode()
+    return "\n".join(text[i : i + 64] for i in range(0, len(text), 64))
+
+
+def test_confirmed_kinds():
+    found = lambda text: [(kind, text[a:b]) for kind, a, b in secret_scan.confirmed_spans(text)]
+    assert found(f"a {base64.b64encode(WRAPPED).decode()} b") == [("private_key", base64.b64encode(WRAPPED).decode())]
+    assert found(f"BEGIN\n{lines(RSA)}\nEND of it") == [("private_key", lines(RSA))]
+    assert found(f"x {lines(ssh_key())}\nword") == [("ssh_key", lines(ssh_key()))]
+    assert found(f"hex {WRAPPED.hex()}.") == [("private_key", WRAPPED.hex())]
+    assert found(f"it is {token({'alg': 'HS256'})}, see") == [("signed_token", token({"alg": "HS256"}))]
+    for other in (PUBLIC, RSA[:-1], RSA + b"\0", b"0" * 90):
+        assert found(f"x {base64.b64encode(other).decode()} y") == []
+    for text in (token({"typ": "x"}), "abcdefgh.ijkl.mnop", "A" * 5000, "0" * 5000, "MII" * 40, "a.b.c" * 100):
+        assert found(text) == []
+
+
+def test_base_spans_are_leftmost():
+    scan = secret_scan.base_spans
+    assert scan("password=token:abcdef") == []
+    assert scan('API_KEY = "abc.def" x') == [("assign", 0, 18)]
+    assert scan("toKen:abcdef paſſwd=abcdef secret=abc") == [("assign", 0, 12)]
+    assert scan("AKIA" * 5 + " AKIAABC") == [("access", 0, 20)]
+    assert scan("x" + "0a" * 12 + "G" + "0" * 23) == [("hex", 1, 25)]
+
+
+def test_scan_and_redaction(spark):
+    texts = [None, "", "ü secret: abcdef0123456789abcdef012 ü", f"ü {token({'alg': 'none'})}", "plain " * 20000]
+    docs = documents(spark, [*texts, texts[2]], [0, None, 2, 3, 4, 2])
+    rows = secret_scan.find_secrets(docs).collect()
+    assert [row["doc_id"] for row in rows] == [0, None, 2, 3, 4, 2]
+    assert rows[2] == rows[5] and rows[2]["spans"] == "assign:2:35,hex:10:35" and rows[2]["n_assign"] == 1
+    assert rows[2]["base_sha256"] == hashlib.sha256(b"assign:2:35,hex:10:35").hexdigest()
+    assert rows[0]["base_sha256"] == hashlib.sha256(b"").hexdigest() and rows[3]["spans"].startswith("signed_token:2:")
+    masked = secret_scan.redact(docs)
+    assert masked.columns == docs.columns
+    assert [row["text"] for row in masked.collect()][:4] == [None, "", "ü [SECRET] ü", "ü [SECRET]"]
+    assert secret_scan.find_secrets(documents(spark, [])).collect() == []
+
+
+# Quality rules
+
+
+def brute_base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = list(zip(words, words[1:], words[2:]))
+    counts = Counter(windows)
+    covered = {i + k for i, window in enumerate(windows) if counts[window] > 1 for k in range(3)}
+    full = [line for line in text.split("\n") if WORD.search(line)]
+    failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+    symbols = len(re.findall(r"[#*$%&|<>]", text))
+    return len(words), sum(map(len, words)), symbols, len(full) - len(set(full)), len(covered), failed
+
+
+def test_quality_counts_equal_brute_force(spark):
+    texts = random_texts(3, 40, 400, 9) + random_texts(4, 20, 300, 500)
+    texts += [None, "", " \t\n", "a b c", "a a a a", "ä\x0bö\x1f ü\n\nä\n ä\nä", "#|<é> $", "w " * 5000]
+    docs = documents(spark, [*texts, texts[0]], [*range(len(texts) - 1), None, 0])
+    rows = quality_rules.quality_report(docs).collect()
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    for row, text in zip(rows, [*texts, texts[0]], strict=True):
+        assert tuple(row[name] for name in names) == brute_base(text), text
+        assert not (row["base_failed"] and row["kept"])
+
+
+def test_lines_go_before_documents(spark):
+    good = " ".join(f"plain{i} word{i}" for i in range(40)) + "."
+    other = " ".join(f"more{i}" for i in range(40)) + "!"
+    bad = ["no end", "home | about | contact |.", "a*** b*** c*** d.", "All rights reserved.", "SO MANY BIG WORDS IN THIS LINE ARE TOO LOUD FOR US."]
+    bad += ["so so so so so so so so so so so so so."]
+    rows = quality_rules.quality_report(documents(spark, ["\n".join([good, *bad, other])])).collect()
+    assert rows[0]["kept"] and rows[0]["clean_text"] == "\n".join([good, other])
+    lost = "\n".join([good, *(" ".join(f"{line}{i}" for i in range(60)) for line in ("x", "y", "z"))])
+    docs = documents(spark, [lost, good, None])
+    kept = quality_rules.clean_documents(docs)
+    assert kept.columns == docs.columns and [row["doc_id"] for row in kept.collect()] == [1]
+    assert quality_rules.clean_documents(documents(spark, [])).collect() == []
+
+
+def test_quality_rules_stay_in_the_engine(spark):
+    plan = quality_rules.clean_documents(documents(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+# Repeated passages
+
+
+def brute_repeats(rows, window):
+    seen, out = set(), []
+    for i, text in sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0)):
+        words = WORD.findall(text or "")
+        gone = set()
+        for start in range(len(words) - window + 1):
+            key = tuple(words[start : start + window])
+            if key in seen:
+                gone.update(range(start, start + window))
+            seen.add(key)
+        kept = [word for at, word in enumerate(words) if at not in gone]
+        out.append((i, len(words), len(gone), hashlib.sha256(" ".join(kept).encode()).hexdigest(), " ".join(kept)))
+    return out
+
+
+@pytest.mark.parametrize("group", [1_500_000, 40])
+def test_repeats_equal_brute_force(spark, monkeypatch, group):
+    monkeypatch.setattr(substrings, "GROUP_SUFFIXES", group)
+    monkeypatch.setattr(substrings, "SLICE_TEXT", 400)
+    monkeypatch.setattr(substrings, "MEET_TEXT", 3000)
+    texts = random_texts(5, 30, 60, 2) + random_texts(6, 30, 90, 400)
+    passage = " ".join(f"p{i}" for i in range(30))
+    texts += [f"{text} {passage} {text}" for text in texts[40:50]] + [None, "", "x", "é " * 50, passage]
+    rows = list(zip([*range(1, len(texts)), None], texts, strict=True))
+    random.Random(7).shuffle(rows)
+    docs = documents(spark, [text for _, text in rows], [i for i, _ in rows]).repartition(3)
+    found = substrings.remove_repeats(docs, window=6).collect()
+    assert Counter(tuple(row)[:5] for row in found) == Counter(brute_repeats(rows, 6))
+    for row in found:
+        assert sum(b - a for a, b in zip(row["spans"][::2], row["spans"][1::2])) == row["n_removed"]
+
+
+def test_equal_rows_do_not_remove_each_other(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = substrings.remove_repeats(documents(spark, [text, text, text], [4, 4, 9])).collect()
+    assert sorted((row["doc_id"], row["n_removed"]) for row in rows) == [(4, 0), (4, 0), (9, 40)]
+    assert substrings.remove_repeats(documents(spark, [])).collect() == []
+
+
+# Near-duplicates
+
+
+def brute_components(codes):
+    root = list(range(len(codes)))
+    for i in range(len(codes)):
+        for j in range(i):
+            if (codes[i] ^ codes[j]).bit_count() <= 2 and root[i] != root[j]:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("compared", [1024, 2])
+def test_links_equal_brute_force(spark, monkeypatch, compared):
+    monkeypatch.setattr(simhash, "COMPARED_ROWS", compared)
+    rng = random.Random(8)
+    codes = {0, 1, 2**64 - 1}
+    for _ in range(30):
+        code = rng.getrandbits(64)
+        for _ in range(8):
+            codes.add(code)
+            code ^= sum(1 << rng.randrange(64) for _ in range(rng.randrange(1, 4)))
+            code &= 2**64 - 1
+    codes = sorted(codes)
+    signed = [code - 2**64 if code >= 2**63 else code for code in codes]
+    links = simhash.linked_codes(spark.createDataFrame([(c,) for c in signed], "code long"))
+    roots = {row["code"]: row["root"] for row in simhash.components(links).collect()}
+    brute = brute_components(codes)
+    groups: dict[int, set] = {}
+    for code, root in zip(signed, brute, strict=True):
+        groups.setdefault(root, set()).add(code)
+    found: dict[int, set] = {}
+    for code in signed:
+        found.setdefault(roots.get(code, code), set()).add(code)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, found.values()))
+
+
+def test_near_duplicates(spark):
+    base = random_texts(9, 1, 400, 3000)[0] + " and a few words more"
+    texts = [None, "", "  ", "One TWO", "one two", base, base.upper(), base.replace("few", "many"), "three four five six"]
+    ids = [20, 3, 11, 5, 4, 9, 8, 7, None]
+    docs = documents(spark, texts, ids)
+    rows = {row["doc_id"]: row for row in simhash.near_duplicates(docs).collect()}
+    assert {rows[i]["component_id"] for i in (20, 3, 11)} == {3} and rows[3]["fingerprint"] == "0" * 16
+    assert rows[5]["component_id"] == rows[4]["component_id"] == 4
+    codes = {i: int(rows[i]["fingerprint"], 16) for i in ids}
+    order = sorted(ids, key=lambda i: (i is not None, i or 0))
+    brute = brute_components([codes[i] for i in order])
+    assert [rows[i]["component_id"] for i in order] == [order[root] for root in brute]
+    kept = simhash.first_of_each(docs)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {row["component_id"] for row in rows.values()}
+    assert simhash.near_duplicates(documents(spark, [])).collect() == []
+
+
+def test_fingerprint_bits():
+    import xxhash
+
+    for text in ("a", "A b", "a b c", "a b c d a b c", "é è\x0bê ë", "w " * 100000):
+        words = WORD.findall(text.lower())
+        shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [" ".join(words)]
+        codes = np.array([xxhash.xxh64_intdigest(s, 42) for s in shingles], np.uint64)
+        bits = sum(1 << b for b in range(64) if 2 * int((codes >> np.uint64(b) & np.uint64(1)).sum()) > len(codes))
+        assert simhash.fingerprint(text) == bits
