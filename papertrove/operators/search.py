@@ -2,30 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import functools
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+import pyarrow.fs
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from papertrove.config import TOP_K
 from papertrove.functions import vectors
-from papertrove.sources.storage import stage, work_folder
+from papertrove.operators.sampling import bounded_sample
+from papertrove.sources.storage import default_file_system, open_folder, stage, work_folder
 
 # Scores are compared after rounding to this many digits; equal scores are ordered by key.
 DIGITS = 6
-# The exact search sends its query vectors to every task only below this size; larger sets are tiled.
-MAX_QUERY_BYTES = 64 << 20
-# Size of one tile side as doubles, and the rows multiplied at once inside a tile.
+# Bytes, as doubles, of the queries and of the vectors that a task holds at once, and the rows it multiplies at once.
 QUERY_BLOCK_BYTES = 32 << 20
-VECTOR_BLOCK_BYTES = 128 << 20
+VECTOR_BLOCK_BYTES = 64 << 20
 SLICE_ROWS = 1_024
-TASKS_PER_CORE = 4
-# Bounds of the number of cells; their centers travel to every task.
+# Cells are found on a sample of this many vectors, or of so many per cell if that is more.
 MIN_CELLS = 16
-MAX_CELLS = 4_096
+SAMPLE_ROWS = 20_000
+SAMPLE_PER_CELL = 32
+# The number of cells a query looks into is the smallest that finds this share of the neighbors of sampled queries.
+RECALL = 0.98
+RECALL_QUERIES = 256
+RECALL_K = 10
+
+Keys = str | Sequence[str]
 
 
 # ---------------------------------------------------------------- text questions
@@ -93,75 +102,114 @@ def write_postings(
 
     Dimensions share ``parts`` folders, a number that should grow with the data, and are sorted inside each file. The
     rows are rebalanced, not just partitioned, by folder: adaptive execution cuts a folder that holds a dimension most
-    rows have into files of even size.
+    rows have into files of even size. How the index was made is kept beside it, so a reader needs nothing but the path.
     """
     entries = vector_entries(rows, text, keys, dimensions).withColumn("part", F.col("dim") % parts)
     ordered = entries.hint("rebalance", "part").sortWithinPartitions("part", "dim", *keys)
-    ordered.write.partitionBy("part").parquet(path)
+    ordered.write.partitionBy("part").parquet(f"{path}/postings")
+    about = rows.sparkSession.createDataFrame(
+        [(parts, dimensions, list(keys))], "parts int, dimensions int, keys array<string>"
+    )
+    about.write.parquet(f"{path}/about")
 
 
-def search_postings(
-    postings: DataFrame,
-    question: str | DataFrame,
-    keys: Sequence[str],
-    k: int = TOP_K,
-    parts: int = 64,
-    dimensions: int = vectors.DIMENSIONS,
-) -> DataFrame:
+def search_postings(spark: SparkSession, path: str, question: str | DataFrame, k: int = TOP_K) -> DataFrame:
     """``(keys, score)`` of the ``k`` best rows that share a token with the question, read from stored postings.
 
-    The question's entries, at most one per dimension, become literals: the scan opens only their folders and skips row
-    groups without them. Products are summed per key before the shuffle. Same scores as ``similarity_search``; rows that
-    share no token are not returned.
+    The question's entries, at most one per dimension, become literals: the scan opens only their folders, and each
+    dimension is a comparison of its own, which row groups are tested against one by one (a list of more than ten values
+    would only be tested by its range). Products are summed per key before the shuffle. Same scores as
+    ``similarity_search``; rows that share no token are not returned.
     """
+    about = spark.read.parquet(f"{path}/about").first()
+    postings = spark.read.parquet(f"{path}/postings")
     if isinstance(question, str):
-        question = postings.sparkSession.createDataFrame([(question,)], "text string")
-    asked = question.select(vectors.hash_embed(F.col(question.columns[0]), dimensions).alias("v")).first().v
-    hits = postings.where(
-        F.col("part").isin(sorted({e.dim % parts for e in asked})) & F.col("dim").isin([e.dim for e in asked])
-    )
+        question = spark.createDataFrame([(question,)], "text string")
+    asked = question.select(vectors.hash_embed(F.col(question.columns[0]), about.dimensions).alias("v")).first().v
+    one_of = functools.reduce(Column.__or__, [F.col("dim") == e.dim for e in asked], F.lit(False))
+    hits = postings.where(F.col("part").isin(sorted({e.dim % about.parts for e in asked})) & one_of)
     pairs = [F.lit(value) for e in asked for value in (e.dim, e.weight)]
     weight = F.try_element_at(F.create_map(*pairs), F.col("dim")) if pairs else F.lit(0.0)
-    scored = hits.groupBy(*keys).agg(F.round(F.sum(F.col("weight") * weight), DIGITS).alias("score"))
-    return scored.orderBy(F.desc("score"), *keys).limit(k)
+    scored = hits.groupBy(*about["keys"]).agg(F.round(F.sum(F.col("weight") * weight), DIGITS).alias("score"))
+    return scored.orderBy(F.desc("score"), *about["keys"]).limit(k)
 
 
 def search_many(
     index: DataFrame,
     questions: DataFrame,
     k: int = TOP_K,
-    question_key: str = "question_id",
-    key: str = "id",
+    question_key: Keys = "question_id",
+    key: Keys = "id",
     vector: str = "vector",
     dimensions: int = vectors.DIMENSIONS,
-    max_query_bytes: int = MAX_QUERY_BYTES,
+    query_block: int | None = None,
     vector_block: int | None = None,
 ) -> DataFrame:
     """Batch form: ``(query_id, neighbor_id, score, rank)`` for every question, in one pass over the index.
 
-    Joining on words would meet every row at the common ones. Instead the question vectors go to the rows when their
-    dense size is within ``max_query_bytes``, else both sides are tiled as in ``knn_blocked``.
+    Joining on words would meet every row at the common ones. Instead the questions are read by the tasks that hold the
+    rows, block by block. Keys of several columns come back as structs.
     """
+    search = _Search(k, lambda column: _dense_rows(column, dimensions), 8 * dimensions, query_block, vector_block)
+    asked = _with_keys(questions, question_key, "q").withColumn("v", F.col(vector))
+    held = _with_keys(index, key, "n").withColumn("v", F.col(vector))
+    found = search.scan(_parts(asked, "q", "v"), _parts(held, "n", "v"))
+    return _result(found, k, question_key, key)
 
-    def entries(df: DataFrame, id_column: str, name: str) -> DataFrame:
-        return df.select(F.col(id_column).cast("long").alias(name), F.col(vector).alias("v"))
 
-    def matrix_of(table: pa.Table | pa.RecordBatch) -> np.ndarray:
-        return _dense_rows(table.column("v"), dimensions)
+# ---------------------------------------------------------------- dense vectors
 
-    asked, held = entries(questions, question_key, "query_id"), entries(index, key, "key")
-    most = max_query_bytes // (8 * dimensions)
-    if asked.limit(most + 1).count() <= most:
-        return _rank(_scan_with(asked.toArrow(), held, k, matrix_of), k)
-    block = vector_block or VECTOR_BLOCK_BYTES // (8 * dimensions)
-    return _rank(_tiled(asked, held, k, most, block, matrix_of), k)
 
+def searchable(vector: Column, dimensions: int) -> Column:
+    """True for a vector of this length whose elements are all finite numbers."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce((F.size(vector) == dimensions) & finite, F.lit(False))
 
-# ---------------------------------------------------------------- dense vectors
+
+def vector_length(rows: DataFrame, vector: str) -> int:
+    """The most common length of the vectors (of equally common ones the largest); 0 without vectors."""
+    lengths = rows.where(F.col(vector).isNotNull()).groupBy(F.size(vector).alias("n")).count()
+    first = lengths.orderBy(F.desc("count"), F.desc("n")).first()
+    return first.n if first else 0
+
+
+def unsearchable(rows: DataFrame, key: Keys, vector: str, dimensions: int | None = None) -> DataFrame:
+    """The keys of the rows that no search returns, each with its ``reason``."""
+    dimensions = vector_length(rows, vector) if dimensions is None else dimensions
+    v = F.col(vector)
+    reason = (
+        F.when(v.isNull(), "no vector")
+        .when(F.size(v) != dimensions, "other length")
+        .when(F.exists(v, lambda x: x.isNull()), "null element")
+        .otherwise("not finite")
+    )
+    names = [key] if isinstance(key, str) else list(key)
+    return rows.where(~searchable(v, dimensions)).select(*names, reason.alias("reason"))
+
+
+def _with_keys(df: DataFrame, key: Keys, prefix: str) -> DataFrame:
+    names = [key] if isinstance(key, str) else list(key)
+    return df.withColumns({f"{prefix}{i}": F.col(name) for i, name in enumerate(names)})
+
+
+def _parts(df: DataFrame, prefix: str, *others: str) -> DataFrame:
+    names = [c for c in df.columns if c.startswith(prefix) and c[len(prefix) :].isdigit()]
+    return df.select(*names, *others)
+
+
+def _named(df: DataFrame, key: Keys, vector: str, prefix: str, dimensions: int) -> DataFrame:
+    """Keys as ``<prefix>0, <prefix>1, ...`` and the vector as ``v``, of the rows that can be searched."""
+    names = [key] if isinstance(key, str) else list(key)
+    kept = df.where(searchable(F.col(vector), dimensions))
+    return kept.select(*[F.col(n).alias(f"{prefix}{i}") for i, n in enumerate(names)], F.col(vector).alias("v"))
+
+
+def _one_array(column: pa.ChunkedArray | pa.Array) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
 
 
 def _unit_rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Arrow list column to a matrix of unit rows; zero vectors stay zero."""
+    """Arrow list column, of vectors of one length, to a matrix of unit rows; zero vectors stay zero."""
     array = _one_array(column)
     flat = array.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     matrix = flat.reshape(len(array), -1) if len(array) else flat.reshape(0, 1)
@@ -170,7 +218,7 @@ def _unit_rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def _dense_rows(column: pa.ChunkedArray | pa.Array, dimensions: int) -> np.ndarray:
-    """Sparse Arrow vectors to a matrix with one column per dimension."""
+    """Sparse Arrow vectors to a matrix with one column per dimension; null vectors are zero."""
     array = _one_array(column)
     lengths = array.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     dims, weights = (f.to_numpy(zero_copy_only=False) for f in array.flatten().flatten())
@@ -179,21 +227,24 @@ def _dense_rows(column: pa.ChunkedArray | pa.Array, dimensions: int) -> np.ndarr
     return matrix
 
 
-def _one_array(column: pa.ChunkedArray | pa.Array) -> pa.Array:
-    return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
-
-
 class _Best:
     """The best ``k`` (score, key) of each query over the blocks seen so far; ties go to the smaller key."""
 
     def __init__(self, queries: np.ndarray, k: int):
         self.queries, self.k = queries, k
         self.rows = np.empty(0, np.int64)
-        self.keys = np.empty(0, np.int64)
+        self.places = np.empty(0, np.int64)
         self.scores = np.empty(0, np.float64)
-
-    def add(self, keys: np.ndarray, block: np.ndarray) -> None:
-        found = [(self.rows, self.keys, self.scores)]
+        self.keys: pa.Table | None = None
+
+    def add(self, keys: pa.Table, block: np.ndarray) -> None:
+        """``keys`` has one row per row of ``block``."""
+        known = 0 if self.keys is None else self.keys.num_rows
+        all_keys = keys if self.keys is None else pa.concat_tables([self.keys, keys])
+        place = np.empty(all_keys.num_rows, np.int64)
+        order = pc.sort_indices(all_keys, [(name, "ascending") for name in all_keys.column_names])
+        place[order.to_numpy()] = np.arange(len(place))
+        found = [(self.rows, self.places, self.scores)]
         for v in range(0, len(block), SLICE_ROWS):
             for q in range(0, len(self.queries), SLICE_ROWS):
                 scores = np.round(self.queries[q : q + SLICE_ROWS] @ block[v : v + SLICE_ROWS].T, DIGITS) + 0.0
@@ -204,191 +255,146 @@ class _Best:
                     rows, cols = np.nonzero(scores >= cut[:, None])
                 else:
                     rows, cols = np.nonzero(np.ones(scores.shape, bool))
-                found.append(self._cut(rows + q, keys[v + cols], scores[rows, cols]))
-        self.rows, self.keys, self.scores = self._cut(*(np.concatenate(part) for part in zip(*found)))
-
-    def _cut(self, rows: np.ndarray, keys: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        order = np.lexsort((keys, -scores, rows))
-        rows, keys, scores = rows[order], keys[order], scores[order]
-        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-        keep = place < self.k
-        return rows[keep], keys[keep], scores[keep]
-
-    def table(self, query_keys: np.ndarray) -> pa.Table:
-        return pa.table({"query_id": query_keys[self.rows], "neighbor_id": self.keys, "score": self.scores})
-
-
-RESULT = "query_id bigint, neighbor_id bigint, score double"
-
-
-def _named(df: DataFrame, key: str, vector: str, key_name: str) -> DataFrame:
-    return df.where(F.col(vector).isNotNull()).select(F.col(key).cast("long").alias(key_name), F.col(vector).alias("v"))
+                found.append(self._cut(place, rows + q, known + v + cols, scores[rows, cols]))
+        rows, places, self.scores = self._cut(place, *(np.concatenate(part) for part in zip(*found)))
+        used, self.places = np.unique(places, return_inverse=True)
+        self.rows, self.keys = rows, all_keys.take(pa.array(used))
+
+    def _cut(self, place: np.ndarray, rows: np.ndarray, places: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, ...]:
+        order = np.lexsort((place[places], -scores, rows))
+        rows, places, scores = rows[order], places[order], scores[order]
+        keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < self.k
+        return rows[keep], places[keep], scores[keep]
+
+    def table(self, query_keys: pa.Table) -> pa.Table:
+        left, right = query_keys.take(pa.array(self.rows)), self.keys.take(pa.array(self.places))
+        columns = dict(zip(left.column_names, left.columns)) | dict(zip(right.column_names, right.columns))
+        return pa.table(columns | {"score": self.scores})
+
+
+class _Search:
+    """Scores rows where they lie against queries that tasks read block by block from a shared folder."""
+
+    def __init__(self, k: int, matrix_of: Callable, row_bytes: int, query_block: int | None, vector_block: int | None):
+        self.k, self.matrix_of = k, matrix_of
+        self.query_block = query_block or max(1, QUERY_BLOCK_BYTES // row_bytes)
+        self.vector_block = vector_block or max(1, VECTOR_BLOCK_BYTES // row_bytes)
+
+    def scan(self, asked: DataFrame, held: DataFrame, by: str | None = None) -> DataFrame:
+        """At most ``k`` rows ``(q..., n..., score)`` per query, block of rows and task.
+
+        The queries are written once; a task reads them a block at a time for every block of its rows, so neither their
+        number nor that of the rows changes how the search runs, and no row is shuffled. With ``by`` both sides have this
+        column, and a row only meets the queries that share its value, which lie in a folder of their own.
+        """
+        spark = asked.sparkSession
+        folder = work_folder(spark, "queries")
+        (asked.write.partitionBy(by) if by else asked.write).parquet(folder)
+        default, k, matrix_of = default_file_system(spark), self.k, self.matrix_of
+        query_block, vector_block = self.query_block, self.vector_block
+        q_names = [c for c in asked.columns if c not in ("v", by)]
+        n_names = [c for c in held.columns if c not in ("v", by)]
+
+        def query_tables(value) -> Iterator[pa.Table]:
+            files, inside = open_folder(folder if by is None else f"{folder}/{by}={value}", default)
+            for entry in sorted(files.get_file_info(pa.fs.FileSelector(inside, allow_not_found=True)), key=lambda e: e.path):
+                if entry.base_name.endswith(".parquet"):
+                    with files.open_input_file(entry.path) as source:
+                        for batch in pq.ParquetFile(source).iter_batches(query_block):
+                            yield pa.Table.from_batches([batch])
+
+        def meet(block: pa.Table) -> Iterator[pa.RecordBatch]:
+            values = [None] if by is None else pc.unique(block.column(by)).to_pylist()
+            for value in values:
+                rows = block if by is None else block.filter(pc.equal(block.column(by), value))
+                keys, matrix = rows.select(n_names), matrix_of(rows.column("v"))
+                for queries in query_tables(value):
+                    best = _Best(matrix_of(queries.column("v")), k)
+                    best.add(keys, matrix)
+                    yield from best.table(queries.select(q_names)).to_batches()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            waiting: list[pa.RecordBatch] = []
+            size = 0
+            for batch in batches:
+                for at in range(0, batch.num_rows, vector_block):
+                    part = batch.slice(at, vector_block)
+                    if size + part.num_rows > vector_block and waiting:
+                        yield from meet(pa.Table.from_batches(waiting))
+                        waiting, size = [], 0
+                    waiting.append(part)
+                    size += part.num_rows
+            if waiting:
+                yield from meet(pa.Table.from_batches(waiting))
+
+        kinds = [(n, asked.schema[n].dataType) for n in q_names] + [(n, held.schema[n].dataType) for n in n_names]
+        return held.mapInArrow(run, ", ".join(f"{n} {kind.simpleString()}" for n, kind in kinds) + ", score double")
 
 
 def _rank(candidates: DataFrame, k: int) -> DataFrame:
-    """Final cut to ``k`` per query; each task already sent at most ``k`` per query and block."""
-    best_first = W.partitionBy("query_id").orderBy(F.desc("score"), "neighbor_id")
+    """Cut to ``k`` per query; Spark makes this cut in every task before it shuffles as well."""
+    columns = candidates.columns
+    best_first = W.partitionBy(*[c for c in columns if c.startswith("q")]).orderBy(
+        F.desc("score"), *[c for c in columns if c.startswith("n")]
+    )
     return candidates.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
 
 
-def knn_exact(
-    queries: DataFrame,
-    vectors_: DataFrame,
-    k: int = TOP_K,
-    query_key: str = "vec_id",
-    vector_key: str = "vec_id",
-    vector: str = "embedding",
-    max_query_bytes: int = MAX_QUERY_BYTES,
-) -> DataFrame:
-    """``(query_id, neighbor_id, score, rank)``: the ``k`` vectors with the highest cosine for every query.
-
-    The vectors are scanned where they lie; the queries travel to them if their measured size is within
-    ``max_query_bytes``. A larger query set goes to ``knn_blocked``, which gives the same rows.
-    """
-    asked = _named(queries, query_key, vector, "query_id")
-    size = asked.agg(F.coalesce(F.sum(F.size("v")), F.lit(0)).alias("n")).first().n * 8
-    if size > max_query_bytes:
-        return knn_blocked(queries, vectors_, k, query_key, vector_key, vector)
-    held = _named(vectors_, vector_key, vector, "key")
-    return _rank(_scan_with(asked.toArrow(), held, k, lambda t: _unit_rows(t.column("v"))), k)
-
-
-def _scan_with(asked: pa.Table, held: DataFrame, k: int, matrix_of) -> DataFrame:
-    """Score the rows of ``held`` against a small query table, each where it lies; at most ``k`` per query and task."""
-    context = held.sparkSession.sparkContext
-    sent = context.broadcast((asked.column("query_id").to_numpy(), matrix_of(asked)))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_keys, matrix = sent.value
-        best = _Best(matrix, k)
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
-                best.add(part.column("key").to_numpy(), matrix_of(part))
-        yield from best.table(query_keys).to_batches()
-
-    # Every task returns k rows per query, so more tasks than the cluster can keep busy only make the last step larger.
-    return held.coalesce(TASKS_PER_CORE * context.defaultParallelism).mapInArrow(scan, RESULT)
-
-
-def _block_rows(df: DataFrame, query_block: int | None, vector_block: int | None) -> tuple[int, int]:
-    """Rows of a query block and a vector block: those given, else as many as fit their sizes."""
-    first = df.select(F.size("v").alias("n")).first()
-    row_bytes = 8 * max(first.n if first else 1, 1)
-    return query_block or -(-QUERY_BLOCK_BYTES // row_bytes), vector_block or -(-VECTOR_BLOCK_BYTES // row_bytes)
-
+def _result(candidates: DataFrame, k: int, query_key: Keys, vector_key: Keys) -> DataFrame:
+    """Ranked rows under their public names; a key of several columns is a struct of them."""
 
-def _blocks(rows: int, block_rows: int, at_least: int = 1) -> int:
-    """Blocks of at most ``block_rows``; more when there are idle cores and enough rows to share."""
-    return max(-(-rows // block_rows), min(at_least, -(-rows // SLICE_ROWS)), 1)
+    def named(key: Keys, prefix: str) -> Column:
+        if isinstance(key, str):
+            return F.col(f"{prefix}0")
+        return F.struct(*[F.col(f"{prefix}{i}").alias(name) for i, name in enumerate(key)])
 
+    ranked = _rank(candidates, k)
+    return ranked.select(named(query_key, "q").alias("query_id"), named(vector_key, "n").alias("neighbor_id"), "score", "rank")
 
-def _tile_top_k(k: int, matrix_of):
-    def tile(key: tuple, queries: pa.Table, block: pa.Table) -> pa.Table:
-        if not queries.num_rows or not block.num_rows:
-            return _Best(np.empty((0, 1)), k).table(np.empty(0, np.int64))
-        best = _Best(matrix_of(queries), k)
-        for at in range(0, block.num_rows, SLICE_ROWS):
-            part = block.slice(at, SLICE_ROWS)
-            best.add(part.column("key").to_numpy(), matrix_of(part))
-        return best.table(queries.column("query_id").to_numpy())
 
-    return tile
-
-
-def knn_blocked(
+def knn_exact(
     queries: DataFrame,
     vectors_: DataFrame,
     k: int = TOP_K,
-    query_key: str = "vec_id",
-    vector_key: str = "vec_id",
+    query_key: Keys = "vec_id",
+    vector_key: Keys = "vec_id",
     vector: str = "embedding",
+    dimensions: int | None = None,
     query_block: int | None = None,
     vector_block: int | None = None,
 ) -> DataFrame:
-    """Same rows as ``knn_exact`` for query sets of any size.
+    """``(query_id, neighbor_id, score, rank)``: the ``k`` vectors with the highest cosine for every query.
 
-    Both sides are cut by a hash of their key into blocks of bounded size; every pair of blocks is one matrix product
-    in one task that returns only its best ``k`` per query. A vector is sent once per query block and a query once per
-    vector block; block sizes come from the row counts, so equal values cannot swell a block.
+    The vectors are scanned where they lie and read the queries block by block, whatever the number of either. Vectors
+    of another length than ``dimensions`` (by default the most common one) and those that are null or hold nulls, NaN or
+    infinite values are neither asked nor found; ``unsearchable`` lists them.
     """
-    asked = _named(queries, query_key, vector, "query_id")
-    held = _named(vectors_, vector_key, vector, "key")
-    query_block, vector_block = _block_rows(held, query_block, vector_block)
-    return _rank(_tiled(asked, held, k, query_block, vector_block, lambda t: _unit_rows(t.column("v"))), k)
+    dimensions = vector_length(vectors_, vector) if dimensions is None else dimensions
+    search = _Search(k, _unit_rows, 8 * max(1, dimensions), query_block, vector_block)
+    asked = _named(queries, query_key, vector, "q", dimensions)
+    held = _named(vectors_, vector_key, vector, "n", dimensions)
+    return _result(search.scan(asked, held), k, query_key, vector_key)
 
 
-def _tiled(asked: DataFrame, held: DataFrame, k: int, query_block: int, vector_block: int, matrix_of) -> DataFrame:
-    n_queries = _blocks(asked.count(), query_block)
-    n_vectors = _blocks(held.count(), vector_block, asked.sparkSession.sparkContext.defaultParallelism)
-    asked = asked.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(n_queries))).withColumn(
-        "vb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_vectors - 1).cast("long")))
-    )
-    held = held.withColumn("vb", F.pmod(F.xxhash64("key"), F.lit(n_vectors))).withColumn(
-        "qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_queries - 1).cast("long")))
-    )
-    tiles = asked.groupBy("qb", "vb").cogroup(held.groupBy("qb", "vb"))
-    return tiles.applyInArrow(_tile_top_k(k, matrix_of), RESULT)
+def knn_blocked(queries: DataFrame, vectors_: DataFrame, query_block: int, vector_block: int, **options) -> DataFrame:
+    """``knn_exact`` with blocks of given numbers of rows, for machines with less or more memory."""
+    return knn_exact(queries, vectors_, query_block=query_block, vector_block=vector_block, **options)
 
 
 # ---------------------------------------------------------------- cells
 
 
-def one_per_copy(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """The smallest key of every distinct vector; copies are merged before the shuffle."""
-    return df.groupBy(vector).agg(F.min(key).alias(key)).select(key, vector)
-
-
-def first_copies(df: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """At most the ``k`` smallest keys of every distinct vector.
-
-    Copies have equal scores and ties go to the smaller key, so no other copy can be among a query's best ``k``.
-    """
-    by_key = W.partitionBy(vector).orderBy(key)
-    return df.withColumn("_n", F.row_number().over(by_key)).where(F.col("_n") <= k).drop("_n")
-
-
-def _centers(held: DataFrame, cells: int, seed: int, rounds: int) -> np.ndarray:
-    """Cell centers by k-means; the model is ``cells`` vectors, whatever the number of rows."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    points = held.select(array_to_vector("v").alias("features"))
-    model = KMeans(k=cells, seed=seed, maxIter=rounds, initMode="random").fit(points)
-    return np.array(model.clusterCenters())
-
-
-def _visit_cells(df: DataFrame, key: str, centers: np.ndarray, choose) -> DataFrame:
-    """Rows repeated for the cells that ``choose(distances, batch)`` marks: ``(key, v, cell, distance)``.
-
-    ``distances`` holds one row per vector and one column per cell, ``choose`` returns a mask of the same shape.
-    """
-    sent = df.sparkSession.sparkContext.broadcast(centers)
-
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            distances = _distances(_unit_rows(batch.column("v")), sent.value)
-            rows, cells = np.nonzero(choose(distances, batch))
-            taken = pa.array(rows)
-            yield pa.record_batch(
-                {
-                    key: batch.column(key).take(taken),
-                    "v": batch.column("v").take(taken),
-                    "cell": cells.astype(np.int32),
-                    "distance": distances[rows, cells],
-                }
-            )
-
-    element = df.schema["v"].dataType.elementType.simpleString()
-    return df.mapInArrow(visit, f"{key} bigint, v array<{element}>, cell int, distance double")
-
-
-def _nearest(distances: np.ndarray, n: int) -> np.ndarray:
-    """Mask of the ``n`` nearest cells of each row; equal distances go to the lower cell."""
-    places = np.argsort(np.argsort(distances, axis=1, kind="stable"), axis=1, kind="stable")
-    return places < n
+def _k_means(points: np.ndarray, cells: int, random: np.random.Generator, rounds: int) -> np.ndarray:
+    """Centers of at most ``cells`` groups of the points."""
+    distinct = np.unique(points, axis=0)
+    centers = distinct[random.permutation(len(distinct))[:cells]]
+    for _ in range(rounds):
+        nearest = _distances(points, centers).argmin(axis=1)
+        counts = np.bincount(nearest, minlength=len(centers))
+        sums = np.zeros_like(centers)
+        np.add.at(sums, nearest, points)
+        centers = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centers)
+    return centers
 
 
 def _distances(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -396,110 +402,184 @@ def _distances(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0))
 
 
-def _cell_tiles(visits: DataFrame, held: DataFrame, sizes: Sequence[int], k: int, query_block: int, vector_block: int):
-    """Best ``k`` of every visit ``(query_id, v, cell)``; a crowded cell is split on both sides."""
-    asked = {r.cell: r.n for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    q_parts = F.get(F.array(*[F.lit(_blocks(asked.get(c, 0), query_block)) for c in range(len(sizes))]), F.col("cell"))
-    v_parts = F.get(F.array(*[F.lit(_blocks(n, vector_block)) for n in sizes]), F.col("cell"))
-    left = visits.select(
-        "query_id", "v", "cell", F.pmod(F.xxhash64("query_id"), q_parts).cast("int").alias("qb"),
-        F.explode(F.sequence(F.lit(0), v_parts - 1)).alias("vb"),
-    )
-    right = held.where(F.col("cell").isin(list(asked))).select(
-        "key", "v", "cell", F.pmod(F.xxhash64("key"), v_parts).cast("int").alias("vb"),
-        F.explode(F.sequence(F.lit(0), q_parts - 1)).alias("qb"),
-    )
-    tile_key = ("cell", "qb", "vb")
-    return left.groupBy(*tile_key).cogroup(right.groupBy(*tile_key)).applyInArrow(
-        _tile_top_k(k, lambda t: _unit_rows(t.column("v"))), RESULT
-    )
+class _Cells:
+    """Centers on two levels: a vector belongs to the nearest cell of the nearest group of cells."""
+
+    def __init__(self, groups: np.ndarray, group_of: np.ndarray, centers: np.ndarray):
+        self.groups, self.group_of, self.centers = groups, group_of, centers
+
+    @staticmethod
+    def found_on(points: np.ndarray, cells: int, seed: int, rounds: int) -> _Cells:
+        random = np.random.default_rng(seed)
+        groups = _k_means(points, max(1, round(cells**0.5)), random, rounds)
+        nearest = _distances(points, groups).argmin(axis=1)
+        centers, group_of = [], []
+        for group in range(len(groups)):
+            own = points[nearest == group]
+            share = max(1, round(cells * len(own) / len(points)))
+            found = _k_means(own, share, random, rounds) if len(own) else groups[group : group + 1]
+            centers.append(found)
+            group_of += [group] * len(found)
+        return _Cells(groups, np.array(group_of), np.concatenate(centers))
+
+    def of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cell of every row and the distance to its center."""
+        cell, distance = np.zeros(len(rows), np.int64), np.zeros(len(rows))
+        nearest = _distances(rows, self.groups).argmin(axis=1) if len(rows) else cell
+        for group in np.unique(nearest):
+            some, own = np.flatnonzero(nearest == group), np.flatnonzero(self.group_of == group)
+            apart = _distances(rows[some], self.centers[own])
+            best = apart.argmin(axis=1)
+            cell[some], distance[some] = own[best], apart[np.arange(len(some)), best]
+        return cell, distance
+
+
+def _probes_for(cells: _Cells, points: np.ndarray, recall: float) -> int:
+    """Cells to look into so that sampled queries find the given share of their nearest sampled points."""
+    queries = points[: min(len(points), RECALL_QUERIES)]
+    near = np.argsort(-(queries @ points.T), axis=1, kind="stable")[:, : min(RECALL_K, len(points))]
+    cell, _ = cells.of(points)
+    order = np.argsort(_distances(queries, cells.centers), axis=1, kind="stable")
+    rank = np.empty_like(order)
+    np.put_along_axis(rank, order, np.arange(order.shape[1])[None, :], axis=1)
+    needed = np.take_along_axis(rank, cell[near], axis=1).ravel() + 1
+    return int(np.sort(needed)[int(np.ceil(recall * len(needed))) - 1])
 
 
 def write_cells(
     vectors_: DataFrame,
     path: str,
     cells: int | None = None,
-    max_k: int = 100,
-    vector_key: str = "vec_id",
+    vector_key: Keys = "vec_id",
     vector: str = "embedding",
+    dimensions: int | None = None,
+    recall: float = RECALL,
     seed: int = 42,
-    rounds: int = 3,
+    rounds: int = 6,
 ) -> None:
-    """Store vectors by cell: grouped around k-means centers, a folder per cell, with each cell's size and radius.
+    """Store vectors by cell: grouped around two levels of k-means centers, a folder per cell, with its size and radius.
 
-    The number of ``cells`` grows with the square root of the rows unless it is given. Of equal vectors only the first
-    ``max_k`` are kept, the most one search may ask for, so copies cannot fill a cell.
+    The number of ``cells`` grows with the square root of the rows unless it is given. Centers, and the number of cells a
+    query has to look into for ``recall``, come from a sample of ``SAMPLE_ROWS`` vectors (``SAMPLE_PER_CELL`` per cell if
+    that is more); every searchable vector is stored, copies included.
     """
     spark = vectors_.sparkSession
-    kept = stage(first_copies(_named(vectors_, vector_key, vector, "key"), "key", "v", max_k), "cell-vectors")
+    dimensions = vector_length(vectors_, vector) if dimensions is None else dimensions
+    kept = _named(vectors_, vector_key, vector, "n", dimensions)
     if cells is None:
-        cells = int(min(max(kept.count() ** 0.5 / 2, MIN_CELLS), MAX_CELLS))
-    centers = _centers(kept, cells, seed, rounds)
-    placed = _visit_cells(kept, "key", centers, lambda d, batch: _nearest(d, 1))
+        cells = max(MIN_CELLS, int(kept.count() ** 0.5 / 2))
+    keys = [c for c in kept.columns if c != "v"]
+    chosen = bounded_sample(kept, keys, max(SAMPLE_ROWS, SAMPLE_PER_CELL * cells))
+    points = _unit_rows(chosen.select("v").toArrow().column("v"))
+    if not len(points):
+        points = np.zeros((1, max(1, dimensions)))
+    found = _Cells.found_on(points, cells, seed, rounds)
+    sent = spark.sparkContext.broadcast(found)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                cell, distance = sent.value.of(_unit_rows(part.column("v")))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(cell.astype(np.int32)), pa.array(distance)],
+                    names=[*part.schema.names, "cell", "distance"],
+                )
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema)
+    placed = kept.mapInArrow(place, f"{kinds}, cell int, distance double")
     placed.hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{path}/vectors")
-    held = spark.read.parquet(f"{path}/vectors")
-    sizes = held.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius"))
-    rows = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centers)], "cell int, center array<double>")
-    rows.join(sizes, "cell", "left").withColumn("max_k", F.lit(max_k)).write.parquet(f"{path}/cells")
+    sizes = spark.read.schema(f"{kinds}, distance double, cell int").parquet(f"{path}/vectors")
+    sizes = sizes.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius"))
+    rows = [(i, c.tolist()) for i, c in enumerate(found.centers)]
+    spark.createDataFrame(rows, "cell int, center array<double>").join(sizes, "cell", "left").write.parquet(f"{path}/cells")
+    names = [vector_key] if isinstance(vector_key, str) else list(vector_key)
+    about = [(names, kinds, dimensions, _probes_for(found, points, recall))]
+    spark.createDataFrame(about, "keys array<string>, kinds string, dimensions int, probes int").write.parquet(f"{path}/about")
+
+
+def _visits(asked: DataFrame, centers: np.ndarray, choose: Callable) -> DataFrame:
+    """Queries repeated for the cells that ``choose(distances, batch)`` marks: ``(q..., v, cell)``."""
+    sent = asked.sparkSession.sparkContext.broadcast(centers)
+    names = [c for c in asked.columns if c.startswith("q")] + ["v"]
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                rows, cells = np.nonzero(choose(_distances(_unit_rows(part.column("v")), sent.value), part))
+                taken = part.select(names).take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cells.astype(np.int32))], names=[*names, "cell"])
+
+    kinds = ", ".join(f"{n} {asked.schema[n].dataType.simpleString()}" for n in names)
+    return asked.mapInArrow(visit, f"{kinds}, cell int")
+
+
+def _places(distances: np.ndarray) -> np.ndarray:
+    """Place of every cell in the row's order by distance; equal distances go to the lower cell."""
+    order = np.argsort(distances, axis=1, kind="stable")
+    places = np.empty_like(order)
+    np.put_along_axis(places, order, np.arange(order.shape[1])[None, :], axis=1)
+    return places
 
 
 def search_cells(
     queries: DataFrame,
     path: str,
     k: int = TOP_K,
-    probes: int = 4,
+    probes: int | None = None,
     exact: bool = False,
-    query_key: str = "vec_id",
+    query_key: Keys = "vec_id",
     vector: str = "embedding",
     query_block: int | None = None,
     vector_block: int | None = None,
 ) -> DataFrame:
-    """Top-k from vectors stored by cell: a query looks into its ``probes`` nearest cells.
+    """Top-k from vectors stored by cell: a query looks into its ``probes`` nearest cells (by default what the index
+    needs for its recall), and into further ones while it has fewer than ``k`` vectors.
 
-    A query that finds fewer than ``k`` vectors there looks into all the others. Approximate by itself. With ``exact``
-    every query also visits each further cell that could still hold a better vector (distance to its center minus the
-    cell's radius is within the k-th best distance), which gives the rows of ``knn_exact``. Only the folders of visited
-    cells are read, crowded cells are split on both sides, and equal queries share one search.
+    With ``exact`` it also looks into every cell that could still hold a better vector (distance to its center minus the
+    cell's radius is within the k-th best distance): the nearest of them first, as many as before, and then again with
+    what is known by then, until there is none. This gives the rows of ``knn_exact``. Where vectors have no clusters the
+    bound excludes nothing, and an exact search is a scan. Only the folders of visited cells are read.
     """
     spark = queries.sparkSession
-    held = spark.read.parquet(f"{path}/vectors")
-    # One row per cell, at most MAX_CELLS or the number the index was written with.
+    about = spark.read.parquet(f"{path}/about").first()
+    held = spark.read.schema(f"{about.kinds}, distance double, cell int").parquet(f"{path}/vectors").drop("distance")
     layout = spark.read.parquet(f"{path}/cells").orderBy("cell").collect()
-    if k > layout[0].max_k:
-        raise ValueError(f"the index was written for at most {layout[0].max_k} neighbors")
     centers = np.array([r.center for r in layout])
-    sizes = [r.n or 0 for r in layout]
     # A cell without vectors is out of reach of every query.
     radii = np.array([-10.0 if r.radius is None else r.radius for r in layout])
-    query_block, vector_block = _block_rows(held, query_block, vector_block)
-
-    asked_all = _named(queries, query_key, vector, "query_id")
-    asked = stage(one_per_copy(asked_all, "query_id", "v"), "cell-queries")
-    first = _visit_cells(asked, "query_id", centers, lambda d, batch: _nearest(d, probes))
-    found = _cell_tiles(stage(first, "cell-visits"), held, sizes, k, query_block, vector_block)
-    found = stage(found, "cell-first")
-
-    # Unit vectors: distance^2 = 2 - 2 cos. One unit of the last digit covers the rounding of the score.
-    cosine = F.greatest(F.lit(-1.0), F.col("score") - 10.0**-DIGITS)
-    kth = _rank(found, k).where(F.col("rank") == k).select("query_id", F.sqrt(2 - 2 * cosine).alias("reach"))
-    open_queries = asked.join(kth, "query_id", "left")
-    if not exact:
-        open_queries = open_queries.where(F.col("reach").isNull())
-
-    def further(distances: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
-        reach = batch.column("reach").to_numpy(zero_copy_only=False).astype(np.float64)
-        reach = np.where(np.isnan(reach), np.inf, reach)[:, None]
-        return ~_nearest(distances, probes) & (distances - radii[None, :] <= reach + 1e-9)
-
-    more = stage(_visit_cells(open_queries, "query_id", centers, further), "cell-visits")
-    if not more.isEmpty():
-        found = found.unionByName(_cell_tiles(more, held, sizes, k, query_block, vector_block))
-    best = _rank(found, k).select("query_id", "neighbor_id", "score", "rank")
-    if asked.count() == asked_all.count():
-        return best
-    best = best.withColumnRenamed("query_id", "_copy_of")
-    copies = asked_all.join(asked.withColumnRenamed("query_id", "_copy_of"), "v").select("query_id", "_copy_of")
-    return copies.join(best, "_copy_of").select("query_id", "neighbor_id", "score", "rank")
+    probes = about.probes if probes is None else probes
+    search = _Search(k, _unit_rows, 8 * max(1, about.dimensions), query_block, vector_block)
+    asked = stage(_named(queries, query_key, vector, "q", about.dimensions), "cell-queries")
+    q_names = [c for c in asked.columns if c != "v"]
+
+    def look_into(visits: DataFrame) -> DataFrame:
+        cells = [r.cell for r in visits.select("cell").distinct().collect()]
+        return stage(search.scan(visits, held.where(F.col("cell").isin(cells)), by="cell"), "cell-found")
+
+    found = look_into(stage(_visits(asked, centers, lambda d, batch: _places(d) < probes), "cell-visits"))
+    seen = probes
+    while seen < len(centers):
+        # Unit vectors: distance^2 = 2 - 2 cos. One unit of the last digit covers the rounding of the score.
+        cosine = F.greatest(F.lit(-1.0), F.col("score") - 10.0**-DIGITS)
+        kth = _rank(found, k).where(F.col("rank") == k).select(*q_names, F.sqrt(2 - 2 * cosine).alias("reach"))
+        same = functools.reduce(Column.__and__, [asked[n].eqNullSafe(kth[n]) for n in q_names])
+        waiting = asked.join(kth, same, "left").select(asked["*"], kth["reach"])
+        if not exact:
+            waiting = waiting.where(F.col("reach").isNull())
+
+        def further(distances: np.ndarray, batch: pa.RecordBatch, seen: int = seen) -> np.ndarray:
+            reach = batch.column("reach").to_numpy(zero_copy_only=False).astype(np.float64)
+            reach = np.where(np.isnan(reach), np.inf, reach)[:, None]
+            places = _places(distances)
+            return (places >= seen) & (places < 2 * seen) & (distances - radii[None, :] <= reach + 1e-9)
+
+        more = stage(_visits(waiting, centers, further), "cell-visits")
+        if not more.isEmpty():
+            found = found.unionByName(look_into(more))
+        seen *= 2
+    return _result(found, k, query_key, about["keys"][0] if len(about["keys"]) == 1 else about["keys"])
 
 
 def knn_cells(
@@ -507,14 +587,14 @@ def knn_cells(
     vectors_: DataFrame,
     k: int = TOP_K,
     cells: int | None = None,
-    probes: int = 4,
+    probes: int | None = None,
     exact: bool = False,
-    query_key: str = "vec_id",
-    vector_key: str = "vec_id",
+    query_key: Keys = "vec_id",
+    vector_key: Keys = "vec_id",
     vector: str = "embedding",
     **blocks: int,
 ) -> DataFrame:
     """``write_cells`` into a work folder, then ``search_cells``: for vectors that are searched once."""
     path = work_folder(queries.sparkSession, "cells")
-    write_cells(vectors_, path, cells, k, vector_key, vector)
+    write_cells(vectors_, path, cells, vector_key, vector)
     return search_cells(queries, path, k, probes, exact, query_key, vector, **blocks)

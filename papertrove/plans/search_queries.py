@@ -43,7 +43,7 @@ def search_postings(spark: SparkSession, folder: str) -> DataFrame:
     chunks = docs.explode_chunks(rows, text.chunk_fixed(F.col("text")), name="content").drop("text")
     path, keys = work_folder(spark, "postings"), ["doc_id", "chunk_index"]
     search.write_postings(chunks, "content", keys, path, parts=8)
-    return search.search_postings(spark.read.parquet(path), _question(spark, folder), keys, parts=8)
+    return search.search_postings(spark, path, _question(spark, folder))
 
 
 @registered(f"""{SEARCH_SQL}
@@ -98,7 +98,7 @@ def knn_exact(spark: SparkSession, folder: str) -> DataFrame:
 @registered(KNN_SQL)
 def knn_blocked(spark: SparkSession, folder: str) -> DataFrame:
     vectors = load(spark, folder, "embeddings")
-    return search.knn_blocked(vectors, vectors)
+    return search.knn_blocked(vectors, vectors, query_block=300, vector_block=200)
 
 
 @registered(KNN_SQL)
@@ -110,6 +110,91 @@ def knn_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered()
 def knn_approx(spark: SparkSession, folder: str) -> DataFrame:
-    """Search by cells alone; approximate, so its recall is tested instead of its rows."""
+    """Search by cells alone; approximate, so ``knn_recall`` checks what it finds instead of its rows."""
     vectors = load(spark, folder, "embeddings")
     return search.knn_cells(vectors, vectors)
+
+
+@registered("""
+SELECT count(*) AS n_queries, count(*) * 5 AS n_rows, true AS recall_reached, 0::BIGINT AS better_than_exact FROM embeddings""")
+def knn_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """The approximate answers beside the exact ones: full lists, recall of at least 0.95, no score above the exact one."""
+    vectors = load(spark, folder, "embeddings")
+    near = search.knn_cells(vectors, vectors).withColumnRenamed("score", "near_score")
+    exact = search.knn_exact(vectors, vectors)
+    both = near.join(exact.select("query_id", "neighbor_id", F.lit(1).alias("hit")), ["query_id", "neighbor_id"], "left")
+    by_rank = both.join(exact.select("query_id", "rank", "score"), ["query_id", "rank"])
+    return by_rank.agg(
+        F.count_distinct("query_id").alias("n_queries"),
+        F.count(F.lit(1)).alias("n_rows"),
+        (F.count("hit") >= 0.95 * F.count(F.lit(1))).alias("recall_reached"),
+        F.coalesce(F.sum((F.col("near_score") > F.col("score")).cast("long")), F.lit(0)).alias("better_than_exact"),
+    )
+
+
+# Every fifth vector is spoiled in one of four ways, told apart by its id.
+DIRTY_SQL = """
+WITH dirty AS (
+  SELECT vec_id, CASE vec_id % 20
+    WHEN 1 THEN NULL
+    WHEN 6 THEN list_concat([NULL], CAST(embedding AS DOUBLE[])[2:])
+    WHEN 11 THEN list_concat([CAST('nan' AS DOUBLE)], CAST(embedding AS DOUBLE[])[2:])
+    WHEN 16 THEN CAST(embedding AS DOUBLE[])[2:]
+    ELSE CAST(embedding AS DOUBLE[]) END AS embedding
+  FROM embeddings),
+clean AS (SELECT * FROM dirty WHERE vec_id % 5 <> 1)"""
+
+
+def _dirty(spark: SparkSession, folder: str) -> DataFrame:
+    kind, doubles = F.col("vec_id") % 20, F.col("embedding").cast("array<double>")
+    rest = F.slice(doubles, 2, F.size(doubles) - 1)
+    spoiled = (
+        F.when(kind == 1, F.lit(None))
+        .when(kind == 6, F.concat(F.array(F.lit(None).cast("double")), rest))
+        .when(kind == 11, F.concat(F.array(F.lit(float("nan"))), rest))
+        .when(kind == 16, rest)
+        .otherwise(doubles)
+    )
+    return load(spark, folder, "embeddings").select("vec_id", spoiled.alias("embedding"))
+
+
+@registered(f"""{DIRTY_SQL},
+pairs AS (
+  SELECT q.vec_id AS query_id, v.vec_id AS neighbor_id, round(list_cosine_similarity(q.embedding, v.embedding), 6) AS score
+  FROM clean q, clean v)
+SELECT query_id, neighbor_id, score,
+       CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, neighbor_id) AS INTEGER) AS rank
+FROM pairs QUALIFY rank <= 5""")
+def knn_dirty(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors that are null, hold nulls or NaN or have another length neither ask nor answer, and harm no other."""
+    vectors = _dirty(spark, folder)
+    return search.knn_exact(vectors, vectors)
+
+
+@registered("""
+SELECT vec_id, CASE vec_id % 20 WHEN 1 THEN 'no vector' WHEN 6 THEN 'null element' WHEN 11 THEN 'not finite'
+  ELSE 'other length' END AS reason
+FROM embeddings WHERE vec_id % 5 = 1""")
+def knn_lost(spark: SparkSession, folder: str) -> DataFrame:
+    """The vectors that ``knn_dirty`` leaves out, with the reason."""
+    return search.unsearchable(_dirty(spark, folder), "vec_id", "embedding")
+
+
+@registered(f"""
+WITH chunks AS ({fixed_chunks_sql('documents', 'doc_id')}),
+v AS ({vectors_sql('chunks', 'doc_id, chunk_index', 'chunk')}),
+q AS ({vectors_sql('benchmark', 'item_id', 'text')}),
+hits AS (
+  SELECT item_id, doc_id, chunk_index, round(sum(v.weight * q.weight), 6) AS score FROM q JOIN v USING (dim) GROUP BY ALL)
+SELECT 'item-' || item_id AS item, doc_id, chunk_index, score,
+       CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, chunk_index) AS INTEGER) AS rank
+FROM hits QUALIFY rank <= 5""")
+def search_many_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Batch search with text keys of questions and the composite keys of chunks."""
+    rows = load(spark, folder, "documents").select("doc_id", "text")
+    chunks = docs.explode_chunks(rows, text.chunk_fixed(F.col("text")), name="content").drop("text")
+    index = search.embed_text(chunks, "content").drop("content")
+    items = load(spark, folder, "benchmark").select(F.concat(F.lit("item-"), "item_id").alias("item"), "text")
+    asked = search.embed_text(items, "text")
+    found = search.search_many(index, asked, question_key="item", key=["doc_id", "chunk_index"])
+    return found.select(F.col("query_id").alias("item"), "neighbor_id.*", "score", "rank")
