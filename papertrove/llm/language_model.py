@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papertrove.llm.words import Words, slices, table
+from papertrove.operators.sampling import bounded_sample
 from papertrove.sources import stage
 
 #: Bounds of the sample that the network is fitted on, and its sizes.
@@ -39,7 +40,7 @@ END, OTHER = 0, 1
 #: Weight of a word's spelling beside its count, in tokens.
 SPELLING_WEIGHT = 100_000.0
 #: Bytes of text of a slice, and of all texts per group of words.
-SLICE_TEXT = 12 << 20
+SLICE_TEXT = 8 << 20
 GROUP_TEXT = 24 << 20
 FOLDS, HELD_OUT = 5, 1
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
@@ -63,9 +64,13 @@ class Network:
         """Log10 probability of the spelling of the words at these places, with the edges before and after them."""
         if not len(starts):
             return np.zeros(0)
-        inner = np.append(0.0, np.cumsum(self.spelling[data[:-1], data[1:]]))
-        edges = self.spelling[32, data[starts]] + self.spelling[data[ends - 1], 32]
-        return inner[ends - 1] - inner[starts] + edges
+        lengths = ends - starts
+        first = np.cumsum(lengths) - lengths
+        letters = data[np.repeat(starts - first, lengths) + np.arange(lengths.sum())]
+        before = np.append(np.uint8(32), letters[:-1])
+        before[first] = 32
+        inside = np.add.reduceat(self.spelling[before, letters], first)
+        return inside + self.spelling[data[ends - 1], 32]
 
     def log_likelihood(self, documents: list[np.ndarray]) -> np.ndarray:
         """Natural log probability of every document's entries; each must close with ``END``.
@@ -297,8 +302,9 @@ def score_documents(documents: DataFrame) -> DataFrame:
     rows = documents.select(
         F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("held_out", held_out(F.col("doc_id")))
-    sample = rows.filter(~F.col("held_out") & (F.octet_length("text") <= FIT_BYTES)).withColumn("at", F.xxhash64("doc_id"))
-    texts = [row["text"] for row in sample.orderBy("at", "doc_id", "text").limit(FIT_DOCUMENTS).select("text").collect()]
+    training = rows.filter(~F.col("held_out") & (F.octet_length("text") <= FIT_BYTES))
+    sample = bounded_sample(training, ["doc_id", "text"], FIT_DOCUMENTS)
+    texts = [row["text"] for row in sample.select("text").collect()]
     network = spark.sparkContext.broadcast(fit_network(texts))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     groups = max(1, math.ceil(size / GROUP_TEXT))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papertrove.llm.words import Words, mixed, slices, table
+from papertrove.operators.sampling import bounded_sample
 
 #: Words of a passage; the bound of the labelled sample that the model is fitted on, in documents and bytes of a text.
 PASSAGE = 64
@@ -189,14 +190,13 @@ def held_out(doc_id: Column) -> Column:
 
 def _sample(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Passages, bounds and labels of at most ``FIT_DOCUMENTS`` labelled documents outside the held-out fold."""
-    chosen = (
+    marked = (
         labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("label"))
         .filter(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(FIT_DOCUMENTS)
     )
+    chosen = bounded_sample(marked, ["doc_id"], FIT_DOCUMENTS)
     # At most FIT_DOCUMENTS pairs of numbers: small enough to send to every task.
     rows = documents.join(F.broadcast(chosen), "doc_id").filter(F.octet_length("text") <= FIT_BYTES)
     schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("features", pa.binary())])

@@ -29,7 +29,7 @@ from papertrove.llm.words import Words, id_back, id_or_none, mixed, run_codes, s
 WINDOW = 20
 #: Suffixes that one subtree is built from, and bytes of text of one slice and of one group of documents at the end.
 GROUP_SUFFIXES = 1_500_000
-SLICE_TEXT = 8 << 20
+SLICE_TEXT = 6 << 20
 MEET_TEXT = 48 << 20
 #: Counters of the word frequencies, a table of this fixed size.
 COUNTERS = 1 << 14
