@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import struct
 from collections.abc import Iterator
 
@@ -12,12 +14,13 @@ from pyspark.sql import types as T
 
 from papertrove.config import DIAGRAM_HEIGHT, DIAGRAM_WIDTH, MAX_IMAGE_SIDE
 
-# Leading bytes (hex) of each file type, in the order they are tried.
+# Leading bytes (hex) of each file type, in the order they are tried; dots stand for any digit.
 SIGNATURES = (
     ("FFD8FF", "image/jpeg"),
     ("89504E470D0A1A0A", "image/png"),
-    ("47494638", "image/gif"),
-    ("424D", "image/bmp"),
+    ("474946383761", "image/gif"),
+    ("474946383961", "image/gif"),
+    ("424D........00000000....0000", "image/bmp"),
     ("49492A00", "image/tiff"),
     ("4D4D002A", "image/tiff"),
     ("25504446", "application/pdf"),
@@ -41,8 +44,11 @@ EXTENSIONS = (
 def sniff_mime(content: Column) -> Column:
     """Type from the leading bytes; null when unknown."""
     kind = F.lit(None).cast("string")
-    for prefix, mime in reversed(SIGNATURES):
-        kind = F.when(F.startswith(content, F.lit(bytes.fromhex(prefix))), mime).otherwise(kind)
+    for pattern, mime in reversed(SIGNATURES):
+        # Fixed parts with their places: a type whose mark is short is also known by bytes further on.
+        parts = [(m.start() // 2, bytes.fromhex(m[0])) for m in re.finditer("[0-9A-F]+", pattern)]
+        tests = [F.substring(content, at + 1, len(part)) == F.lit(part) for at, part in parts]
+        kind = F.when(functools.reduce(Column.__and__, tests), mime).otherwise(kind)
     return kind
 
 

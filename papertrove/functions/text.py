@@ -13,18 +13,64 @@ from pyspark.sql import types as T
 
 from papertrove.config import CHUNK_OVERLAP, CHUNK_SIZE
 
-# Separators in the order they are tried, and the four decoded entities (ampersand last).
+# Separators in the order they are tried, and the decoded named entities (ampersand last).
 SEPARATORS = ("\n\n", "\n", " ", "")
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&"))
+ENTITIES = (
+    ("&lt;", "<"),
+    ("&gt;", ">"),
+    ("&quot;", '"'),
+    ("&apos;", "'"),
+    ("&nbsp;", " "),
+    ("&copy;", "©"),
+    ("&reg;", "®"),
+    ("&middot;", "·"),
+    ("&bull;", "•"),
+    ("&hellip;", "…"),
+    ("&ndash;", "–"),
+    ("&mdash;", "—"),
+    ("&lsquo;", "‘"),
+    ("&rsquo;", "’"),
+    ("&ldquo;", "“"),
+    ("&rdquo;", "”"),
+    ("&amp;", "&"),
+)
 
 # Every character that Python's str.strip() removes.
 BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<nav[^>]*>.*?</nav>|<!--.*?-->"
+#: What a tag becomes in markdown, in the order in which tags are replaced.
+MARKDOWN = (
+    *((rf"(?i)<h{level}(?:\s[^>]*)?>", "\n" + "#" * level + " ") for level in range(1, 7)),
+    (r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>', "[$2]($1)"),
+    (r"(?i)<pre(?:\s[^>]*)?>(?:\s*<code(?:\s[^>]*)?>)?|(?:</code>\s*)?</pre>", "\n```\n"),
+    (r"(?i)</?code(?:\s[^>]*)?>", "`"),
+    (r"(?i)<li(?:\s[^>]*)?>", "\n- "),
+    (r"(?i)<t[dh](?:\s[^>]*)?>", " | "),
+    (r"(?i)</tr>", " |\n"),
+    (r"(?i)<br\s*/?>", "\n"),
+    (r"(?i)<p(?:\s[^>]*)?>|</p>|</h[1-6]>|</?ul(?:\s[^>]*)?>|</?ol(?:\s[^>]*)?>|</?table(?:\s[^>]*)?>", "\n\n"),
+)
 TITLE = r"(?is)<title[^>]*>.*?</title>"
 
 
 def _decode_entities(col: Column) -> Column:
+    """Decimal and named character references as characters; surrogates and numbers beyond six digits stay as they are."""
+
+    def decimal(text: Column) -> Column:
+        numbers = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{1,6});"), F.lit(1)))
+        return F.aggregate(
+            F.filter(numbers, lambda n: ~n.cast("int").between(0xD800, 0xDFFF)),
+            text,
+            lambda done, n: F.replace(
+                done,
+                F.concat(F.lit("&#"), n, F.lit(";")),
+                F.decode(F.unhex(F.lpad(F.hex(n.cast("long")), 8, "0")), "UTF-32"),
+            ),
+        )
+
+    # transform(array(x), f) binds x once.
+    col = F.transform(F.array(col), decimal)[0]
     for entity, char in ENTITIES:
         col = F.replace(col, F.lit(entity), F.lit(char))
     return col
@@ -41,10 +87,13 @@ def html_to_text(html: Column | str) -> Column:
 
 
 def html_to_markdown(html: Column | str) -> Column:
-    """Markdown of a web page: headings, paragraphs and blank lines between them."""
+    """Markdown of a web page: headings, paragraphs, lists, tables, links, line breaks and code.
+
+    Blocks are divided by blank lines, and so are the items of a list and the rows of a table.
+    """
     out = F.regexp_replace(html, f"{HIDDEN}|{TITLE.removeprefix('(?is)')}", " ")
-    out = F.regexp_replace(out, r"(?i)<h1[^>]*>", "\n# ")
-    out = F.regexp_replace(out, r"(?i)<p[^>]*>|</p>|</h1>", "\n\n")
+    for pattern, markdown in MARKDOWN:
+        out = F.regexp_replace(out, pattern, markdown)
     out = F.regexp_replace(out, r"<[^>]+>", " ")
     out = F.regexp_replace(out, r"[ \t]+", " ")
     out = F.regexp_replace(out, r" ?\n[ \n]*", "\n\n")
@@ -52,12 +101,14 @@ def html_to_markdown(html: Column | str) -> Column:
 
 
 def bytes_to_text(content: Column) -> Column:
-    """File bytes as text; malformed sequences become replacement characters instead of failing the job."""
-    return F.make_valid_utf8(content.cast("string"))
+    """File bytes as text without a byte order mark; malformed sequences become replacement characters."""
+    return F.regexp_replace(F.make_valid_utf8(content.cast("string")), "^\ufeff", "")
 
 
 def is_html(text: Column) -> Column:
-    return F.regexp_like(text, F.lit(r"(?i)^\s*(<!doctype html|<html)"))
+    """True for a page: its first tag, after any prolog and comments, is one that only pages begin with."""
+    begin = r"(?is)^\s*(?:<\?xml.*?\?>\s*)?(?:<!--.*?-->\s*)*<(?:!doctype\s+html|html|head|body)[\s>]"
+    return F.regexp_like(text, F.lit(begin))
 
 
 def export_document(content: Column, mime_type: Column, format: str = "markdown") -> Column:
@@ -82,8 +133,8 @@ def split_pages(text: Column | str, delimiter: str = "\f") -> Column:
 def chunk_fixed(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
     """Overlapping windows of ``size`` characters every ``size - overlap`` characters, as an array.
 
-    ``substring`` counts from the start of the text every time, which is quadratic in its length, so long texts are cut
-    into strides once by a regular expression and each window is put together from neighbouring strides.
+    ``substring`` counts from the start of the text every time, which is quadratic in its length, so the text is cut into
+    strides once by a regular expression and each window is put together from neighbouring strides.
     """
     stride = size - overlap
     if not 0 <= overlap < size:
@@ -92,15 +143,14 @@ def chunk_fixed(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERL
     windows = F.sequence(F.lit(0), last)
     strides = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
     per_window = -(-size // stride)
-    short = F.transform(windows, lambda k: F.substring(text, k * stride + 1, F.lit(size)))
     # transform(array(x), f) binds x once, so the strides are not cut again for every window.
-    long = F.transform(
+    chunks = F.transform(
         F.array(strides),
         lambda cut: F.transform(
             windows, lambda k: F.left(F.array_join(F.slice(cut, k + 1, F.lit(per_window)), ""), F.lit(size))
         ),
     )[0]
-    return F.when(F.length(text) > 64 * size, long).when(F.length(text) > 0, short)
+    return F.when(F.length(text) > 0, chunks)
 
 
 def _pieces(text: str, lo: int, hi: int, separator: str) -> Sequence[int]:

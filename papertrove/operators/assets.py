@@ -31,15 +31,33 @@ IMAGE_INDEX_COLUMNS = (
     "original_image_size",
     "resized_image_size",
 )
-LINKED_ASSET = r'(?:href|src)="([^"]*)"'
+# An attribute with a value in double quotes, single quotes or none, in either case; and what surrounds its value.
+LINKED_ASSET = r"""(?i)\b(?:href|src)\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+AROUND_ASSET = r"""(?i)^(?:href|src)\s*=\s*["']?|["']$"""
+INLINE_IMAGE = r"""(?i)\bsrc\s*=\s*["']?data:(image/[a-z0-9.+-]+);base64,([A-Za-z0-9+/=\s]+)"""
 
 
 def linked_assets(html: Column) -> Column:
     """Assets a web page refers to, as ``array<struct<asset, page_number, ordinal>>`` in order of appearance."""
     return F.transform(
-        F.regexp_extract_all(html, F.lit(LINKED_ASSET), F.lit(1)),
+        F.regexp_extract_all(html, F.lit(LINKED_ASSET), F.lit(0)),
         lambda asset, i: F.struct(
-            asset.alias("asset"), F.lit(1).alias("page_number"), (i + 1).cast("int").alias("ordinal")
+            F.regexp_replace(asset, AROUND_ASSET, "").alias("asset"), F.lit(1).alias("page_number"), (i + 1).cast("int").alias("ordinal")
+        ),
+    )
+
+
+def inline_images(html: Column) -> Column:
+    """Images that a web page holds itself, in the form of ``extract_images``; malformed base64 gives null bytes."""
+    kinds, encoded = (F.regexp_extract_all(html, F.lit(INLINE_IMAGE), F.lit(group)) for group in (1, 2))
+    return F.transform(
+        F.arrays_zip(F.transform(kinds, F.lower).alias("kind"), encoded.alias("encoded")),
+        lambda image, i: F.struct(
+            media.from_base64(image["encoded"]).alias("extracted_image"),
+            F.lit(1).alias("page_number"),
+            (i + 1).cast("int").alias("ordinal"),
+            image["kind"].alias("image_mime_type"),
+            media.mime_extension(image["kind"]).alias("image_ext"),
         ),
     )
 
@@ -86,7 +104,7 @@ def image_files(files: DataFrame) -> DataFrame:
 
 
 def describe_images(images: DataFrame, base: str, max_side: int = MAX_IMAGE_SIDE) -> DataFrame:
-    """Sizes, base64 text and target path of each image, added in one projection."""
+    """Sizes and target path of each image."""
     size = media.image_size(F.col("extracted_image"), F.col("image_mime_type"))
     return (
         images.withColumn("original_image_size", size)
@@ -95,7 +113,6 @@ def describe_images(images: DataFrame, base: str, max_side: int = MAX_IMAGE_SIDE
                 "resized_image_size": media.fit_within(
                     F.col("original_image_size")[0], F.col("original_image_size")[1], max_side
                 ),
-                "base64_image": media.to_base64(F.col("extracted_image")),
                 "image_path": media.asset_path(
                     F.col("source_path"), F.col("page_number"), F.col("ordinal"), F.col("image_ext"), base
                 ),
@@ -130,15 +147,22 @@ def _save(path: str, content: bytes | None, default: str, made: set[str]) -> str
         return str(error)
 
 
-def save_assets(df: DataFrame, path_column: str, bytes_column: str, batch_rows: int = IMAGE_BATCH_ROWS) -> DataFrame:
+def save_assets(
+    df: DataFrame, path_column: str, bytes_column: str, batch_rows: int = IMAGE_BATCH_ROWS, shared: bool = False
+) -> DataFrame:
     """Write every row's bytes to its path now and return the report ``(path, status, error)``.
 
     This is an action: the files are written exactly when it is called, by the executors, and the report is read from
     the table the same job wrote, so that looking at it does not write the files again. A file is written under another
     name and moved, so a reader never sees half of it; one that fails is reported and does not stop the job.
+    On a cluster, paths on the machines' own disks are refused unless ``shared`` says that all machines mount them.
     """
     spark = df.sparkSession
     default = default_file_system(spark)
+    if default.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        local = df.where(~F.col(path_column).rlike("^[A-Za-z][A-Za-z0-9+.-]+:") | F.col(path_column).startswith("file:"))
+        if not shared and not local.isEmpty():
+            raise ValueError("paths on the machines' own disks: give paths with a scheme, or say that they are shared")
 
     def write_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made: set[str] = set()

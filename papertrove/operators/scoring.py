@@ -17,9 +17,6 @@ from papertrove.sources.tables import class_prompts
 
 Scorer = Callable[..., Any]
 
-# A class list is written by hand in the settings, so it is small; more entries than this are a mistake.
-MAX_CLASSES = 10_000
-
 
 def score_batches(
     df: DataFrame,
@@ -74,8 +71,6 @@ def nearest_centroid(
     are neither joined nor shuffled. Equal scores go to the smaller label.
     """
     allowed = list(allowed)
-    if len(allowed) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
     center = F.struct(F.col(label).alias("label"), vectors.unit(F.col("centroid")).alias("unit"))
     packed = (
         centers.where(F.col(label).isin(allowed)).agg(F.array_sort(F.collect_list(center)).alias("centers")).scalar()
@@ -99,11 +94,9 @@ def nearest_centroid(
 def prompt_fallback(rows: DataFrame, class_column: str, classes: Iterable[tuple[str, str | None]]) -> DataFrame:
     """Add ``prompt``: that of the row's class, else that of ``default``, else empty."""
     classes = list(classes)
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
     default = next((prompt for name, prompt in classes if name == "default"), None)
     table = class_prompts(rows.sparkSession, classes).withColumnRenamed("prompt", "_prompt")
-    joined = rows.join(F.broadcast(table), F.col(class_column) == F.col("class_name"), "left")
+    joined = rows.join(table, F.col(class_column) == F.col("class_name"), "left")
     return joined.withColumn(
         "prompt", F.coalesce(F.nullif(F.col("_prompt"), F.lit("")), F.lit(default), F.lit(""))
     ).drop("class_name", "_prompt")

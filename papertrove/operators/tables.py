@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Sequence
 
@@ -15,9 +16,12 @@ def create_or_replace(df: DataFrame, name: str, key: str, root: str, order_by: S
     """Write ``df`` as the new content of table ``name`` with a generated key column in front.
 
     The rows go to a folder of their own and the key is audited there; only then is the name moved to that folder, so
-    readers see the old table or the new one. With ``order_by`` the key follows a natural key and stays the same from
-    one rebuild to the next.
+    readers see the old table or the new one. When the columns change, the name has to be dropped and made again; only
+    then is there a moment without it. The name must not be a table that owns its files, which dropping would delete.
+    With ``order_by`` the key follows a natural key and stays the same from one rebuild to the next.
     """
+    if df.sparkSession.catalog.tableExists(name) and df.sparkSession.catalog.getTable(name).tableType == "MANAGED":
+        raise ValueError(f"table {name} owns its files and would lose them")
     spark = df.sparkSession
     keyed = assign_key(df, key, order_by) if order_by else generate_key(df, key)
     folder = f"{root.rstrip('/')}/{name}/version-{uuid.uuid4().hex}"
@@ -37,7 +41,10 @@ def create_or_replace(df: DataFrame, name: str, key: str, root: str, order_by: S
 
 
 def append(df: DataFrame, name: str, key: str) -> DataFrame:
-    """Add rows to a table; the key is generated behind the highest one in use and must not be in ``df``."""
+    """Add rows to a table; the key is generated behind the highest one in use and must not be in ``df``.
+
+    The key of the whole table is audited afterwards, since another writer may have taken the same numbers.
+    """
     spark = df.sparkSession
     target = spark.table(name)
     expected = [c for c in target.columns if c != key]
@@ -50,6 +57,7 @@ def append(df: DataFrame, name: str, key: str) -> DataFrame:
     highest = target.agg(F.max(key).alias("highest")).first().highest
     generate_key(df.select(*expected), key, after=highest).select(*target.columns).write.insertInto(name)
     spark.catalog.refreshTable(name)
+    check_key(spark.table(name), key)
     return spark.table(name)
 
 
@@ -63,7 +71,8 @@ def latest_rows(changes: DataFrame, key: Sequence[str], version: Sequence[str])
 def table_changes(old: DataFrame, new: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Row-level difference of two snapshots: ``change_type`` and the columns of the table.
 
-    Types are ``insert``, ``delete``, ``update_preimage`` and ``update_postimage``; values are compared null-safe.
+    Types are ``insert``, ``delete``, ``update_preimage`` and ``update_postimage``; keys and values are compared
+    null-safe.
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in new.columns if c not in keys]
@@ -71,12 +80,15 @@ def table_changes(old: DataFrame, new: DataFrame, key: str | Sequence[str]) -> D
         raise ValueError("the snapshots have different columns")
 
     def packed(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, F.struct(F.lit(True).alias("_here"), *rest).alias(name))
+        named = [F.col(k).alias(f"{name}_{i}") for i, k in enumerate(keys)]
+        return df.select(*named, F.struct(F.lit(True).alias("_here"), *rest).alias(name))
 
     def change(kind: str, row: str) -> Column:
         return F.struct(F.lit(kind).alias("change_type"), F.col(row).alias("row"))
 
-    both = packed(old, "_old").join(packed(new, "_new"), keys, "full_outer")
+    same = [F.col(f"_old_{i}").eqNullSafe(F.col(f"_new_{i}")) for i in range(len(keys))]
+    both = packed(old, "_old").join(packed(new, "_new"), functools.reduce(Column.__and__, same), "full_outer")
+    both = both.select("_old", "_new", *[F.coalesce(f"_old_{i}", f"_new_{i}").alias(k) for i, k in enumerate(keys)])
     changes = (
         F.when(F.col("_old").isNull(), F.array(change("insert", "_new")))
         .when(F.col("_new").isNull(), F.array(change("delete", "_old")))

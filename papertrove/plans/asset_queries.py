@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,12 +13,12 @@ from papertrove.config import CLASS_NAMES
 from papertrove.functions import media
 from papertrove.operators import assets, scoring
 from papertrove.operators.documents import explode_structs
-from papertrove.plans import samples
+from papertrove.plans import jobs, samples
 from papertrove.plans.oracle_parts import path_sql, stem_sql
 from papertrove.plans.registry import registered
 from papertrove.sources.files import source_path
 from papertrove.sources.storage import work_folder
-from papertrove.sources.tables import load, spread
+from papertrove.sources.tables import load, load_spread
 
 WITH_FILES = f"WITH {samples.FILE_BYTES_SQL}"
 
@@ -126,7 +129,7 @@ links AS (
 @registered(f"""WITH {LINKS_SQL}
 SELECT page_id, asset, 1 AS page_number, CAST(ordinal AS INTEGER) AS ordinal FROM links""")
 def asset_extract(spark: SparkSession, folder: str) -> DataFrame:
-    pages = spread(load(spark, folder, "pages")).select("page_id", "html")
+    pages = load_spread(spark, folder, "pages").select("page_id", "html")
     return explode_structs(pages, assets.linked_assets(F.col("html")), drop=["html"])
 
 
@@ -152,7 +155,7 @@ def save_assets(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit(target), "source_path").alias("path"), "source_content"
     )
     name = F.regexp_extract("path", "([^/]*)$", 1).alias("file_name")
-    report = assets.save_assets(files, "path", "source_content").select(name, "status")
+    report = assets.save_assets(files, "path", "source_content", shared=True).select(name, "status")
     written = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(target)
     written = written.select(name, F.col("length").alias("n_bytes"), F.md5("content").alias("digest"))
     return report.join(written, "file_name", "left")
@@ -162,7 +165,7 @@ def save_assets(spark: SparkSession, folder: str) -> DataFrame:
 images AS (
   SELECT t.source_path, t.mime, width, height, fit_width, fit_height, content, octet_length(content) AS n,
          {EXTENSION_SQL.replace('CASE mime', 'CASE t.mime')} AS ext
-  FROM typed t JOIN fitted f USING (doc_id)),
+  FROM typed t LEFT JOIN fitted f USING (doc_id) WHERE t.mime LIKE 'image/%'),
 scored AS (
   SELECT *, list_value({', '.join(f"'{c}'" for c in CLASS_NAMES)})[CAST(n % {len(CLASS_NAMES)} AS INTEGER) + 1] AS class
   FROM images)
@@ -180,8 +183,7 @@ def process_assets(spark: SparkSession, folder: str) -> DataFrame:
     images = explode_structs(
         typed, assets.extract_images(F.col("source_content"), F.col("source_mime_type")), drop=["source_content"]
     )
-    sized = images.where(F.col("image_mime_type").isin("image/png", "image/gif", "image/jpeg"))
-    images = assets.describe_images(sized, "/images")
+    images = assets.describe_images(images, "/images")
     names = list(CLASS_NAMES)
     images = scoring.score_batches(
         images, ["extracted_image"], "_caption", T.StringType(), lambda: lambda content: f"{len(content)} bytes"
@@ -200,5 +202,62 @@ def process_assets(spark: SparkSession, folder: str) -> DataFrame:
         "source_path", "image_mime_type", "page_number", "ordinal",
         size[0].alias("width"), size[1].alias("height"), fit[0].alias("fit_width"), fit[1].alias("fit_height"),
         "image_path", "image_caption", "image_classification",
-        F.md5(F.col("base64_image").cast("binary")).alias("encoded_digest"), "summary_prompt",
+        F.md5(media.to_base64(F.col("extracted_image")).cast("binary")).alias("encoded_digest"), "summary_prompt",
+    )
+
+
+@registered(f"""{WITH_SIZES}
+SELECT t.doc_id, t.mime AS image_mime_type, CAST(n AS INTEGER) AS ordinal, {EXTENSION_SQL} AS image_ext,
+       octet_length(content) AS n_bytes, md5(content) AS digest,
+       width BETWEEN 500 AND 2000 AND height BETWEEN 375 AND 1500 AS is_diagram
+FROM typed t JOIN fitted f USING (doc_id, mime), (VALUES (1), (2)) AS twice(n)""")
+def inline_images(spark: SparkSession, folder: str) -> DataFrame:
+    """Images inside the pages themselves, with attributes in several forms, decoded and measured."""
+    typed = _typed(spark, folder).where(media.is_image(F.col("mime_type")))
+    url = media.data_url(F.col("mime_type"), media.to_base64(F.col("source_content")))
+    html = F.concat(F.lit("<p><img alt='a' src=\""), url, F.lit('"></p><IMG SRC = \''), url, F.lit("'><img src=/other.png>"))
+    images = explode_structs(typed.select("doc_id", html.alias("html")), assets.inline_images(F.col("html")), drop=["html"])
+    size = media.image_size(F.col("extracted_image"), F.col("image_mime_type"))
+    sized = images.withColumn("size", size)
+    return sized.select(
+        "doc_id", "image_mime_type", "ordinal", "image_ext",
+        F.octet_length("extracted_image").cast("long").alias("n_bytes"), F.md5("extracted_image").alias("digest"),
+        media.is_diagram(F.col("size")[0], F.col("size")[1]).alias("is_diagram"),
+    )
+
+
+@registered(f"""{WITH_SIZES},
+images AS (
+  SELECT t.source_path, t.mime, content, octet_length(content) AS n, {EXTENSION_SQL.replace('CASE mime', 'CASE t.mime')} AS ext,
+         list_value({', '.join(f"'{c}'" for c in CLASS_NAMES)})[CAST(octet_length(content) % {len(CLASS_NAMES)} AS INTEGER) + 1] AS class
+  FROM typed t WHERE t.mime LIKE 'image/%')
+SELECT source_path, mime AS source_mime_type, n AS source_length,
+       '/images/' || {stem_sql('source_path')} || '-' || left(md5(source_path), 8) || '-page1-index1' || ext AS image_path,
+       mime AS image_mime_type, class AS image_classification, n || ' bytes' AS image_caption, 1 AS page_number, 1 AS ordinal,
+       md5('Summarize this image of a ' || class || ' using the provided tools.'
+       || CASE WHEN class = 'map' THEN ' Instructions: Name the places.' ELSE ' Instructions: Be brief.' END
+       || 'data:' || mime || ';base64,' || base64(content)) AS content
+FROM images""")
+def image_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The image job's own functions, with models that answer by what they are given: describe, score, project."""
+    files = samples.file_bytes(spark, folder).select(
+        "source_path",
+        media.sniff_mime(F.col("source_content")).alias("source_mime_type"),
+        F.lit(None).cast("timestamp").alias("source_modification_time"),
+        F.octet_length("source_content").cast("long").alias("source_length"),
+        "source_content",
+    )
+    images = explode_structs(
+        files, assets.extract_images(F.col("source_content"), F.col("source_mime_type")), drop=["source_content"]
+    )
+    prompts = {"default": "Be brief.", "map": "Name the places."}
+    scored = jobs.score_images(
+        assets.describe_images(images, "/images"),
+        [(name, prompts.get(name)) for name in CLASS_NAMES],
+        lambda: lambda content: f"{len(content)} bytes",
+        lambda: lambda url, names: names[len(base64.b64decode(url.partition(",")[2])) % len(names)],
+        lambda: lambda prompt, url: hashlib.md5((prompt + url).encode()).hexdigest(),
+    )
+    return assets.image_index_projection(scored).drop(
+        "source_modification_time", "original_image_size", "resized_image_size"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from papertrove.config import DOCUMENT_BATCH_ROWS, IMAGE_BATCH_ROWS, TOP_K, Settings
-from papertrove.functions import media, text
+from papertrove.functions import text
 from papertrove.operators import assets, documents, scoring, search, tables
 from papertrove.session import arrow_batch
 from papertrove.sources.files import scan_binary
@@ -34,6 +35,13 @@ def page_chunks(spark: SparkSession, path: str, glob: str | None = None, delimit
     return documents.process_pages(documents.export_documents(scan_binary(spark, path, glob)), delimiter=delimiter)
 
 
+def data_url(content: bytes | None, mime_type: str | None) -> str | None:
+    """What a model that takes an address gets instead of bytes."""
+    if content is None or mime_type is None:
+        return None
+    return f"data:{mime_type};base64,{base64.b64encode(content).decode()}"
+
+
 def score_images(
     images: DataFrame,
     classes: Sequence[tuple[str, str | None]],
@@ -42,23 +50,27 @@ def score_images(
     make_summarizer: Callable[[], Callable],
     partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``image_caption``, ``image_classification`` and ``image_summary`` to rows with ``base64_image``.
+    """Add ``image_caption``, ``image_classification`` and ``image_summary`` to rows with ``extracted_image``.
 
     Captioner ``(bytes)``, classifier ``(data url, class names)`` and summarizer ``(prompt, data url)`` are loaded once
     per task; ``prompts.CLASSIFY_REQUEST`` is the text to classify with. Rows are spread before the models and written
-    once the classes are known, so that no model call is repeated by what looks at them. A class outside the closed list
-    becomes null.
+    once the classes are known, so that no model call is repeated by what looks at them. Data URLs are made where a model
+    takes them and never written. A class outside the closed list becomes null.
     """
     names = [name for name, _ in classes]
     rows = spread(images, partitions)
-    rows = rows.withColumn("_url", media.data_url(F.col("image_mime_type"), F.col("base64_image")))
     rows = scoring.score_batches(rows, ["extracted_image"], "_caption", T.StringType(), make_captioner)
 
     def bounded() -> Callable:
         classify = make_classifier()
-        return lambda url: classify(url, names)
+        return lambda content, mime_type: classify(data_url(content, mime_type), names)
 
-    rows = scoring.score_batches(rows, ["_url"], "_class", T.StringType(), bounded)
+    def summarizer() -> Callable:
+        summarize = make_summarizer()
+        return lambda prompt, content, mime_type: summarize(prompt, data_url(content, mime_type))
+
+    image = ["extracted_image", "image_mime_type"]
+    rows = scoring.score_batches(rows, image, "_class", T.StringType(), bounded)
     rows = stage(rows, "classified-images").withColumns(
         {
             "image_caption": F.col("_caption.value"),
@@ -66,13 +78,13 @@ def score_images(
         }
     )
     rows = scoring.build_prompt(rows, "image_classification", classes)
-    rows = scoring.score_batches(rows, ["summary_prompt", "_url"], "_summary", T.StringType(), make_summarizer)
+    rows = scoring.score_batches(rows, ["summary_prompt", *image], "_summary", T.StringType(), summarizer)
     return rows.withColumns(
         {
             "image_summary": F.col("_summary.value"),
             "scoring_error": F.coalesce("_caption.error", "_class.error", "_summary.error"),
         }
-    ).drop("_caption", "_class", "_summary", "_url", "prompt")
+    ).drop("_caption", "_class", "_summary", "prompt")
 
 
 def build_image_index(
@@ -121,10 +133,15 @@ def ask(index: DataFrame, question: str | DataFrame, settings: Settings) -> Data
 
 
 def chunk_search(
-    documents_: DataFrame, question: str | DataFrame, k: int = TOP_K, key: str = "doc_id", text_column: str = "text"
+    documents_: DataFrame,
+    question: str | DataFrame,
+    k: int = TOP_K,
+    key: str = "doc_id",
+    text_column: str = "text",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Which chunks of the documents best match a question: chunk, embed, score and keep the best."""
-    texts = spread(documents_.select(key, text_column))
+    texts = spread(documents_.select(key, text_column), partitions)
     chunks = documents.explode_chunks(texts, text.chunk_fixed(F.col(text_column)), name="content").drop(text_column)
     index = search.embed_text(chunks, "content")
     return search.similarity_search(index, question, [key, "chunk_index", "content"], k, key=[key, "chunk_index"])

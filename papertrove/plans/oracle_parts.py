@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from papertrove.functions.text import BLANKS
+from papertrove.functions.text import BLANKS, ENTITIES, MARKDOWN
 
 _BLANK_CODES = " || ".join(f"chr({ord(c)})" for c in BLANKS)
 
@@ -84,8 +84,9 @@ def markdown_sql(html: str = "html") -> str:
         r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<nav[^>]*>.*?</nav>|<!--.*?-->|<title[^>]*>.*?</title>"
     )
     out = f"regexp_replace({html}, '{hidden}', ' ', 'g')"
-    out = f"regexp_replace({out}, '(?i)<h1[^>]*>', chr(10) || '# ', 'g')"
-    out = f"regexp_replace({out}, '(?i)<p[^>]*>|</p>|</h1>', chr(10) || chr(10), 'g')"
+    for pattern, markdown in MARKDOWN:
+        markdown = markdown.replace("$", "\\").replace("\n", "' || chr(10) || '")
+        out = f"regexp_replace({out}, '{pattern}', '{markdown}', 'g')"
     out = f"regexp_replace({out}, '<[^>]+>', ' ', 'g')"
     out = f"regexp_replace({out}, '[ \\t]+', ' ', 'g')"
     out = f"regexp_replace({out}, ' ?\\n[ \\n]*', chr(10) || chr(10), 'g')"
@@ -103,7 +104,12 @@ def text_sql(html: str = "html") -> str:
 
 
 def entities_sql(value: str) -> str:
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+    value = (
+        f"list_reduce(list_transform([{value}], lambda t: list_prepend(t, list_distinct(regexp_extract_all(t, "
+        "'&#([0-9]{1,6});', 1))))[1], lambda t, n: replace(t, '&#' || n || ';', chr(CAST(n AS INTEGER))))"
+    )
+    for entity, char in ENTITIES:
+        char = char.replace("'", "''")
         value = f"replace({value}, '{entity}', '{char}')"
     return value
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papertrove.sources.tables import load, spread
+from papertrove.sources.tables import load, load_spread
 
 # Width and height that a document's image header declares.
 WIDTH = "(n_chars * 7 + doc_id) % 3000 + 1"
@@ -36,7 +36,7 @@ def file_bytes(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("kind") == 3, F.lit("255044462D312E37"))
         .otherwise("")
     )
-    texts = spread(load(spark, folder, "documents").select("doc_id", "text", "source", "n_chars"))
+    texts = load_spread(spark, folder, "documents", "doc_id", "text", "source", "n_chars")
     sized = texts.select(
         "doc_id", "text", "source",
         F.format_string("/files/%s/doc.%d.bin", "source", "doc_id").alias("source_path"),

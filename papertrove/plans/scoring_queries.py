@@ -10,7 +10,7 @@ from papertrove.config import CLASS_NAMES
 from papertrove.functions.media import data_url, to_base64
 from papertrove.operators import scoring
 from papertrove.plans.registry import registered
-from papertrove.sources.tables import load, spread
+from papertrove.sources.tables import load, load_spread
 
 # A class list in which ``user`` appears twice, ``assistant`` has no prompt and ``system`` is missing.
 ROLE_PROMPTS = (
@@ -28,7 +28,7 @@ def _text_length(text: str | None) -> int:
 
 @registered("SELECT doc_id, length(text) AS value, CAST(NULL AS VARCHAR) AS error FROM documents")
 def score_batches(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spread(load(spark, folder, "documents").select("doc_id", "text"))
+    rows = load_spread(spark, folder, "documents", "doc_id", "text")
     scored = scoring.score_batches(rows, ["text"], "scored", T.LongType(), lambda: _text_length)
     return scored.select("doc_id", "scored.value", "scored.error")
 

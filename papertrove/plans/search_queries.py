@@ -12,7 +12,7 @@ from papertrove.plans.jobs import chunk_search
 from papertrove.plans.oracle_parts import fixed_chunks_sql, vectors_sql
 from papertrove.plans.registry import registered
 from papertrove.sources.storage import work_folder
-from papertrove.sources.tables import load, spread
+from papertrove.sources.tables import load, load_spread
 
 SEARCH_SQL = f"""
 WITH chunks AS ({fixed_chunks_sql('documents', 'doc_id')}),
@@ -33,13 +33,13 @@ def _question(spark: SparkSession, folder: str) -> DataFrame:
 @registered(f"{SEARCH_SQL} SELECT doc_id, chunk_index, content, score FROM best")
 def search_one(spark: SparkSession, folder: str) -> DataFrame:
     """The chunks that best match the first benchmark question."""
-    return chunk_search(load(spark, folder, "documents"), _question(spark, folder))
+    return chunk_search(load_spread(spark, folder, "documents", "doc_id", "text"), _question(spark, folder))
 
 
 @registered(f"{SEARCH_SQL} SELECT doc_id, chunk_index, score FROM best")
 def search_postings(spark: SparkSession, folder: str) -> DataFrame:
     """The answers of ``search_one`` out of vectors stored by dimension."""
-    rows = spread(load(spark, folder, "documents").select("doc_id", "text"))
+    rows = load_spread(spark, folder, "documents", "doc_id", "text")
     chunks = docs.explode_chunks(rows, text.chunk_fixed(F.col("text")), name="content").drop("text")
     path, keys = work_folder(spark, "postings"), ["doc_id", "chunk_index"]
     search.write_postings(chunks, "content", keys, path, parts=8)
@@ -51,7 +51,7 @@ SELECT content AS field_0, CAST(doc_id AS VARCHAR) AS field_1, CAST(chunk_index
 def search_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The same answers as positional rows in a requested column order."""
     columns = ["content", "doc_id", "chunk_index"]
-    rows = search.result_rows(chunk_search(load(spark, folder, "documents"), _question(spark, folder)), columns)
+    rows = search.result_rows(chunk_search(load_spread(spark, folder, "documents", "doc_id", "text"), _question(spark, folder)), columns)
     fields = [search.field_at(F.col("row"), i).alias(f"field_{i}") for i in range(len(columns))]
     return rows.select(*fields, "score")
 
@@ -59,7 +59,7 @@ def search_rows(spark: SparkSession, folder: str) -> DataFrame:
 @registered(f"""
 SELECT doc_id, dim, round(weight, 6) AS weight FROM ({vectors_sql('documents', 'doc_id', 'text')})""")
 def hash_embed(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spread(load(spark, folder, "documents").select("doc_id", "text"))
+    rows = load_spread(spark, folder, "documents", "doc_id", "text")
     entries = search.vector_entries(rows, "text", ["doc_id"])
     return entries.select("doc_id", "dim", F.round("weight", 6).alias("weight"))
 
@@ -73,7 +73,7 @@ SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDE
 FROM hits QUALIFY rank <= 5""")
 def search_many(spark: SparkSession, folder: str) -> DataFrame:
     """The documents that best match every benchmark question, in one pass over the documents."""
-    index = search.embed_text(spread(load(spark, folder, "documents").select("doc_id", "text")), "text")
+    index = search.embed_text(load_spread(spark, folder, "documents", "doc_id", "text"), "text")
     asked = search.embed_text(load(spark, folder, "benchmark").select("item_id", "text"), "text")
     found = search.search_many(index, asked, question_key="item_id", key="doc_id")
     return found.select(F.col("query_id").alias("item_id"), F.col("neighbor_id").alias("doc_id"), "score", "rank")

@@ -14,7 +14,7 @@ from papertrove.plans import samples
 from papertrove.plans.oracle_parts import fixed_chunks_sql
 from papertrove.plans.registry import registered
 from papertrove.sources.storage import child_names, work_folder
-from papertrove.sources.tables import load, scan_table, spread
+from papertrove.sources.tables import load, load_spread, scan_table
 from papertrove.streaming.sync import change_stream, open_index
 
 MIDDLE = "2024-01-16 00:00:00"
@@ -24,7 +24,7 @@ FROM ({fixed_chunks_sql('documents', 'doc_id')})"""
 
 
 def _chunks(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spread(load(spark, folder, "documents").select("doc_id", "text"))
+    rows = load_spread(spark, folder, "documents", "doc_id", "text")
     return docs.explode_chunks(rows, text.chunk_fixed(F.col("text")), name="content").drop("text")
 
 

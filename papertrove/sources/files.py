@@ -6,19 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def scan_binary(spark: SparkSession, path: str, glob: str | None = None, max_length: int | None = None) -> DataFrame:
+def scan_binary(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """One row per file: path, modificationTime, length, content (and hidden ``_metadata``).
 
-    ``glob`` and ``max_length`` are applied while listing, before any byte is read. Project ``content`` away as early
-    as possible: the scan only opens a file when the column is used.
+    ``glob`` is applied while listing, before any byte is read. Project ``content`` away as early as possible: the scan
+    only opens a file when the column is used.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path)
-    if max_length is not None:
-        files = files.where(F.col("length") <= max_length)
-    return files
+    return reader.load(path)
 
 
 def source_path(col: Column | str) -> Column:

@@ -23,15 +23,15 @@ def class_prompts(spark: SparkSession, classes: Iterable[tuple[str, str | None]]
     return spark.createDataFrame(list(first.items()), "class_name string, prompt string")
 
 
-def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Even out rows before costly per-row work, over ``partitions`` or the cores of the cluster.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Even out rows before costly per-row work over ``partitions``; none leaves them where the scan put them.
 
-    Without a number, rows of a scan that already come in at least as many partitions as there are cores stay where
-    they are: a large input is never shuffled for this, and one that is small enough to leave cores idle is cheap to
-    move. The partitions of a plan with a shuffle are only known by running it, so call this on scans.
+    Meant for small inputs in few files. A large scan is split by ``spark.sql.files.maxPartitionBytes`` and needs none.
     """
-    if partitions is None:
-        partitions = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= partitions:
-            return df
-    return df.repartition(partitions)
+    return df if partitions is None else df.repartition(partitions)
+
+
+def load_spread(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """A table, or some of its columns, over as many partitions as the session gives a shuffle."""
+    rows = load(spark, folder, name)
+    return spread(rows.select(*columns) if columns else rows, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -5,7 +5,7 @@ writes only what changed::
 
     generation=000000/
         checkpoint/          progress of the stream
-        changes/batch=7/     newest row of each key that batch 7 brought, deleted keys as tombstones
+        changes/batch=7/     newest row of each key that batch 7 brought, deleted keys as tombstones; none for a first load
         base/batch=5/        all rows up to batch 5, written now and then so that reads stay cheap
 
 A folder counts once its ``_SUCCESS`` file is there, and a repeated batch overwrites its own folder, so a batch that is
@@ -27,8 +27,6 @@ from papertrove.sources.storage import child_names, is_complete, stage
 DELETED = "_deleted"
 # Changed rows kept beside the base, as a share of its rows, before a new base is written.
 COMPACT_SHARE = 0.2
-# A set of changed keys below this many rows is sent to every task instead of shuffling the base.
-BROADCAST_KEYS = 200_000
 
 
 @dataclass(frozen=True)
@@ -80,10 +78,8 @@ class SyncedIndex:
         """Base rows with their changes applied, tombstones included."""
         if base is None or changes is None:
             return base if changes is None else changes
-        changed = changes.select(*self.key)
-        if changed.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
-            changed = F.broadcast(changed)
-        return base.join(changed, list(self.key), "left_anti").unionByName(changes)
+        # Spark sends the keys to the tasks if their measured size allows it.
+        return base.join(changes.select(*self.key), list(self.key), "left_anti").unionByName(changes)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Live rows of the index."""
@@ -99,8 +95,13 @@ class SyncedIndex:
         def apply_batch(batch: DataFrame, batch_id: int) -> None:
             spark = batch.sparkSession
             marked = batch.withColumn(DELETED, F.coalesce(deleted, F.lit(False)))
-            newest = stage(latest_rows(marked, self.key, self.version), "sync-batch")
+            newest = latest_rows(marked, self.key, self.version)
             base, changes = self._parts(spark, folder, batch_id)
+            if base is None and changes is None:
+                # A first load is the base itself.
+                embed(newest).write.mode("overwrite").parquet(f"{folder}/base/batch={batch_id}")
+                return
+            newest = stage(newest, "sync-batch")
             for stored in (base, changes):
                 if stored is not None:
                     newest = self._newer_than(newest, stored)
@@ -121,12 +122,9 @@ class SyncedIndex:
     def _newer_than(self, incoming: DataFrame, stored: DataFrame) -> DataFrame:
         """Drop incoming rows that are not newer than the stored row of their key: late and repeated ones.
 
-        Only keys and versions of the stored rows are read, and of these only the incoming keys' rows are shuffled
-        when the incoming keys are few enough to be sent to every task.
+        Only keys and versions of the stored rows are read.
         """
         held = stored.select(*self.key, F.struct(*self.version).alias("_held"))
-        if incoming.count() <= BROADCAST_KEYS:
-            held = held.join(F.broadcast(incoming.select(*self.key)), list(self.key), "left_semi")
         joined = incoming.join(held, list(self.key), "left")
         return joined.where(F.col("_held").isNull() | (F.struct(*self.version) > F.col("_held"))).drop("_held")
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from papertrove.config import CLASS_NAMES, RESULT_COLUMNS, read_settings
-from papertrove.operators import search
+from papertrove.operators import assets, search
 from papertrove.plans import jobs
 from papertrove.session import ARROW_ROWS, arrow_batch
 from papertrove.sources import class_prompts, scan_binary, source_path, stage, work_folder
@@ -79,7 +79,6 @@ def test_scan_limits(spark, folder):
     files = scan_binary(spark, f"{folder}/docs")
     assert files.count() == 4
     assert scan_binary(spark, f"{folder}/docs", "*.txt").count() == 2
-    assert scan_binary(spark, f"{folder}/docs", max_length=20).count() == 2
 
 
 def test_document_index_and_question(spark, folder):
@@ -169,3 +168,24 @@ def test_index_follows_a_table(spark, tmp_path):
         assert sorted(map(tuple, live)) == sorted(map(tuple, new.collect()))
     versions = {(r.source_path, r.version) for r in index.read(spark).collect()}
     assert versions == {("a", 0), ("b", 1), ("c", 1)}
+
+
+def test_image_scoring_stages_no_encoded_bytes(spark, monkeypatch):
+    staged = []
+    keep = jobs.stage
+    monkeypatch.setattr(jobs, "stage", lambda df, *rest: (staged.append(df.columns), keep(df, *rest))[1])
+    rows = spark.createDataFrame([("/a.png", bytearray(b"\x89PNG"), "image/png")], "p string, extracted_image binary, image_mime_type string")
+    found = jobs.score_images(
+        rows, [("map", None)], lambda: lambda b: "cap", lambda: lambda url, names: names[0], lambda: lambda prompt, url: url
+    ).first()
+    assert found.image_summary == "data:image/png;base64,iVBORw==" and found.image_classification == "map"
+    assert staged and not any("base64" in c or "url" in c for columns in staged for c in columns)
+
+
+def test_assets_in_any_quoting(spark):
+    html = """<a href="/a">x</a><IMG SRC='/b'><img src=/c><img src="data:image/PNG;base64,aGk="><img src='data:image/gif;base64,!'>"""
+    row = spark.range(1).select(
+        assets.linked_assets(F.lit(html)).alias("linked"), assets.inline_images(F.lit(html)).alias("inline")
+    ).first()
+    assert [a.asset for a in row.linked][:3] == ["/a", "/b", "/c"] and [a.ordinal for a in row.linked] == [1, 2, 3, 4, 5]
+    assert [(bytes(i.extracted_image), i.image_mime_type, i.image_ext) for i in row.inline] == [(b"hi", "image/png", ".png")]

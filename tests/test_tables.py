@@ -76,3 +76,21 @@ def test_table_changes(spark):
 def test_latest_rows(spark):
     rows = spark.createDataFrame([(1, 1, "a"), (1, 3, "b"), (1, 2, "c"), (2, 1, None)], "k int, v int, t string")
     assert sorted(tuple(r) for r in tables.latest_rows(rows, ["k"], ["v"]).collect()) == [(1, 3, "b"), (2, 1, None)]
+
+
+def test_null_keys_are_compared(spark):
+    rows = spark.createDataFrame([(None, 1), (2, 2)], "k int, v int")
+    assert tables.table_changes(rows, rows, "k").count() == 0
+    changed = spark.createDataFrame([(None, 5), (2, 2)], "k int, v int")
+    found = {(r.change_type, r.k, r.v) for r in tables.table_changes(rows, changed, "k").collect()}
+    assert found == {("update_preimage", None, 1), ("update_postimage", None, 5)}
+
+
+def test_tables_that_own_their_files_are_refused(spark, tmp_path):
+    spark.sql("CREATE TABLE owned (v INT) USING parquet")
+    try:
+        with pytest.raises(ValueError, match="owns its files"):
+            tables.create_or_replace(spark.range(3).selectExpr("int(id) AS v"), "owned", "id", str(tmp_path))
+        assert spark.catalog.tableExists("owned")
+    finally:
+        spark.sql("DROP TABLE owned")

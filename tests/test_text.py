@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from papertrove.functions import text
+from papertrove.functions import media, text
 from papertrove.operators import documents as docs
 
 
@@ -138,3 +138,39 @@ def test_export_by_type(spark):
     rows = spark.createDataFrame(files, "id int, b binary")
     found = {r.id: r.t for r in rows.select("id", text.export_document(F.col("b"), sniff_mime(F.col("b"))).alias("t")).collect()}
     assert found == {1: "a", 2: "plain <p>", 3: None, 4: "bad � bytes"}
+
+
+def exported(spark, contents):
+    rows = spark.createDataFrame(list(enumerate(contents)), "id int, content binary")
+    found = rows.select("id", text.export_document(F.col("content"), media.sniff_mime(F.col("content"))).alias("out"))
+    return {r.id: r.out for r in found.collect()}
+
+
+def test_texts_that_begin_like_a_file_type_stay(spark):
+    found = exported(spark, [b"BMW annual report", b"GIF89 is a format", b"BM\x36\0\0\0\0\0\0\0\x36\0\0\0\x28\0\0\0", b"%PDF-1.7"])
+    assert found == {0: "BMW annual report", 1: "GIF89 is a format", 2: None, 3: None}
+
+
+def test_pages_behind_marks_prologs_and_comments(spark):
+    page = b"<html><p>a</p></html>"
+    heads = [b"\xef\xbb\xbf", b"<?xml version='1.0'?>\n", b"<!-- x -->\n<!-- y -->", b" <!DOCTYPE html>\n"]
+    assert set(exported(spark, [head + page for head in heads]).values()) == {"a"}
+    assert exported(spark, [b"\xef\xbb\xbfplain <html> text", b"<p>a</p>"]) == {0: "plain <html> text", 1: "<p>a</p>"}
+
+
+def test_fixed_chunks_do_not_depend_on_the_length(spark):
+    rows = spark.createDataFrame([(b"ab\xc3" + b"c" * n,) for n in (5, 5000)], "content binary")
+    firsts = [r[0] for r in rows.select(text.chunk_fixed(F.col("content").cast("string"), 10, 2)[0]).collect()]
+    assert firsts[0][:6] == firsts[1][:6]
+
+
+def test_blocks_of_a_page(spark):
+    html = (
+        "<h2>Sub</h2><ul><li>one</li><LI class=x>two</ul>x&nbsp;&#39;&#8212;&#55296;&amp;#38;"
+        '<a class="k" href="/l">t</a><br>z<table><tr><td>1</td><td>2</td></tr></table><pre><code>c</code></pre>'
+    )
+    found = spark.range(1).select(text.html_to_markdown(F.lit(html)).alias("m")).first().m
+    lines = [line.strip() for line in found.split("\n") if line.strip()]
+    assert lines == [
+        "## Sub", "- one", "- two", "x '—&#55296;&#38;[t](/l)", "z", "| 1 | 2 |", "```", "c", "```",
+    ]
