@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papertrove.llm.tokens import WORD_BPE, word_encoder
+from papertrove.llm.tokens import SLICE_TEXT, WORD_BPE, word_encoder
 from papertrove.llm.words import slices, table
 from papertrove.sources import stage
 
@@ -36,7 +36,7 @@ def token_stream(documents: DataFrame, vocabulary: str = WORD_BPE, end_id: int =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
         encoder = word_encoder(vocabulary)
-        for piece in slices(batches, "text"):
+        for piece in slices(batches, "text", SLICE_TEXT):
             ids, bounds = encoder.encode(piece.column("text"), end_id)
             held = pa.py_buffer(ids)
             data = pa.Array.from_buffers(

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papertrove.llm.tokens import WORD_BPE, word_encoder
+from papertrove.llm.tokens import SLICE_TEXT, WORD_BPE, word_encoder
 from papertrove.llm.words import slices, table
 from papertrove.sources.storage import default_file_system, open_folder, work_folder
 
@@ -138,7 +138,7 @@ def write_tokens(
         part = TaskContext.get().partitionId()
         encoder = word_encoder(vocabulary)
         writer, sink = None, None
-        for piece in slices(batches, "text"):
+        for piece in slices(batches, "text", SLICE_TEXT):
             if writer is None:
                 files, inside = open_folder(folder, default)
                 files.create_dir(inside, recursive=True)

@@ -17,7 +17,9 @@ from tokenizers import Tokenizer
 from papertrove.llm.words import Words
 
 WORD_BPE = "word_bpe_49k.json"
-KEPT_WORDS = 800_000
+KEPT_WORDS = 1_200_000
+#: Bytes of text that are encoded at once.
+SLICE_TEXT = 8 << 20
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 _MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
