@@ -45,7 +45,7 @@ def embed_text(rows: DataFrame, text: str, name: str = "vector", dimensions: int
     return rows.withColumn(name, vectors.hash_embed(F.col(text), dimensions))
 
 
-def vector_entries(rows: DataFrame, text: str, keep: Sequence[str], dimensions: int = vectors.DIMENSIONS) -> DataFrame:
+def vector_entries(rows: DataFrame, text: str, keep: Sequence[str | Column], dimensions: int = vectors.DIMENSIONS) -> DataFrame:
     """Long form of the text vectors: ``(keep, dim, weight)``.
 
     The vector is handed to the generator as an expression. From a column of its own Spark would infer a filter on that
@@ -104,33 +104,57 @@ def write_postings(
     rows are rebalanced, not just partitioned, by folder: adaptive execution cuts a folder that holds a dimension most
     rows have into files of even size. How the index was made is kept beside it, so a reader needs nothing but the path.
     """
-    entries = vector_entries(rows, text, keys, dimensions).withColumn("part", F.col("dim") % parts)
-    ordered = entries.hint("rebalance", "part").sortWithinPartitions("part", "dim", *keys)
-    ordered.write.partitionBy("part").parquet(f"{path}/postings")
+    write_dimensions(vector_entries(rows, text, stored_keys(keys), dimensions), f"{path}/postings", parts)
     about = rows.sparkSession.createDataFrame(
         [(parts, dimensions, list(keys))], "parts int, dimensions int, keys array<string>"
     )
     about.write.parquet(f"{path}/about")
 
 
+def stored_keys(keys: Sequence[str]) -> list[Column]:
+    """Key columns under the names they have in postings, where no other column can have the same one."""
+    return [F.col(name).alias(f"key_{i}") for i, name in enumerate(keys)]
+
+
+def write_dimensions(entries: DataFrame, path: str, parts: int) -> None:
+    """Store ``(key_0, ..., dim, weight)`` rows by dimension in ``parts`` folders."""
+    placed = entries.withColumn("part", F.col("dim") % parts)
+    keys = [c for c in entries.columns if c.startswith("key_")]
+    ordered = placed.hint("rebalance", "part").sortWithinPartitions("part", "dim", *keys)
+    ordered.write.mode("overwrite").partitionBy("part").parquet(path)
+
+
+def question_entries(spark: SparkSession, question: str | DataFrame, dimensions: int) -> list[tuple[int, float]]:
+    """Dimension and weight of a question's tokens, at most one per dimension."""
+    if isinstance(question, str):
+        question = spark.createDataFrame([(question,)], "text string")
+    asked = question.select(vectors.hash_embed(F.col(question.columns[0]), dimensions).alias("v")).first().v
+    return [(e.dim, e.weight) for e in asked]
+
+
+def posting_hits(postings: DataFrame, entries: list[tuple[int, float]], parts: int, keys: Sequence[str]) -> DataFrame:
+    """``(keys, score)`` of the rows of stored postings that share a dimension with the entries.
+
+    The entries become literals: the scan opens only their folders, and each dimension is a comparison of its own, which
+    row groups are tested against one by one (a list of more than ten values would only be tested by its range). Products
+    are summed per key before the shuffle.
+    """
+    one_of = functools.reduce(Column.__or__, [F.col("dim") == dim for dim, _ in entries], F.lit(False))
+    hits = postings.where(F.col("part").isin(sorted({dim % parts for dim, _ in entries})) & one_of)
+    pairs = [F.lit(value) for entry in entries for value in entry]
+    weight = F.try_element_at(F.create_map(*pairs), F.col("dim")) if pairs else F.lit(0.0)
+    named = [F.col(f"key_{i}").alias(name) for i, name in enumerate(keys)]
+    return hits.groupBy(*named).agg(F.round(F.sum(F.col("weight") * weight), DIGITS).alias("score"))
+
+
 def search_postings(spark: SparkSession, path: str, question: str | DataFrame, k: int = TOP_K) -> DataFrame:
     """``(keys, score)`` of the ``k`` best rows that share a token with the question, read from stored postings.
 
-    The question's entries, at most one per dimension, become literals: the scan opens only their folders, and each
-    dimension is a comparison of its own, which row groups are tested against one by one (a list of more than ten values
-    would only be tested by its range). Products are summed per key before the shuffle. Same scores as
-    ``similarity_search``; rows that share no token are not returned.
+    Same scores as ``similarity_search``; rows that share no token are not returned.
     """
     about = spark.read.parquet(f"{path}/about").first()
-    postings = spark.read.parquet(f"{path}/postings")
-    if isinstance(question, str):
-        question = spark.createDataFrame([(question,)], "text string")
-    asked = question.select(vectors.hash_embed(F.col(question.columns[0]), about.dimensions).alias("v")).first().v
-    one_of = functools.reduce(Column.__or__, [F.col("dim") == e.dim for e in asked], F.lit(False))
-    hits = postings.where(F.col("part").isin(sorted({e.dim % about.parts for e in asked})) & one_of)
-    pairs = [F.lit(value) for e in asked for value in (e.dim, e.weight)]
-    weight = F.try_element_at(F.create_map(*pairs), F.col("dim")) if pairs else F.lit(0.0)
-    scored = hits.groupBy(*about["keys"]).agg(F.round(F.sum(F.col("weight") * weight), DIGITS).alias("score"))
+    entries = question_entries(spark, question, about.dimensions)
+    scored = posting_hits(spark.read.parquet(f"{path}/postings"), entries, about.parts, about["keys"])
     return scored.orderBy(F.desc("score"), *about["keys"]).limit(k)
 
 

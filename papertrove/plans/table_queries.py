@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from papertrove.functions import text
 from papertrove.operators import documents as docs
 from papertrove.operators import keys, tables
-from papertrove.plans import samples
-from papertrove.plans.oracle_parts import fixed_chunks_sql
+from papertrove.plans import jobs, samples
+from papertrove.plans.oracle_parts import fixed_chunks_sql, vectors_sql
 from papertrove.plans.registry import registered
 from papertrove.sources.storage import child_names, work_folder
 from papertrove.sources.tables import load, load_spread, scan_table
@@ -149,3 +149,30 @@ def rebuild_index(spark: SparkSession, folder: str) -> DataFrame:
             _event_stream(spark, folder), "content", deleted=F.col("event_type") == "error", full_refresh=refresh
         )
     return _live(index, spark)
+
+
+SYNCED_SQL = f"""
+WITH live AS (
+  SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'changed ' || reverse(text) ELSE text END AS text
+  FROM documents WHERE doc_id % 3 <> 0),
+v AS ({vectors_sql('live', 'doc_id', 'text')}),
+q AS (SELECT dim, weight AS asked FROM ({vectors_sql(
+    '(SELECT 0 AS one, text FROM (SELECT text FROM benchmark ORDER BY item_id LIMIT 1))', 'one', 'text')}))
+SELECT doc_id, md5(text) AS digest, score FROM live JOIN (
+  SELECT doc_id, round(sum(weight * asked), 6) AS score FROM v JOIN q USING (dim) GROUP BY doc_id) USING (doc_id)
+ORDER BY score DESC, doc_id LIMIT 5"""
+
+
+@registered(SYNCED_SQL)
+def search_synced(spark: SparkSession, folder: str) -> DataFrame:
+    """One index: synced with all documents, then with updates and removals, and asked."""
+    first = load(spark, folder, "documents").select("doc_id", "text")
+    changed = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("changed "), F.reverse("text"))).otherwise(F.col("text"))
+    second = first.where(F.col("doc_id") % 3 != 0).select("doc_id", changed.alias("text"))
+    index = open_index(work_folder(spark, "search-synced"), "doc_id", "version", parts=16)
+    feed = work_folder(spark, "search-feed")
+    jobs.follow_table(None, first, index, feed, version=1, text_column="text")
+    jobs.follow_table(first, second, index, feed, version=2, text_column="text")
+    question = load(spark, folder, "benchmark").orderBy("item_id").limit(1).select("text")
+    found = index.search(spark, question, ["doc_id", "text"])
+    return found.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "score")

@@ -7,6 +7,8 @@ writes only what changed::
         checkpoint/          progress of the stream
         changes/batch=7/     newest row of each key that batch 7 brought, deleted keys as tombstones; none for a first load
         base/batch=5/        all rows up to batch 5, written now and then so that reads stay cheap
+        postings/...         the text vectors of each of these folders by dimension, which searches read
+        about/               key, text column and dimensions of the vectors
 
 A folder counts once its ``_SUCCESS`` file is there, and a repeated batch overwrites its own folder, so a batch that is
 run again after a lost executor or driver leaves the same index.
@@ -14,17 +16,22 @@ run again after a lost executor or driver leaves the same index.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from papertrove.config import TOP_K
 from papertrove.functions import vectors
+from papertrove.operators.search import Keys, posting_hits, question_entries, search_many, stored_keys, write_dimensions
 from papertrove.operators.tables import latest_rows
 from papertrove.sources.storage import child_names, is_complete, stage
 
 DELETED = "_deleted"
+# Folders that the dimensions of a batch's vectors share.
+PARTS = 64
 # Changed rows kept beside the base, as a share of its rows, before a new base is written.
 COMPACT_SHARE = 0.2
 
@@ -37,6 +44,7 @@ class SyncedIndex:
     key: tuple[str, ...]
     version: tuple[str, ...]
     compact_share: float = COMPACT_SHARE
+    parts: int = PARTS
 
     def _complete(self, folder: str, prefix: str) -> list[int]:
         numbers = [int(n.removeprefix(prefix)) for n in child_names(folder) if n.startswith(prefix)]
@@ -89,8 +97,62 @@ class SyncedIndex:
         rows = self._all_rows(*self._parts(spark, folder, None))
         return rows.where(~F.col(DELETED)).drop(DELETED)
 
+    # ------------------------------------------------------------ searching
+
+    def about(self, spark: SparkSession):
+        """How the index was made: ``key, text, dimensions, parts``."""
+        folder = self._current()
+        if folder is None:
+            raise ValueError(f"there is no index at {self.path}")
+        return spark.read.parquet(f"{folder}/about").first()
+
+    def search(self, spark: SparkSession, question: str | DataFrame, columns: Sequence[str], k: int = TOP_K) -> DataFrame:
+        """The ``k`` live rows most similar to a question that share a token with it, best first: ``columns, score``.
+
+        Only the postings of the question's dimensions are read, from the newest base and the changes since. A hit counts
+        if no later batch changed or removed its key, which the keys of the changes alone tell. The rows are fetched last.
+        """
+        about, folder = self.about(spark), self._current()
+        bases = self._complete(f"{folder}/postings/base", "batch=")
+        if not bases:
+            raise ValueError(f"the index at {self.path} is still being written")
+        since = bases[-1]
+        batches = [n for n in self._complete(f"{folder}/postings/changes", "batch=") if n > since]
+        entries = question_entries(spark, question, about.dimensions)
+        keys = list(self.key)
+        found = spark.read.parquet(f"{folder}/postings/base/batch={since}")
+        hits = posting_hits(found, entries, about.parts, keys)
+        if batches:
+            changes = [
+                spark.read.parquet(f"{folder}/changes/batch={n}").select(*keys, F.lit(n).alias("_batch")) for n in batches
+            ]
+            newest = functools.reduce(DataFrame.union, changes).groupBy(*keys).agg(F.max("_batch").alias("_batch"))
+            hits = hits.join(newest.select(*keys), keys, "left_anti")
+            for n in batches:
+                own = posting_hits(spark.read.parquet(f"{folder}/postings/changes/batch={n}"), entries, about.parts, keys)
+                hits = hits.unionByName(own.join(newest.where(F.col("_batch") == n).select(*keys), keys, "left_semi"))
+        best = hits.orderBy(F.desc("score"), *keys).limit(k)
+        rows = self.read(spark).select(*dict.fromkeys([*keys, *columns]))
+        return rows.join(best, keys).orderBy(F.desc("score"), *keys).select(*columns, "score")
+
+    def search_many(self, questions: DataFrame, k: int = TOP_K, question_key: Keys = "question_id", text: str = "text") -> DataFrame:
+        """``(query_id, neighbor_id, score, rank)`` of the live rows for every question; nothing about the layout is asked."""
+        spark = questions.sparkSession
+        dimensions = self.about(spark).dimensions
+        asked = questions.withColumn("vector", vectors.hash_embed(F.col(text), dimensions))
+        key = self.key[0] if len(self.key) == 1 else list(self.key)
+        return search_many(self.read(spark), asked, k, question_key, key, dimensions=dimensions)
+
     # ------------------------------------------------------------ writing
 
+    def _write(self, rows: DataFrame, folder: str, kind: str, batch_id: int) -> None:
+        """Write a batch's rows, and from what was written its postings."""
+        spark, place = rows.sparkSession, f"{kind}/batch={batch_id}"
+        rows.write.mode("overwrite").parquet(f"{folder}/{place}")
+        written = spark.read.schema(rows.schema).parquet(f"{folder}/{place}")
+        entries = written.select(*stored_keys(self.key), F.inline("vector"))
+        write_dimensions(entries, f"{folder}/postings/{place}", self.parts)
+
     def _apply(self, folder: str, embed: Callable[[DataFrame], DataFrame], deleted: Column):
         def apply_batch(batch: DataFrame, batch_id: int) -> None:
             spark = batch.sparkSession
@@ -99,17 +161,17 @@ class SyncedIndex:
             base, changes = self._parts(spark, folder, batch_id)
             if base is None and changes is None:
                 # A first load is the base itself.
-                embed(newest).write.mode("overwrite").parquet(f"{folder}/base/batch={batch_id}")
+                self._write(embed(newest), folder, "base", batch_id)
                 return
             newest = stage(newest, "sync-batch")
             for stored in (base, changes):
                 if stored is not None:
                     newest = self._newer_than(newest, stored)
-            embed(newest).write.mode("overwrite").parquet(f"{folder}/changes/batch={batch_id}")
+            self._write(embed(newest), folder, "changes", batch_id)
             if base is None or self._pending(spark, folder) > self.compact_share * base.count():
                 base, changes = self._parts(spark, folder, batch_id + 1)
                 rows = self._all_rows(base, changes)
-                rows.write.mode("overwrite").parquet(f"{folder}/base/batch={batch_id}")
+                self._write(rows, folder, "base", batch_id)
 
         return apply_batch
 
@@ -149,6 +211,13 @@ class SyncedIndex:
             vector = F.when(~F.col(DELETED), vectors.hash_embed(F.col(text), dimensions))
             return rows.withColumn("vector", vector)
 
+        about = source.sparkSession.createDataFrame(
+            [(list(self.key), text, dimensions, self.parts)], "key array<string>, text string, dimensions int, parts int"
+        )
+        if not is_complete(f"{folder}/about"):
+            about.write.mode("overwrite").parquet(f"{folder}/about")
+        elif source.sparkSession.read.parquet(f"{folder}/about").first() != about.first():
+            raise ValueError("the index was made with another key, text column or layout; use full_refresh")
         query = (
             source.writeStream.foreachBatch(self._apply(folder, embed, F.lit(False) if deleted is None else deleted))
             .option("checkpointLocation", f"{folder}/checkpoint")

@@ -5,7 +5,9 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from papertrove.operators import search
 from papertrove.operators.search import similarity_search
+from papertrove.plans import jobs
 from papertrove.streaming.sync import change_stream, open_index
 
 SCHEMA = "id bigint, version bigint, content string, gone boolean"
@@ -121,3 +123,36 @@ def test_search_over_a_synced_index(feed, spark):
 def test_reading_a_missing_index(feed, spark):
     with pytest.raises(ValueError):
         feed.index.read(spark)
+
+
+def test_one_index_is_synced_and_searched(spark, tmp_path):
+    index = open_index(f"{tmp_path}/index", ["doc", "part"], "version", parts=96)
+    words = [f"{a}{b}{c}" for a in "abcdefgh" for b in "ijklmnop" for c in "qrstuvwx"]
+    texts = {(i, "p"): " ".join(words[i * 4 : i * 4 + 8]) for i in range(100)}
+    frame = lambda rows: spark.createDataFrame([(*key, text) for key, text in rows.items()], "doc int, part string, content string")
+    state = frame(texts)
+    jobs.follow_table(None, state, index, f"{tmp_path}/feed", version=1)
+    ask = lambda question, k=3: [(r.doc, r.part) for r in index.search(spark, question, ["doc", "part", "content"], k).collect()]
+    assert ask(words[40])[:2] == [(9, "p"), (10, "p")]
+    for version, name in ((2, "newb"), (3, "newc"), (4, "newd")):
+        texts.pop((9, "p"), None)
+        texts |= {(10, "p"): f"{name} row", (11, "p"): " ".join([words[40]] * version)}
+        later = frame(texts)
+        jobs.follow_table(state, later, index, f"{tmp_path}/feed", version=version)
+        state = later
+        assert ask(words[40]) == [(11, "p")] and ask(name) == [(10, "p")]
+    assert ask("newb") == [] and ask("") == []
+    questions = spark.createDataFrame([("a", words[40]), ("b", "newd")], "question_id string, text string")
+    best = {r.query_id: tuple(r.neighbor_id) for r in index.search_many(questions, 1).collect()}
+    assert best == {"a": (11, "p"), "b": (10, "p")}
+    with pytest.raises(ValueError, match="full_refresh"):
+        index.sync(change_stream(spark, f"{tmp_path}/feed"), "content", dimensions=64)
+
+    # A question of 30 words opens a small share of the files.
+    folder = f"{tmp_path}/index/generation=000000/postings/base/batch=0"
+    about = index.about(spark)
+    entries = search.question_entries(spark, " ".join(words[:30]), about.dimensions)
+    every = spark.read.parquet(folder)
+    opened = every.where(F.col("part").isin([dim % about.parts for dim, _ in entries]))
+    count = lambda rows: rows.select(F.input_file_name()).distinct().count()
+    assert len(entries) >= 29 and count(opened) < 0.35 * count(every)
