@@ -7,6 +7,7 @@ spaces. Each worker keeps the ids of the words it met first; others are encoded
 from __future__ import annotations
 
 import itertools
+import unicodedata
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,8 @@ from papertrove.llm.words import Words
 
 WORD_BPE = "word_bpe_49k.json"
 KEPT_WORDS = 1_200_000
+#: Words in one call of the tokenizer, which takes more than twice as long per word for very long inputs.
+ASKED_WORDS = 256
 #: Bytes of text that are encoded at once.
 SLICE_TEXT = 8 << 20
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
@@ -77,16 +80,19 @@ class WordEncoder:
 
     def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
         out: dict[bytes, bytes] = {}
-        # A word of letters alone is one piece to the tokenizer, so its last id, and no other, ends a word.
-        letters = [word for word in words if word.isalpha()]
-        for at in range(0, len(letters), 4096):
-            part = letters[at : at + 4096]
+        # A word of letters alone is one piece to the tokenizer, so its last id, and no other, ends a word. Should that
+        # fail for some letter, the words asked with it go the other way.
+        letters = [word for word in words if word.isalpha() or (not word.isascii() and _only_letters(word.decode()))]
+        for at in range(0, len(letters), ASKED_WORDS):
+            part = letters[at : at + ASKED_WORDS]
             encoding = self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False)
             ids = np.array(encoding.ids, self.dtype)
-            out.update(_cut(part, ids, np.append(0, np.flatnonzero(self.ends_word[ids]) + 1)))
+            cuts = np.append(0, np.flatnonzero(self.ends_word[ids]) + 1)
+            if len(cuts) == len(part) + 1:
+                out.update(_cut(part, ids, cuts))
         others = [word for word in words if word not in out]
-        for at in range(0, len(others), 4096):
-            part = others[at : at + 4096]
+        for at in range(0, len(others), ASKED_WORDS):
+            part = others[at : at + ASKED_WORDS]
             encoding = self.tokenizer.encode(
                 [word.decode() for word in part], is_pretokenized=True, add_special_tokens=False
             )
@@ -96,6 +102,11 @@ class WordEncoder:
         return out
 
 
+def _only_letters(word: str) -> bool:
+    """True if the word is letters, and still is after the tokenizer's own changes to it."""
+    return word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha()
+
+
 def _cut(words: list[bytes], ids: np.ndarray, cuts: np.ndarray) -> dict[bytes, bytes]:
     data, size = ids.tobytes(), ids.itemsize
     marks = (cuts * size).tolist()
