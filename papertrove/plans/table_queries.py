@@ -38,7 +38,15 @@ def index_table(spark: SparkSession, folder: str) -> DataFrame:
     """Chunks as a keyed table: written, audited, published under a name and read back."""
     name = f"chunk_index_{uuid.uuid4().hex}"
     root = work_folder(spark, "index-table")
-    return tables.create_or_replace(_chunks(spark, folder), name, "id", root, order_by=["doc_id", "chunk_index"])
+    tables.create_or_replace(_chunks(spark, folder), name, "id", root, order_by=["doc_id", "chunk_index"])
+    return _read_once(spark, name)
+
+
+def _read_once(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of a table that only this query needs; its name goes, the files it points to stay."""
+    table = scan_table(spark, name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 @registered("""
@@ -54,7 +62,7 @@ def index_append(spark: SparkSession, folder: str) -> DataFrame:
     )
     tables.create_or_replace(documents, name, "id", work_folder(spark, "index-append"))
     tables.append(pages, name, "id")
-    table = scan_table(spark, name)
+    table = _read_once(spark, name)
     audit = keys.key_violations(table.select("id"), "id")
     counts = {c: audit.select(c).scalar() for c in ("n_rows", "n_null_keys", "n_repeated_keys")}
     return table.select("kind", "n", F.md5(F.col("text").cast("binary")).alias("digest")).withColumns(counts)
