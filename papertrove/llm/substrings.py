@@ -3,8 +3,8 @@
 A suffix begins at every word and is read to ``WINDOW`` words: deeper nodes of the tree only describe longer repeats,
 which adjoining windows give as well. Suffixes are split by prefixes of variable length: a prefix is lengthened, word by
 word, while words this frequent are expected to begin too many suffixes for one group. A group of prefixes fits into
-memory. Its subtree is held as its suffixes in tree order, each with a label that codes its first and its second half;
-neighbours with one half in common share an inner node, and those with the whole label a node at full depth, a repeat.
+memory. Its subtree is held as its suffixes, each with a label that codes all words of the window; those with the same
+label share a node at full depth, a repeat.
 All leaves below such a node but the earliest mark words to be removed; adjoining ones join into maximal repeats.
 
 Per suffix, its label (8 bytes) and its place (about 2) are sent over the network, packed per slice of documents. A
@@ -87,11 +87,8 @@ class Prefixes:
 
 
 def labels_of(codes: np.ndarray, window: int) -> np.ndarray:
-    """The label of the window at every word: 32 bits of the code of either half, the first one above."""
-    half = window // 2
-    count = len(codes) - window + 1
-    first, second = run_codes(codes, half)[:count], run_codes(codes[half:], window - half)
-    return (first & np.uint64(0xFFFFFFFF00000000)) | (second >> np.uint64(32))
+    """The label of the window at every word: a 64-bit code of all its words."""
+    return run_codes(codes, window)
 
 
 def _meeting(to: int, meets: int, ids: np.ndarray, starts: np.ndarray) -> Iterator[dict]:

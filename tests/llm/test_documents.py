@@ -222,6 +222,14 @@ def test_equal_rows_do_not_remove_each_other(spark):
     assert substrings.remove_repeats(documents(spark, [])).collect() == []
 
 
+def test_continuations_of_a_shared_run_have_labels_of_their_own():
+    rng = np.random.Generator(np.random.PCG64(9))
+    codes = rng.integers(0, 2**63, (600_000, 20), dtype=np.uint64)
+    codes[:, :10] = codes[0, :10]
+    labels = substrings.labels_of(codes.ravel(), 20)[::20]
+    assert len(labels) == len(np.unique(labels)) == len(codes)
+
+
 # Near-duplicates
 
 
