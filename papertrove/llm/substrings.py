@@ -1,9 +1,8 @@
 """Removal of repeated passages with prefix-partitioned suffix trees, over words.
 
 A suffix begins at every word and is read to ``WINDOW`` words: deeper nodes of the tree only describe longer repeats,
-which adjoining windows give as well. Suffixes are split by prefixes of variable length: a prefix is lengthened, word by
-word, while words this frequent are expected to begin too many suffixes for one group. A group of prefixes fits into
-memory. Its subtree is held as its suffixes, each with a label that codes all words of the window; those with the same
+which adjoining windows give as well. Suffixes are dealt out by a code of all these words, so that no phrase, however many
+suffixes it begins, makes a group larger than others. A group fits into memory. Its subtree is held as its suffixes, each with a label that codes all words of the window; those with the same
 label share a node at full depth, a repeat.
 All leaves below such a node but the earliest mark words to be removed; adjoining ones join into maximal repeats.
 
@@ -16,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,14 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papertrove.llm.words import Words, id_back, id_or_none, mixed, run_codes, slices, table
+from papertrove.sources import stage
 
 WINDOW = 20
 #: Suffixes that one subtree is built from, and bytes of text of one slice and of one group of documents at the end.
 GROUP_SUFFIXES = 1_500_000
 SLICE_TEXT = 6 << 20
 MEET_TEXT = 48 << 20
-#: Counters of the word frequencies, a table of this fixed size.
-COUNTERS = 1 << 14
+#: Bytes of text that stand for a suffix when groups are counted.
+WORD_TEXT = 4
+#: Group of the windows of documents whose rows are too many for one group; they go to several.
+_SPREAD = -1
 
 _PACKED = pa.schema(
     [("to", pa.int64()), ("meet", pa.int64())] + [(name, pa.binary()) for name in ("ids", "starts", "places", "labels")]
@@ -40,78 +43,69 @@ _PACKED = pa.schema(
 _PACKED_SQL = "to long, meet long, ids binary, starts binary, places binary, labels binary"
 
 
-def word_counts(documents: DataFrame) -> tuple[np.ndarray, int]:
-    """How many words of all texts fall on each of ``COUNTERS`` counters, and the bytes of all texts."""
-    schema = pa.schema([("counter", pa.int32()), ("n", pa.int64())])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, size = np.zeros(COUNTERS, np.int64), 0
-        for part in slices(batches, "text", SLICE_TEXT):
-            words = Words(part.column("text"))
-            counts += np.bincount((words.codes() % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-            size += len(words.data)
-        used = np.flatnonzero(counts)
-        yield table(schema, counter=np.append(used, -1), n=np.append(counts[used], size))
-
-    found = documents.mapInArrow(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(COUNTERS, np.int64)
-    size = 0
-    for counter, n in found:
-        if counter < 0:
-            size = n
-        else:
-            counts[counter] = n
-    return counts, size
-
-
-class Prefixes:
-    """Splits suffixes by prefixes that are expected to begin at most ``share`` of all suffixes."""
-
-    def __init__(self, counts: np.ndarray, share: float):
-        self.log_frequency = np.log(np.maximum(counts, 1) / max(1, counts.sum()))
-        self.log_share = math.log(share)
-
-    def split(self, codes: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
-        """A code of the prefix of the suffix at each of the words ``at``."""
-        expected = self.log_frequency[(codes % np.uint64(COUNTERS)).astype(np.int64)]
-        prefix = mixed(codes[at] + np.uint64(1))
-        log_size = expected[at]
-        for length in range(1, window):
-            long_ones = np.flatnonzero(log_size > self.log_share)
-            if not len(long_ones):
-                break
-            following = at[long_ones] + length
-            prefix[long_ones] = mixed(prefix[long_ones] ^ mixed(codes[following] + np.uint64(length)))
-            log_size[long_ones] += expected[following]
-        return prefix
-
-
 def labels_of(codes: np.ndarray, window: int) -> np.ndarray:
     """The label of the window at every word: a 64-bit code of all its words."""
     return run_codes(codes, window)
 
 
-def _meeting(to: int, meets: int, ids: np.ndarray, starts: np.ndarray) -> Iterator[dict]:
-    """Removed windows as packed rows, one per group of documents in which they meet the texts."""
-    where = ids % meets
+def dealt_by(codes: np.ndarray, window: int) -> np.ndarray:
+    """What the window at every word is dealt out by, a code of all its words that does not follow from the label."""
+    half = window // 2
+    second = run_codes(codes[half:], window - half)
+    return mixed(run_codes(codes, half)[: len(second)] + mixed(second ^ np.uint64(1)))
+
+
+def text_sizes(documents: DataFrame) -> tuple[int, dict[int, int]]:
+    """Bytes of all texts, and into how many parts the rows of a document are dealt if they exceed one group's text."""
+    sizes = documents.groupBy("doc_id").agg(F.sum(F.octet_length("text").cast("long")).alias("size"))
+    large = F.when(F.col("size") > MEET_TEXT, F.struct("doc_id", "size"))
+    size, found = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.collect_list(large)).first()
+    return size, {row["doc_id"]: math.ceil(row["size"] / MEET_TEXT) for row in found}
+
+
+class Meets:
+    """Groups in which documents meet their removed windows; rows of a document in ``heavy`` are dealt over several."""
+
+    def __init__(self, count: int, heavy: dict[int, int]):
+        self.count, self.heavy = count, heavy
+        self.heavy_ids = np.array(sorted(heavy), np.int64)
+
+    def of(self, ids: np.ndarray, part: int = 0) -> np.ndarray:
+        codes = mixed(mixed(ids.astype(np.int64).view(np.uint64)) + np.uint64(part))
+        return (codes % np.uint64(self.count)).astype(np.int64)
+
+    def of_windows(self, ids: np.ndarray) -> np.ndarray:
+        return np.where(np.isin(ids, self.heavy_ids), _SPREAD, self.of(ids))
+
+    def all_of(self, doc_id: int) -> list[int]:
+        """All groups that rows of the heavy document are dealt over."""
+        one = np.array([doc_id])
+        return sorted({int(self.of(one, part)[0]) for part in range(self.heavy[doc_id])})
+
+    def of_row(self, doc_id: int, text: str) -> int:
+        part = zlib.crc32(text.encode()) % self.heavy[doc_id]
+        return int(self.of(np.array([doc_id]), part)[0])
+
+
+def _meeting(to: int, where: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> Iterator[dict]:
+    """Removed windows as packed rows, one per group ``where`` of documents in which they meet the texts."""
     order = np.lexsort((starts, ids, where))
-    edges = np.append(np.flatnonzero(np.diff(where[order], prepend=-1)), len(order))
+    where, ids, starts = where[order], ids[order], starts[order].astype(np.int32)
+    new = np.append(True, (np.diff(where) != 0) | (np.diff(ids) != 0) | (np.diff(starts) != 0))[: len(ids)]
+    where, ids, starts = where[new], ids[new], starts[new]
+    edges = np.append(np.flatnonzero(np.append(True, np.diff(where) != 0)[: len(where)]), len(where))
     for start, end in zip(edges[:-1], edges[1:], strict=True):
-        part = order[start:end]
-        deltas = np.diff(ids[part], prepend=0)
-        data = {"ids": deltas.tobytes(), "starts": starts[part].astype(np.int32).tobytes()}
-        yield {"to": to, "meet": int(where[part[0]]), "places": b"", "labels": b""} | data
+        data = {"ids": np.diff(ids[start:end], prepend=0).tobytes(), "starts": starts[start:end].tobytes()}
+        yield {"to": to, "meet": int(where[start]), "places": b"", "labels": b""} | data
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
     return table(_PACKED, **{name: [row[name] for row in rows] for name in _PACKED.names})
 
 
-def removed_windows(documents: DataFrame, window: int, counts: np.ndarray, meets: int) -> DataFrame:
+def removed_windows(documents: DataFrame, window: int, size: int, meets: Meets) -> DataFrame:
     """Windows whose words also start earlier, packed by the group ``meet`` of their documents."""
-    total = int(counts.sum())
-    groups = max(1, math.ceil(total / GROUP_SUFFIXES))
-    prefixes = Prefixes(counts, min(1.0, GROUP_SUFFIXES / 16 / max(1, total)))
+    groups = max(1, math.ceil(size / WORD_TEXT / GROUP_SUFFIXES))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE_TEXT):
@@ -130,10 +124,11 @@ def removed_windows(documents: DataFrame, window: int, counts: np.ndarray, meets
             earliest = first[which]
             again = np.flatnonzero((owner != owner[earliest]) | (start != start[earliest]))
             rows = []
-            for row in _meeting(0, meets, owner[again], start[again]):
-                rows.append(row | {"to": row["meet"] % groups})
+            for row in _meeting(0, meets.of_windows(owner[again]), owner[again], start[again]):
+                at_will = row["meet"] if row["meet"] != _SPREAD else int(labels[0] >> np.uint64(1))
+                rows.append(row | {"to": at_will % groups})
             first.sort()
-            to = (prefixes.split(codes, at[first], window) % np.uint64(groups)).astype(np.int64)
+            to = (dealt_by(codes, window)[at[first]] % np.uint64(groups)).astype(np.int64)
             order = first[np.argsort(to, kind="stable")]
             to.sort()
             edges = np.append(np.flatnonzero(np.diff(to, prepend=-1)), len(to))
@@ -169,14 +164,40 @@ def removed_windows(documents: DataFrame, window: int, counts: np.ndarray, meets
             owner.append(np.cumsum(np.frombuffer(row["ids"], np.int64))[document])
             start.append((at - bounds[document]).astype(np.int32))
         if label:
-            again = repeated_leaves(*map(np.concatenate, (label, owner, start)))
-            rows += _meeting(0, meets, *again)
+            ids, starts = repeated_leaves(*map(np.concatenate, (label, owner, start)))
+            rows += _meeting(0, meets.of_windows(ids), ids, starts)
         return pa.Table.from_batches([_batch(rows)])
 
     dealt = documents.mapInArrow(deal, _PACKED_SQL)
     return dealt.groupBy("to").applyInArrow(build, _PACKED_SQL).select("meet", "ids", "starts")
 
 
+def spread_windows(removed: DataFrame, meets: Meets) -> DataFrame:
+    """``removed`` with the windows of heavy documents, each start once, in all groups that hold their rows."""
+    pair = pa.schema([("doc_id", pa.int64()), ("start", pa.int32())])
+    packed = pa.schema([("meet", pa.int64()), ("ids", pa.binary()), ("starts", pa.binary())])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids = np.cumsum(np.frombuffer(row["ids"], np.int64))
+                yield table(pair, doc_id=ids, start=np.frombuffer(row["starts"], np.int32))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, starts = batch.column("doc_id").to_numpy(), batch.column("start").to_numpy()
+            for doc_id in np.unique(ids).tolist():
+                mine = ids == doc_id
+                for meet in meets.all_of(doc_id):
+                    rows = list(_meeting(0, np.full(mine.sum(), meet), ids[mine], starts[mine]))
+                    yield table(packed, **{name: [row[name] for row in rows] for name in packed.names})
+
+    removed = stage(removed, "repeats")
+    heavy = removed.where(F.col("meet") == _SPREAD).mapInArrow(unpack, "doc_id long, start int").distinct()
+    spread = heavy.mapInArrow(pack, "meet long, ids binary, starts binary")
+    return removed.where(F.col("meet") != _SPREAD).unionByName(spread)
+
+
 def repeated_leaves(label: np.ndarray, owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Document and start of all suffixes of a subtree that share a node of full depth with an earlier one."""
     order = np.argsort(label)
@@ -204,10 +225,12 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, with_text: bool =
     of them where any of them loses it. Other columns do not matter.
     """
     rows = documents.select(id_or_none(), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    counts, size = word_counts(rows)
-    meets = max(1, math.ceil(size / MEET_TEXT))
-    removed = removed_windows(rows, window, counts, meets)
-    shrunk = pa.schema([("meet", pa.int64()), ("doc_id", pa.int64()), ("data", pa.binary())])
+    size, heavy = text_sizes(rows)
+    meets = Meets(max(1, math.ceil(size / MEET_TEXT)), heavy)
+    removed = removed_windows(rows, window, size, meets)
+    if heavy:
+        removed = spread_windows(removed, meets)
+    shrunk = pa.schema([("meet", pa.int64()), ("doc_id", pa.int64()), ("data", pa.binary()), ("copies", pa.int64())])
     fields = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())]
     fields += [("text", pa.string()), ("spans", pa.list_(pa.int64()))] if with_text else []
     schema = pa.schema(fields)
@@ -215,9 +238,20 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, with_text: bool =
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
         for part in slices(batches, "text", SLICE_TEXT):
-            ids = part.column("doc_id").to_numpy()
-            data = [pack(text.encode()) for text in part.column("text").to_pylist()]
-            yield table(shrunk, meet=ids % meets, doc_id=ids, data=data)
+            ids, texts = part.column("doc_id").to_numpy(), part.column("text").to_pylist()
+            where, copies = meets.of(ids), np.ones(len(ids), np.int64)
+            # Equal rows of a heavy document are sent once per slice.
+            seen: dict[tuple[int, str], int] = {}
+            for at in np.flatnonzero(np.isin(ids, meets.heavy_ids)).tolist():
+                key = int(ids[at]), texts[at]
+                first = seen.setdefault(key, at)
+                if first != at:
+                    copies[first] += 1
+                    copies[at] = 0
+                where[at] = meets.of_row(*key)
+            sent = np.flatnonzero(copies)
+            data = [pack(texts[at].encode()) for at in sent.tolist()]
+            yield table(shrunk, meet=where[sent], doc_id=ids[sent], data=data, copies=copies[sent])
 
     def meet(texts: pa.Table, windows: pa.Table) -> pa.Table:
         ids, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
@@ -229,7 +263,7 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, with_text: bool =
         owners, begins = owners[order], begins[order]
         unpack = zstandard.ZstdDecompressor().decompress
         out: dict[str, list] = {name: [] for name in schema.names}
-        for doc_id, data in zip(texts.column("doc_id").to_pylist(), texts.column("data").to_pylist(), strict=True):
+        for doc_id, data, copies in zip(*(texts.column(name).to_pylist() for name in shrunk.names[1:]), strict=True):
             words = unpack(data).split() if data else []
             low, high = np.searchsorted(owners, [doc_id, doc_id + 1])
             spans = _spans(begins[low:high], window, len(words))
@@ -242,10 +276,10 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, with_text: bool =
             values = [doc_id, len(words), len(words) - len(kept), hashlib.sha256(text).hexdigest()]
             values += [text.decode(), [edge for span in spans for edge in span]] if with_text else []
             for name, value in zip(schema.names, values, strict=True):
-                out[name].append(value)
+                out[name] += [value] * copies
         return pa.Table.from_batches([table(schema, **out)])
 
-    left = rows.mapInArrow(shrink, "meet long, doc_id long, data binary").groupBy("meet")
+    left = rows.mapInArrow(shrink, "meet long, doc_id long, data binary, copies long").groupBy("meet")
     kinds = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     kinds += ", text string, spans array<long>" if with_text else ""
     met = left.cogroup(removed.groupBy("meet")).applyInArrow(meet, kinds)

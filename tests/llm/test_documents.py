@@ -10,9 +10,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from papertrove.llm import decontaminate, quality_rules, secret_scan, simhash, substrings
+from papertrove.llm.words import Words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, spans string, found int, words string, judged int, code long"
@@ -230,6 +232,36 @@ def test_continuations_of_a_shared_run_have_labels_of_their_own():
     assert len(labels) == len(np.unique(labels)) == len(codes)
 
 
+def test_a_shared_phrase_is_dealt_over_all_groups(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "GROUP_SUFFIXES", 500)
+    phrase = " ".join(f"p{i}" for i in range(6))
+    texts = [" ".join([phrase, *(f"c{i}x{k}" for k in range(4))]) for i in range(3000)]
+    words = Words(pa.array(texts))
+    at = np.arange(0, len(words), 10)
+    groups = np.bincount((substrings.dealt_by(words.codes(), 10)[at] % np.uint64(24)).astype(int), minlength=24)
+    assert groups.max() < 2 * groups.mean()
+    assert {row["n_removed"] for row in substrings.remove_repeats(documents(spark, texts), window=10).collect()} == {0}
+
+
+def test_rows_of_one_id_meet_in_several_groups(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "MEET_TEXT", 2000)
+    monkeypatch.setattr(substrings, "SLICE_TEXT", 1500)
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices(["a", "b"], k=rng.randrange(60))) for _ in range(300)]
+    ids = [None] * 150 + [7] * 100 + list(range(8, 58))
+    docs = documents(spark, [*texts, *[texts[0]] * 100], [*ids, *[None] * 100]).repartition(3)
+    rows = substrings.id_or_none()
+    size, heavy = substrings.text_sizes(docs.select(rows, "text"))
+    meets = substrings.Meets(20, heavy)
+    assert len(meets.all_of(7)) > 1 and len(heavy) == 2 and size == sum(map(len, texts)) + 100 * len(texts[0])
+    found = Counter((row["doc_id"], tuple(row["spans"]), row["n_words"]) for row in substrings.remove_repeats(docs, 6).collect())
+    monkeypatch.setattr(substrings, "MEET_TEXT", 1 << 30)
+    assert found == Counter((row["doc_id"], tuple(row["spans"]), row["n_words"]) for row in substrings.remove_repeats(docs, 6).collect())
+    assert sum(found.values()) == 400
+    strides = substrings.Meets(16, {}).of(np.arange(0, 16_000, 16))
+    assert np.bincount(strides, minlength=16).min() > 20
+
+
 # Near-duplicates
 
 
