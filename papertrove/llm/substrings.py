@@ -1,12 +1,12 @@
-"""Removal of repeated passages with prefix-partitioned suffix trees, over words.
+"""Removal of repeated passages of ``WINDOW`` or more words, by codes of fixed windows.
 
-A suffix begins at every word and is read to ``WINDOW`` words: deeper nodes of the tree only describe longer repeats,
-which adjoining windows give as well. Suffixes are dealt out by a code of all these words, so that no phrase, however many
-suffixes it begins, makes a group larger than others. A group fits into memory. Its subtree is held as its suffixes, each with a label that codes all words of the window; those with the same
-label share a node at full depth, a repeat.
-All leaves below such a node but the earliest mark words to be removed; adjoining ones join into maximal repeats.
+A window begins at every word and is read to ``WINDOW`` words; longer repeats are the union of adjoining windows. This
+replaces a suffix tree: a node above that depth removes nothing and a deeper one nothing more, so no tree is built.
+Windows are dealt out by a code of all their words, so that no phrase, however many windows it begins, makes a group
+larger than others. A group fits into memory and holds a label per window, a second code of all its words; equal labels
+are a repeat. All windows of a repeat but the earliest mark words to be removed; adjoining ones join into maximal repeats.
 
-Per suffix, its label (8 bytes) and its place (about 2) are sent over the network, packed per slice of documents. A
+Per window, its label (8 bytes) and its place (about 2) are sent over the network, packed per slice of documents. A
 repeat within a slice is settled there and sent once, so a passage that very many documents share adds no more than one
 entry per slice to its group.
 """
@@ -28,11 +28,11 @@ from papertrove.llm.words import Words, id_back, id_or_none, mixed, run_codes, s
 from papertrove.sources import stage
 
 WINDOW = 20
-#: Suffixes that one subtree is built from, and bytes of text of one slice and of one group of documents at the end.
+#: Windows of one group, and bytes of text of one slice and of one group of documents at the end.
 GROUP_SUFFIXES = 1_500_000
 SLICE_TEXT = 6 << 20
 MEET_TEXT = 48 << 20
-#: Bytes of text that stand for a suffix when groups are counted.
+#: Bytes of text that stand for a window when groups are counted.
 WORD_TEXT = 4
 #: Group of the windows of documents whose rows are too many for one group; they go to several.
 _SPREAD = -1
@@ -164,7 +164,7 @@ def removed_windows(documents: DataFrame, window: int, size: int, meets: Meets)
             owner.append(np.cumsum(np.frombuffer(row["ids"], np.int64))[document])
             start.append((at - bounds[document]).astype(np.int32))
         if label:
-            ids, starts = repeated_leaves(*map(np.concatenate, (label, owner, start)))
+            ids, starts = repeated_windows(*map(np.concatenate, (label, owner, start)))
             rows += _meeting(0, meets.of_windows(ids), ids, starts)
         return pa.Table.from_batches([_batch(rows)])
 
@@ -198,19 +198,19 @@ def spread_windows(removed: DataFrame, meets: Meets) -> DataFrame:
     return removed.where(F.col("meet") != _SPREAD).unionByName(spread)
 
 
-def repeated_leaves(label: np.ndarray, owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Document and start of all suffixes of a subtree that share a node of full depth with an earlier one."""
+def repeated_windows(label: np.ndarray, owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Document and start of all windows of a group that have the label of an earlier one."""
     order = np.argsort(label)
     ordered = label[order]
     same = ordered[1:] == ordered[:-1]
     inside = np.append(same, False) | np.append(False, same)
-    leaves = order[inside]
-    leaves = leaves[np.lexsort((start[leaves], owner[leaves], label[leaves]))]
-    if not len(leaves):
+    windows = order[inside]
+    windows = windows[np.lexsort((start[windows], owner[windows], label[windows]))]
+    if not len(windows):
         return owner[:0], start[:0]
-    node = np.append(True, label[leaves[1:]] != label[leaves[:-1]])
-    earliest = leaves[np.flatnonzero(node)[np.cumsum(node) - 1]]
-    again = leaves[(owner[leaves] != owner[earliest]) | (start[leaves] != start[earliest])]
+    new = np.append(True, label[windows[1:]] != label[windows[:-1]])
+    earliest = windows[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    again = windows[(owner[windows] != owner[earliest]) | (start[windows] != start[earliest])]
     return owner[again], start[again]
 
 
