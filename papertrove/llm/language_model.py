@@ -6,8 +6,10 @@ is that of its class times that of the word within the class. Words outside the
 followed by the word's share of all such words in the training documents, smoothed by the probability of its spelling,
 so every text has a proper probability.
 
-The network and the spelling are fitted on a bounded sample of training documents. Word counts cover all documents: words
-are counted per slice, dealt out by word, added up, and every slice gets its documents' sums back.
+Everything is learned from all training documents. Words are counted per slice and added up by word; the vocabulary and
+the spelling come from these counts. The network is trained in rounds, every document in one of them: each partition goes
+on from the same weights over its share of the round, and the weights are averaged. Frequent words are counted out inside
+a slice of documents; for the others a slice asks for the counts of the distinct words it holds.
 """
 
 from __future__ import annotations
@@ -23,12 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papertrove.llm.words import Words, slices, table
-from papertrove.operators.sampling import bounded_sample
 from papertrove.sources import stage
 
-#: Bounds of the sample that the network is fitted on, and its sizes.
-FIT_DOCUMENTS = 1200
-FIT_BYTES = 64_000
+#: Sizes of the network.
 VOCABULARY = 2048
 CLASSES = 64
 HIDDEN = 24
@@ -36,12 +35,17 @@ STEPS = 32
 STREAMS = 48
 EPOCHS = 2
 RATE = 0.01
+#: Sixteenths of the training documents per round of training, and the rate and streams of each; weights averaged at a time.
+ROUNDS = ((1, 1.0, STREAMS), (3, 1.0, 96), (4, 0.5, 192), (8, 0.3, 192))
+AVERAGED = 32
 END, OTHER = 0, 1
 #: Weight of a word's spelling beside its count, in tokens.
 SPELLING_WEIGHT = 100_000.0
-#: Bytes of text of a slice, and of all texts per group of words.
+#: Bytes of text of a slice.
 SLICE_TEXT = 8 << 20
-GROUP_TEXT = 24 << 20
+#: Words that occur once in so many bytes of training text or oftener have counts that every task knows. There are fewer
+#: of them than these bytes hold words, whatever the size of the corpus.
+GROUP_TEXT = 1 << 20
 FOLDS, HELD_OUT = 5, 1
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 _END_CODE = np.uint64(0)
@@ -167,27 +171,25 @@ def _output_gradient(states, targets, w, into) -> tuple[np.ndarray, float]:
     return back, float(loss / n)
 
 
-def fit_network(texts: list[str], seed: int = 3) -> Network:
-    """Fit a network on whole texts by truncated backpropagation; no texts give one that knows no words."""
-    words = Words(pa.array(texts, pa.string()))
-    data = _LOWER[words.data]
-    codes = words.codes(data)
-    distinct, counts = np.unique(codes, return_counts=True)
-    kept = np.argsort(-counts, kind="stable")[: VOCABULARY - 2]
-    known = np.sort(distinct[kept])
-    entries = np.empty(len(kept), np.int64)
+def spelling_of(pairs: np.ndarray) -> np.ndarray:
+    """Log10 probability of a byte after a byte, from how often they follow each other in distinct words."""
+    pairs = pairs.reshape(256, 256) + 1.0
+    return np.log10(pairs / pairs.sum(axis=1, keepdims=True))
+
+
+def byte_pairs(words: list[bytes]) -> np.ndarray:
+    """How often each byte follows another in the words, a space as their edge; 256 x 256 counts in a row."""
+    seen = np.frombuffer(b" " + b"".join(word + b" " for word in words), np.uint8).astype(np.int64)
+    return np.bincount(seen[:-1] * 256 + seen[1:], minlength=1 << 16)
+
+
+def initial_network(codes: np.ndarray, counts: np.ndarray, ends: int, others: int, pairs: np.ndarray, seed: int = 3) -> Network:
+    """A network to be trained that knows these words, the most frequent first; no words give one that knows none."""
+    order = np.argsort(codes)
     # Neighbours in the order of frequency share a class.
-    entries[np.searchsorted(known, distinct[kept])] = np.arange(2, len(kept) + 2)
+    known, entries = codes[order], order + 2
     if not len(known):
         known, entries = np.zeros(1, np.uint64), np.array([OTHER])
-    # Words of the sample are spelled with equal weight, as unknown words are rather the rare ones.
-    first = np.unique(codes, return_index=True)[1]
-    pairs = np.ones((256, 256))
-    spelled = b" " + b" ".join(data[words.starts[i] : words.ends[i]].tobytes() for i in first) + b" "
-    seen = np.frombuffer(spelled, np.uint8)
-    np.add.at(pairs, (seen[:-1], seen[1:]), 1)
-    spelling = np.log10(pairs / pairs.sum(axis=1, keepdims=True))
-
     rng = np.random.Generator(np.random.PCG64(seed))
     shapes = {
         "embedding": (VOCABULARY, HIDDEN),
@@ -201,40 +203,67 @@ def fit_network(texts: list[str], seed: int = 3) -> Network:
         "word_bias": (CLASSES, VOCABULARY // CLASSES),
     }
     w = {name: (rng.normal(0, 0.15, shape) if len(shape) > 1 else np.zeros(shape)).astype(np.float32) for name, shape in shapes.items()}
-    w["word_bias"][:] = 0
-    network = Network(known, entries, spelling, w)
-    stream = np.insert(network.entries_of(codes), words.bounds[1:], END)
-    shares = np.bincount(stream, minlength=VOCABULARY) + 0.1
+    shares = np.full(VOCABULARY, 0.1)
+    shares[END] += ends
+    shares[OTHER] += others
+    shares[2 : len(counts) + 2] += counts
     grid = shares.reshape(CLASSES, -1)
     w["class_bias"][:] = np.log(grid.sum(axis=1) / grid.sum())
     w["word_bias"][:] = np.log(grid / grid.sum(axis=1, keepdims=True))
-    _train(w, stream)
-    return network
+    return Network(known, entries, spelling_of(pairs), w)
 
 
-def _train(w: dict[str, np.ndarray], stream: np.ndarray) -> None:
-    streams = max(1, min(STREAMS, len(stream) // (STEPS + 1)))
-    length = len(stream) // streams
-    if length < 2:
-        return
-    rows = stream[: streams * length].reshape(streams, length)
-    mean = {name: np.zeros_like(value) for name, value in w.items()}
-    square = {name: np.zeros_like(value) for name, value in w.items()}
-    updates = 0
+def fit_network(texts: list[str], seed: int = 3) -> Network:
+    """Fit a network on whole texts by truncated backpropagation; no texts give one that knows no words."""
+    words = Words(pa.array(texts, pa.string()))
+    data = _LOWER[words.data]
+    codes = words.codes(data)
+    distinct, first, counts = np.unique(codes, return_index=True, return_counts=True)
+    kept = np.argsort(-counts, kind="stable")[: VOCABULARY - 2]
+    pairs = byte_pairs([data[words.starts[i] : words.ends[i]].tobytes() for i in first])
+    network = initial_network(distinct[kept], counts[kept], len(texts), len(codes) - counts[kept].sum(), pairs, seed)
+    training = Training(network.weights)
     for epoch in range(EPOCHS):
+        training.read(_stream(network, words, codes), RATE * (0.3 if epoch else 1.0))
+    return network
+
+
+def _stream(network: Network, words: Words, codes: np.ndarray) -> np.ndarray:
+    return np.insert(network.entries_of(codes), words.bounds[1:], END)
+
+
+class Training:
+    """Goes on training weights in place, by Adam over windows of several streams."""
+
+    def __init__(self, weights: dict[str, np.ndarray]):
+        self.weights = weights
+        self.mean = {name: np.zeros_like(value) for name, value in weights.items()}
+        self.square = {name: np.zeros_like(value) for name, value in weights.items()}
+        self.updates = 0
+
+    def read(self, stream: np.ndarray, full_rate: float, most: int = STREAMS) -> None:
+        """Learn from all of the stream, cut into pieces that are read side by side and filled up with ends."""
+        if not len(stream):
+            return
+        streams = max(1, min(most, len(stream) // (STEPS + 1)))
+        stream = np.append(stream, np.full(-len(stream) % streams, END, stream.dtype))
+        length = len(stream) // streams
+        # What comes before a piece is given along, so that its first entry is learned as well.
+        before = np.append(END, stream[length - 1 :: length][: streams - 1])
+        rows = np.column_stack([before, stream.reshape(streams, length)])
         hidden = np.zeros((streams, HIDDEN), np.float32)
-        for start in range(0, length - 1, STEPS):
+        for start in range(0, length, STEPS):
             inputs, targets = rows[:, start : start + STEPS], rows[:, start + 1 : start + 1 + STEPS]
             inputs = inputs[:, : targets.shape[1]]
-            gradient, hidden = _window_gradient(w, inputs, targets, hidden)
-            updates += 1
-            rate = RATE * (0.3 if epoch else 1.0) * math.sqrt(1 - 0.999**updates) / (1 - 0.9**updates)
+            gradient, hidden = _window_gradient(self.weights, inputs, targets, hidden)
+            self.updates += 1
+            rate = full_rate * math.sqrt(1 - 0.999**self.updates) / (1 - 0.9**self.updates)
             norm = math.sqrt(sum(float((g * g).sum()) for g in gradient.values()))
             for name, g in gradient.items():
                 g = g * min(1.0, 1.0 / max(norm, 1e-9))
-                mean[name] += 0.1 * (g - mean[name])
-                square[name] += 0.001 * (g * g - square[name])
-                w[name] -= rate * mean[name] / (np.sqrt(square[name]) + 1e-8)
+                self.mean[name] += 0.1 * (g - self.mean[name])
+                self.square[name] += 0.001 * (g * g - self.square[name])
+                self.weights[name] -= rate * self.mean[name] / (np.sqrt(self.square[name]) + 1e-8)
 
 
 def _window_gradient(w, inputs: np.ndarray, targets: np.ndarray, hidden: np.ndarray) -> tuple[dict, np.ndarray]:
@@ -252,7 +281,7 @@ def _window_gradient(w, inputs: np.ndarray, targets: np.ndarray, hidden: np.ndar
     flat = np.concatenate(states)
     back, _ = _output_gradient(flat, targets.T.ravel(), w, into)
     back = back.reshape(steps, -1, HIDDEN)
-    read_back = np.zeros_like(read)
+    read_back, read_steps = np.zeros_like(read), []
     later = np.zeros_like(hidden)
     for t in reversed(range(steps)):
         carried, fresh, update, reset, candidate, candidate_own = kept[t]
@@ -263,8 +292,12 @@ def _window_gradient(w, inputs: np.ndarray, targets: np.ndarray, hidden: np.ndar
         own = np.concatenate([d_update, d_reset, d_candidate * reset], axis=1)
         into["hidden"] += carried.T @ own
         into["candidate_bias"] += (d_candidate * reset).sum(axis=0)
-        np.add.at(read_back, inputs[:, t], np.concatenate([d_update, d_reset, d_candidate], axis=1))
+        read_steps.append(np.concatenate([d_update, d_reset, d_candidate], axis=1))
         later = (up * update + own @ w["hidden"].T) * fresh
+    read_by = inputs[:, ::-1].T.ravel()
+    order = np.argsort(read_by, kind="stable")
+    firsts = np.flatnonzero(np.diff(read_by[order], prepend=-1))
+    read_back[read_by[order[firsts]]] = np.add.reduceat(np.concatenate(read_steps)[order], firsts)
     into["input"] += w["embedding"].T @ read_back
     into["input_bias"] += read_back.sum(axis=0)
     into["embedding"] += read_back @ w["input"].T
@@ -276,18 +309,110 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(True))
 
 
-_SENT = pa.schema([("to", pa.int32()), ("slice", pa.string())] + [(f"data{i}", pa.binary()) for i in range(7)])
-_SENT_SQL = "to int, slice string, " + ", ".join(f"data{i} binary" for i in range(7))
-_SUMS = pa.schema(
-    [("slice", pa.string())] + [(name, pa.binary()) for name in ("base", "others", "known", "rows")]
-    + [("distinct", pa.int64()), ("tokens", pa.int64()), ("other_tokens", pa.int64())]
-)
-_SUMS_SQL = (
-    "slice string, base binary, others binary, known binary, rows binary, distinct long, tokens long, other_tokens long"
-)
 _ROWS = np.dtype(
-    [("doc_id", "<i8"), ("has_id", "?"), ("held_out", "?"), ("n_tokens", "<i8"), ("n_others", "<i8"), ("score", "<f8")]
+    [("doc_id", "<i8"), ("has_id", "?"), ("held_out", "?"), ("n_tokens", "<i8"), ("n_others", "<i8"), ("n_known", "<i8")]
+    + [("score", "<f8"), ("base", "<f8"), ("others", "<f8")]
 )
+#: A slice's documents, and the words whose counts it asks for: their codes, spelling, documents and times in these.
+_SLICES = pa.schema([("slice", pa.string())] + [(name, pa.binary()) for name in ("about", "codes", "spelled", "n", "owner", "times")])
+_SLICES_SQL = "slice string, about binary, codes binary, spelled binary, n binary, owner binary, times binary"
+
+
+def training_words(training: DataFrame) -> DataFrame:
+    """``code, n, word`` of every distinct word of the training documents and of the end, each once."""
+    schema = pa.schema([("code", pa.int64()), ("n", pa.int64()), ("word", pa.binary())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", SLICE_TEXT):
+            words = Words(part.column("text"))
+            data = _LOWER[words.data]
+            distinct, first, n = np.unique(words.codes(data), return_index=True, return_counts=True)
+            spelled = [data[words.starts[i] : words.ends[i]].tobytes() for i in first]
+            codes = np.append(distinct, _END_CODE).view(np.int64)
+            yield table(schema, code=codes, n=np.append(n, len(part)), word=[*spelled, b""])
+
+    found = training.mapInArrow(count, "code long, n long, word binary")
+    return found.groupBy("code").agg(F.sum("n").alias("n"), F.min("word").alias("word"))
+
+
+def learned_words(words: DataFrame) -> tuple[Network, np.ndarray, np.ndarray, tuple[int, int, int]]:
+    """An untrained network; codes (sorted) and counts of frequent words; distinct words, tokens, tokens outside the vocabulary."""
+    sums = (F.sum("n"), F.sum(F.col("n") * (F.octet_length("word") + 1)))
+    distinct, tokens, size = words.agg(F.count("*"), *(F.coalesce(one, F.lit(0)) for one in sums)).first()
+    level = F.floor(8 * F.log2("n"))
+    end = words.where(F.col("code") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # Only what can be among the most frequent words is put in order.
+    plain, wanted, least = words.where(F.col("code") != 0), VOCABULARY - 2, 0
+    for one, n in sorted(plain.groupBy(level).count().collect(), reverse=True):
+        wanted, least = wanted - n, one
+        if wanted <= 0:
+            break
+    top = plain.where(level >= least).orderBy(F.desc("n"), "code").limit(VOCABULARY - 2).select("code", "n").collect()
+    hot = plain.where(F.col("n") * GROUP_TEXT >= size).select("code", "n").collect()
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            counts += byte_pairs(batch.column("word").to_pylist())
+        used = np.flatnonzero(counts)
+        yield table(pa.schema([("pair", pa.int64()), ("n", pa.int64())]), pair=used, n=counts[used])
+
+    counted = np.zeros(1 << 16, np.int64)
+    for pair, n in plain.select("word").mapInArrow(pairs, "pair long, n long").groupBy("pair").agg(F.sum("n")).collect():
+        counted[pair] = n
+    codes, counts = (np.array([row[i] for row in top], np.int64) for i in (0, 1))
+    others = tokens - end - int(counts.sum())
+    network = initial_network(codes.view(np.uint64), counts, end, others, counted)
+    known = dict([*map(tuple, hot), *map(tuple, top), (0, end)])
+    hot_codes = np.array(list(known), np.int64).view(np.uint64)
+    order = np.argsort(hot_codes)
+    return network, hot_codes[order], np.array(list(known.values()), np.int64)[order], (distinct, tokens, others)
+
+
+def train_network(training: DataFrame, network: Network) -> None:
+    """Train the network on all of ``text``: per round every partition reads its share, then their weights are averaged."""
+    spark = training.sparkSession
+    schema = pa.schema([("part", pa.int64()), ("tokens", pa.int64()), ("weights", pa.binary())])
+    kinds = "part long, tokens long, weights binary"
+
+    def packed(weights: dict[str, np.ndarray]) -> np.ndarray:
+        return np.concatenate([value.ravel() for value in weights.values()])
+
+    def average(group: pa.Table) -> pa.Table:
+        rows = sorted(group.to_pylist(), key=lambda row: row["part"])
+        tokens = [row["tokens"] for row in rows]
+        mean = sum(n * np.frombuffer(row["weights"], np.float32).astype(np.float64) for n, row in zip(tokens, rows, strict=True))
+        data = (mean / sum(tokens)).astype(np.float32).tobytes()
+        return pa.Table.from_batches([table(schema, part=[rows[0]["part"] // AVERAGED], tokens=[sum(tokens)], weights=[data])])
+
+    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(16))
+    low = 0
+    for size, rate, streams in ROUNDS:
+        shared = spark.sparkContext.broadcast(network)
+
+        def learn(batches: Iterator[pa.RecordBatch], rate=rate, streams=streams, shared=shared) -> Iterator[pa.RecordBatch]:
+            mine = {name: value.copy() for name, value in shared.value.weights.items()}
+            state, tokens = Training(mine), 0
+            for part in slices(batches, "text", SLICE_TEXT):
+                words = Words(part.column("text"))
+                stream = _stream(shared.value, words, words.codes(_LOWER[words.data]))
+                state.read(stream, RATE * rate, streams)
+                tokens += len(stream)
+            if tokens:
+                part = TaskContext.get().partitionId()
+                yield table(schema, part=[part], tokens=[tokens], weights=[packed(mine).tobytes()])
+
+        learned = training.where((share >= low) & (share < low + size)).mapInArrow(learn, kinds)
+        for _ in range(2):
+            learned = learned.groupBy(F.floor(F.col("part") / AVERAGED)).applyInArrow(average, kinds)
+        rows = learned.collect()
+        low += size
+        if rows:
+            data = average(pa.Table.from_pylist([row.asDict() for row in rows], schema)).column("weights")[0].as_py()
+            flat, at = np.frombuffer(data, np.float32), 0
+            for name, value in network.weights.items():
+                network.weights[name] = flat[at : at + value.size].reshape(value.shape).copy()
+                at += value.size
 
 
 def score_documents(documents: DataFrame) -> DataFrame:
@@ -302,58 +427,70 @@ def score_documents(documents: DataFrame) -> DataFrame:
     rows = documents.select(
         F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("held_out", held_out(F.col("doc_id")))
-    training = rows.filter(~F.col("held_out") & (F.octet_length("text") <= FIT_BYTES))
-    sample = bounded_sample(training, ["doc_id", "text"], FIT_DOCUMENTS)
-    texts = [row["text"] for row in sample.select("text").collect()]
-    network = spark.sparkContext.broadcast(fit_network(texts))
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    groups = max(1, math.ceil(size / GROUP_TEXT))
+    training = rows.filter(~F.col("held_out"))
+    words = stage(training_words(training), "words")
+    network, hot_codes, hot_counts, (distinct, tokens, other_tokens) = learned_words(words)
+    train_network(training, network)
+    known = spark.sparkContext.broadcast((network, hot_codes, hot_counts))
+    smoothing = math.log10(tokens + 0.5 * (distinct + 1))
+    other_smoothing = math.log10(other_tokens + SPELLING_WEIGHT)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, part in enumerate(slices(batches, "text", SLICE_TEXT)):
-            # The same name if the task is repeated, so that parts of one slice always find each other.
-            yield _count_slice(f"{TaskContext.get().partitionId()}:{number}", part, network.value, groups)
+            yield _score_slice(f"{TaskContext.get().partitionId()}:{number}", part, *known.value)
 
-    sent = rows.mapInArrow(count, _SENT_SQL)
-    sums = stage(sent.groupBy("to").applyInArrow(_add_up, _SUMS_SQL), "word-sums")
-    totals = (F.coalesce(F.sum(name), F.lit(0)) for name in ("distinct", "tokens", "other_tokens"))
-    distinct, tokens, other_tokens = sums.agg(*totals).first()
-    smoothing = math.log10(tokens + 0.5 * (distinct + 1))
-    other_smoothing = math.log10(other_tokens + SPELLING_WEIGHT)
+    asked_schema = pa.schema([("slice", pa.string()), ("place", pa.int32()), ("code", pa.int64())])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                codes = np.frombuffer(row["codes"], np.int64)
+                yield table(asked_schema, slice=[row["slice"]] * len(codes), place=np.arange(len(codes)), code=codes)
+
+    scored = stage(rows.mapInArrow(score, _SLICES_SQL), "scored-slices")
+    asked = scored.select("slice", "codes").mapInArrow(ask, "slice string, place int, code long")
+    answers = asked.join(words.select("code", "n"), "code").select("slice", "place", "n")
     schema = pa.schema(
         [("doc_id", pa.int64()), ("held_out", pa.bool_())]
         + [(name, pa.int64()) for name in ("n_tokens", "n_known", "train_tokens")]
         + [("base_score", pa.float64()), ("score", pa.float64())]
     )
 
-    def finish(group: pa.Table) -> pa.Table:
-        found = group.to_pylist()
-        about = np.frombuffer(next(row["rows"] for row in found if row["rows"]), _ROWS)
-        base, others, known = np.zeros(len(about)), np.zeros(len(about)), np.zeros(len(about), np.int64)
-        # In one order, so that repeated runs add up alike.
-        for row in sorted(found, key=lambda row: row["base"]):
-            base += np.frombuffer(row["base"], np.float64)
-            others += np.frombuffer(row["others"], np.float64)
-            known += np.frombuffer(row["known"], np.int32)
+    def finish(slices_: pa.Table, found: pa.Table) -> pa.Table:
+        row = slices_.to_pylist()[0]
+        about, spelled = np.frombuffer(row["about"], _ROWS), np.frombuffer(row["spelled"], np.float32)
+        counts = np.zeros(len(spelled), np.int64)
+        counts[found.column("place").to_numpy()] = found.column("n").to_numpy()
+        word = np.repeat(np.arange(len(counts)), np.frombuffer(row["n"], np.uint32))
+        base, others, n_known = _sums(counts, spelled, word, _wide(row["owner"]), _wide(row["times"]), len(about))
         return pa.table(
             [
                 pa.array(about["doc_id"], mask=~about["has_id"]),
                 pa.array(about["held_out"]),
                 pa.array(about["n_tokens"]),
-                pa.array(known),
+                pa.array(about["n_known"] + n_known),
                 pa.array(np.full(len(about), tokens)),
-                pa.array(base - about["n_tokens"] * smoothing),
-                pa.array(about["score"] + others - about["n_others"] * other_smoothing),
+                pa.array(about["base"] + base - about["n_tokens"] * smoothing),
+                pa.array(about["score"] + about["others"] + others - about["n_others"] * other_smoothing),
             ],
             schema=schema,
         )
 
     kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return sums.groupBy("slice").applyInArrow(finish, kinds)
+    return scored.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(finish, kinds)
+
+
+def _sums(counts: np.ndarray, spelled: np.ndarray, word, owner, times, documents: int) -> tuple[np.ndarray, ...]:
+    """Per document the logs of its words' counts, those of unknown words with their spelling, and its counted tokens."""
+    logs = np.log10(counts + 0.5)
+    is_other = ~np.isnan(spelled)
+    other_logs = np.log10(counts + SPELLING_WEIGHT * 10.0 ** np.where(is_other, spelled, 0.0).astype(np.float64)) * is_other
+    known = np.bincount(owner, (counts[word] > 0) * times, documents).astype(np.int64)
+    return np.bincount(owner, logs[word] * times, documents), np.bincount(owner, other_logs[word] * times, documents), known
 
 
-def _count_slice(name: str, part: pa.Table, network: Network, groups: int) -> pa.RecordBatch:
-    """Scores of a slice's documents, and its words with their training counts and documents, packed per group."""
+def _score_slice(name: str, part: pa.Table, network: Network, hot_codes: np.ndarray, hot_counts: np.ndarray) -> pa.RecordBatch:
+    """Scores of a slice's documents and the sums of their frequent words; the others with their documents, packed."""
     words = Words(part.column("text"))
     data = _LOWER[words.data]
     codes = np.insert(words.codes(data), words.bounds[1:], _END_CODE)
@@ -361,7 +498,6 @@ def _count_slice(name: str, part: pa.Table, network: Network, groups: int) -> pa
     sizes = np.diff(bounds)
     count = len(sizes)
     document = np.repeat(np.arange(count), sizes)
-    out = part.column("held_out").to_numpy()
     distinct, first, which = np.unique(codes, return_index=True, return_inverse=True)
 
     entries = network.entries_of(distinct)
@@ -374,40 +510,32 @@ def _count_slice(name: str, part: pa.Table, network: Network, groups: int) -> pa
     entries = entries[which]
     score = network.log_likelihood(np.split(entries, bounds[1:-1])) if count else np.zeros(0)
 
+    pairs, times = np.unique(which.astype(np.int64) * count + document, return_counts=True)
+    word, owner = pairs // count, pairs % count
+    at = np.minimum(np.searchsorted(hot_codes, distinct), len(hot_codes) - 1)
+    is_hot = hot_codes[at] == distinct
+    here = is_hot[word]
+
     about = np.zeros(count, _ROWS)
     ids = part.column("doc_id").combine_chunks()
     about["doc_id"] = ids.fill_null(0).to_numpy()
     about["has_id"] = ids.is_valid().to_numpy(zero_copy_only=False)
-    about["held_out"], about["n_tokens"], about["score"] = out, sizes, score / math.log(10)
+    about["held_out"], about["n_tokens"] = part.column("held_out").to_numpy(), sizes
+    about["score"] = score / math.log(10)
     about["n_others"] = np.bincount(document[entries == OTHER], minlength=count)
-
-    trained = np.bincount(which[~out[document]], minlength=len(distinct)).astype(np.uint32)
-    pairs, times = np.unique(which.astype(np.int64) * count + document, return_counts=True)
-    word, owner = pairs // count, pairs % count
+    found = _sums(np.where(is_hot, hot_counts[at], 0), spelled, word[here], owner[here], times[here], count)
+    about["base"], about["others"], about["n_known"] = found
     per_word = np.bincount(word, minlength=len(distinct))
-    to = ((distinct >> np.uint64(40)) % np.uint64(groups)).astype(np.int64)
-    order = np.argsort(to, kind="stable")
-    cuts = np.searchsorted(to[order], np.arange(groups + 1))
-    firsts = np.cumsum(per_word) - per_word
-    sent: dict[str, list] = {field: [] for field in _SENT.names}
-    for group in range(groups):
-        some = order[cuts[group] : cuts[group + 1]]
-        if not len(some) and group:
-            continue
-        n = per_word[some]
-        at = np.repeat(firsts[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        values = (
-            distinct[some].tobytes(),
-            trained[some].tobytes(),
-            n.astype(np.uint32).tobytes(),
-            _narrow(owner[at]),
-            _narrow(times[at]),
-            about.tobytes() if group == 0 else np.int64(count).tobytes(),
-            spelled[some].tobytes(),
-        )
-        for field, value in zip(_SENT.names, (group, name, *values), strict=True):
-            sent[field].append(value)
-    return table(_SENT, **sent)
+    values = {
+        "slice": name,
+        "about": about.tobytes(),
+        "codes": distinct[~is_hot].tobytes(),
+        "spelled": spelled[~is_hot].tobytes(),
+        "n": per_word[~is_hot].astype(np.uint32).tobytes(),
+        "owner": _narrow(owner[~here]),
+        "times": _narrow(times[~here]),
+    }
+    return table(_SLICES, **{key: [value] for key, value in values.items()})
 
 
 def _narrow(values: np.ndarray) -> bytes:
@@ -419,38 +547,3 @@ def _narrow(values: np.ndarray) -> bytes:
 
 def _wide(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
-
-
-def _add_up(group: pa.Table) -> pa.Table:
-    """Training counts of a group's words over all slices, and every slice's sums per document."""
-    rows = group.to_pylist()
-    codes = [np.frombuffer(row["data0"], np.uint64) for row in rows]
-    distinct, which = np.unique(np.concatenate(codes), return_inverse=True)
-    trained = np.concatenate([np.frombuffer(row["data1"], np.uint32) for row in rows])
-    totals = np.bincount(which, trained, len(distinct)).astype(np.int64)
-    logs = np.log10(totals + 0.5)
-    spelled = np.empty(len(distinct))
-    spelled[which] = np.concatenate([np.frombuffer(row["data6"], np.float32) for row in rows])
-    is_other = ~np.isnan(spelled)
-    other_logs = np.log10(totals + SPELLING_WEIGHT * 10.0 ** np.where(is_other, spelled, 0.0)) * is_other
-    out: dict[str, list] = {name: [] for name in _SUMS.names}
-    at = 0
-    for row, found in zip(rows, codes, strict=True):
-        mine = which[at : at + len(found)]
-        at += len(found)
-        word = np.repeat(mine, np.frombuffer(row["data2"], np.uint32))
-        owner, times = _wide(row["data3"]), _wide(row["data4"])
-        first = row["to"] == 0
-        count = len(row["data5"]) // _ROWS.itemsize if first else int(np.frombuffer(row["data5"], np.int64)[0])
-        out["slice"].append(row["slice"])
-        out["base"].append(np.bincount(owner, logs[word] * times, count).tobytes())
-        out["others"].append(np.bincount(owner, other_logs[word] * times, count).tobytes())
-        out["known"].append(np.bincount(owner, (totals[word] > 0) * times, count).astype(np.int32).tobytes())
-        out["rows"].append(row["data5"] if first else b"")
-        out["distinct"].append(0)
-        out["tokens"].append(0)
-        out["other_tokens"].append(0)
-    if out["slice"]:
-        out["distinct"][0], out["tokens"][0] = int((totals > 0).sum()), int(totals.sum())
-        out["other_tokens"][0] = int(totals[is_other].sum())
-    return pa.Table.from_batches([table(_SUMS, **out)])

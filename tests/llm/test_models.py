@@ -128,6 +128,31 @@ def test_base_scores_equal_brute_force(spark, monkeypatch):
     assert language_model.score_documents(documents(spark, [])).collect() == []
 
 
+def test_long_texts_and_all_documents_are_learned_from(spark):
+    out = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1]
+    ids = [i for i in range(60) if i not in out]
+    texts = [" ".join(["zig", "zag"] * 9000) for _ in ids[:6]]
+    rows = language_model.score_documents(documents(spark, [*texts, "zig zag " * 20], [*ids[:6], out[0]])).collect()
+    held = next(row for row in rows if row["held_out"])
+    assert held["score"] > -0.5 * held["n_tokens"]
+    words = language_model.training_words(documents(spark, [f"w{i % 50} rare{i}" for i in range(3000)], range(3000)))
+    network, hot, counts, (distinct, tokens, _) = language_model.learned_words(words)
+    assert len(network.codes) == language_model.VOCABULARY - 2 and (distinct, tokens) == (3051, 9000)
+    kept = Words(pa.array([" ".join(f"w{i}" for i in range(50))])).codes()
+    assert np.isin(kept, network.codes).all() and counts[np.searchsorted(hot, kept)].tolist() == [60] * 50
+
+
+def test_frequent_words_are_counted_inside_their_slice(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "VOCABULARY", 128)
+    monkeypatch.setattr(language_model, "GROUP_TEXT", 2000)
+    docs = documents(spark, ["all of these " * 5 + f"rare{i}" for i in range(400)])
+    network, hot, counts, _ = language_model.learned_words(language_model.training_words(docs))
+    part = docs.selectExpr("doc_id", "text", "false held_out").toArrow()
+    row = language_model._score_slice("0:0", part, network, hot, counts).to_pylist()[0]
+    asked = np.frombuffer(row["codes"], np.uint64)
+    assert not np.isin(hot, asked).any() and len(language_model._wide(row["owner"])) == len(asked) < 400
+
+
 def test_state_is_carried_across_windows():
     rng = random.Random(5)
     network = language_model.fit_network([plain(rng, 200) for _ in range(20)])
