@@ -29,7 +29,12 @@ _ASSIGN = re.compile(
 _ASSIGN_HINTS = ("passw", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}+")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}+")
+#: Where base64 of a DER sequence, of an OpenSSH key or of a PEM text can begin, also inside a run.
+_KEY_START = re.compile(r"(?:M[B-I](?=[A-Za-z0-9+/_-]{30})|(?:b3Bl|LS0t)(?=[A-Za-z0-9+/_-]{28}))")
+#: Characters of base64 and of its form for URLs, and what joins lines: breaks, or breaks escaped once or oftener.
+_RUNS = (re.compile(r"[A-Za-z0-9+/]*+"), re.compile(r"[A-Za-z0-9_-]*+"))
+_JOIN = re.compile(r"(?:\r?\n|(?:\\+r)?\\+n)[\x20\t]*")
+_PEM = b"-----BEGIN "
 _HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}+")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{2,}+\.[A-Za-z0-9_-]*+(?![A-Za-z0-9_.-]*\.[A-Za-z0-9_-])")
 _SSH_MAGIC = b"openssh-key-v1\0"
@@ -142,20 +147,18 @@ def _url_bytes(part: str) -> bytes:
     return base64.b64decode(part + "=" * (-len(part) % 4), altchars=b"-_", validate=True)
 
 
-def _base64_run(text: str, start: int) -> Iterator[tuple[int, str]]:
-    """End and characters of the run at ``start``: its first line, and then with the lines that may continue it."""
-    end = start
-    taken = []
+def _base64_run(text: str, start: int, url: bool) -> Iterator[tuple[int, int, list[str]]]:
+    """End, length and pieces of the run at ``start``: its first line, and then with the lines that may continue it."""
+    end, count, taken = start, 0, []
     while True:
-        stop = end
-        while stop < len(text) and (text[stop].isascii() and (text[stop].isalnum() or text[stop] in "+/")):
-            stop += 1
+        stop = _RUNS[url].match(text, end).end()
         taken.append(text[end:stop])
+        count += stop - end
         done = stop
         while done < len(text) and done < stop + 2 and text[done] == "=":
             done += 1
-        yield done, "".join(taken)
-        line = re.compile(r"\r?\n[\x20\t]*").match(text, stop)
+        yield done, count, taken
+        line = _JOIN.match(text, stop)
         if not line or done > stop or line.end() >= len(text) or stop == end:
             return
         end = line.end()
@@ -163,33 +166,55 @@ def _base64_run(text: str, start: int) -> Iterator[tuple[int, str]]:
 
 def _decoded(characters: str) -> bytes:
     characters = characters[: len(characters) - (len(characters) % 4 == 1)]
-    return base64.b64decode(characters + "=" * (-len(characters) % 4))
+    return base64.b64decode(characters.replace("-", "+").replace("_", "/") + "=" * (-len(characters) % 4))
+
+
+def _key_at(text: str, start: int, url: bool) -> tuple[str | None, int] | None:
+    """Kind and end of the key at ``start``; no kind for another value that is complete, None for anything else."""
+    first = _RUNS[url].match(text, start)[0]
+    if len(first) < 32 or url and "-" not in first and "_" not in first:
+        return None
+    head = _decoded(first[:32])
+    run = _base64_run(text, start, url)
+    if head[0] == _SEQUENCE:
+        need = der_length(head)
+        if not need or head[need[0]] not in (_INTEGER, _SEQUENCE) or need[1] > (len(text) - start) * 3 // 4:
+            return None
+        end, characters = next(((end, "".join(taken)) for end, count, taken in run if count * 3 // 4 >= need[1]), (0, ""))
+        data = _decoded(characters)
+        if len(data) != need[1]:
+            return None
+        if is_private_key(data):
+            return "private_key", end
+        return (None, end) if der_items(der_items(data)[0][1]) else None
+    if head.startswith(_SSH_MAGIC):
+        return next((("ssh_key", end) for end, _, taken in run if is_ssh_key(_decoded("".join(taken)))), None)
+    if head.startswith(_PEM):
+        pieces: list[str] = []
+        ends = []
+        for end, count, pieces in run:
+            ends.append((count, end))
+        data = _decoded("".join(pieces))
+        # A file of several parts goes to its last end mark.
+        close = data.find(b"-----", data.rfind(b"-----END ") + 9) + 5 if b"-----END " in data else len(data)
+        inner = confirmed_spans(data[:close].decode("latin-1"))
+        kind = next((kind for kind, _, _ in inner if kind in ("private_key", "ssh_key")), None)
+        return kind, next((end for count, end in ends if count * 3 // 4 >= close), ends[-1][1])
+    return None
 
 
 def confirmed_spans(text: str) -> list[Span]:
     """Keys and signed tokens whose decoded structure was parsed to its end."""
     found: list[Span] = []
     reached = 0
-    for m in _BASE64.finditer(text):
+    for m in _KEY_START.finditer(text):
         if m.start() < reached:
             continue
-        head = base64.b64decode(text[m.start() : m.start() + 32])
-        if head[0] != _SEQUENCE and not head.startswith(_SSH_MAGIC):
-            continue
-        need = der_length(head) if head[0] == _SEQUENCE else None
-        for end, characters in _base64_run(text, m.start()):
-            if need and len(characters) * 3 // 4 < need[1]:
-                continue
-            data = _decoded(characters)
-            if need:
-                if len(data) == need[1] and is_private_key(data):
-                    found.append(("private_key", m.start(), end))
-                    reached = end
-                break
-            if head[0] != _SEQUENCE and is_ssh_key(data):
-                found.append(("ssh_key", m.start(), end))
-                reached = end
-                break
+        hit = _key_at(text, m.start(), False) or _key_at(text, m.start(), True)
+        if hit:
+            kind, reached = hit
+            if kind:
+                found.append((kind, m.start(), reached))
     for m in _HEX_ANY.finditer(text):
         if text.startswith("30", m.start()) and (m.end() - m.start()) % 2 == 0 and is_private_key(binascii.unhexlify(m[0])):
             found.append(("private_key", *m.span()))
