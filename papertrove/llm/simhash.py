@@ -245,7 +245,7 @@ def near_duplicates(documents: DataFrame, max_bits: int = MAX_BITS, shingle: int
 def first_of_each(documents: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
     """``documents`` with one document of each component: the one with the smallest ``doc_id``.
 
-    Rows that repeat this id are all of the document's rows and stay.
+    Rows that repeat this id are all of the document's rows and stay; so do all rows with a null id, copies included.
     """
     found = near_duplicates(documents, max_bits, shingle)
     firsts = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(_key("doc_id").alias("kept_id")).distinct()
