@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from papertrove.llm import chat, decontaminate, quality_rules, substrings
+from papertrove.llm import chat, decontaminate, quality_rules, repair, substrings
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -146,3 +146,112 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+def _crc32(text: str) -> str:
+    """The checksum of an ASCII string, bit by bit."""
+    bits = f"flatten([[(ascii(x) >> k) & 1 FOR k IN range(8)] FOR x IN string_split({text}, '')])"
+    step = "xor(c >> 1, (xor(c, b) & 1) * 3988292384)"
+    return f"xor(list_reduce(list_prepend(4294967295, [x::BIGINT FOR x IN {bits}]), lambda c, b: {step}), 4294967295)"
+
+
+def _step(state: str, letters: str, cost: str) -> str:
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letters}'}} END"
+
+
+def _least(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _when(condition: str, option: str) -> str:
+    return f"CASE WHEN {condition} THEN {option} END"
+
+
+def _inserted(state: str, count: int) -> str:
+    return _step(state, repair.INSERT * count, str(repair.INSERT_COST * count))
+
+
+_KEPT, _REROLED = "stays", f"stays + {repair.REROLE_COST}"
+_AFTER_INSERTS = f"""
+    s0 AS x0, s1 AS x1, {_least("s2", *(_inserted(s, 1) for s in ("s0", "s1", "s3")))} AS x2,
+    {_least("s3", _inserted("s2", 1), _inserted("s0", 2), _inserted("s1", 2))} AS x3
+"""
+
+
+def _moved(state: int) -> str:
+    """The least of all edits of a row that lead to a state."""
+    options = [_step(f"x{state}", repair.DELETE, str(repair.DELETE_COST))]
+    if state == repair.SYSTEM:
+        options.append(_when("NOT doomed AND initial = 's'", _step("x0", repair.KEEP, _KEPT)))
+    for before in {repair.ASKED: (0, 1, 3), repair.ANSWERED: (2,)}.get(state, ()):
+        initial = "u" if state == repair.ASKED else "a"
+        options.append(_when(f"NOT doomed AND initial = '{initial}'", _step(f"x{before}", repair.KEEP, _KEPT)))
+        options.append(_when("NOT doomed", _step(f"x{before}", repair.REROLE, _REROLED)))
+    return _least(*options)
+
+
+REPAIR = f"""
+WITH RECURSIVE marked AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fault
+    FROM conversations
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+        CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM marked
+), placed AS (
+    SELECT conv_id, turn, role, text, left(role, 1) AS initial, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i
+    FROM damaged
+), judged AS (
+    SELECT *, CASE
+        WHEN shown = '' THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+        WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+    FROM placed
+), rows AS (
+    SELECT *, fault IS NOT NULL AND fault <> 'truncated' AS doomed,
+        CASE WHEN fault = 'truncated' THEN {repair.TRUNCATED_COST} ELSE 0 END AS stays
+    FROM judged
+), walked AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': ''}} AS s0, NULL::STRUCT(c BIGINT, a VARCHAR) AS s1,
+        NULL::STRUCT(c BIGINT, a VARCHAR) AS s2, NULL::STRUCT(c BIGINT, a VARCHAR) AS s3
+    FROM rows
+    UNION ALL
+    SELECT conv_id, i, {", ".join(f"{_moved(s)} AS s{s}" for s in repair.STATES)}
+    FROM (
+        SELECT r.conv_id, r.i, doomed, initial, stays::BIGINT AS stays, {_AFTER_INSERTS}
+        FROM walked w JOIN rows r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+    )
+), ended AS (
+    SELECT conv_id, {_least("s0", "s3", _inserted("s2", 1), _inserted("s1", 2))} AS best
+    FROM walked QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), letters AS (
+    SELECT conv_id, unnest(string_split(best.a, '')) AS letter, generate_subscripts(string_split(best.a, ''), 1) AS p
+    FROM ended WHERE best.a <> ''
+), numbered AS (
+    SELECT *, count(*) FILTER (letter <> 'I') OVER own AS i, count(*) FILTER (letter <> 'D') OVER own AS w
+    FROM letters WINDOW own AS (PARTITION BY conv_id ORDER BY p)
+), turns AS (
+    SELECT n.conv_id, n.p, letter, role, text, w - max(CASE WHEN letter = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY n.conv_id) AS w
+    FROM numbered n LEFT JOIN rows r ON r.conv_id IS NOT DISTINCT FROM n.conv_id AND r.i = n.i AND letter <> 'I'
+    WHERE letter <> 'D'
+), repaired AS (
+    SELECT conv_id, sha256(string_agg(
+        CASE WHEN letter = 'K' THEN role WHEN w % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY p)) AS digest
+    FROM turns GROUP BY conv_id
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+        count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM rows GROUP BY conv_id
+), ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
+    coalesce(best.a, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM ids LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM ids.conv_id
+    LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM ids.conv_id
+    LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""

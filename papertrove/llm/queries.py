@@ -12,6 +12,7 @@ from papertrove.llm import (
     packing,
     quality_model,
     quality_rules,
+    repair,
     secret_scan,
     simhash,
     substrings,
@@ -26,6 +27,7 @@ ORACLES: dict[str, str] = {
     "op7_repeated_passages": oracles.REPEATS,
     "op8_chat_format": oracles.CHAT,
     "op9_quality_rules": oracles.QUALITY,
+    "op13_conversation_repair": oracles.REPAIR,
 }
 
 
@@ -101,3 +103,9 @@ def op5_language_model(spark: SparkSession, folder: str) -> DataFrame:
 def op3_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     """Quality scores of all documents."""
     return quality_model.score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@registered
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, damaged and repaired."""
+    return repair.damage_and_repair(_table(spark, folder, "conversations"))
