@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from papertrove.llm import chat, decontaminate, quality_rules, repair, substrings
+from papertrove.llm import chat, decontaminate, merkle, quality_rules, repair, substrings
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -255,3 +255,71 @@ FROM ids LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM ids.conv_id
     LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM ids.conv_id
     LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM ids.conv_id
 """
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_field(text if name == 'text' else name) for name in merkle.FIELDS)})"
+
+
+def _levels(name: str, base: str) -> str:
+    """All nodes of some trees, level by level; the nodes of one run have the same parent ``i // 3``."""
+    return f"""{name} AS (
+    {base}
+    UNION ALL
+    SELECT tree, level + 1, i // {merkle.RUN}, sha256(string_agg(digest, '' ORDER BY i)), (n + {merkle.RUN - 1}) // {merkle.RUN}
+    FROM {name} WHERE n > 1 GROUP BY tree, level, i // {merkle.RUN}, n
+)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+    SELECT row_number() OVER () AS row_id, doc_id, coalesce('s' || source, '') AS tree, {_leaf("text")} AS leaf,
+        CASE WHEN {_crc32("doc_id::VARCHAR")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} END AS changed
+    FROM documents
+), placed AS (
+    SELECT *, row_number() OVER own - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+    WINDOW own AS (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf)
+), {_levels("nodes", "SELECT tree, 0 AS level, i, leaf AS digest, n FROM placed")}, subroots AS (
+    SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1
+), {_levels("tops", "SELECT '' AS tree, 0 AS level, i, digest, n FROM subroots")}, root AS (
+    SELECT digest FROM tops WHERE n = 1
+), steps AS (
+    SELECT row_id, level, i // power({merkle.RUN}, level)::BIGINT AS own, tree FROM placed, range(64) AS t(level)
+    WHERE power({merkle.RUN}, level) < n OR level = 0
+), siblings AS (
+    SELECT row_id, 0 AS part, s.level, x.digest, x.i, x.i < own AS before
+    FROM steps s JOIN nodes x ON x.tree = s.tree AND x.level = s.level AND x.i // {merkle.RUN} = own // {merkle.RUN} AND x.i <> own AND x.n > 1
+    UNION ALL
+    SELECT row_id, 1, s.level, x.digest, x.i, x.i < own
+    FROM (
+        SELECT row_id, t.level, s.i // power({merkle.RUN}, t.level)::BIGINT AS own
+        FROM placed p JOIN subroots s USING (tree), range(64) AS t(level) WHERE power({merkle.RUN}, t.level) < s.n
+    ) s JOIN tops x ON x.level = s.level AND x.i // {merkle.RUN} = own // {merkle.RUN} AND x.i <> own
+), runs AS (
+    SELECT row_id, part, level FROM (
+        SELECT row_id, 0 AS part, level, tree FROM placed, range(64) AS t(level) WHERE power({merkle.RUN}, level) < n
+        UNION ALL
+        SELECT row_id, 1, level, tree FROM placed JOIN (SELECT DISTINCT n AS sources FROM subroots) ON true, range(64) AS t(level)
+        WHERE power({merkle.RUN}, level) < sources
+    )
+), ways AS (
+    SELECT row_id, row_number() OVER (PARTITION BY row_id ORDER BY part, level) AS step,
+        coalesce(string_agg(digest, '' ORDER BY x.i) FILTER (before), '') AS lefts,
+        coalesce(string_agg(digest, '' ORDER BY x.i) FILTER (NOT before), '') AS rights
+    FROM runs LEFT JOIN siblings x USING (row_id, part, level) GROUP BY row_id, part, level
+), proofs AS (
+    SELECT row_id, sha256(coalesce(string_agg(lefts || rights, '' ORDER BY step), '')) AS proof_sha256, count(*) AS steps FROM ways GROUP BY row_id
+), folding AS (
+    SELECT row_id, 0::BIGINT AS step, coalesce(changed, leaf) AS digest FROM placed
+    UNION ALL
+    SELECT f.row_id, w.step, sha256(lefts || f.digest || rights) FROM folding f JOIN ways w ON w.row_id = f.row_id AND w.step = f.step + 1
+)
+SELECT p.doc_id, p.leaf, s.digest AS subroot, root.digest AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+    f.digest AS folded_root, f.digest = root.digest AS verified
+FROM placed p JOIN subroots s USING (tree) CROSS JOIN root LEFT JOIN proofs o USING (row_id)
+    JOIN folding f ON f.row_id = p.row_id AND f.step = coalesce(o.steps, 0)
+"""

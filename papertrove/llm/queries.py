@@ -8,6 +8,7 @@ from papertrove.llm import (
     chat,
     decontaminate,
     language_model,
+    merkle,
     oracles,
     packing,
     quality_model,
@@ -27,6 +28,7 @@ ORACLES: dict[str, str] = {
     "op7_repeated_passages": oracles.REPEATS,
     "op8_chat_format": oracles.CHAT,
     "op9_quality_rules": oracles.QUALITY,
+    "op12_merkle_manifest": oracles.MERKLE,
     "op13_conversation_repair": oracles.REPAIR,
 }
 
@@ -105,6 +107,13 @@ def op3_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     return quality_model.score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+@registered
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents, and what the tampered ones fold to."""
+    documents = _table(spark, folder, "documents")
+    return merkle.manifest(documents, merkle.tampered_text()).drop("n_copied")
+
+
 @registered
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, damaged and repaired."""
