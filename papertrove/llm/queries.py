@@ -11,6 +11,7 @@ from papertrove.llm import (
     merkle,
     oracles,
     packing,
+    pii,
     quality_model,
     quality_rules,
     repair,
@@ -107,6 +108,12 @@ def op3_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     return quality_model.score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+@registered
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all documents."""
+    return pii.find_personal_data(_table(spark, folder, "documents"), pii.labelled_table(spark))
+
+
 @registered
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Leaves, roots and proofs of all documents, and what the tampered ones fold to."""
