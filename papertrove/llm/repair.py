@@ -21,7 +21,7 @@ import hashlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from papertrove.llm.words import table
@@ -367,19 +367,15 @@ _CROSSED_SQL = "conv_id long, part int, place long, entry int, leaving int"
 
 
 def _to_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbouring summaries of one conversation in this task, up to ``FAN``, and what they come to."""
-    from pyspark import TaskContext
-
-    part = TaskContext.get().partitionId()
+    """The summaries of one group after the other, and what they come to."""
     held: list[dict] = []
-    place = 0
 
     def cut() -> pa.RecordBatch:
         summaries = [row["summary"] for row in held]
         group = {
             "conv_id": held[0]["conv_id"],
-            "part": part,
-            "place": place,
+            "part": 0,
+            "place": held[0]["bucket"],
             "parts": [row["part"] for row in held],
             "places": [row["place"] for row in held],
             "summaries": summaries,
@@ -389,9 +385,9 @@ def _to_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for row in batch.to_pylist():
-            if held and (row["conv_id"] != held[0]["conv_id"] or len(held) >= FAN):
+            if held and (row["conv_id"], row["bucket"]) != (held[0]["conv_id"], held[0]["bucket"]):
                 yield cut()
-                held, place = [], place + 1
+                held = []
             held.append(row)
     if held:
         yield cut()
@@ -419,19 +415,20 @@ def _to_crossings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _block_states(blocks: DataFrame) -> DataFrame:
     """Entry and exit state of all blocks that are not alone.
 
-    Upwards, a level has one row per ``FAN`` neighbours; a level's partitions follow its counted rows, so it shrinks by
-    that factor until every conversation is one group. Downwards, each level fixes the crossings inside its groups.
+    Upwards, a level has one row per ``FAN`` neighbours of a conversation, until every conversation is one row; its rows
+    are numbered by a window over summaries only, one per ``BLOCK_ROWS`` rows or fewer. Downwards, each level fixes the
+    crossings inside its groups.
     """
     levels = []
     level = blocks.where(~F.col("alone")).select("conv_id", "part", "place", "summary")
-    rows = level.count()
     while True:
-        ordered = level.repartitionByRange(-(-rows // FAN) or 1, "conv_id", "part", "place")
-        ordered = ordered.sortWithinPartitions("conv_id", "part", "place")
-        groups = stage(ordered.mapInArrow(_to_groups, _GROUP_SQL), "repair-groups")
-        levels.append(groups)
-        level, rows = groups.select("conv_id", "part", "place", "summary"), groups.count()
-        if rows == groups.select(F.count_distinct(F.struct("conv_id"))).first()[0]:
+        number = F.row_number().over(Window.partitionBy("conv_id").orderBy("part", "place"))
+        bucket = F.floor((number - 1) / F.lit(FAN)).cast("long")
+        dealt = level.withColumn("bucket", bucket).repartition("conv_id", "bucket")
+        ordered = dealt.sortWithinPartitions("conv_id", "bucket", "part", "place")
+        levels.append(stage(ordered.mapInArrow(_to_groups, _GROUP_SQL), "repair-groups"))
+        level = levels[-1].select("conv_id", "part", "place", "summary")
+        if not (levels[-1].agg(F.max("place")).first()[0] or 0):
             break
     none = F.lit(None).cast("int")
     top = levels.pop().withColumns({"entry": none, "leaving": none})
@@ -443,8 +440,11 @@ def _block_states(blocks: DataFrame) -> DataFrame:
 
 
 def _with_states(rows: DataFrame, states: DataFrame) -> DataFrame:
-    """Rows with the states of their block or group; null where there are none. Part and place alone name a block."""
-    return rows.join(states.drop("conv_id"), ["part", "place"], "left")
+    """Rows with the states of their block or group; null where there are none."""
+    a, b = rows.alias("a"), states.alias("b")
+    same = F.col("a.conv_id").eqNullSafe(F.col("b.conv_id"))
+    same = same & (F.col("a.part") == F.col("b.part")) & (F.col("a.place") == F.col("b.place"))
+    return a.join(b, same, "left").select("a.*", "b.entry", "b.leaving")
 
 
 # Audits and texts of blocks, and of whole conversations
