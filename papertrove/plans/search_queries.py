@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from papertrove.functions import text
 from papertrove.operators import documents as docs
-from papertrove.operators import search
+from papertrove.operators import ranked, search
 from papertrove.plans.jobs import chunk_search
 from papertrove.plans.oracle_parts import fixed_chunks_sql, vectors_sql
 from papertrove.plans.registry import registered
@@ -46,6 +46,17 @@ def search_postings(spark: SparkSession, folder: str) -> DataFrame:
     return search.search_postings(spark, path, _question(spark, folder))
 
 
+@registered(f"{SEARCH_SQL} SELECT doc_id, chunk_index, score, true AS under_half FROM best")
+def search_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    """The answers of ``search_one`` out of postings by impact, of which less than half of the blocks are opened."""
+    rows = load_spread(spark, folder, "documents", "doc_id", "text")
+    chunks = docs.explode_chunks(rows, text.chunk_fixed(F.col("text")), name="content").drop("text")
+    path = work_folder(spark, "ranked")
+    ranked.write_ranked(chunks, "content", ["doc_id", "chunk_index"], path, parts=8, buckets=8)
+    found = ranked.search_ranked(spark, path, _question(spark, folder))
+    return found.select("doc_id", "chunk_index", "score", (2 * F.col("blocks_opened") < F.col("blocks")).alias("under_half"))
+
+
 @registered(f"""{SEARCH_SQL}
 SELECT content AS field_0, CAST(doc_id AS VARCHAR) AS field_1, CAST(chunk_index AS VARCHAR) AS field_2, score FROM best""")
 def search_rows(spark: SparkSession, folder: str) -> DataFrame:
