@@ -16,6 +16,7 @@ from papertrove.session import arrow_batch
 from papertrove.sources.files import scan_binary
 from papertrove.sources.storage import stage
 from papertrove.sources.tables import spread
+from papertrove.streaming.buckets import BucketedIndex
 from papertrove.streaming.sync import SyncedIndex, change_stream
 
 
@@ -114,7 +115,7 @@ def build_image_index(
 def follow_table(
     old: DataFrame | None,
     new: DataFrame,
-    index: SyncedIndex,
+    index: SyncedIndex | BucketedIndex,
     feed: str,
     version: int,
     text_column: str = "content",
@@ -123,7 +124,8 @@ def follow_table(
     """Write what changed between two states of a table to the feed folder and sync the index from it."""
     tables.change_feed(old, new, index.key, version).write.mode("append").parquet(feed)
     source = change_stream(new.sparkSession, feed)
-    index.sync(source, text_column, deleted=F.col("removed"), full_refresh=full_refresh)
+    options = {"full_refresh": True} if full_refresh else {}
+    index.sync(source, text_column, deleted=F.col("removed"), **options)
 
 
 def ask(index: DataFrame, question: str | DataFrame, settings: Settings) -> DataFrame:

@@ -15,6 +15,7 @@ from papertrove.plans.oracle_parts import fixed_chunks_sql, vectors_sql
 from papertrove.plans.registry import registered
 from papertrove.sources.storage import child_names, work_folder
 from papertrove.sources.tables import load, load_spread, scan_table
+from papertrove.streaming.buckets import open_buckets
 from papertrove.streaming.sync import change_stream, open_index
 
 MIDDLE = "2024-01-16 00:00:00"
@@ -159,6 +160,15 @@ def rebuild_index(spark: SparkSession, folder: str) -> DataFrame:
     return _live(index, spark)
 
 
+@registered(SYNC_SQL)
+def sync_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``sync_index``, in buckets of the key with a manifest."""
+    index = open_buckets(work_folder(spark, "sync-buckets"), "user_id", ["ts", "event_id"], buckets=8, parts=8)
+    for _ in range(2):
+        index.sync(_event_stream(spark, folder), "content", deleted=F.col("event_type") == "error")
+    return _live(index, spark)
+
+
 SYNCED_SQL = f"""
 WITH live AS (
   SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'changed ' || reverse(text) ELSE text END AS text
@@ -184,3 +194,33 @@ def search_synced(spark: SparkSession, folder: str) -> DataFrame:
     question = load(spark, folder, "benchmark").orderBy("item_id").limit(1).select("text")
     found = index.search(spark, question, ["doc_id", "text"])
     return found.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "score")
+
+
+ONE_PERCENT_SQL = f"""
+WITH live AS (
+  SELECT doc_id, CASE WHEN doc_id % 100 = 0 THEN 'changed ' || reverse(text) ELSE text END AS text
+  FROM documents WHERE doc_id % 100 <> 50),
+v AS ({vectors_sql('live', 'doc_id', 'text')}),
+q AS (SELECT dim, weight AS asked FROM ({vectors_sql(
+    '(SELECT 0 AS one, text FROM (SELECT text FROM benchmark ORDER BY item_id LIMIT 1))', 'one', 'text')}))
+SELECT doc_id, md5(text) AS digest, score, true AS only_touched FROM live JOIN (
+  SELECT doc_id, round(sum(weight * asked), 6) AS score FROM v JOIN q USING (dim) GROUP BY doc_id) USING (doc_id)
+ORDER BY score DESC, doc_id LIMIT 5"""
+
+
+@registered(ONE_PERCENT_SQL)
+def search_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents synced, then changes and removals of two keys in a hundred, which open their buckets alone."""
+    first = load(spark, folder, "documents").select("doc_id", "text")
+    changed = F.when(F.col("doc_id") % 100 == 0, F.concat(F.lit("changed "), F.reverse("text"))).otherwise(F.col("text"))
+    second = first.where(F.col("doc_id") % 100 != 50).select("doc_id", changed.alias("text"))
+    index = open_buckets(work_folder(spark, "search-buckets"), "doc_id", "version", buckets=64, parts=16)
+    feed = work_folder(spark, "buckets-feed")
+    jobs.follow_table(None, first, index, feed, version=1, text_column="text")
+    jobs.follow_table(first, second, index, feed, version=2, text_column="text")
+    sync = index.manifest(spark).where("kind = 'sync'").select(F.col("slot").alias("touched"), F.col("rows").alias("opened"))
+    keys = first.where(F.col("doc_id") % 50 == 0).select(F.count_distinct(F.pmod(F.xxhash64("doc_id"), F.lit(64))).alias("own"))
+    only = sync.crossJoin(keys).select((F.col("touched") == F.col("own")) & (F.col("opened") == F.col("own"))).scalar()
+    question = load(spark, folder, "benchmark").orderBy("item_id").limit(1).select("text")
+    found = index.search(spark, question, ["doc_id", "text"])
+    return found.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "score", only.alias("only_touched"))
