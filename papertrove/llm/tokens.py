@@ -6,7 +6,6 @@ spaces. Each worker keeps the ids of the words it met first; others are encoded
 
 from __future__ import annotations
 
-import itertools
 import unicodedata
 
 import numpy as np
@@ -18,11 +17,13 @@ from tokenizers import Tokenizer
 from papertrove.llm.words import Words
 
 WORD_BPE = "word_bpe_49k.json"
-KEPT_WORDS = 1_200_000
+#: Bytes of words and ids that a worker keeps, with what Python needs for an entry besides.
+KEPT_BYTES = 96 << 20
+ENTRY_BYTES = 180
 #: Words in one call of the tokenizer, which takes more than twice as long per word for very long inputs.
 ASKED_WORDS = 256
 #: Bytes of text that are encoded at once.
-SLICE_TEXT = 8 << 20
+SLICE_TEXT = 3 << 20
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 _MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
@@ -38,6 +39,7 @@ class WordEncoder:
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends_word[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
+        self.kept_bytes = 0
 
     def encode(self, texts: pa.ChunkedArray | pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, every text closed by ``end_id``, and the ``len + 1`` bounds of the texts; null is empty."""
@@ -53,7 +55,7 @@ class WordEncoder:
         spelled = [held[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)]
         ids = {word: self.words[word] for word in spelled if word in self.words}
         found = self._fresh({word for word in spelled if word not in ids})
-        self.words.update(itertools.islice(found.items(), max(0, KEPT_WORDS - len(self.words))))
+        self._keep(found)
         of = (ids | found).__getitem__
         pieces = [*map(of, spelled), np.array([end_id], self.dtype).tobytes()]
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.dtype.itemsize
@@ -63,6 +65,13 @@ class WordEncoder:
         bounds = words.bounds + np.arange(len(words.bounds))
         return flat, np.append(0, np.cumsum(sizes[order]))[bounds]
 
+    def _keep(self, found: dict[bytes, bytes]) -> None:
+        for word, ids in found.items():
+            if self.kept_bytes >= KEPT_BYTES:
+                return
+            self.words[word] = ids
+            self.kept_bytes += len(word) + len(ids) + ENTRY_BYTES
+
     def _fresh(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of words that are not kept yet; ASCII marks that end a word after a letter are pieces of their own."""
         tails: dict[bytes, bytes] = {}
