@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from papertrove.functions import text
 from papertrove.operators import documents as docs
-from papertrove.operators import ranked, search
+from papertrove.operators import quantized, ranked, search
 from papertrove.plans.jobs import chunk_search
 from papertrove.plans.oracle_parts import fixed_chunks_sql, vectors_sql
 from papertrove.plans.registry import registered
@@ -143,6 +143,29 @@ def knn_recall(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+CODE_BYTES = 16
+
+
+@registered(f"""
+SELECT count(*) AS n_queries, count(*) * 5 AS n_rows, true AS recall_reached, 0::BIGINT AS better_than_exact,
+       {CODE_BYTES}::BIGINT AS bytes_per_vector FROM embeddings""")
+def quantized_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers out of codes of 16 bytes a vector beside the exact ones: full lists, recall of at least 0.95."""
+    vectors, path = load(spark, folder, "embeddings"), work_folder(spark, "quantised")
+    quantized.write_codes(vectors, path, CODE_BYTES)
+    near = quantized.knn_quantized(spark, path, vectors, vectors).withColumnRenamed("score", "near_score")
+    exact = search.knn_exact(vectors, vectors)
+    both = near.join(exact.select("query_id", "neighbor_id", F.lit(1).alias("hit")), ["query_id", "neighbor_id"], "left")
+    by_rank = both.join(exact.select("query_id", "rank", "score"), ["query_id", "rank"])
+    size = spark.read.parquet(f"{path}/codes").select(F.max(F.octet_length("code")).cast("long")).scalar()
+    return by_rank.agg(
+        F.count_distinct("query_id").alias("n_queries"),
+        F.count(F.lit(1)).alias("n_rows"),
+        (F.count("hit") >= 0.95 * F.count(F.lit(1))).alias("recall_reached"),
+        F.coalesce(F.sum((F.col("near_score") > F.col("score")).cast("long")), F.lit(0)).alias("better_than_exact"),
+    ).withColumn("bytes_per_vector", size)
+
+
 # Every fifth vector is spoiled in one of four ways, told apart by its id.
 DIRTY_SQL = """
 WITH dirty AS (
