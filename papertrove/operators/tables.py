@@ -10,20 +10,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papertrove.operators.keys import assign_key, check_key, generate_key
+from papertrove.operators.registry import KeyRegistry
 
 
-def create_or_replace(df: DataFrame, name: str, key: str, root: str, order_by: Sequence[str] | None = None) -> DataFrame:
+def create_or_replace(
+    df: DataFrame,
+    name: str,
+    key: str,
+    root: str,
+    order_by: Sequence[str] | None = None,
+    registry: KeyRegistry | None = None,
+) -> DataFrame:
     """Write ``df`` as the new content of table ``name`` with a generated key column in front.
 
     The rows go to a folder of their own and the key is audited there; only then is the name moved to that folder, so
     readers see the old table or the new one. When the columns change, the name has to be dropped and made again; only
     then is there a moment without it. The name must not be a table that owns its files, which dropping would delete.
-    With ``order_by`` the key follows a natural key and stays the same from one rebuild to the next.
+    With ``order_by`` the key is the place in the order of a natural key, so equal rows get equal keys, but a row
+    inserted in front moves those behind it. With a ``registry`` every natural key keeps the id it was given first.
     """
+    if registry is not None and registry.key != key:
+        raise ValueError(f"the registry names its ids {registry.key}, not {key}")
     if df.sparkSession.catalog.tableExists(name) and df.sparkSession.catalog.getTable(name).tableType == "MANAGED":
         raise ValueError(f"table {name} owns its files and would lose them")
     spark = df.sparkSession
-    keyed = assign_key(df, key, order_by) if order_by else generate_key(df, key)
+    if registry is not None:
+        keyed = registry.assign(df)
+    else:
+        keyed = assign_key(df, key, order_by) if order_by else generate_key(df, key)
     folder = f"{root.rstrip('/')}/{name}/version-{uuid.uuid4().hex}"
     keyed.write.parquet(folder)
     written = spark.read.parquet(folder)

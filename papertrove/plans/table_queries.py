@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from papertrove.functions import text
 from papertrove.operators import documents as docs
-from papertrove.operators import keys, tables
+from papertrove.operators import keys, registry, tables
 from papertrove.plans import jobs, samples
 from papertrove.plans.oracle_parts import fixed_chunks_sql, vectors_sql
 from papertrove.plans.registry import registered
@@ -43,6 +43,21 @@ def index_table(spark: SparkSession, folder: str) -> DataFrame:
     return _read_once(spark, name)
 
 
+@registered("""
+WITH n AS (SELECT count(*) AS first FROM documents WHERE doc_id % 3 <> 0)
+SELECT CASE WHEN doc_id % 3 <> 0 THEN row_number() OVER own ELSE first + row_number() OVER own END AS id, source, doc_id,
+       md5(text) AS digest
+FROM documents, n WINDOW own AS (PARTITION BY doc_id % 3 <> 0 ORDER BY source, doc_id)""")
+def stable_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Two thirds of the documents keyed as a table, then all of them: rows inserted in between move no key."""
+    documents = load_spread(spark, folder, "documents", "doc_id", "source", "text")
+    known = registry.open_registry(work_folder(spark, "registry"), ["source", "doc_id"])
+    name, root = f"stable_{uuid.uuid4().hex}", work_folder(spark, "stable-keys")
+    for rows in (documents.where(F.col("doc_id") % 3 != 0), documents):
+        tables.create_or_replace(rows, name, "id", root, registry=known)
+    return _read_once(spark, name).select("id", "source", "doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
 def _read_once(spark: SparkSession, name: str) -> DataFrame:
     """The rows of a table that only this query needs; its name goes, the files it points to stay."""
     table = scan_table(spark, name)
