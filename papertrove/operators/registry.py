@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papertrove.operators.keys import assign_key
-from papertrove.sources.storage import child_names, is_complete, stage
+from papertrove.sources.storage import newest_commit, stage
 
 _KEY, _BUCKET = "_natural", "_bucket"
 
@@ -33,9 +33,7 @@ class KeyRegistry:
     buckets: int = 64
 
     def _last(self) -> int | None:
-        names = [n for n in child_names(f"{self.path}/commits") if n.startswith("commit=")]
-        numbers = sorted((int(n.removeprefix("commit=")) for n in names), reverse=True)
-        return next((n for n in numbers if is_complete(f"{self.path}/commits/commit={n}")), None)
+        return newest_commit(f"{self.path}/commits")
 
     def _natural(self) -> Column:
         """The natural key as one value, which equals itself even where a part of it is null."""

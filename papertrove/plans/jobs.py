@@ -14,6 +14,7 @@ from papertrove.functions import text
 from papertrove.operators import assets, documents, scoring, search, tables
 from papertrove.session import arrow_batch
 from papertrove.sources.files import scan_binary
+from papertrove.sources.ledger import CHANGED, NEW, REMOVED, SAME, FileLedger
 from papertrove.sources.storage import stage
 from papertrove.sources.tables import spread
 from papertrove.streaming.buckets import BucketedIndex
@@ -31,6 +32,55 @@ def build_document_index(
         return tables.create_or_replace(keyed, table, key, root, order_by=["source_path", "chunk_index"])
 
 
+def document_chunks(files: DataFrame) -> DataFrame:
+    """``(source_path, chunk_index, content)`` of file rows, exported and cut recursively."""
+    return documents.index_projection(documents.process_documents(documents.export_documents(files)), columns=["source_path", "chunk_index"])
+
+
+def follow_files(
+    spark: SparkSession,
+    folder: str,
+    ledger: FileLedger,
+    index: SyncedIndex | BucketedIndex,
+    feed: str,
+    glob: str | None = None,
+    make_chunks: Callable[[DataFrame], DataFrame] = document_chunks,
+) -> DataFrame:
+    """Bring an index of chunks (key ``source_path, chunk_index``, version ``version``) up to date with a folder.
+
+    Only new and changed files are opened. Chunks that a changed file has no more, and all of a removed one, are removed
+    from the index; how many there were is in the ledger. Returns one row: files ``new, changed, removed, same, opened``.
+    """
+    found = stage(ledger.compare(spark, folder, glob), "file-changes")
+    counts = {row["change"]: row["n"] for row in found.groupBy("change").agg(F.count("*").alias("n")).collect()}
+    # Spark's driver holds the paths it scans anyway, and a folder of new files is given as such.
+    fresh = found.where(F.col("change").isin(NEW, CHANGED))
+    opened = counts.get(NEW, 0) + counts.get(CHANGED, 0)
+    if opened or counts.get(REMOVED):
+        version = ledger.begin(spark)
+        chunks = None
+        if opened:
+            whole = opened == sum(counts.values())
+            paths = folder if whole else [row["path"] for row in fresh.select("path").collect()]
+            with arrow_batch(spark, DOCUMENT_BATCH_ROWS):
+                chunks = stage(make_chunks(scan_binary(spark, paths, glob if whole else None)), "file-chunks")
+        empty = spark.createDataFrame([], "source_path string, chunk_index int, content string")
+        chunks = empty if chunks is None else chunks
+        made = chunks.groupBy("source_path").agg(F.count("*").alias("chunks"))
+        now = found.join(made, "source_path", "left").withColumn("chunks", F.coalesce("chunks", F.lit(0)))
+        now = stage(now.withColumn("chunks", F.when(F.col("change") == SAME, F.col("old_chunks")).otherwise(F.col("chunks"))), "file-counts")
+        gone = now.where(F.col("old_chunks") > F.col("chunks")).select(
+            "source_path", F.explode(F.sequence(F.col("chunks").cast("int"), F.col("old_chunks").cast("int") - 1)).alias("chunk_index"),
+            F.lit(None).cast("string").alias("content"), F.lit(True).alias("removed"),
+        )
+        rows = chunks.select("source_path", "chunk_index", "content", F.lit(False).alias("removed")).unionByName(gone)
+        rows.withColumn("version", F.lit(version).cast("long")).write.mode("append").parquet(feed)
+        index.sync(change_stream(spark, feed), "content", deleted=F.col("removed"))
+        ledger.commit(now.where(F.col("change") != REMOVED).select("path", "source_path", "length", "modified", "chunks"))
+    names = [F.lit(counts.get(kind, 0)).cast("long").alias(kind) for kind in (NEW, CHANGED, REMOVED, SAME)]
+    return spark.range(1).select(*names, F.lit(opened).cast("long").alias("opened"))
+
+
 def page_chunks(spark: SparkSession, path: str, glob: str | None = None, delimiter: str = "\f") -> DataFrame:
     """Files under ``path`` to ``(source_path, page_number, chunk_index, chunks)``."""
     return documents.process_pages(documents.export_documents(scan_binary(spark, path, glob)), delimiter=delimiter)

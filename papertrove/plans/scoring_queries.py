@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 from papertrove.config import CLASS_NAMES
 from papertrove.functions.media import data_url, to_base64
-from papertrove.operators import scoring
+from papertrove.operators import score_ledger, scoring
 from papertrove.plans.registry import registered
+from papertrove.sources.storage import work_folder
 from papertrove.sources.tables import load, load_spread
 
 # A class list in which ``user`` appears twice, ``assistant`` has no prompt and ``system`` is missing.
@@ -33,6 +34,23 @@ def score_batches(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "scored.value", "scored.error")
 
 
+@registered("SELECT doc_id, length(text) AS value, CAST(NULL AS VARCHAR) AS error, 0::BIGINT AS scored_again FROM documents")
+def score_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the documents scored, then all: the second job scores the rest, and a third one nothing."""
+    rows = load_spread(spark, folder, "documents", "doc_id", "text")
+    ledger = score_ledger.ScoreLedger(work_folder(spark, "scores"), "length", T.LongType())
+
+    def run(df: DataFrame) -> DataFrame:
+        return score_ledger.score_once(df, ["text"], "scored", ledger, lambda: lambda texts: [len(text) for text in texts], 512)
+
+    run(rows.where(F.col("doc_id") % 2 == 0))
+    run(rows)
+    before = spark.read.option("recursiveFileLookup", "true").parquet(f"{ledger.path}/results").count()
+    scored = run(rows)
+    after = spark.read.option("recursiveFileLookup", "true").parquet(f"{ledger.path}/results").count()
+    return scored.select("doc_id", "scored.value", "scored.error", F.lit(after - before).cast("long").alias("scored_again"))
+
+
 @registered("""
 WITH parts AS (
   SELECT vec_id, label, generate_subscripts(embedding, 1) AS d, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),

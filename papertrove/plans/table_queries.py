@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papertrove.functions import text
+from papertrove.operators import assets, keys, registry, tables
 from papertrove.operators import documents as docs
-from papertrove.operators import keys, registry, tables
 from papertrove.plans import jobs, samples
 from papertrove.plans.oracle_parts import fixed_chunks_sql, vectors_sql
 from papertrove.plans.registry import registered
+from papertrove.sources.files import binary_source
+from papertrove.sources.ledger import FileLedger
 from papertrove.sources.storage import child_names, work_folder
 from papertrove.sources.tables import load, load_spread, scan_table
 from papertrove.streaming.buckets import open_buckets
@@ -239,3 +241,45 @@ def search_buckets(spark: SparkSession, folder: str) -> DataFrame:
     question = load(spark, folder, "benchmark").orderBy("item_id").limit(1).select("text")
     found = index.search(spark, question, ["doc_id", "text"])
     return found.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "score", only.alias("only_touched"))
+
+
+FOLLOWED_SQL = f"""
+WITH live AS (
+  SELECT page_id, CASE WHEN page_id % 10 = 0 THEN left(html, length(html) // 2) ELSE html END AS html
+  FROM pages WHERE page_id % 10 <> 5),
+n AS (SELECT count(*) FILTER (page_id % 10 = 0) AS changed FROM pages)
+SELECT CAST(page_id AS VARCHAR) AS page, chunk_index, md5(chunk) AS digest, 0::BIGINT AS opened_again, changed AS opened_then
+FROM ({fixed_chunks_sql('live', 'page_id', 'html')}), n"""
+
+
+@registered(FOLLOWED_SQL)
+def follow_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Web pages as files, indexed; a second run opens none; then some are cut to half and some are gone."""
+    root = work_folder(spark, "follow-files")
+    ledger, index = FileLedger(f"{root}/ledger"), open_buckets(f"{root}/index", ["source_path", "chunk_index"], "version", buckets=8, parts=8)
+
+    def save(pages: DataFrame, html) -> None:
+        path = F.concat(F.lit(f"{root}/files/page-"), "page_id", F.lit(".html"))
+        assets.save_assets(pages.select(path.alias("path"), F.encode(html, "UTF-8").alias("bytes")), "path", "bytes", shared=True)
+
+    def chunks(files: DataFrame) -> DataFrame:
+        texts = binary_source(files).select("source_path", F.decode("source_content", "UTF-8").alias("html"))
+        cut = docs.explode_chunks(texts, text.chunk_fixed(F.col("html")), name="content")
+        return cut.select("source_path", "chunk_index", "content")
+
+    def run(glob: str) -> DataFrame:
+        return jobs.follow_files(spark, f"{root}/files", ledger, index, f"{root}/feed", glob, chunks)
+
+    pages = load_spread(spark, folder, "pages", "page_id", "html")
+    save(pages, F.col("html"))
+    run("page-*.html")
+    again = run("page-*.html")
+    save(pages.where(F.col("page_id") % 10 == 0), F.expr("left(html, cast(floor(length(html) / 2) as int))"))
+    then = run("page-*[^5].html")
+    return index.read(spark).select(
+        F.regexp_extract("source_path", r"page-(\d+)\.html$", 1).alias("page"),
+        "chunk_index",
+        F.md5(F.col("content").cast("binary")).alias("digest"),
+        again.select("opened").scalar().alias("opened_again"),
+        then.select("opened").scalar().alias("opened_then"),
+    )

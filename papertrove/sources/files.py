@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def scan_binary(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def scan_binary(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """One row per file: path, modificationTime, length, content (and hidden ``_metadata``).
 
     ``glob`` is applied while listing, before any byte is read. Project ``content`` away as early as possible: the scan

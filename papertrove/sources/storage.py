@@ -40,6 +40,12 @@ def is_complete(path: str) -> bool:
     return "_SUCCESS" in child_names(path)
 
 
+def newest_commit(folder: str, prefix: str = "commit=") -> int | None:
+    """The highest number among the finished ``commit=<n>`` folders under ``folder``; none when there is none."""
+    numbers = (int(n.removeprefix(prefix)) for n in child_names(folder) if n.startswith(prefix))
+    return next((n for n in sorted(numbers, reverse=True) if is_complete(f"{folder}/{prefix}{n}")), None)
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new folder for one run under the shared folder named by ``spark.checkpoint.dir``.
 
