@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papertrove.functions import media, text
+from papertrove.operators.names import private
 from papertrove.sources.files import binary_source
 
 Chunker = Callable[[Column], Column]
@@ -24,7 +25,8 @@ def explode_chunks(df: DataFrame, chunks: Column, index: str | None = "chunk_ind
 def explode_structs(df: DataFrame, structs: Column, drop: Sequence[str] = ()) -> DataFrame:
     """One row per struct with its fields as columns; ``drop`` names inputs that are not carried along."""
     keep = [F.col(c) for c in df.columns if c not in drop]
-    return df.select(*keep, F.explode(structs).alias("_item")).select("*", "_item.*").drop("_item")
+    item = private("item")
+    return df.select(*keep, F.explode(structs).alias(item)).select("*", f"{item}.*").drop(item)
 
 
 def lost_rows(inputs: DataFrame, outputs: DataFrame, key: str | Sequence[str]) -> DataFrame:

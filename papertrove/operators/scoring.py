@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from papertrove.functions import prompts, vectors
+from papertrove.operators.names import private
 from papertrove.sources.tables import class_prompts
 
 Scorer = Callable[..., Any]
@@ -75,19 +76,20 @@ def nearest_centroid(
     packed = (
         centers.where(F.col(label).isin(allowed)).agg(F.array_sort(F.collect_list(center)).alias("centers")).scalar()
     )
+    beside, own, best = private("centers"), private("unit"), private("best")
     scored = F.transform(
-        F.col("_centers"),
+        F.col(beside),
         lambda c, i: F.struct(
-            F.round(vectors.dot(F.col("_unit"), c["unit"]), 6).alias("score"),
+            F.round(vectors.dot(F.col(own), c["unit"]), 6).alias("score"),
             (-i).alias("rank"),
             c["label"].alias("label"),
         ),
     )
     return (
-        rows.withColumns({"_centers": packed, "_unit": vectors.unit(F.col(vector))})
-        .withColumn("_best", F.array_max(scored))
-        .withColumns({"class_label": F.col("_best.label"), "class_score": F.col("_best.score")})
-        .drop("_best", "_centers", "_unit")
+        rows.withColumns({beside: packed, own: vectors.unit(F.col(vector))})
+        .withColumn(best, F.array_max(scored))
+        .withColumns({"class_label": F.col(f"{best}.label"), "class_score": F.col(f"{best}.score")})
+        .drop(best, beside, own)
     )
 
 
@@ -95,11 +97,10 @@ def prompt_fallback(rows: DataFrame, class_column: str, classes: Iterable[tuple[
     """Add ``prompt``: that of the row's class, else that of ``default``, else empty."""
     classes = list(classes)
     default = next((prompt for name, prompt in classes if name == "default"), None)
-    table = class_prompts(rows.sparkSession, classes).withColumnRenamed("prompt", "_prompt")
-    joined = rows.join(table, F.col(class_column) == F.col("class_name"), "left")
-    return joined.withColumn(
-        "prompt", F.coalesce(F.nullif(F.col("_prompt"), F.lit("")), F.lit(default), F.lit(""))
-    ).drop("class_name", "_prompt")
+    name, found = private("class"), private("prompt")
+    table = class_prompts(rows.sparkSession, classes).toDF(name, found)
+    joined = rows.join(table, F.col(class_column) == F.col(name), "left")
+    return joined.withColumn("prompt", F.coalesce(F.nullif(F.col(found), F.lit("")), F.lit(default), F.lit(""))).drop(name, found)
 
 
 def build_prompt(rows: DataFrame, class_column: str, classes: Iterable[tuple[str, str | None]]) -> DataFrame:

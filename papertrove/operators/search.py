@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from papertrove.config import TOP_K
 from papertrove.functions import vectors
+from papertrove.operators.names import private
 from papertrove.operators.sampling import bounded_sample
 from papertrove.sources.storage import default_file_system, open_folder, stage, work_folder
 
@@ -70,13 +71,16 @@ def similarity_search(
     of the index.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if "score" in [*columns, *keys]:
+        raise ValueError("score is the answer's own column; rename that of the index")
     if isinstance(question, str):
         question = index.sparkSession.createDataFrame([(question,)], "text string")
     asked = vectors.hash_embed(F.col(question.columns[0]), dimensions)
     asked = question.select(asked.alias("v")).select(vectors.dense(F.col("v"), dimensions).alias("q"))
-    score = F.round(vectors.sparse_dot(F.col(vector), F.col("_asked")), DIGITS)
+    beside = private("asked")
+    score = F.round(vectors.sparse_dot(F.col(vector), F.col(beside)), DIGITS)
     wanted = list(dict.fromkeys([*columns, *keys]))
-    scored = index.withColumn("_asked", asked.scalar()).select(*wanted, score.alias("score"))
+    scored = index.withColumn(beside, asked.scalar()).select(*wanted, score.alias("score"))
     return scored.orderBy(F.desc("score"), *keys).limit(k).select(*columns, "score")
 
 

@@ -116,14 +116,24 @@ def table_changes(old: DataFrame, new: DataFrame, key: str | Sequence[str]) -> D
     )
 
 
-def change_feed(old: DataFrame | None, new: DataFrame, key: str | Sequence[str], version: int) -> DataFrame:
+def change_feed(
+    old: DataFrame | None,
+    new: DataFrame,
+    key: str | Sequence[str],
+    version: int,
+    version_column: str = "version",
+    removed_column: str = "removed",
+) -> DataFrame:
     """The rows a synced index needs to follow a table from ``old`` to ``new``.
 
     New and changed rows as they are now, removed rows with ``removed`` set, all stamped with ``version``, which has to
-    grow from one feed to the next. Without ``old`` every row of ``new`` is fed.
+    grow from one feed to the next; a table that has columns of these names needs others here. Without ``old`` every row of ``new`` is fed.
     """
-    stamp = F.lit(version).cast("long").alias("version")
+    clash = {version_column, removed_column} & set(new.columns)
+    if clash:
+        raise ValueError(f"the table has columns {sorted(clash)}; give the feed's own columns other names")
+    stamp = F.lit(version).cast("long").alias(version_column)
     if old is None:
-        return new.select(stamp, F.lit(False).alias("removed"), *new.columns)
+        return new.select(stamp, F.lit(False).alias(removed_column), *new.columns)
     changes = table_changes(old, new, key).where(F.col("change_type") != "update_preimage")
-    return changes.select(stamp, (F.col("change_type") == "delete").alias("removed"), *new.columns)
+    return changes.select(stamp, (F.col("change_type") == "delete").alias(removed_column), *new.columns)

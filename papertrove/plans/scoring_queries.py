@@ -12,6 +12,7 @@ from papertrove.operators import score_ledger, scoring
 from papertrove.plans.registry import registered
 from papertrove.sources.storage import work_folder
 from papertrove.sources.tables import load, load_spread
+from papertrove.sources.tables import spread_by_weight as spread_heavy
 
 # A class list in which ``user`` appears twice, ``assistant`` has no prompt and ``system`` is missing.
 ROLE_PROMPTS = (
@@ -51,6 +52,26 @@ def score_once(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "scored.value", "scored.error", F.lit(after - before).cast("long").alias("scored_again"))
 
 
+@registered("""
+WITH w AS (
+  SELECT page_id, CASE WHEN page_id = (SELECT min(page_id) FROM pages) THEN (SELECT sum(length(html)) FROM pages) ELSE length(html) END::DOUBLE AS w
+  FROM pages),
+big AS (SELECT page_id, w, w >= (SELECT sum(w) FROM w) / 8 AS heavy FROM w),
+told AS (SELECT count(*) FILTER (heavy) AS n, sum(w) FILTER (NOT heavy) AS rest FROM big),
+placed AS (
+  SELECT w, CASE WHEN heavy THEN row_number() OVER (PARTITION BY heavy ORDER BY page_id) - 1
+    ELSE n + least(floor((sum(w) OVER (PARTITION BY heavy ORDER BY page_id) - w / 2) * (8 - n) / rest), 7 - n) END AS part
+  FROM big, told)
+SELECT CAST(part AS INTEGER) AS part, count(*) AS n_rows, CAST(sum(w) AS BIGINT) AS bytes FROM placed GROUP BY part""")
+def spread_by_weight(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages, one of them as heavy as all others together, over eight tasks of even weight besides its own."""
+    pages = load(spark, folder, "pages").select("page_id", F.length("html").alias("bytes"))
+    first, whole = pages.select(F.min("page_id")).scalar(), pages.select(F.sum("bytes")).scalar()
+    heavy = pages.withColumn("bytes", F.when(F.col("page_id") == first, whole).otherwise(F.col("bytes")))
+    even = spread_heavy(heavy, 8, "bytes", "page_id").withColumn("part", F.spark_partition_id())
+    return even.groupBy("part").agg(F.count("*").alias("n_rows"), F.sum("bytes").alias("bytes"))
+
+
 @registered("""
 WITH parts AS (
   SELECT vec_id, label, generate_subscripts(embedding, 1) AS d, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),

@@ -134,6 +134,8 @@ class BucketedIndex:
         Postings of the question's dimensions give the best keys with the commit they were posted in; the buckets of
         these keys tell which are live. Should too few be, twice as many are looked at, and so on.
         """
+        if "score" in columns:
+            raise ValueError("score is the answer's own column; rename that of the index")
         about = self.about(spark)
         schema = StructType.fromJson(json.loads(about["schema"]))
         entries = question_entries(spark, question, about.dimensions)
