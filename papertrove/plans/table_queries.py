@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papertrove.functions import text
-from papertrove.operators import assets, keys, registry, tables
+from papertrove.operators import assets, digests, keys, registry, tables
 from papertrove.operators import documents as docs
 from papertrove.plans import jobs, samples
 from papertrove.plans.oracle_parts import fixed_chunks_sql, vectors_sql
@@ -116,7 +116,7 @@ def key_violations(spark: SparkSession, folder: str) -> DataFrame:
     return reports
 
 
-@registered(f"""
+CHANGES_SQL = f"""
 WITH old AS ({samples.snapshot_sql(MIDDLE)}), new AS ({samples.snapshot_sql()}),
 both_ AS (
   SELECT coalesce(o.user_id, n.user_id) AS user_id, coalesce(o.k, n.k) AS k, o.event_id AS oe, o.event_type AS ot,
@@ -127,13 +127,25 @@ UNION ALL SELECT 'delete', user_id, k, oe, ot, ov FROM both_ WHERE ne IS NULL
 UNION ALL SELECT 'update_preimage', user_id, k, oe, ot, ov FROM both_
   WHERE oe IS NOT NULL AND ne IS NOT NULL AND (oe, ot, ov) IS DISTINCT FROM (ne, nt, nv)
 UNION ALL SELECT 'update_postimage', user_id, k, ne, nt, nv FROM both_
-  WHERE oe IS NOT NULL AND ne IS NOT NULL AND (oe, ot, ov) IS DISTINCT FROM (ne, nt, nv)""")
+  WHERE oe IS NOT NULL AND ne IS NOT NULL AND (oe, ot, ov) IS DISTINCT FROM (ne, nt, nv)"""
+
+
+@registered(CHANGES_SQL)
 def table_changes(spark: SparkSession, folder: str) -> DataFrame:
     """Changes between the event snapshot at mid-month and the one at the end."""
     old, new = samples.snapshot(spark, folder, MIDDLE), samples.snapshot(spark, folder)
     return tables.table_changes(old, new, ["user_id", "k"])
 
 
+@registered(CHANGES_SQL)
+def digest_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of ``table_changes``, out of the buckets whose digests differ."""
+    root = work_folder(spark, "digest-changes")
+    for name, until in (("old", MIDDLE), ("new", None)):
+        digests.write_digested(samples.snapshot(spark, folder, until), ["user_id", "k"], f"{root}/{name}", levels=1)
+    return digests.digest_changes(spark, f"{root}/old", f"{root}/new")
+
+
 SYNC_SQL = """
 SELECT user_id, event_id, content,
        CAST(list_unique(list_filter(regexp_split_to_array(content, '[^a-z]+'), lambda t: t <> '')) AS BIGINT) AS n_dims
