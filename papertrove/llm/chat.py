@@ -34,8 +34,6 @@ _TURN = re.compile(
     re.DOTALL,
 )
 _MARKER = "marker"
-#: Turns that are rendered with their whole history; later ones with this many turns before them, which is then verified.
-HISTORY = 48
 
 
 class HistoryRewritten(ValueError):
@@ -92,30 +90,19 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
 def render_turns(messages: list[Message], template: Template = bundled_template) -> tuple[str, list[Turn]]:
     """The formatted conversation and the place of every turn.
 
-    Raises ``HistoryRewritten`` for a template whose output for a prefix changes when a turn follows. The first turns
-    are rendered with all that stands before them. Beyond ``HISTORY`` turns only the last ones are rendered along, so the
-    work grows with the conversation; the additions joined together must then equal one rendering of the whole
-    conversation, and if they do not, every prefix is rendered in full.
+    Every prefix is rendered in full and must begin with the output before it: ``HistoryRewritten`` is raised for a
+    template whose output for any prefix changes when a turn follows, at whatever turn. A template is only called, so
+    nothing less would show this, and the work grows with the square of a conversation's turns.
     """
-    whole = template(messages)
-    for history in (HISTORY, len(messages)):
-        added, turns, place = [], [], 0
-        for index, message in enumerate(messages):
-            known = messages[max(0, index - history) : index]
-            before = template(known) if known else ""
-            output = template([*known, message])
-            if not output.startswith(before):
-                if len(known) == index:
-                    raise HistoryRewritten(f"turn {index} changes what was rendered before it")
-                break
-            piece = output[len(before) :]
-            low, high = _text_place(template, known, message, before, piece)
-            turns.append(Turn(message["role"], place, place + low, place + high, place + len(piece)))
-            added.append(piece)
-            place += len(piece)
-        if len(turns) == len(messages) and "".join(added) == whole:
-            return whole, turns
-    raise HistoryRewritten("the turns' own renderings do not add up to the whole conversation")
+    output, turns = "", []
+    for index, message in enumerate(messages):
+        known, before = messages[:index], output
+        output = template([*known, message])
+        if not output.startswith(before):
+            raise HistoryRewritten(f"turn {index} changes what was rendered before it")
+        low, high = _text_place(template, known, message, before, output[len(before) :])
+        turns.append(Turn(message["role"], len(before), len(before) + low, len(before) + high, len(output)))
+    return output, turns
 
 
 def _text_place(template: Template, known: list[Message], message: Message, before: str, piece: str) -> tuple[int, int]:

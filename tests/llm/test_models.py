@@ -258,3 +258,17 @@ def test_black_box_templates():
     ):
         with pytest.raises(chat.HistoryRewritten):
             chat.render_turns(messages[:3], rewriting)
+
+
+@pytest.mark.parametrize("turn", [1, 48, 49, 60, 100])
+def test_rewriting_is_found_at_any_turn(turn):
+    messages = [{"role": "user", "text": f"text {i}"} for i in range(121)]
+    summary = lambda ms: ("[cut]" if len(ms) > turn else "") + "".join(m["text"] + ";" for m in ms)
+    for count in (turn + 1, 61, 121):
+        if count > turn:
+            with pytest.raises(chat.HistoryRewritten, match=f"turn {turn} "):
+                chat.render_turns(messages[:count], summary)
+    # One early turn whose text is shortened once the conversation is longer, whatever stands behind it.
+    fading = lambda ms: "".join("-" if i == 3 and len(ms) > turn + 4 else m["text"] for i, m in enumerate(ms))
+    with pytest.raises(chat.HistoryRewritten, match=f"turn {turn + 4} "):
+        chat.render_turns(messages, fading)
