@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papertrove.llm.words import id_back, id_or_none, slices, table
+from papertrove.operators.names import private
 from papertrove.sources import stage
 
 SEED = 42
@@ -248,8 +249,9 @@ def first_of_each(documents: DataFrame, max_bits: int = MAX_BITS, shingle: int =
     Rows that repeat this id are all of the document's rows and stay; so do all rows with a null id, copies included.
     """
     found = near_duplicates(documents, max_bits, shingle)
-    firsts = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(_key("doc_id").alias("kept_id")).distinct()
-    return documents.join(firsts, _key("doc_id") == F.col("kept_id"), "left_semi")
+    kept = private("kept")
+    firsts = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(_key("doc_id").alias(kept)).distinct()
+    return documents.join(firsts, _key("doc_id") == F.col(kept), "left_semi")
 
 
 def _key(column: str) -> Column:
