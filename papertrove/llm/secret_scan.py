@@ -11,6 +11,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -35,6 +36,11 @@ _KEY_START = re.compile(r"(?:M[B-I](?=[A-Za-z0-9+/_-]{30})|(?:b3Bl|LS0t)(?=[A-Za
 _RUNS = (re.compile(r"[A-Za-z0-9+/]*+"), re.compile(r"[A-Za-z0-9_-]*+"))
 _JOIN = re.compile(r"(?:\r?\n|(?:\\+r)?\\+n)[\x20\t]*")
 _PEM = b"-----BEGIN "
+#: Headers of a PEM private key encrypted by its own cipher, up to the first character of its body.
+_SEALED = re.compile(
+    r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----%(j)sProc-Type: 4,ENCRYPTED%(j)sDEK-Info: [A-Z0-9-]+,([0-9A-Fa-f]+)%(j)s%(j)s"
+    % {"j": _JOIN.pattern}
+)
 _HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}+")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{2,}+\.[A-Za-z0-9_-]*+(?![A-Za-z0-9_.-]*\.[A-Za-z0-9_-])")
 _SSH_MAGIC = b"openssh-key-v1\0"
@@ -111,24 +117,26 @@ def _is_algorithm(data: bytes) -> bool:
 
 def is_ssh_key(data: bytes) -> bool:
     """True for an OpenSSH private key file: its length-prefixed strings must fill it exactly."""
-    return data.startswith(_SSH_MAGIC) and ssh_end(data) == len(data)
+    return data.startswith(_SSH_MAGIC) and ssh_need(data) == len(data)
 
 
-def ssh_end(data: bytes) -> int | None:
-    """Where the strings of an OpenSSH private key end by their own lengths; None if they do not fit together."""
+def ssh_need(data: bytes) -> int:
+    """Where an OpenSSH private key ends by the lengths of its own strings, as far as ``data`` holds them: a place beyond
+    ``data`` while more of it is needed to tell, 0 if it announces no keys."""
     at, keys = len(_SSH_MAGIC), 1
     for part in range(5):
         if part == 3:
             keys = int.from_bytes(data[at : at + 4], "big")
             at += 4
+            if at > len(data):
+                return at
         for _ in range(keys if part == 3 else 1):
             if at + 4 > len(data):
-                return None
-            end = at + 4 + int.from_bytes(data[at : at + 4], "big")
-            if end > len(data):
-                return None
-            at = end
-    return at if keys >= 1 else None
+                return at + 4
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+            if at > len(data):
+                return at
+    return at if keys >= 1 else 0
 
 
 def is_signed_token(token: str) -> bool:
@@ -147,21 +155,75 @@ def _url_bytes(part: str) -> bytes:
     return base64.b64decode(part + "=" * (-len(part) % 4), altchars=b"-_", validate=True)
 
 
-def _base64_run(text: str, start: int, url: bool) -> Iterator[tuple[int, int, list[str]]]:
-    """End, length and pieces of the run at ``start``: its first line, and then with the lines that may continue it."""
-    end, count, taken = start, 0, []
-    while True:
-        stop = _RUNS[url].match(text, end).end()
-        taken.append(text[end:stop])
-        count += stop - end
-        done = stop
-        while done < len(text) and done < stop + 2 and text[done] == "=":
-            done += 1
-        yield done, count, taken
-        line = _JOIN.match(text, stop)
-        if not line or done > stop or line.end() >= len(text) or stop == end:
-            return
-        end = line.end()
+class _Lines:
+    """Runs of one alphabet in a text, each found once, and the lines that may continue them.
+
+    Starts are asked for in ascending order. A start inside the lines that are known needs no second look at the text,
+    so many starts in one long run or in many lines cost no more than one.
+    """
+
+    def __init__(self, text: str, url: bool):
+        self.text, self.url = text, url
+        self.starts: list[int] = []
+        self.stops: list[int] = []
+        #: Characters up to the end of each line, and where its padding ends.
+        self.through: list[int] = []
+        self.ends: list[int] = []
+        #: The last character of each line that only base64 for URLs has.
+        self.marked: list[int] = []
+
+    def line(self, start: int) -> int:
+        """The line that holds ``start``."""
+        if not self.stops or start >= self.stops[-1]:
+            self._follow(start)
+        return bisect_right(self.stops, start)
+
+    def _follow(self, start: int) -> None:
+        text = self.text
+        self.starts, self.stops, self.through, self.ends, self.marked = [], [], [], [], []
+        while True:
+            stop = _RUNS[self.url].match(text, start).end()
+            end = stop
+            while end < len(text) and end < stop + 2 and text[end] == "=":
+                end += 1
+            self.starts.append(start)
+            self.stops.append(stop)
+            self.through.append((self.through[-1] if self.through else 0) + stop - start)
+            self.ends.append(end)
+            self.marked.append(max(text.rfind("-", start, stop), text.rfind("_", start, stop)) if self.url else -1)
+            line = _JOIN.match(text, stop)
+            if not line or end > stop or line.end() >= len(text) or stop == start:
+                return
+            start = line.end()
+
+    def count(self, start: int, first: int, last: int) -> int:
+        """Characters from ``start``, in line ``first``, to the end of line ``last``."""
+        return self.through[last] - self.through[first] + self.stops[first] - start
+
+    def reach(self, start: int, first: int, size: int) -> int | None:
+        """The line with whose end there are characters for ``size`` bytes; None if there are too few."""
+        wanted = -(-4 * size // 3) + self.through[first] - (self.stops[first] - start)
+        last = bisect_left(self.through, wanted, lo=first)
+        return last if last < len(self.through) else None
+
+    def data(self, start: int, first: int, characters: int) -> bytes:
+        """The bytes that this many characters from ``start`` stand for."""
+        taken, line = [], first
+        while characters > 0 and line < len(self.stops):
+            piece = self.text[start : min(self.stops[line], start + characters)]
+            taken.append(piece)
+            characters -= len(piece)
+            line += 1
+            start = self.starts[line] if line < len(self.starts) else start
+        return _decoded("".join(taken))
+
+    def exact(self, start: int, first: int, size: int) -> int | None:
+        """The line whose end is also the end of ``size`` bytes; None if there is none."""
+        last = self.reach(start, first, size)
+        if last is None:
+            return None
+        count = self.count(start, first, last)
+        return last if (count - (count % 4 == 1)) * 3 // 4 == size else None
 
 
 def _decoded(characters: str) -> bytes:
@@ -169,48 +231,71 @@ def _decoded(characters: str) -> bytes:
     return base64.b64decode(characters.replace("-", "+").replace("_", "/") + "=" * (-len(characters) % 4))
 
 
-def _key_at(text: str, start: int, url: bool) -> tuple[str | None, int] | None:
+def _key_at(lines: _Lines, start: int) -> tuple[str | None, int] | None:
     """Kind and end of the key at ``start``; no kind for another value that is complete, None for anything else."""
-    first = _RUNS[url].match(text, start)[0]
-    if len(first) < 32 or url and "-" not in first and "_" not in first:
+    first = lines.line(start)
+    stop = lines.stops[first]
+    if stop - start < 32:
+        return None
+    head = _decoded(lines.text[start : start + 32])
+    known = head[0] == _SEQUENCE or head.startswith((_SSH_MAGIC, _PEM))
+    if not known or lines.url and lines.marked[first] < start:
         return None
-    head = _decoded(first[:32])
-    run = _base64_run(text, start, url)
+    total = lines.count(start, first, len(lines.stops) - 1)
     if head[0] == _SEQUENCE:
         need = der_length(head)
-        if not need or head[need[0]] not in (_INTEGER, _SEQUENCE) or need[1] > (len(text) - start) * 3 // 4:
+        if not need or head[need[0]] not in (_INTEGER, _SEQUENCE):
             return None
-        end, characters = next(((end, "".join(taken)) for end, count, taken in run if count * 3 // 4 >= need[1]), (0, ""))
-        data = _decoded(characters)
-        if len(data) != need[1]:
+        last = lines.exact(start, first, need[1])
+        if last is None:
             return None
+        data = lines.data(start, first, lines.count(start, first, last))
         if is_private_key(data):
-            return "private_key", end
-        return (None, end) if der_items(der_items(data)[0][1]) else None
+            return "private_key", lines.ends[last]
+        return (None, lines.ends[last]) if der_items(der_items(data)[0][1]) else None
     if head.startswith(_SSH_MAGIC):
-        return next((("ssh_key", end) for end, _, taken in run if is_ssh_key(_decoded("".join(taken)))), None)
-    if head.startswith(_PEM):
-        pieces: list[str] = []
-        ends = []
-        for end, count, pieces in run:
-            ends.append((count, end))
-        data = _decoded("".join(pieces))
-        # A file of several parts goes to its last end mark.
-        close = data.find(b"-----", data.rfind(b"-----END ") + 9) + 5 if b"-----END " in data else len(data)
-        inner = confirmed_spans(data[:close].decode("latin-1"))
-        kind = next((kind for kind, _, _ in inner if kind in ("private_key", "ssh_key")), None)
-        return kind, next((end for count, end in ends if count * 3 // 4 >= close), ends[-1][1])
-    return None
+        data, taken = head, 32
+        while (size := ssh_need(data)) > len(data):
+            if -(-4 * size // 3) > total:
+                return None
+            taken = max(-(-4 * size // 3), min(2 * taken, total))
+            data = lines.data(start, first, taken)
+        last = lines.exact(start, first, size) if size else None
+        return None if last is None else ("ssh_key", lines.ends[last])
+    data = lines.data(start, first, total)
+    # A file of several parts goes to its last end mark.
+    close = data.find(b"-----", data.rfind(b"-----END ") + 9) + 5 if b"-----END " in data else len(data)
+    inner = confirmed_spans(data[:close].decode("latin-1"))
+    kind = next((kind for kind, _, _ in inner if kind in ("private_key", "ssh_key")), None)
+    last = lines.reach(start, first, close)
+    return kind, lines.ends[-1 if last is None else last]
+
+
+def _sealed_keys(text: str) -> Iterator[Span]:
+    """Bodies of PEM private keys encrypted behind headers: whole cipher blocks of a named cipher, with its start value."""
+    for m in _SEALED.finditer(text):
+        lines = _Lines(text, False)
+        lines.line(m.end())
+        last = len(lines.stops) - 1
+        while last > 0 and lines.stops[last] == lines.starts[last]:
+            last -= 1
+        close = _JOIN.match(text, lines.ends[last])
+        block = len(m[1]) // 2
+        if block in (8, 16) and close and text.startswith("-----END ", close.end()):
+            size = len(lines.data(m.end(), 0, lines.through[last]))
+            if size >= 2 * block and size % block == 0:
+                yield "private_key", m.end(), lines.ends[last]
 
 
 def confirmed_spans(text: str) -> list[Span]:
     """Keys and signed tokens whose decoded structure was parsed to its end."""
-    found: list[Span] = []
+    found: list[Span] = list(_sealed_keys(text)) if "DEK-Info: " in text else []
+    plain, url = _Lines(text, False), _Lines(text, True)
     reached = 0
     for m in _KEY_START.finditer(text):
         if m.start() < reached:
             continue
-        hit = _key_at(text, m.start(), False) or _key_at(text, m.start(), True)
+        hit = _key_at(plain, m.start()) or _key_at(url, m.start())
         if hit:
             kind, reached = hit
             if kind:
@@ -237,7 +322,7 @@ def masked(text: str | None, mask: str = MASK) -> str | None:
         return text
     out, at = [], 0
     for _, start, end in secret_spans(text):
-        if start >= at:
+        if start > at or not out:
             out += [text[at:start], mask]
         at = max(at, end)
     return "".join([*out, text[at:]])
