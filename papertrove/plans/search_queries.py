@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from papertrove.functions import text
 from papertrove.operators import documents as docs
 from papertrove.operators import quantized, ranked, search
+from papertrove.operators.tables import change_feed
 from papertrove.plans.jobs import chunk_search
 from papertrove.plans.oracle_parts import fixed_chunks_sql, vectors_sql
 from papertrove.plans.registry import registered
 from papertrove.sources.storage import work_folder
 from papertrove.sources.tables import load, load_spread
+from papertrove.streaming.cells import LiveCells, open_cells
+from papertrove.streaming.sync import change_stream
 
 SEARCH_SQL = f"""
 WITH chunks AS ({fixed_chunks_sql('documents', 'doc_id')}),
@@ -214,6 +217,64 @@ def knn_lost(spark: SparkSession, folder: str) -> DataFrame:
     return search.unsearchable(_dirty(spark, folder), "vec_id", "embedding")
 
 
+# A table of vectors after a change feed: rows removed, vectors turned round, rows added.
+FOLLOWED_SQL = """
+WITH live AS (
+  SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN list_reverse(CAST(embedding AS DOUBLE[]))
+                      ELSE CAST(embedding AS DOUBLE[]) END AS embedding
+  FROM embeddings WHERE vec_id % 7 <> 3
+  UNION ALL
+  SELECT vec_id + 1000000000, [-x for x in CAST(embedding AS DOUBLE[])] FROM embeddings WHERE vec_id % 4 = 1)"""
+
+
+def _followed(spark: SparkSession, folder: str) -> tuple[LiveCells, DataFrame]:
+    """An index that was synced with all vectors and then with a feed of their changes, and the table as it is then."""
+    doubles = F.col("embedding").cast("array<double>")
+    first = load(spark, folder, "embeddings").select("vec_id", doubles.alias("embedding"))
+    turned = F.when(F.col("vec_id") % 5 == 0, F.reverse("embedding")).otherwise(F.col("embedding"))
+    kept = first.where(F.col("vec_id") % 7 != 3).select("vec_id", turned.alias("embedding"))
+    added = first.where(F.col("vec_id") % 4 == 1).select(
+        (F.col("vec_id") + 1000000000).alias("vec_id"), F.transform("embedding", lambda x: -x).alias("embedding")
+    )
+    second = kept.unionByName(added)
+    feeds, index = work_folder(spark, "cell-feeds"), open_cells(work_folder(spark, "live-cells"), "vec_id", "version")
+    old = None
+    for version, new in enumerate([first, second], 1):
+        change_feed(old, new, "vec_id", version).write.parquet(f"{feeds}/{version}")
+        index.sync(change_stream(spark, f"{feeds}/*"), deleted=F.col("removed"))
+        old = new
+    return index, second
+
+
+@registered(f"""{FOLLOWED_SQL},
+pairs AS (
+  SELECT q.vec_id AS query_id, v.vec_id AS neighbor_id, round(list_cosine_similarity(q.embedding, v.embedding), 6) + 0.0 AS score
+  FROM live q, live v)
+SELECT query_id, neighbor_id, score,
+       CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, neighbor_id) AS INTEGER) AS rank
+FROM pairs QUALIFY rank <= 5""")
+def knn_followed(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers of cells that followed a change feed, every cell looked into: those of an exact search."""
+    index, vectors = _followed(spark, folder)
+    return index.search(spark, vectors, probes=1 << 30)
+
+
+@registered(f"""{FOLLOWED_SQL}
+SELECT count(*) AS n_queries, count(*) * 5 AS n_rows, true AS recall_reached, 0::BIGINT AS better_than_exact FROM live""")
+def followed_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """The same index asked in as many cells as it has measured to need, beside the exact answers: recall of 0.95."""
+    index, vectors = _followed(spark, folder)
+    near = index.search(spark, vectors).withColumnRenamed("score", "near_score")
+    exact = search.knn_exact(vectors, vectors)
+    both = near.join(exact.select("query_id", "neighbor_id", F.lit(1).alias("hit")), ["query_id", "neighbor_id"], "left")
+    return both.join(exact.select("query_id", "rank", "score"), ["query_id", "rank"]).agg(
+        F.count_distinct("query_id").alias("n_queries"),
+        F.count(F.lit(1)).alias("n_rows"),
+        (F.count("hit") >= 0.95 * F.count(F.lit(1))).alias("recall_reached"),
+        F.coalesce(F.sum((F.col("near_score") > F.col("score")).cast("long")), F.lit(0)).alias("better_than_exact"),
+    )
+
+
 @registered(f"""
 WITH chunks AS ({fixed_chunks_sql('documents', 'doc_id')}),
 v AS ({vectors_sql('chunks', 'doc_id, chunk_index', 'chunk')}),
