@@ -26,6 +26,10 @@ DIGITS = 6
 QUERY_BLOCK_BYTES = 32 << 20
 VECTOR_BLOCK_BYTES = 64 << 20
 SLICE_ROWS = 1_024
+BLOCK_SLICE_ROWS = 2_048
+# Pairs whose products are made in double precision at once, and the length above which no product is made in single.
+EXACT_ROWS = 65_536
+_SINGLE = 1e15
 # Cells are found on a sample of this many vectors, or of so many per cell if that is more.
 MIN_CELLS = 16
 SAMPLE_ROWS = 20_000
@@ -256,48 +260,88 @@ def _dense_rows(column: pa.ChunkedArray | pa.Array, dimensions: int) -> np.ndarr
 
 
 class _Best:
-    """The best ``k`` (score, key) of each query over the blocks seen so far; ties go to the smaller key."""
-
-    def __init__(self, queries: np.ndarray, k: int):
-        self.queries, self.k = queries, k
-        self.rows = np.empty(0, np.int64)
-        self.places = np.empty(0, np.int64)
-        self.scores = np.empty(0, np.float64)
-        self.keys: pa.Table | None = None
-
-    def add(self, keys: pa.Table, block: np.ndarray) -> None:
-        """``keys`` has one row per row of ``block``."""
-        known = 0 if self.keys is None else self.keys.num_rows
-        all_keys = keys if self.keys is None else pa.concat_tables([self.keys, keys])
-        place = np.empty(all_keys.num_rows, np.int64)
-        order = pc.sort_indices(all_keys, [(name, "ascending") for name in all_keys.column_names])
-        place[order.to_numpy()] = np.arange(len(place))
-        found = [(self.rows, self.places, self.scores)]
-        for v in range(0, len(block), SLICE_ROWS):
-            for q in range(0, len(self.queries), SLICE_ROWS):
-                scores = np.round(self.queries[q : q + SLICE_ROWS] @ block[v : v + SLICE_ROWS].T, DIGITS) + 0.0
-                width = scores.shape[1]
-                if width > self.k:
-                    # Everything as good as the k-th best stays, so that no tie is cut here.
-                    cut = np.partition(scores, width - self.k, axis=1)[:, width - self.k]
-                    rows, cols = np.nonzero(scores >= cut[:, None])
+    """The best ``k`` (score, place) of each query over the blocks seen so far; ties go to the smaller place.
+
+    Products are made in single precision, and only those that could still be among the best are made again in double
+    precision and rounded. With ``digits`` none the single products are the scores.
+    """
+
+    def __init__(self, queries: np.ndarray, k: int, digits: int | None = DIGITS, slice_rows: int = SLICE_ROWS):
+        self.queries, self.k, self.digits, self.slice_rows = queries, k, digits, slice_rows
+        self.longest = _longest(queries)
+        self.single = queries.astype(np.float32) if self.longest < _SINGLE else queries
+        self.scores = np.full((len(queries), k), -np.inf)
+        self.places = np.full((len(queries), k), -1, np.int64)
+
+    def add(self, block: np.ndarray, single: np.ndarray, places: np.ndarray, some: np.ndarray | None = None) -> None:
+        """``block`` has rows, ``single`` the same in single precision and ``places`` their places; ``some`` are the
+        queries that they meet, by default all."""
+        if not len(block):
+            return
+        asked = np.arange(len(self.queries)) if some is None else some
+        # The most that single precision and the rounding can change in a product.
+        slack = 0.0
+        if self.digits is not None:
+            slack = (block.shape[1] + 8) * 2.0**-23 * self.longest * _longest(block) + 10.0**-self.digits
+        for q in range(0, len(asked), self.slice_rows):
+            rows = asked[q : q + self.slice_rows]
+            left = self.single[rows[0] : rows[-1] + 1] if rows[-1] - rows[0] + 1 == len(rows) else self.single[rows]
+            for v in range(0, len(block), BLOCK_SLICE_ROWS):
+                right = single[v : v + BLOCK_SLICE_ROWS]
+                products = left @ right.T
+                least = self.scores[rows, -1] - slack
+                new = np.flatnonzero(np.isneginf(least))
+                if len(new) and len(right) > self.k:
+                    # At least k products of this slice are as good as its k-th best.
+                    part = products if len(new) == len(rows) else products[new]
+                    least[new] = np.partition(part, len(right) - self.k, axis=1)[:, len(right) - self.k] - 2 * slack
+                least = np.nextafter(least.astype(products.dtype), products.dtype.type(-np.inf))
+                at, column = np.divmod(np.flatnonzero(products >= least[:, None]), len(right))
+                if not len(at):
+                    continue
+                if self.digits is None:
+                    scores = products[at, column].astype(np.float64)
                 else:
-                    rows, cols = np.nonzero(np.ones(scores.shape, bool))
-                found.append(self._cut(place, rows + q, known + v + cols, scores[rows, cols]))
-        rows, places, self.scores = self._cut(place, *(np.concatenate(part) for part in zip(*found)))
-        used, self.places = np.unique(places, return_inverse=True)
-        self.rows, self.keys = rows, all_keys.take(pa.array(used))
-
-    def _cut(self, place: np.ndarray, rows: np.ndarray, places: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, ...]:
-        order = np.lexsort((place[places], -scores, rows))
-        rows, places, scores = rows[order], places[order], scores[order]
-        keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < self.k
-        return rows[keep], places[keep], scores[keep]
-
-    def table(self, query_keys: pa.Table) -> pa.Table:
-        left, right = query_keys.take(pa.array(self.rows)), self.keys.take(pa.array(self.places))
+                    scores = np.empty(len(at))
+                    for i in range(0, len(at), EXACT_ROWS):
+                        pair = self.queries[rows[at[i : i + EXACT_ROWS]]], block[v + column[i : i + EXACT_ROWS]]
+                        scores[i : i + EXACT_ROWS] = np.round(np.einsum("ij,ij->i", *pair), self.digits) + 0.0
+                self._merge(rows[at], places[v + column], scores)
+
+    def _merge(self, rows: np.ndarray, places: np.ndarray, scores: np.ndarray) -> None:
+        touched, own = np.unique(rows, return_inverse=True)
+        owner = np.concatenate([np.repeat(np.arange(len(touched)), self.k), own])
+        places = np.concatenate([self.places[touched].ravel(), places])
+        scores = np.concatenate([self.scores[touched].ravel(), scores])
+        order = np.lexsort((places, -scores, owner))
+        owner = owner[order]
+        order = order[np.arange(len(order)) - np.searchsorted(owner, np.arange(len(touched)))[owner] < self.k]
+        self.places[touched], self.scores[touched] = places[order].reshape(-1, self.k), scores[order].reshape(-1, self.k)
+
+    def table(self, query_keys: pa.Table, keys: pa.Table) -> pa.Table:
+        """The found pairs; ``keys`` has one row per place."""
+        rows, column = np.nonzero(self.places >= 0)
+        left, right = query_keys.take(pa.array(rows)), keys.take(pa.array(self.places[rows, column]))
         columns = dict(zip(left.column_names, left.columns)) | dict(zip(right.column_names, right.columns))
-        return pa.table(columns | {"score": self.scores})
+        return pa.table(columns | {"score": self.scores[rows, column]})
+
+
+def _longest(rows: np.ndarray) -> float:
+    return float(np.sqrt(np.fmax.reduce((rows * rows).sum(axis=1), initial=0.0)))
+
+
+def _among_first(matrix: np.ndarray, k: int, groups: np.ndarray) -> np.ndarray:
+    """Rows that fewer than ``k`` equal rows of their group stand before; the others can be in no top-k."""
+    if not matrix.size:
+        return np.arange(len(matrix))
+    whole = np.ascontiguousarray(matrix).view(np.dtype((np.void, matrix.shape[1] * matrix.itemsize))).ravel()
+    # Equal rows have neighboring ranks, in the order of their places.
+    rank = np.empty(len(whole), np.int64)
+    rank[np.argsort(whole, kind="stable")] = np.arange(len(whole))
+    order = np.lexsort((rank, groups))
+    other = np.append(True, (whole[order[1:]] != whole[order[:-1]]) | (groups[order[1:]] != groups[order[:-1]]))
+    start = np.flatnonzero(other)[np.cumsum(other) - 1]
+    return np.sort(order[np.arange(len(order)) - start < k])
 
 
 class _Search:
@@ -307,24 +351,26 @@ class _Search:
         self.k, self.matrix_of = k, matrix_of
         self.query_block = query_block or max(1, QUERY_BLOCK_BYTES // row_bytes)
         self.vector_block = vector_block or max(1, VECTOR_BLOCK_BYTES // row_bytes)
+        # Every block that a task holds gives k rows a query, so blocks to multiply, which may be small, are held together.
+        self.held_rows = max(self.vector_block, VECTOR_BLOCK_BYTES // row_bytes, 1)
 
     def scan(self, asked: DataFrame, held: DataFrame, by: str | None = None) -> DataFrame:
-        """At most ``k`` rows ``(q..., n..., score)`` per query, block of rows and task.
+        """At most ``k`` rows ``(q..., n..., score)`` per query, ``VECTOR_BLOCK_BYTES`` of rows and task.
 
-        The queries are written once; a task reads them a block at a time for every block of its rows, so neither their
-        number nor that of the rows changes how the search runs, and no row is shuffled. With ``by`` both sides have this
-        column, and a row only meets the queries that share its value, which lie in a folder of their own.
+        The queries are written once; a task reads them a block at a time for the rows it holds, so neither their number
+        nor that of the rows changes how the search runs, and no row is shuffled. With ``by`` the rows have a number in
+        this column and the queries one bit per number: a row only meets the queries whose bit is set.
         """
         spark = asked.sparkSession
         folder = work_folder(spark, "queries")
-        (asked.write.partitionBy(by) if by else asked.write).parquet(folder)
+        asked.write.parquet(folder)
         default, k, matrix_of = default_file_system(spark), self.k, self.matrix_of
-        query_block, vector_block = self.query_block, self.vector_block
+        query_block, vector_block, held_rows = self.query_block, self.vector_block, self.held_rows
         q_names = [c for c in asked.columns if c not in ("v", by)]
         n_names = [c for c in held.columns if c not in ("v", by)]
 
-        def query_tables(value) -> Iterator[pa.Table]:
-            files, inside = open_folder(folder if by is None else f"{folder}/{by}={value}", default)
+        def query_tables() -> Iterator[pa.Table]:
+            files, inside = open_folder(folder, default)
             for entry in sorted(files.get_file_info(pa.fs.FileSelector(inside, allow_not_found=True)), key=lambda e: e.path):
                 if entry.base_name.endswith(".parquet"):
                     with files.open_input_file(entry.path) as source:
@@ -332,22 +378,40 @@ class _Search:
                             yield pa.Table.from_batches([batch])
 
         def meet(block: pa.Table) -> Iterator[pa.RecordBatch]:
-            values = [None] if by is None else pc.unique(block.column(by)).to_pylist()
-            for value in values:
-                rows = block if by is None else block.filter(pc.equal(block.column(by), value))
-                keys, matrix = rows.select(n_names), matrix_of(rows.column("v"))
-                for queries in query_tables(value):
-                    best = _Best(matrix_of(queries.column("v")), k)
-                    best.add(keys, matrix)
-                    yield from best.table(queries.select(q_names)).to_batches()
+            order = [(name, "ascending") for name in ([by] if by else []) + n_names]
+            block = block.take(pc.sort_indices(block, order))
+            matrix = matrix_of(block.column("v"))
+            group = np.zeros(len(matrix), np.int64) if by is None else block.column(by).to_numpy()
+            kept = _among_first(matrix, k, group)
+            keys, matrix, group = block.select(n_names).take(pa.array(kept)), matrix[kept], group[kept]
+            single = matrix.astype(np.float32) if _longest(matrix) < _SINGLE else matrix
+            values, starts = np.unique(group, return_index=True)
+            ends = list(zip(values.tolist(), starts.tolist(), [*starts[1:].tolist(), len(matrix)]))
+            # Places follow the keys alone.
+            in_order = pc.sort_indices(keys, [(name, "ascending") for name in n_names]).to_numpy()
+            place = np.empty(len(matrix), np.int64)
+            place[in_order] = np.arange(len(matrix))
+            keys = keys.take(pa.array(in_order))
+            for queries in query_tables():
+                wanted = None if by is None else _marked(queries.column(by))
+                if wanted is not None and not wanted[[v for v, _, _ in ends]].any():
+                    continue
+                best = _Best(matrix_of(queries.column("v")), k)
+                for value, start, end in ends:
+                    some = None if wanted is None else np.flatnonzero(wanted[value])
+                    if some is None or len(some):
+                        for v in range(start, end, vector_block):
+                            stop = min(end, v + vector_block)
+                            best.add(matrix[v:stop], single[v:stop], place[v:stop], some)
+                yield from best.table(queries.select(q_names), keys).to_batches()
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting: list[pa.RecordBatch] = []
             size = 0
             for batch in batches:
-                for at in range(0, batch.num_rows, vector_block):
-                    part = batch.slice(at, vector_block)
-                    if size + part.num_rows > vector_block and waiting:
+                for at in range(0, batch.num_rows, held_rows):
+                    part = batch.slice(at, held_rows)
+                    if size + part.num_rows > held_rows and waiting:
                         yield from meet(pa.Table.from_batches(waiting))
                         waiting, size = [], 0
                     waiting.append(part)
@@ -359,6 +423,17 @@ class _Search:
         return held.mapInArrow(run, ", ".join(f"{n} {kind.simpleString()}" for n, kind in kinds) + ", score double")
 
 
+def _marks(chosen: np.ndarray) -> pa.Array:
+    """Rows of booleans as one binary value each, a bit per column."""
+    return pa.array([row.tobytes() for row in np.packbits(chosen, axis=1)], pa.binary())
+
+
+def _marked(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """The columns of ``_marks`` as rows, filled up to whole bytes."""
+    rows = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    return np.ascontiguousarray(np.unpackbits(rows, axis=1).view(bool).T)
+
+
 def _rank(candidates: DataFrame, k: int) -> DataFrame:
     """Cut to ``k`` per query; Spark makes this cut in every task before it shuffles as well."""
     columns = candidates.columns
@@ -405,7 +480,8 @@ def knn_exact(
 
 
 def knn_blocked(queries: DataFrame, vectors_: DataFrame, query_block: int, vector_block: int, **options) -> DataFrame:
-    """``knn_exact`` with blocks of given numbers of rows, for machines with less or more memory."""
+    """``knn_exact`` with blocks of given numbers of rows that are multiplied at once, for machines with less or more
+    memory. A task keeps the best of all blocks of the rows it holds, ``VECTOR_BLOCK_BYTES`` at least."""
     return knn_exact(queries, vectors_, query_block=query_block, vector_block=vector_block, **options)
 
 
@@ -527,7 +603,7 @@ def write_cells(
 
 
 def _visits(asked: DataFrame, centers: np.ndarray, choose: Callable) -> DataFrame:
-    """Queries repeated for the cells that ``choose(distances, batch)`` marks: ``(q..., v, cell)``."""
+    """Queries with a bit for every cell that ``choose(distances, batch)`` marks, ``(q..., v, cell)``; none without any."""
     sent = asked.sparkSession.sparkContext.broadcast(centers)
     names = [c for c in asked.columns if c.startswith("q")] + ["v"]
 
@@ -535,12 +611,25 @@ def _visits(asked: DataFrame, centers: np.ndarray, choose: Callable) -> DataFram
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
-                rows, cells = np.nonzero(choose(_distances(_unit_rows(part.column("v")), sent.value), part))
+                chosen = choose(_distances(_unit_rows(part.column("v")), sent.value), part)
+                rows = np.flatnonzero(chosen.any(axis=1))
                 taken = part.select(names).take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cells.astype(np.int32))], names=[*names, "cell"])
+                yield pa.RecordBatch.from_arrays([*taken.columns, _marks(chosen[rows])], names=[*names, "cell"])
 
     kinds = ", ".join(f"{n} {asked.schema[n].dataType.simpleString()}" for n in names)
-    return asked.mapInArrow(visit, f"{kinds}, cell int")
+    return asked.mapInArrow(visit, f"{kinds}, cell binary")
+
+
+def _visited(visits: DataFrame) -> list[int]:
+    """The cells that any query looks into."""
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = np.flatnonzero(_marked(batch.column("cell")).any(axis=1))
+                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32))], names=["cell"])
+
+    return [r.cell for r in visits.select("cell").mapInArrow(cells, "cell int").distinct().collect()]
 
 
 def _places(distances: np.ndarray) -> np.ndarray:
@@ -582,16 +671,17 @@ def search_cells(
     asked = stage(_named(queries, query_key, vector, "q", about.dimensions), "cell-queries")
     q_names = [c for c in asked.columns if c != "v"]
 
-    def look_into(visits: DataFrame) -> DataFrame:
-        cells = [r.cell for r in visits.select("cell").distinct().collect()]
-        return stage(search.scan(visits, held.where(F.col("cell").isin(cells)), by="cell"), "cell-found")
+    def look_into(visits: DataFrame, found: DataFrame | None = None) -> DataFrame:
+        """The best rows of what was found before and what lies in the cells of the visits."""
+        new = search.scan(visits, held.where(F.col("cell").isin(_visited(visits))), by="cell")
+        return stage(_rank(new if found is None else found.drop("rank").unionByName(new), k), "cell-found")
 
     found = look_into(stage(_visits(asked, centers, lambda d, batch: _places(d) < probes), "cell-visits"))
     seen = probes
     while seen < len(centers):
         # Unit vectors: distance^2 = 2 - 2 cos. One unit of the last digit covers the rounding of the score.
         cosine = F.greatest(F.lit(-1.0), F.col("score") - 10.0**-DIGITS)
-        kth = _rank(found, k).where(F.col("rank") == k).select(*q_names, F.sqrt(2 - 2 * cosine).alias("reach"))
+        kth = found.where(F.col("rank") == k).select(*q_names, F.sqrt(2 - 2 * cosine).alias("reach"))
         same = functools.reduce(Column.__and__, [asked[n].eqNullSafe(kth[n]) for n in q_names])
         waiting = asked.join(kth, same, "left").select(asked["*"], kth["reach"])
         if not exact:
@@ -605,9 +695,9 @@ def search_cells(
 
         more = stage(_visits(waiting, centers, further), "cell-visits")
         if not more.isEmpty():
-            found = found.unionByName(look_into(more))
+            found = look_into(more, found)
         seen *= 2
-    return _result(found, k, query_key, about["keys"][0] if len(about["keys"]) == 1 else about["keys"])
+    return _result(found.drop("rank"), k, query_key, about["keys"][0] if len(about["keys"]) == 1 else about["keys"])
 
 
 def knn_cells(

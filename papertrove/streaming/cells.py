@@ -45,6 +45,7 @@ from papertrove.operators.search import (
     _result,
     _Search,
     _unit_rows,
+    _visited,
     _visits,
     searchable,
     vector_length,
@@ -186,22 +187,22 @@ class LiveCells:
         asked = stage(_named(queries, query_key, vector, "q", dimensions), "cell-queries")
         q_names = [c for c in asked.columns if c != "v"]
 
-        def look_into(visits: DataFrame) -> DataFrame:
-            cells = {r.cell for r in visits.select("cell").distinct().collect()}
-            held = self._rows(spark, live, cells).select(*self._names, "v", "cell")
-            return stage(search.scan(visits, held, by="cell"), "cell-found")
+        def look_into(visits: DataFrame, found: DataFrame | None = None) -> DataFrame:
+            held = self._rows(spark, live, set(_visited(visits))).select(*self._names, "v", "cell")
+            new = search.scan(visits, held, by="cell")
+            return stage(_rank(new if found is None else found.drop("rank").unionByName(new), k), "cell-found")
 
         found = look_into(stage(_visits(asked, centers, lambda d, batch: _places(d) < seen), "cell-visits"))
         while seen < len(centers):
-            full = _rank(found, k).where(F.col("rank") == k).select(F.struct(*q_names).alias("_full"))
+            full = found.where(F.col("rank") == k).select(F.struct(*q_names).alias("_full"))
             waiting = asked.join(full, F.struct(*q_names) == F.col("_full"), "left_anti")
             low, seen = seen, 2 * seen
             more = _visits(waiting, centers, lambda d, batch, low=low, high=seen: (_places(d) >= low) & (_places(d) < high))
             more = stage(more, "cell-visits")
             if more.isEmpty():
                 break
-            found = found.unionByName(look_into(more))
-        return _result(found, k, query_key, self.key[0] if len(self.key) == 1 else list(self.key))
+            found = look_into(more, found)
+        return _result(found.drop("rank"), k, query_key, self.key[0] if len(self.key) == 1 else list(self.key))
 
     # ------------------------------------------------------------ writing
 
