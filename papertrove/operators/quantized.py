@@ -1,8 +1,8 @@
 """Compressed vectors: product quantisation trained in Spark, lookup tables per query, exact scores for the survivors.
 
 A unit vector is cut into pieces of equal width and every piece is stored as the number of its nearest center, one byte.
-A query makes one table of its products with all centers; a stored vector's score is then a sum of table entries, one per
-byte. The best of these approximate scores are scored again with the vectors themselves.
+A stored vector's approximate score is the sum of the query's products with the centers of its bytes, which is one product
+with the centers laid side by side. The best of these scores are made again with the vectors themselves.
 """
 
 from __future__ import annotations
@@ -11,16 +11,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from papertrove.config import TOP_K
-from papertrove.functions import vectors as maths
 from papertrove.operators.sampling import bounded_sample
-from papertrove.operators.search import DIGITS, Keys, _named, _result, _unit_rows, vector_length
+from papertrove.operators.search import (
+    DIGITS,
+    EXACT_ROWS,
+    SLICE_ROWS,
+    Keys,
+    _among_first,
+    _Best,
+    _named,
+    _result,
+    _unit_rows,
+    vector_length,
+)
 from papertrove.sources.storage import default_file_system, open_folder, stage, work_folder
 
 # Centers of a piece (a code is one byte), and the bounded, hash-chosen sample that they are found on.
@@ -29,10 +39,9 @@ FIT_ROWS = 65_536
 ROUNDS = 8
 # Survivors per answer that are scored exactly.
 SURVIVORS = 16
-# Bytes of codes that a task holds at once, and queries and vectors whose scores are added up at once.
-CODE_BLOCK_BYTES = 64 << 20
-QUERY_ROWS = 256
-SLICE_ROWS = 8_192
+# Queries that a task holds at once, and stored vectors that it reads at once.
+QUERY_ROWS = 8_192
+CODE_ROWS = 32_768
 
 
 def pieces_of(rows: np.ndarray, pieces: int) -> np.ndarray:
@@ -117,8 +126,14 @@ def write_codes(vectors: DataFrame, path: str, pieces: int = 16, key: Keys = "ve
     about.write.parquet(f"{path}/about")
 
 
+def decode_rows(codes: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """The centers of every code side by side, in single precision: ``(rows, pieces * width)``."""
+    single = centers.astype(np.float32)
+    return np.concatenate([single[m][codes[:, m]] for m in range(len(centers))], axis=1)
+
+
 class _Kept:
-    """The best ``k`` approximate scores of some queries in one task."""
+    """The best ``k`` approximate scores of some queries, added up from a table of products with all centers per query."""
 
     def __init__(self, tables: np.ndarray, k: int):
         self.tables, self.k = tables, k
@@ -142,58 +157,89 @@ def knn_quantized(spark: SparkSession, path: str, vectors: DataFrame, queries: D
                   survivors: int = SURVIVORS) -> DataFrame:
     """``(query_id, neighbor_id, score, rank)`` as ``knn_exact``, out of stored codes; scores are exact, rows nearly so.
 
-    Tasks hold their codes, read the queries a block at a time and pass on ``survivors * k`` rows per query. Of these the
-    best ``survivors * k`` of all tasks meet their vectors by key. ``vectors`` are those that the codes were made of.
+    Tasks hold ``QUERY_ROWS`` queries at a time and read the codes, ``CODE_ROWS`` at a time, and then the vectors of the
+    ``survivors * k`` best codes of each query, of which they pass on the best ``k``. Where there are too few queries for
+    all tasks, each task reads its share of the codes. ``vectors`` are those that the codes were made of.
     """
     about = spark.read.parquet(f"{path}/about").first()
     centers = np.array(about.centers, np.float64).reshape(about.pieces, *about.shape)
     asked = _named(queries, query_key, vector, "q", about.dimensions)
-    folder = work_folder(spark, "quantised-queries")
-    asked.write.parquet(folder)
-    default, wide, pieces = default_file_system(spark), survivors * k, about.pieces
     codes = spark.read.schema(about.codes).parquet(f"{path}/codes")
     q_names, n_names = [c for c in asked.columns if c != "v"], [c for c in codes.columns if c != "code"]
+    folder = work_folder(spark, "quantised-rows")
+    codes.join(_named(vectors, key, vector, "n", about.dimensions), n_names).write.parquet(folder)
+    asked = stage(asked.dropna(subset=q_names), "quantised-queries")
+    tasks = max(1, spark.sparkContext.defaultParallelism)
+    shares = max(1, min(tasks, tasks * SLICE_ROWS // max(1, asked.count())))
+    asked = asked.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))).repartition(tasks)
+    default, wide, pieces = default_file_system(spark), survivors * k, about.pieces
     kinds = [(n, asked.schema[n].dataType) for n in q_names] + [(n, codes.schema[n].dataType) for n in n_names]
 
-    def query_tables() -> Iterator[tuple[pa.Table, np.ndarray]]:
+    def stored(columns: list[str]) -> Iterator[tuple[int, pa.RecordBatch]]:
+        """Stored rows and the place of the first, in the same order at every reading."""
         files, inside = open_folder(folder, default)
+        first = 0
         for entry in sorted(files.get_file_info(pa.fs.FileSelector(inside)), key=lambda e: e.path):
             if entry.base_name.endswith(".parquet"):
                 with files.open_input_file(entry.path) as source:
-                    for batch in pq.ParquetFile(source).iter_batches(QUERY_ROWS):
-                        block = pa.Table.from_batches([batch])
-                        cut = pieces_of(_unit_rows(block.column("v")), pieces)
-                        products = np.einsum("mqw,mcw->qmc", cut, centers).astype(np.float32)
-                        yield block.select(q_names), products
-
-    def meet(held: pa.Table) -> Iterator[pa.RecordBatch]:
-        flat = held.column("code").combine_chunks()
-        matrix = np.frombuffer(b"".join(flat.to_pylist()), np.uint8).reshape(len(flat), pieces)
-        for block, tables in query_tables():
-            best = _Kept(tables, wide)
-            for start in range(0, len(matrix), SLICE_ROWS):
-                best.add(matrix[start : start + SLICE_ROWS], start)
-            rows = np.repeat(np.arange(len(tables)), best.scores.shape[1])
-            left, right = block.take(pa.array(rows)), held.select(n_names).take(pa.array(best.places.ravel()))
-            yield from pa.table([*left.columns, *right.columns, pa.array(best.scores.ravel().astype(np.float64))],
-                                names=[*q_names, *n_names, "score"]).to_batches()
+                    for batch in pq.ParquetFile(source).iter_batches(CODE_ROWS, columns=columns):
+                        yield first, batch.select(columns)
+                        first += batch.num_rows
+
+    def meet(held: pa.Table, share: int) -> Iterator[pa.RecordBatch]:
+        matrix = _unit_rows(held.column("v"))
+        best = _Best(pieces_of(matrix, pieces).transpose(1, 0, 2).reshape(len(matrix), -1), wide, digits=None)
+        for i, (first, batch) in enumerate(stored(["code"])):
+            if i % shares == share and batch.num_rows:
+                own = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint8).reshape(-1, pieces)
+                kept = _among_first(own, wide, np.zeros(len(own), np.int64))
+                decoded = decode_rows(own[kept], centers)
+                best.add(decoded, decoded, first + kept)
+        rows, column = np.nonzero(best.places >= 0)
+        places = best.places[rows, column]
+        order = np.argsort(places, kind="stable")
+        rows, places = rows[order], places[order]
+        scores, found = np.empty(len(rows)), []
+        for first, batch in stored([*n_names, "v"]):
+            start, end = np.searchsorted(places, [first, first + batch.num_rows])
+            if start < end:
+                inside, at = np.unique(places[start:end] - first, return_inverse=True)
+                taken = batch.take(pa.array(inside))
+                exact = _unit_rows(taken.column("v"))
+                for i in range(start, end, EXACT_ROWS):
+                    stop = min(end, i + EXACT_ROWS)
+                    pair = matrix[rows[i:stop]], exact[at[i - start : stop - start]]
+                    scores[i:stop] = np.round(np.einsum("ij,ij->i", *pair), DIGITS) + 0.0
+                found.append(pa.Table.from_batches([taken.select(n_names)]).take(pa.array(at)))
+        if not len(rows):
+            return
+        # What is as good as the k-th best of its query goes on; ties are cut by key when all tasks are through.
+        order = np.lexsort((-scores, rows))
+        own = rows[order]
+        first = np.searchsorted(own, own)
+        last = np.minimum(first + k, np.searchsorted(own, own, side="right")) - 1
+        order = order[scores[order] >= scores[order][last]]
+        left, right = held.select(q_names).take(pa.array(rows[order])), pa.concat_tables(found).take(pa.array(order))
+        yield from pa.table([*left.columns, *right.columns, pa.array(scores[order])], names=[*q_names, *n_names, "score"]).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(waiting: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block = pa.Table.from_batches(waiting)
+            for share in pc.unique(block.column("share")).to_pylist():
+                yield from meet(block.filter(pc.equal(block.column("share"), share)), share)
+
         waiting: list[pa.RecordBatch] = []
         rows = 0
         for batch in batches:
-            waiting.append(batch)
-            rows += batch.num_rows
-            if rows * pieces > CODE_BLOCK_BYTES:
-                yield from meet(pa.Table.from_batches(waiting))
-                waiting, rows = [], 0
-        if rows:
-            yield from meet(pa.Table.from_batches(waiting))
-
-    near = codes.mapInArrow(run, ", ".join(f"{n} {kind.simpleString()}" for n, kind in kinds) + ", score double")
-    best_first = W.partitionBy(*q_names).orderBy(F.desc("score"), *n_names)
-    kept = near.withColumn("place", F.row_number().over(best_first)).where(F.col("place") <= wide).drop("place", "score")
-    exact = kept.join(_named(vectors, key, vector, "n", about.dimensions).withColumnRenamed("v", "nv"), n_names)
-    exact = exact.join(asked.withColumnRenamed("v", "qv"), q_names)
-    score = F.round(maths.dot(maths.unit(F.col("qv")), maths.unit(F.col("nv"))), DIGITS) + F.lit(0.0)
-    return _result(exact.select(*q_names, *n_names, score.alias("score")), k, query_key, key)
+            for at in range(0, batch.num_rows, QUERY_ROWS):
+                part = batch.slice(at, QUERY_ROWS)
+                if rows + part.num_rows > QUERY_ROWS and waiting:
+                    yield from done(waiting)
+                    waiting, rows = [], 0
+                waiting.append(part)
+                rows += part.num_rows
+        if waiting:
+            yield from done(waiting)
+
+    near = asked.mapInArrow(run, ", ".join(f"{n} {kind.simpleString()}" for n, kind in kinds) + ", score double")
+    return _result(near, k, query_key, key)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from papertrove.operators import search
+from papertrove.operators import quantized, search
 from papertrove.streaming.cells import open_cells
 
 
@@ -60,3 +61,33 @@ def test_a_query_is_stored_once_for_all_its_cells(spark, tmp_path, monkeypatch):
     asked.clear()
     assert {tuple(r) for r in index.search(spark, rows, 3, probes=1 << 30).collect()} == exact
     assert asked == [120]
+
+
+@pytest.mark.parametrize("dimensions, pieces", [(12, 4), (10, 4)])
+def test_decoded_products_are_the_sums_of_tables(dimensions, pieces):
+    rng = np.random.default_rng(4)
+    rows, queries = rng.normal(size=(50, dimensions)), rng.normal(size=(7, dimensions))
+    centers = rng.normal(size=(pieces, 9, -(-dimensions // pieces)))
+    codes = quantized.encode_rows(rows, centers)
+    cut = quantized.pieces_of(queries, pieces)
+    tables = quantized._Kept(np.einsum("mqw,mcw->qmc", cut, centers).astype(np.float32), 50)
+    tables.add(codes, 0)
+    products = cut.transpose(1, 0, 2).reshape(7, -1) @ quantized.decode_rows(codes, centers).T
+    by_place = np.empty((7, 50))
+    np.put_along_axis(by_place, tables.places, tables.scores, axis=1)
+    assert np.allclose(by_place, products, atol=1e-4)
+
+
+def test_quantised_searches_of_few_queries_and_many_copies(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    points = np.concatenate([np.repeat(rng.normal(size=(1, 8)), 300, axis=0), rng.normal(size=(300, 8))])
+    held = frame(spark, points).repartition(3)
+    quantized.write_codes(held, str(tmp_path), pieces=8)
+    for asked in (held, held.where("vec_id in (2, 450)")):
+        near = quantized.knn_quantized(spark, str(tmp_path), held, asked)
+        assert near.count() == 5 * asked.count()
+        exact = {(r.query_id, r.rank): r.score for r in search.knn_exact(asked, held).collect()}
+        rows = near.collect()
+        assert sum(r.score >= exact[r.query_id, r.rank] for r in rows) >= 0.95 * len(rows)
+        # No row is passed on twice, and no window cuts a wider list.
+        assert len({(r.query_id, r.neighbor_id) for r in rows}) == len(rows)
