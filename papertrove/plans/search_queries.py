@@ -12,7 +12,7 @@ from papertrove.operators.tables import change_feed
 from papertrove.plans.jobs import chunk_search
 from papertrove.plans.oracle_parts import fixed_chunks_sql, vectors_sql
 from papertrove.plans.registry import registered
-from papertrove.sources.storage import work_folder
+from papertrove.sources.storage import stage, work_folder
 from papertrove.sources.tables import load, load_spread
 from papertrove.streaming.cells import LiveCells, open_cells
 from papertrove.streaming.sync import change_stream
@@ -135,7 +135,7 @@ def knn_recall(spark: SparkSession, folder: str) -> DataFrame:
     """The approximate answers beside the exact ones: full lists, recall of at least 0.95, no score above the exact one."""
     vectors = load(spark, folder, "embeddings")
     near = search.knn_cells(vectors, vectors).withColumnRenamed("score", "near_score")
-    exact = search.knn_exact(vectors, vectors)
+    exact = stage(search.knn_exact(vectors, vectors), "exact-answers")
     both = near.join(exact.select("query_id", "neighbor_id", F.lit(1).alias("hit")), ["query_id", "neighbor_id"], "left")
     by_rank = both.join(exact.select("query_id", "rank", "score"), ["query_id", "rank"])
     return by_rank.agg(
@@ -157,7 +157,7 @@ def quantized_recall(spark: SparkSession, folder: str) -> DataFrame:
     vectors, path = load(spark, folder, "embeddings"), work_folder(spark, "quantised")
     quantized.write_codes(vectors, path, CODE_BYTES)
     near = quantized.knn_quantized(spark, path, vectors, vectors).withColumnRenamed("score", "near_score")
-    exact = search.knn_exact(vectors, vectors)
+    exact = stage(search.knn_exact(vectors, vectors), "exact-answers")
     both = near.join(exact.select("query_id", "neighbor_id", F.lit(1).alias("hit")), ["query_id", "neighbor_id"], "left")
     by_rank = both.join(exact.select("query_id", "rank", "score"), ["query_id", "rank"])
     size = spark.read.parquet(f"{path}/codes").select(F.max(F.octet_length("code")).cast("long")).scalar()
@@ -265,7 +265,7 @@ def followed_recall(spark: SparkSession, folder: str) -> DataFrame:
     """The same index asked in as many cells as it has measured to need, beside the exact answers: recall of 0.95."""
     index, vectors = _followed(spark, folder)
     near = index.search(spark, vectors).withColumnRenamed("score", "near_score")
-    exact = search.knn_exact(vectors, vectors)
+    exact = stage(search.knn_exact(vectors, vectors), "exact-answers")
     both = near.join(exact.select("query_id", "neighbor_id", F.lit(1).alias("hit")), ["query_id", "neighbor_id"], "left")
     return both.join(exact.select("query_id", "rank", "score"), ["query_id", "rank"]).agg(
         F.count_distinct("query_id").alias("n_queries"),
