@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import re
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DIMENSIONS = 4096
+# Tokens whose dimensions a worker keeps.
+KNOWN_TOKENS = 1 << 18
 
 
 def let(value: Column, body) -> Column:
@@ -13,50 +21,56 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def tokens(text: Column | str) -> Column:
-    """Lower-case runs of the letters a to z."""
-    return F.filter(F.split(F.lower(text), "[^a-z]+"), lambda token: token != "")
-
+class _TokenDimensions(dict):
+    """Dimension by token, made once per token; forgotten when there are too many to keep."""
+
+    def __init__(self, dimensions: int):
+        self.dimensions = dimensions
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= KNOWN_TOKENS:
+            self.clear()
+        self[token] = found = int(hashlib.md5(token.encode()).hexdigest()[:4], 16) % self.dimensions
+        return found
+
+
+@functools.cache
+def _embedder(dimensions: int):
+    known, split = _TokenDimensions(dimensions), re.compile("[a-z]+").findall
+    entry = pa.struct([("dim", pa.int32()), ("weight", pa.float64())])
+
+    def embed(texts: pa.Array) -> pa.Array:
+        """Vectors of lower-case texts: the dimensions of all tokens are sorted and counted together."""
+        sizes, dims = [], []
+        for text in texts.to_pylist():
+            found = split(text or "")
+            sizes.append(len(found))
+            dims += [known[token] for token in found]
+        rows = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
+        places, counts = np.unique(rows * dimensions + np.array(dims, np.int64), return_counts=True)
+        rows, weights = places // dimensions, counts.astype(np.float64)
+        norms = np.sqrt(np.bincount(rows, weights=weights * weights, minlength=len(sizes)))
+        entries = pa.StructArray.from_arrays(
+            [pa.array((places % dimensions).astype(np.int32)), pa.array(weights / norms[rows])], fields=list(entry)
+        )
+        ends = np.searchsorted(rows, np.arange(len(sizes) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), entries)
 
-def _token_dimension(token: Column, dimensions: int) -> Column:
-    return (F.conv(F.left(F.md5(token.cast("binary")), F.lit(4)), 16, 10).cast("int") % dimensions).cast("int")
+    return embed
 
 
 def hash_embed(text: Column, dimensions: int = DIMENSIONS) -> Column:
     """Unit-length bag-of-words vector as ``array<struct<dim int, weight double>>``, dims ascending.
 
-    The whole vector is made inside the row, with no shuffle: sort the token dimensions, keep the place where each run
-    of equal values begins, and take the distance to the next one as the count.
+    A batch of rows at a time with no shuffle. A null text has a vector without entries.
     """
-    sorted_dims = F.sort_array(F.transform(tokens(text), lambda token: _token_dimension(token, dimensions)))
 
-    def from_sorted(run: Column) -> Column:
-        begins = F.filter(
-            F.sequence(F.lit(0), F.size(run) - 1),
-            lambda i: (i == 0) | (F.get(run, i) != F.get(run, i - 1)),
-        )
-        return let(begins, lambda b: let(counted(run, b), unit))
-
-    def counted(run: Column, begins: Column) -> Column:
-        return F.transform(
-            begins,
-            lambda i, n: F.struct(
-                F.get(run, i).alias("dim"),
-                (F.coalesce(F.get(begins, n + 1), F.size(run)) - i).cast("double").alias("weight"),
-            ),
-        )
-
-    def unit(entries: Column) -> Column:
-        squares = F.aggregate(entries, F.lit(0.0), lambda total, e: total + e["weight"] * e["weight"])
-        return let(
-            F.sqrt(squares),
-            lambda norm: F.transform(
-                entries, lambda e: F.struct(e["dim"].alias("dim"), (e["weight"] / norm).alias("weight"))
-            ),
-        )
+    def embed(texts: pa.Array) -> pa.Array:
+        return _embedder(dimensions)(texts)
 
-    empty = F.array().cast("array<struct<dim:int,weight:double>>")
-    return let(sorted_dims, lambda run: F.when(F.size(run) > 0, from_sorted(run)).otherwise(empty))
+    # Arrow finds the types of the function by its annotations, which are text here.
+    embed.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(embed, "array<struct<dim:int,weight:double>>")(F.lower(text))
 
 
 def dense(vector: Column, dimensions: int = DIMENSIONS) -> Column:

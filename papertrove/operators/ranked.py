@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from papertrove.config import TOP_K
 from papertrove.functions import vectors
-from papertrove.operators.search import DIGITS, question_entries, stored_keys
+from papertrove.operators.search import DIGITS, open_dimensions, question_entries, stored_keys, weight_of
 from papertrove.sources.storage import stage
 
 # Bands per halving of the weight, and the last band, which holds everything smaller.
@@ -120,16 +120,11 @@ def _met(spark: SparkSession, path: str, lists: list[_List], about: Row, names:
     The scan opens the folders of the open dimensions and, by their statistics, the pages of the open bands.
     """
     opened = [each for each in lists if each.opened]
-    wanted = [(F.col("dim") == each.dim) & (F.col("band") <= each.blocks[each.opened - 1][0]) for each in opened]
-    folders = sorted({each.dim % about.parts for each in opened})
-    postings = _stored(spark, path, "blocks", about).where(F.col("part").isin(folders))
-    postings = postings.where(functools.reduce(Column.__or__, wanted, F.lit(False)))
-    asked = F.create_map(*[F.lit(v) for each in lists for v in (each.dim, each.asked)])
-    bound = F.create_map(*[F.lit(v) for each in lists for v in (each.dim, each.bound())])
-    share = F.col("weight") * F.element_at(asked, F.col("dim"))
-    return postings.groupBy(*names).agg(
-        F.sum(share).alias("partial"), F.sum(share - F.element_at(bound, F.col("dim"))).alias("above")
-    )
+    wanted = {each.dim: (F.col("dim") == each.dim) & (F.col("band") <= each.blocks[each.opened - 1][0]) for each in opened}
+    postings = open_dimensions(_stored(spark, path, "blocks", about), wanted, about.parts)
+    share = F.col("weight") * weight_of(F.col("dim"), {each.dim: each.asked for each in lists})
+    bound = weight_of(F.col("dim"), {each.dim: each.bound() for each in lists})
+    return postings.groupBy(*names).agg(F.sum(share).alias("partial"), F.sum(share - bound).alias("above"))
 
 
 def _scored(spark: SparkSession, path: str, rows: DataFrame, lists: list[_List], about: Row, names: list[str]) -> DataFrame:
@@ -137,11 +132,9 @@ def _scored(spark: SparkSession, path: str, rows: DataFrame, lists: list[_List],
     wanted = rows.select(*names, F.pmod(F.xxhash64(*names), F.lit(about.buckets)).cast("int").alias("bucket"))
     folders = [r[0] for r in wanted.select("bucket").distinct().collect()]
     stored = _stored(spark, path, "vectors", about).where(F.col("bucket").isin(folders))
-    asked = F.create_map(*[F.lit(v) for each in lists for v in (each.dim, each.asked)])
+    asked = {each.dim: each.asked for each in lists}
     held = stored.join(wanted, ["bucket", *names], "left_semi")
-    score = F.aggregate(
-        F.col("vector"), F.lit(0.0), lambda total, e: total + e["weight"] * F.coalesce(F.try_element_at(asked, e["dim"]), F.lit(0.0))
-    )
+    score = F.aggregate(F.col("vector"), F.lit(0.0), lambda total, e: total + e["weight"] * weight_of(e["dim"], asked))
     return held.select(*names, F.round(score, DIGITS).alias("score"))
 
 

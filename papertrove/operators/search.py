@@ -27,8 +27,10 @@ QUERY_BLOCK_BYTES = 32 << 20
 VECTOR_BLOCK_BYTES = 64 << 20
 SLICE_ROWS = 1_024
 BLOCK_SLICE_ROWS = 2_048
-# Pairs whose products are made in double precision at once, and the length above which no product is made in single.
+# Pairs whose products are made in double precision at once, dimensions that one scan of postings asks for, and the length
+# above which no product is made in single precision.
 EXACT_ROWS = 65_536
+SCAN_DIMENSIONS = 16
 _SINGLE = 1e15
 # Cells are found on a sample of this many vectors, or of so many per cell if that is more.
 MIN_CELLS = 16
@@ -140,17 +142,37 @@ def question_entries(spark: SparkSession, question: str | DataFrame, dimensions:
     return [(e.dim, e.weight) for e in asked]
 
 
+def weight_of(dim: Column, weights: dict[int, float]) -> Column:
+    """The weight of a dimension, 0 without one: a constant array that is looked into by place."""
+    if not weights:
+        return F.lit(0.0)
+    dense = ",".join(repr(float(weights.get(d, 0.0))) for d in range(max(weights) + 1))
+    return F.coalesce(F.get(F.split(F.lit(dense), ",").cast("array<double>"), dim), F.lit(0.0))
+
+
+def open_dimensions(postings: DataFrame, wanted: dict[int, Column], parts: int) -> DataFrame:
+    """Rows of stored postings that meet the condition of their dimension.
+
+    The scan opens only the folders of the dimensions, and each condition is one of its own, which row groups are tested
+    against one by one (a list of more than ten values would only be tested by its range). Every ``SCAN_DIMENSIONS`` have
+    a scan of their own, neighbors in the folders: a long chain of conditions makes a method too long to be compiled.
+    """
+    dims = sorted(wanted, key=lambda dim: (dim % parts, dim))
+    scans = []
+    for at in range(0, len(dims), SCAN_DIMENSIONS):
+        some = dims[at : at + SCAN_DIMENSIONS]
+        one_of = functools.reduce(Column.__or__, [wanted[dim] for dim in some])
+        scans.append(postings.where(F.col("part").isin(sorted({dim % parts for dim in some})) & one_of))
+    return functools.reduce(DataFrame.union, scans) if scans else postings.where(F.lit(False))
+
+
 def posting_hits(postings: DataFrame, entries: list[tuple[int, float]], parts: int, keys: Sequence[str]) -> DataFrame:
     """``(keys, score)`` of the rows of stored postings that share a dimension with the entries.
 
-    The entries become literals: the scan opens only their folders, and each dimension is a comparison of its own, which
-    row groups are tested against one by one (a list of more than ten values would only be tested by its range). Products
-    are summed per key before the shuffle.
+    The entries become literals. Products are summed per key before the shuffle.
     """
-    one_of = functools.reduce(Column.__or__, [F.col("dim") == dim for dim, _ in entries], F.lit(False))
-    hits = postings.where(F.col("part").isin(sorted({dim % parts for dim, _ in entries})) & one_of)
-    pairs = [F.lit(value) for entry in entries for value in entry]
-    weight = F.try_element_at(F.create_map(*pairs), F.col("dim")) if pairs else F.lit(0.0)
+    hits = open_dimensions(postings, {dim: F.col("dim") == dim for dim, _ in entries}, parts)
+    weight = weight_of(F.col("dim"), dict(entries))
     named = [F.col(f"key_{i}").alias(name) for i, name in enumerate(keys)]
     return hits.groupBy(*named).agg(F.round(F.sum(F.col("weight") * weight), DIGITS).alias("score"))
 
