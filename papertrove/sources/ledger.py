@@ -16,6 +16,8 @@ from papertrove.sources.files import scan_binary, source_path
 from papertrove.sources.storage import newest_commit
 
 NEW, CHANGED, REMOVED, SAME = "new", "changed", "removed", "same"
+# Tasks per core that a listing is read by.
+LISTING_TASKS = 2
 _FILES = "path string, source_path string, length long, modified timestamp, chunks long"
 
 
@@ -49,6 +51,8 @@ class FileLedger:
         seen = scan_binary(spark, folder, glob).select(
             "path", source_path("path").alias("source_path"), "length", F.col("modificationTime").alias("modified")
         )
+        # A scan of small files has a task for every few of them, which costs more than their names and sizes.
+        seen = seen.coalesce(LISTING_TASKS * spark.sparkContext.defaultParallelism)
         old = self.known(spark).select(
             "path", F.col("source_path").alias("old_source"), F.col("length").alias("old_length"),
             F.col("modified").alias("old_modified"), F.col("chunks").alias("old_chunks"),

@@ -134,3 +134,18 @@ def test_failed_rows_are_kept_and_tried_again(spark, tmp_path):
     other = ScoreLedger(str(tmp_path / "scores"), "length-2", T.LongType())
     assert other.results(spark).count() == 3
     assert score_once(inputs(spark, []), ["text"], "scored", other, counting(tmp_path)).collect() == []
+
+
+def test_a_listing_is_read_in_few_tasks(spark, tmp_path):
+    folder = Folder(spark, tmp_path)
+    for i in range(40):
+        folder.write(f"{i}.txt", "x")
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    try:
+        found = folder.ledger.compare(spark, str(tmp_path / "files"), "*.txt")
+        assert f"Coalesce {tasks}" in found._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in found.select("change", "length").collect()} == {("new", 1)} and found.count() == 40
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
