@@ -11,7 +11,6 @@ A search opens the strongest blocks only, until no row outside them can reach th
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
