@@ -38,6 +38,9 @@ RATE = 0.01
 #: Sixteenths of the training documents per round of training, and the rate and streams of each; weights averaged at a time.
 ROUNDS = ((1, 1.0, STREAMS), (3, 1.0, 96), (4, 0.5, 192), (8, 0.3, 192))
 AVERAGED = 32
+#: States whose outputs are computed at a time, and the logit beyond which a row is shifted before its exponentials are taken.
+OUTPUT_ROWS = 2048
+LARGE_LOGIT = 60.0
 END, OTHER = 0, 1
 #: Weight of a word's spelling beside its count, in tokens.
 SPELLING_WEIGHT = 100_000.0
@@ -87,88 +90,163 @@ class Network:
         first = np.cumsum(sizes) - sizes
         out = np.zeros(len(order))
         w = self.weights
-        read = w["embedding"] @ w["input"] + w["input_bias"]
-        hidden = np.zeros((len(order), HIDDEN), np.float32)
+        hidden = np.zeros((len(order), HIDDEN), w["hidden"].dtype, order="F")
+        embedding = np.column_stack([w["embedding"], np.ones(VOCABULARY, hidden.dtype)])
+        reading = np.vstack([w["input"], w["input_bias"]])
         before = np.full(len(order), END)
         step = 0
         while step < (sizes[0] if len(sizes) else 0):
-            states, targets, owners = [], [], []
             live = int(np.searchsorted(-sizes, -step))
-            window = max(STEPS, 4096 // max(1, live))
-            for step in range(step, min(step + window, sizes[0])):
-                live = int(np.searchsorted(-sizes, -step))
-                hidden = _gates(read[before[:live]], hidden[:live], w)[0]
+            window = range(step, min(step + max(STEPS, 4096 // max(1, live)), int(sizes[0])))
+            lives = np.searchsorted(-sizes, -np.arange(window.start, window.stop)).tolist()
+            ends = np.cumsum(lives).tolist()
+            states = np.empty((ends[-1], HIDDEN), hidden.dtype)
+            targets = np.empty(ends[-1], flat.dtype)
+            for step, live, end in zip(window, lives, ends, strict=True):
+                given = np.matmul(embedding.take(before[:live], axis=0), reading, out=_columns(live, 3 * HIDDEN, hidden))
+                hidden = _gates(given, hidden[:live], w)[0]
                 before = flat[first[:live] + step]
-                states.append(hidden)
-                targets.append(before)
-                owners.append(np.arange(live))
+                states[end - live : end], targets[end - live : end] = hidden, before
             step += 1
-            scores = _output(np.concatenate(states), np.concatenate(targets), w)
-            out += np.bincount(np.concatenate(owners), scores, len(out))
+            owners = np.concatenate([np.arange(live) for live in lives])
+            out += np.bincount(owners, _output(states, targets, w), len(out))
         result = np.empty(len(order))
         result[order] = out
         return result
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
+def _columns(rows: int, width: int, like: np.ndarray) -> np.ndarray:
+    """An empty array held column by column, so that what belongs to one gate is one stretch of memory."""
+    return np.empty((width, rows), like.dtype).T
 
 
 def _gates(read: np.ndarray, hidden: np.ndarray, w: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
     """One step: the new state and what the way back needs."""
-    own = hidden @ w["hidden"]
-    both = _sigmoid(read[:, : 2 * HIDDEN] + own[:, : 2 * HIDDEN])
+    own = np.matmul(hidden, w["hidden"], out=_columns(len(hidden), 3 * HIDDEN, hidden))
+    # The logistic function of x is half of 1 + tanh(x / 2).
+    both = own[:, : 2 * HIDDEN]
+    both += read[:, : 2 * HIDDEN]
+    both *= 0.5
+    np.tanh(both, out=both)
+    both *= 0.5
+    both += 0.5
     update, reset = both[:, :HIDDEN], both[:, HIDDEN:]
-    candidate_own = own[:, 2 * HIDDEN :] + w["candidate_bias"]
-    candidate = np.tanh(read[:, 2 * HIDDEN :] + reset * candidate_own)
-    return candidate + update * (hidden - candidate), update, reset, candidate, candidate_own
+    candidate_own = own[:, 2 * HIDDEN :]
+    candidate_own += w["candidate_bias"]
+    candidate = reset * candidate_own
+    candidate += read[:, 2 * HIDDEN :]
+    np.tanh(candidate, out=candidate)
+    after = hidden - candidate
+    after *= update
+    after += candidate
+    return after, update, reset, candidate, candidate_own
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _total(rows: np.ndarray) -> np.ndarray:
+    return np.ones(len(rows), rows.dtype) @ rows
 
 
-def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(classes, kind="stable")
-    edges = np.append(np.flatnonzero(np.diff(classes[order], prepend=-1)), len(order))
-    for start, end in zip(edges[:-1], edges[1:], strict=True):
-        yield int(classes[order[start]]), order[start:end]
+def _log_shares(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log probability of one column of every row. The logits are lost."""
+    picked = _shifted(logits)[np.arange(len(logits)), at]
+    return picked - np.log(_exponential_sums(logits))
+
+
+def _shifted(logits: np.ndarray) -> np.ndarray:
+    """Logits whose exponentials neither overflow nor are all lost; they are changed in place."""
+    if logits.size and max(logits.max(), -logits.min()) > LARGE_LOGIT:
+        logits -= logits.max(axis=1, keepdims=True)
+    return logits
+
+
+def _exponential_sums(logits: np.ndarray) -> np.ndarray:
+    """Sums of the rows' exponentials, which replace the logits."""
+    np.exp(logits, out=logits)
+    return logits @ np.ones(logits.shape[1], logits.dtype)
+
+
+def _small_order(values: np.ndarray) -> np.ndarray:
+    """The stable order of vocabulary entries or classes, which are small numbers."""
+    return np.argsort(values.astype(np.uint16 if VOCABULARY <= 1 << 16 else np.uint32), kind="stable")
+
+
+def _class_blocks(classes: np.ndarray) -> Iterator[tuple[slice, list[tuple[int, slice]]]]:
+    """Blocks of sorted classes, and each block's classes with their places in it."""
+    edges = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
+    for start in range(0, len(classes), OUTPUT_ROWS):
+        stop = min(start + OUTPUT_ROWS, len(classes))
+        inside = ((one, max(edges[one], start), min(edges[one + 1], stop)) for one in range(classes[start], classes[stop - 1] + 1))
+        yield slice(start, stop), [(one, slice(low - start, high - start)) for one, low, high in inside if low < high]
+
+
+def _with_bias(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of classes and of words, each with its bias as one row more, for states with a one at their end."""
+    return np.vstack([w["class"], w["class_bias"]]), np.concatenate([w["word"], w["word_bias"][:, None]], axis=1)
+
+
+def _word_logits(states: np.ndarray, blocks: list[tuple[int, slice]], words: np.ndarray) -> np.ndarray:
+    """Logits of all words of each state's class."""
+    logits = np.empty((len(states), words.shape[2]), states.dtype)
+    for one, rows in blocks:
+        np.matmul(states[rows], words[one], out=logits[rows])
+    return logits
 
 
 def _output(states: np.ndarray, targets: np.ndarray, w: dict[str, np.ndarray]) -> np.ndarray:
     """Log probability of the targets: of their class, and of the entry within it."""
     size = VOCABULARY // CLASSES
-    classes, inside = targets // size, targets % size
-    scores = _log_softmax(states @ w["class"] + w["class_bias"])[np.arange(len(targets)), classes].astype(np.float64)
-    for one, rows in _by_class(classes):
-        logits = _log_softmax(states[rows] @ w["word"][one] + w["word_bias"][one])
-        scores[rows] += logits[np.arange(len(rows)), inside[rows]]
+    order = _small_order(targets // size)
+    classes, inside = np.divmod(targets[order], size)
+    ordered = np.ones((len(order), HIDDEN + 1), states.dtype)
+    ordered[:, :HIDDEN] = states.take(order, axis=0)
+    by_class, by_word = _with_bias(w)
+    found = np.empty(len(order))
+    for rows, blocks in _class_blocks(classes):
+        found[rows] = _log_shares(ordered[rows] @ by_class, classes[rows])
+        found[rows] += _log_shares(_word_logits(ordered[rows], blocks, by_word), inside[rows])
+    scores = np.empty(len(order))
+    scores[order] = found
     return scores
 
 
-def _output_gradient(states, targets, w, into) -> tuple[np.ndarray, float]:
+def _loss_gradient(logits: np.ndarray, at: np.ndarray, count: int) -> np.ndarray:
+    """A factor per row; times it, what replaces the logits is the gradient of the loss of one column of every row."""
+    sums = _exponential_sums(_shifted(logits))
+    logits[np.arange(len(logits)), at] -= sums
+    return 1 / (count * sums)
+
+
+def _output_gradient(states: np.ndarray, targets: np.ndarray, w: dict[str, np.ndarray], into: dict[str, np.ndarray]) -> np.ndarray:
     """Gradient of the mean loss for the states; those of the output layers are added into ``into``."""
     size, n = VOCABULARY // CLASSES, len(targets)
-    classes, inside = targets // size, targets % size
-    logs = _log_softmax(states @ w["class"] + w["class_bias"])
-    loss = -logs[np.arange(n), classes].sum()
-    delta = np.exp(logs)
-    delta[np.arange(n), classes] -= 1
-    delta /= n
-    into["class"] += states.T @ delta
-    into["class_bias"] += delta.sum(axis=0)
-    back = delta @ w["class"].T
-    for one, rows in _by_class(classes):
-        logs = _log_softmax(states[rows] @ w["word"][one] + w["word_bias"][one])
-        loss -= logs[np.arange(len(rows)), inside[rows]].sum()
-        delta = np.exp(logs)
-        delta[np.arange(len(rows)), inside[rows]] -= 1
-        delta /= n
-        into["word"][one] += states[rows].T @ delta
-        into["word_bias"][one] += delta.sum(axis=0)
-        back[rows] += delta @ w["word"][one].T
-    return back, float(loss / n)
+    order = _small_order(targets // size)
+    classes, inside = np.divmod(targets[order], size)
+    ordered, back = np.ones((n, HIDDEN + 1), states.dtype), np.empty((n, HIDDEN), states.dtype)
+    ordered[:, :HIDDEN] = np.ascontiguousarray(states).take(order, axis=0)
+    by_class, by_word = _with_bias(w)
+    class_gradient, word_gradient = np.zeros_like(by_class), np.zeros_like(by_word)
+    for rows, blocks in _class_blocks(classes):
+        here, above = ordered[rows], back[rows]
+        delta = here @ by_class
+        factor = _loss_gradient(delta, classes[rows], n)[:, None]
+        class_gradient += (here * factor).T @ delta
+        np.matmul(delta, w["class"].T, out=above)
+        above *= factor
+        delta = _word_logits(here, blocks, by_word)
+        factor = _loss_gradient(delta, inside[rows], n)[:, None]
+        weighted, word_back = here * factor, np.empty_like(above)
+        for one, own in blocks:
+            word_gradient[one] += weighted[own].T @ delta[own]
+            np.matmul(delta[own], w["word"][one].T, out=word_back[own])
+        word_back *= factor
+        above += word_back
+    into["class"] += class_gradient[:-1]
+    into["class_bias"] += class_gradient[-1]
+    into["word"] += word_gradient[:, :-1]
+    into["word_bias"] += word_gradient[:, -1]
+    at = np.empty_like(order)
+    at[order] = np.arange(n)
+    return np.asfortranarray(back.take(at, axis=0))
 
 
 def spelling_of(pairs: np.ndarray) -> np.ndarray:
@@ -183,6 +261,33 @@ def byte_pairs(words: list[bytes]) -> np.ndarray:
     return np.bincount(seen[:-1] * 256 + seen[1:], minlength=1 << 16)
 
 
+def distinct_codes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct codes in order, the first place of each, how often each occurs, and the order that sorts all codes.
+
+    Sorting numbers is much faster than ordering their places, so places are sorted in the low bits, below the codes' high
+    bits. Different codes with the same high bits are rare; if they come out of order, all are ordered the plain way.
+    """
+    low = np.uint64(len(codes).bit_length())
+    keys = codes >> low << low | np.arange(len(codes), dtype=np.uint64)
+    keys.sort()
+    order = (keys & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    ordered = codes[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        order = np.argsort(codes, kind="stable")
+        ordered = codes[order]
+    firsts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(codes)])
+    return ordered[firsts], order[firsts], np.diff(firsts, append=len(codes)), order
+
+
+def words_at(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes at these places as one Arrow array, without an object for each."""
+    lengths = ends - starts
+    offsets = np.append(0, np.cumsum(lengths))
+    letters = data[np.repeat(starts - offsets[:-1], lengths) + np.arange(offsets[-1])]
+    found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    return found.cast(pa.binary())
+
+
 def initial_network(codes: np.ndarray, counts: np.ndarray, ends: int, others: int, pairs: np.ndarray, seed: int = 3) -> Network:
     """A network to be trained that knows these words, the most frequent first; no words give one that knows none."""
     order = np.argsort(codes)
@@ -218,7 +323,7 @@ def fit_network(texts: list[str], seed: int = 3) -> Network:
     words = Words(pa.array(texts, pa.string()))
     data = _LOWER[words.data]
     codes = words.codes(data)
-    distinct, first, counts = np.unique(codes, return_index=True, return_counts=True)
+    distinct, first, counts, _ = distinct_codes(codes)
     kept = np.argsort(-counts, kind="stable")[: VOCABULARY - 2]
     pairs = byte_pairs([data[words.starts[i] : words.ends[i]].tobytes() for i in first])
     network = initial_network(distinct[kept], counts[kept], len(texts), len(codes) - counts[kept].sum(), pairs, seed)
@@ -258,49 +363,71 @@ class Training:
             gradient, hidden = _window_gradient(self.weights, inputs, targets, hidden)
             self.updates += 1
             rate = full_rate * math.sqrt(1 - 0.999**self.updates) / (1 - 0.9**self.updates)
-            norm = math.sqrt(sum(float((g * g).sum()) for g in gradient.values()))
+            norm = math.sqrt(sum(float(np.vdot(g, g)) for g in gradient.values()))
             for name, g in gradient.items():
-                g = g * min(1.0, 1.0 / max(norm, 1e-9))
-                self.mean[name] += 0.1 * (g - self.mean[name])
-                self.square[name] += 0.001 * (g * g - self.square[name])
-                self.weights[name] -= rate * self.mean[name] / (np.sqrt(self.square[name]) + 1e-8)
+                mean, square = self.mean[name], self.square[name]
+                g *= min(1.0, 1.0 / max(norm, 1e-9))
+                mean += 0.1 * (g - mean)
+                g *= g
+                g -= square
+                g *= 0.001
+                square += g
+                np.sqrt(square, out=g)
+                g += 1e-8
+                np.divide(mean, g, out=g)
+                g *= rate
+                self.weights[name] -= g
 
 
 def _window_gradient(w, inputs: np.ndarray, targets: np.ndarray, hidden: np.ndarray) -> tuple[dict, np.ndarray]:
     """Gradient over one window, and the state it leaves for the next; a document's state begins at zero."""
     into = {name: np.zeros_like(value) for name, value in w.items()}
-    read = w["embedding"] @ w["input"] + w["input_bias"]
-    steps = inputs.shape[1]
-    kept, states = [], []
-    for t in range(steps):
-        fresh = (inputs[:, t] != END)[:, None].astype(np.float32)
-        carried = hidden * fresh
-        hidden, *rest = _gates(read[inputs[:, t]], carried, w)
-        kept.append((carried, fresh, *rest))
-        states.append(hidden)
-    flat = np.concatenate(states)
-    back, _ = _output_gradient(flat, targets.T.ravel(), w, into)
-    back = back.reshape(steps, -1, HIDDEN)
-    read_back, read_steps = np.zeros_like(read), []
+    streams, steps = inputs.shape
+    # Rows are in the order of steps, then of streams.
+    at = [slice(t * streams, (t + 1) * streams) for t in range(steps)]
+    read_by = inputs.T.ravel()
+    embedded = w["embedding"].take(read_by, axis=0)
+    given = np.matmul(embedded, w["input"], out=_columns(len(read_by), 3 * HIDDEN, hidden))
+    given += w["input_bias"]
+    fresh = (read_by != END)[:, None].astype(hidden.dtype)
+    states, carried, update, reset, candidate, candidate_own = (_columns(len(read_by), HIDDEN, hidden) for _ in range(6))
+    for now in at:
+        np.multiply(hidden, fresh[now], out=carried[now])
+        hidden, update[now], reset[now], candidate[now], candidate_own[now] = _gates(given[now], carried[now], w)
+        states[now] = hidden
+    back = _output_gradient(states, targets.T.ravel(), w, into)
+    # What the gradient of a state is multiplied by on its way into the gates and the candidate; what was read is not needed any more.
+    kept, own = 1 - update, given
+    to_update, to_reset, to_own = (own[:, i * HIDDEN : (i + 1) * HIDDEN] for i in range(3))
+    to_candidate = candidate * candidate
+    np.subtract(1, to_candidate, out=to_candidate)
+    to_candidate *= kept
+    np.subtract(carried, candidate, out=to_update)
+    to_update *= update
+    to_update *= kept
+    np.multiply(to_candidate, reset, out=to_own)
+    np.subtract(1, reset, out=to_reset)
+    to_reset *= to_own
+    to_reset *= candidate_own
     later = np.zeros_like(hidden)
-    for t in reversed(range(steps)):
-        carried, fresh, update, reset, candidate, candidate_own = kept[t]
-        up = back[t] + later
-        d_candidate = up * (1 - update) * (1 - candidate**2)
-        d_update = up * (carried - candidate) * update * (1 - update)
-        d_reset = d_candidate * candidate_own * reset * (1 - reset)
-        own = np.concatenate([d_update, d_reset, d_candidate * reset], axis=1)
-        into["hidden"] += carried.T @ own
-        into["candidate_bias"] += (d_candidate * reset).sum(axis=0)
-        read_steps.append(np.concatenate([d_update, d_reset, d_candidate], axis=1))
-        later = (up * update + own @ w["hidden"].T) * fresh
-    read_by = inputs[:, ::-1].T.ravel()
-    order = np.argsort(read_by, kind="stable")
-    firsts = np.flatnonzero(np.diff(read_by[order], prepend=-1))
-    read_back[read_by[order[firsts]]] = np.add.reduceat(np.concatenate(read_steps)[order], firsts)
-    into["input"] += w["embedding"].T @ read_back
-    into["input_bias"] += read_back.sum(axis=0)
-    into["embedding"] += read_back @ w["input"].T
+    for now in reversed(at):
+        up = back[now]
+        up += later
+        for gate in (to_update, to_reset, to_own):
+            gate[now] *= up
+        np.matmul(own[now], w["hidden"].T, out=later)
+        later += up * update[now]
+        later *= fresh[now]
+    into["hidden"] += carried.T @ own
+    into["candidate_bias"] += _total(to_own)
+    # From here on they are the gradients of what was read: only the candidate's part differs.
+    np.multiply(to_candidate, back, out=to_own)
+    into["input"] += embedded.T @ own
+    into["input_bias"] += _total(own)
+    order = _small_order(read_by)
+    sorted_by = read_by[order]
+    firsts = np.flatnonzero(np.diff(sorted_by, prepend=-1))
+    into["embedding"][sorted_by[firsts]] = np.add.reduceat((own @ w["input"].T).take(order, axis=0), firsts)
     return into, hidden
 
 
@@ -326,10 +453,10 @@ def training_words(training: DataFrame) -> DataFrame:
         for part in slices(batches, "text", SLICE_TEXT):
             words = Words(part.column("text"))
             data = _LOWER[words.data]
-            distinct, first, n = np.unique(words.codes(data), return_index=True, return_counts=True)
-            spelled = [data[words.starts[i] : words.ends[i]].tobytes() for i in first]
+            distinct, first, n, _ = distinct_codes(words.codes(data))
             codes = np.append(distinct, _END_CODE).view(np.int64)
-            yield table(schema, code=codes, n=np.append(n, len(part)), word=[*spelled, b""])
+            word = words_at(data, np.append(words.starts[first], 0), np.append(words.ends[first], 0))
+            yield table(schema, code=codes, n=np.append(n, len(part)), word=word)
 
     found = training.mapInArrow(count, "code long, n long, word binary")
     return found.groupBy("code").agg(F.sum("n").alias("n"), F.min("word").alias("word"))
@@ -498,7 +625,9 @@ def _score_slice(name: str, part: pa.Table, network: Network, hot_codes: np.ndar
     sizes = np.diff(bounds)
     count = len(sizes)
     document = np.repeat(np.arange(count), sizes)
-    distinct, first, which = np.unique(codes, return_index=True, return_inverse=True)
+    distinct, first, n, order = distinct_codes(codes)
+    which = np.empty(len(codes), np.int64)
+    which[order] = np.repeat(np.arange(len(distinct)), n)
 
     entries = network.entries_of(distinct)
     entries[distinct == _END_CODE] = END
@@ -510,7 +639,7 @@ def _score_slice(name: str, part: pa.Table, network: Network, hot_codes: np.ndar
     entries = entries[which]
     score = network.log_likelihood(np.split(entries, bounds[1:-1])) if count else np.zeros(0)
 
-    pairs, times = np.unique(which.astype(np.int64) * count + document, return_counts=True)
+    pairs, times = np.unique(which * count + document, return_counts=True)
     word, owner = pairs // count, pairs % count
     at = np.minimum(np.searchsorted(hot_codes, distinct), len(hot_codes) - 1)
     is_hot = hot_codes[at] == distinct

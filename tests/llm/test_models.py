@@ -178,6 +178,36 @@ def test_outputs_are_probabilities():
     assert (10**network.spelling).sum(axis=1) == pytest.approx(np.ones(256))
 
 
+def test_outputs_of_any_size():
+    rng = np.random.Generator(np.random.PCG64(8))
+    w = {name: 40 * value + rng.normal(0, 30, value.shape).astype(np.float32) for name, value in language_model.fit_network([]).weights.items()}
+    states = rng.normal(size=(5000, language_model.HIDDEN)).astype(np.float32)
+    targets = rng.integers(0, language_model.VOCABULARY, 5000)
+    size = language_model.VOCABULARY // language_model.CLASSES
+    one, inside = targets // size, targets % size
+    exact = {name: value.astype(float) for name, value in w.items()}
+    share = lambda x, at: x[range(len(x)), at] - np.logaddexp.reduce(x, axis=1)
+    expected = share(states @ exact["class"] + exact["class_bias"], one)
+    expected += share(np.einsum("ij,ijk->ik", states, exact["word"][one]) + exact["word_bias"][one], inside)
+    assert language_model._output(states, targets, w) == pytest.approx(expected, rel=1e-3, abs=1e-2)
+    into = {name: np.zeros_like(value) for name, value in w.items()}
+    back = language_model._output_gradient(states, targets, w, into)
+    assert np.isfinite(back).all() and all(np.isfinite(value).all() for value in into.values())
+
+
+def test_distinct_codes_and_their_words():
+    rng = np.random.Generator(np.random.PCG64(9))
+    clashing = (rng.integers(0, 3, 2000) << 40 | rng.integers(0, 30, 2000)).astype(np.uint64)
+    for codes in (clashing, np.zeros(0, np.uint64), np.zeros(3, np.uint64), rng.integers(0, 2**64, 500, dtype=np.uint64)):
+        distinct, first, n, order = language_model.distinct_codes(codes)
+        expected = np.unique(codes, return_index=True, return_counts=True)
+        assert all((a == b).all() for a, b in zip((distinct, first, n), expected, strict=True))
+        assert (codes[order] == np.sort(codes)).all()
+    words = Words(pa.array(["one É", None, "", "three"]))
+    assert language_model.words_at(words.data, words.starts, words.ends).to_pylist() == [b"one", "É".encode(), b"three"]
+    assert language_model.words_at(words.data, words.starts[:0], words.ends[:0]).to_pylist() == []
+
+
 def test_network_gradient():
     rng = np.random.Generator(np.random.PCG64(2))
     w = language_model.fit_network([]).weights
