@@ -70,16 +70,25 @@ class SyncedIndex:
 
     # ------------------------------------------------------------ reading
 
-    def _parts(self, spark: SparkSession, folder: str, before: int | None) -> tuple[DataFrame | None, DataFrame | None]:
-        """Newest base, and the newest change of each key since then; only batches below ``before`` count."""
+    def _parts(
+        self,
+        spark: SparkSession,
+        folder: str,
+        before: int | None,
+        take: Callable[[DataFrame], DataFrame] = lambda stored: stored,
+    ) -> tuple[DataFrame | None, DataFrame | None]:
+        """Newest base, and the newest change of each key since then; only batches below ``before`` count.
+
+        ``take`` picks columns and keys of what is stored before the changes are reduced, which carries whole rows.
+        """
         bases = [n for n in self._complete(f"{folder}/base", "batch=") if before is None or n < before]
         since = bases[-1] if bases else -1
         batches = [n for n in self._complete(f"{folder}/changes", "batch=") if n > since]
         batches = [n for n in batches if before is None or n < before]
-        base = spark.read.parquet(f"{folder}/base/batch={since}") if bases else None
+        base = take(spark.read.parquet(f"{folder}/base/batch={since}")) if bases else None
         if not batches:
             return base, None
-        changes = spark.read.parquet(*[f"{folder}/changes/batch={n}" for n in batches])
+        changes = take(spark.read.parquet(*[f"{folder}/changes/batch={n}" for n in batches]))
         return base, latest_rows(changes, self.key, self.version)
 
     def _all_rows(self, base: DataFrame | None, changes: DataFrame | None) -> DataFrame | None:
@@ -94,8 +103,10 @@ class SyncedIndex:
         folder = self._current()
         if folder is None:
             raise ValueError(f"there is no index at {self.path}")
-        rows = self._all_rows(*self._parts(spark, folder, None))
-        return rows.where(~F.col(DELETED)).drop(DELETED)
+        return self._live(*self._parts(spark, folder, None))
+
+    def _live(self, base: DataFrame | None, changes: DataFrame | None) -> DataFrame:
+        return self._all_rows(base, changes).where(~F.col(DELETED)).drop(DELETED)
 
     # ------------------------------------------------------------ searching
 
@@ -132,7 +143,14 @@ class SyncedIndex:
                 own = posting_hits(spark.read.parquet(f"{folder}/postings/changes/batch={n}"), entries, about.parts, keys)
                 hits = hits.unionByName(own.join(newest.where(F.col("_batch") == n).select(*keys), keys, "left_semi"))
         best = hits.orderBy(F.desc("score"), *keys).limit(k)
-        rows = self.read(spark).select(*dict.fromkeys([*keys, *columns]))
+        asked = dict.fromkeys([*keys, *columns])
+        stored_columns = dict.fromkeys([*asked, *self.version, DELETED])
+
+        def of_hits(stored: DataFrame) -> DataFrame:
+            # There are at most ``k`` of them, so no stored row is shuffled to meet them.
+            return stored.select(*stored_columns).join(F.broadcast(best.select(*keys)), keys, "left_semi")
+
+        rows = self._live(*self._parts(spark, folder, None, of_hits)).select(*asked)
         return rows.join(best, keys).orderBy(F.desc("score"), *keys).select(*columns, "score")
 
     def search_many(self, questions: DataFrame, k: int = TOP_K, question_key: Keys = "question_id", text: str = "text") -> DataFrame:
@@ -158,7 +176,8 @@ class SyncedIndex:
             spark = batch.sparkSession
             marked = batch.withColumn(DELETED, F.coalesce(deleted, F.lit(False)))
             newest = latest_rows(marked, self.key, self.version)
-            base, changes = self._parts(spark, folder, batch_id)
+            versions = dict.fromkeys([*self.key, *self.version, DELETED])
+            base, changes = self._parts(spark, folder, batch_id, lambda stored: stored.select(*versions))
             if base is None and changes is None:
                 # A first load is the base itself.
                 self._write(embed(newest), folder, "base", batch_id)
@@ -169,9 +188,9 @@ class SyncedIndex:
                     newest = self._newer_than(newest, stored)
             self._write(embed(newest), folder, "changes", batch_id)
             if base is None or self._pending(spark, folder) > self.compact_share * base.count():
-                base, changes = self._parts(spark, folder, batch_id + 1)
-                rows = self._all_rows(base, changes)
-                self._write(rows, folder, "base", batch_id)
+                # Vectors are wider than their texts, so they are computed again instead of going through the join.
+                rows = self._all_rows(*self._parts(spark, folder, batch_id + 1, lambda stored: stored.drop("vector")))
+                self._write(embed(rows), folder, "base", batch_id)
 
         return apply_batch
 

@@ -5,10 +5,11 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from papertrove.functions import vectors
 from papertrove.operators import search
 from papertrove.operators.search import similarity_search
 from papertrove.plans import jobs
-from papertrove.streaming.sync import change_stream, open_index
+from papertrove.streaming.sync import SyncedIndex, change_stream, open_index
 
 SCHEMA = "id bigint, version bigint, content string, gone boolean"
 
@@ -86,6 +87,26 @@ def test_small_changes_stay_beside_the_base(spark, tmp_path):
     assert sorted(feed.live()) == [*range(10), *range(13, 20)] and feed.live()[8] == (3, "third")
 
 
+def test_a_new_base_moves_no_vectors(feed, spark, monkeypatch):
+    read, write = [], SyncedIndex._write
+
+    def watched(index, rows, folder, kind, batch_id):
+        scans = [line for line in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in line]
+        read.extend((kind, "vector" in line.split("ReadSchema")[1]) for line in scans)
+        write(index, rows, folder, kind, batch_id)
+
+    monkeypatch.setattr(SyncedIndex, "_write", watched)
+    feed.add(*[(i, 1, f"row {i}", False) for i in range(4)])
+    feed.sync()
+    feed.add((1, 2, "newer", False), (2, 2, None, True), (9, 1, None, False))
+    feed.sync()
+    assert len(feed.batches("base")) == 2 and feed.live() == {0: (1, "row 0"), 1: (2, "newer"), 3: (1, "row 3"), 9: (1, None)}
+    assert ("base", False) in read and ("base", True) not in read
+    stored = {r.id: r.vector for r in feed.index.read(spark).collect()}
+    expected = feed.index.read(spark).withColumn("vector", vectors.hash_embed(F.col("content"))).collect()
+    assert stored == {r.id: r.vector for r in expected}
+
+
 def test_a_batch_that_is_run_again_changes_nothing(feed):
     feed.add((1, 1, "one", False), (2, 1, "two", False))
     feed.sync()
