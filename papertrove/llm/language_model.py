@@ -41,6 +41,8 @@ AVERAGED = 32
 #: States whose outputs are computed at a time, and the logit beyond which a row is shifted before its exponentials are taken.
 OUTPUT_ROWS = 2048
 LARGE_LOGIT = 60.0
+#: Parameters that are changed at a time, so that all that belongs to them stays in the cache.
+STEP_SIZE = 1 << 14
 END, OTHER = 0, 1
 #: Weight of a word's spelling beside its count, in tokens.
 SPELLING_WEIGHT = 100_000.0
@@ -90,9 +92,12 @@ class Network:
         first = np.cumsum(sizes) - sizes
         out = np.zeros(len(order))
         w = self.weights
-        hidden = np.zeros((len(order), HIDDEN), w["hidden"].dtype, order="F")
-        embedding = np.column_stack([w["embedding"], np.ones(VOCABULARY, hidden.dtype)])
-        reading = np.vstack([w["input"], w["input_bias"]])
+        embedding, reading, going_on = _reading_weights(w)
+        dtype = embedding.dtype
+        # Held with a row per unit and a column per document, and one row of ones more for the bias.
+        carried = np.zeros((HIDDEN + 1, len(order)), dtype)
+        carried[HIDDEN] = 1
+        width = -1
         before = np.full(len(order), END)
         step = 0
         while step < (sizes[0] if len(sizes) else 0):
@@ -100,58 +105,82 @@ class Network:
             window = range(step, min(step + max(STEPS, 4096 // max(1, live)), int(sizes[0])))
             lives = np.searchsorted(-sizes, -np.arange(window.start, window.stop)).tolist()
             ends = np.cumsum(lives).tolist()
-            states = np.empty((ends[-1], HIDDEN), hidden.dtype)
-            targets = np.empty(ends[-1], flat.dtype)
-            for step, live, end in zip(window, lives, ends, strict=True):
-                given = np.matmul(embedding.take(before[:live], axis=0), reading, out=_columns(live, 3 * HIDDEN, hidden))
-                hidden = _gates(given, hidden[:live], w)[0]
-                before = flat[first[:live] + step]
-                states[end - live : end], targets[end - live : end] = hidden, before
-            step += 1
+            states = np.empty((ends[-1], HIDDEN), dtype)
             owners = np.concatenate([np.arange(live) for live in lives])
+            targets = flat[first[owners] + np.repeat(window, lives)]
+            with np.errstate(over="ignore"):
+                for live, end in zip(lives, ends, strict=True):
+                    if live != width:
+                        width, carried = live, carried[:, :live].copy()
+                        given, own = np.empty((2, 3 * HIDDEN, live), dtype)
+                        gates, candidate = np.empty((2 * HIDDEN, live), dtype), np.empty((HIDDEN, live), dtype)
+                    np.dot(reading, embedding.take(before[:live], axis=0).T, out=given)
+                    _advance(given, carried, going_on, own, gates, candidate, carried[:HIDDEN])
+                    before = targets[end - live : end]
+                    states[end - live : end] = carried[:HIDDEN].T
+            step = window.stop
             out += np.bincount(owners, _output(states, targets, w), len(out))
         result = np.empty(len(order))
         result[order] = out
         return result
 
 
-def _columns(rows: int, width: int, like: np.ndarray) -> np.ndarray:
-    """An empty array held column by column, so that what belongs to one gate is one stretch of memory."""
-    return np.empty((width, rows), like.dtype).T
+def _reading_weights(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Embeddings with a one at their end, and weights with their biases for what is read and for what is carried.
 
+    Weights have a row per unit. Those of the gates change sign: the logistic function of x is 1 / (1 + exp(-x)).
+    """
+    embedding = np.column_stack([w["embedding"], np.ones(len(w["embedding"]), w["embedding"].dtype)])
+    reading = np.vstack([w["input"], w["input_bias"]])
+    going_on = np.vstack([w["hidden"], np.zeros_like(w["input_bias"])])
+    going_on[HIDDEN, 2 * HIDDEN :] = w["candidate_bias"]
+    for weights in (reading, going_on):
+        weights[:, : 2 * HIDDEN] *= -1
+    return embedding, np.ascontiguousarray(reading.T), np.ascontiguousarray(going_on.T)
 
-def _gates(read: np.ndarray, hidden: np.ndarray, w: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
-    """One step: the new state and what the way back needs."""
-    own = np.matmul(hidden, w["hidden"], out=_columns(len(hidden), 3 * HIDDEN, hidden))
-    # The logistic function of x is half of 1 + tanh(x / 2).
-    both = own[:, : 2 * HIDDEN]
-    both += read[:, : 2 * HIDDEN]
-    both *= 0.5
-    np.tanh(both, out=both)
-    both *= 0.5
-    both += 0.5
-    update, reset = both[:, :HIDDEN], both[:, HIDDEN:]
-    candidate_own = own[:, 2 * HIDDEN :]
-    candidate_own += w["candidate_bias"]
-    candidate = reset * candidate_own
-    candidate += read[:, 2 * HIDDEN :]
+
+def _advance(read, carried, going_on, own, gates, candidate, after) -> None:
+    """One step, a column per stream: ``own``, ``gates`` (update, reset), ``candidate`` and the state ``after`` it are filled.
+
+    ``carried`` has a row of ones below the state before; ``after`` may be that state. The exponential of a gate that is
+    all but shut may be infinite, which makes it zero.
+    """
+    np.dot(going_on, carried, out=own)
+    np.add(own[: 2 * HIDDEN], read[: 2 * HIDDEN], out=gates)
+    np.exp(gates, out=gates)
+    gates += 1
+    np.divide(1, gates, out=gates)
+    np.multiply(gates[HIDDEN:], own[2 * HIDDEN :], out=candidate)
+    candidate += read[2 * HIDDEN :]
     np.tanh(candidate, out=candidate)
-    after = hidden - candidate
-    after *= update
+    np.subtract(carried[:HIDDEN], candidate, out=after)
+    after *= gates[:HIDDEN]
     after += candidate
-    return after, update, reset, candidate, candidate_own
 
 
-def _total(rows: np.ndarray) -> np.ndarray:
-    return np.ones(len(rows), rows.dtype) @ rows
+def _gates(read: np.ndarray, hidden: np.ndarray, w: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
+    """One step of states held in rows: the new state, update, reset and candidate."""
+    read, going_on = read.T.copy(), _reading_weights(w)[2]
+    read[: 2 * HIDDEN] *= -1
+    carried = np.vstack([hidden.T, np.ones(len(hidden), hidden.dtype)])
+    own, gates = np.empty_like(read), np.empty_like(read[: 2 * HIDDEN])
+    candidate, after = np.empty_like(read[:HIDDEN]), np.empty_like(read[:HIDDEN])
+    with np.errstate(over="ignore"):
+        _advance(read, carried, going_on, own, gates, candidate, after)
+    return after.T, gates[:HIDDEN].T, gates[HIDDEN:].T, candidate.T
 
 
 def _log_shares(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The log probability of one column of every row. The logits are lost."""
-    picked = _shifted(logits)[np.arange(len(logits)), at]
+    picked = _shifted(logits).reshape(-1)[_places(logits, at)]
     return picked - np.log(_exponential_sums(logits))
 
 
+def _places(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where one column of every row lies when all rows follow each other."""
+    return np.arange(0, rows.size, rows.shape[1]) + at
+
+
 def _shifted(logits: np.ndarray) -> np.ndarray:
     """Logits whose exponentials neither overflow nor are all lost; they are changed in place."""
     if logits.size and max(logits.max(), -logits.min()) > LARGE_LOGIT:
@@ -188,7 +217,7 @@ def _word_logits(states: np.ndarray, blocks: list[tuple[int, slice]], words: np.
     """Logits of all words of each state's class."""
     logits = np.empty((len(states), words.shape[2]), states.dtype)
     for one, rows in blocks:
-        np.matmul(states[rows], words[one], out=logits[rows])
+        np.dot(states[rows], words[one], out=logits[rows])
     return logits
 
 
@@ -212,7 +241,7 @@ def _output(states: np.ndarray, targets: np.ndarray, w: dict[str, np.ndarray]) -
 def _loss_gradient(logits: np.ndarray, at: np.ndarray, count: int) -> np.ndarray:
     """A factor per row; times it, what replaces the logits is the gradient of the loss of one column of every row."""
     sums = _exponential_sums(_shifted(logits))
-    logits[np.arange(len(logits)), at] -= sums
+    logits.reshape(-1)[_places(logits, at)] -= sums
     return 1 / (count * sums)
 
 
@@ -222,31 +251,32 @@ def _output_gradient(states: np.ndarray, targets: np.ndarray, w: dict[str, np.nd
     order = _small_order(targets // size)
     classes, inside = np.divmod(targets[order], size)
     ordered, back = np.ones((n, HIDDEN + 1), states.dtype), np.empty((n, HIDDEN), states.dtype)
-    ordered[:, :HIDDEN] = np.ascontiguousarray(states).take(order, axis=0)
+    ordered[:, :HIDDEN] = states.take(order, axis=0)
     by_class, by_word = _with_bias(w)
-    class_gradient, word_gradient = np.zeros_like(by_class), np.zeros_like(by_word)
+    # Held the other way round, in which they take less time.
+    class_gradient, word_gradient = np.zeros_like(by_class.T, order="C"), np.zeros_like(by_word.swapaxes(1, 2), order="C")
     for rows, blocks in _class_blocks(classes):
         here, above = ordered[rows], back[rows]
         delta = here @ by_class
         factor = _loss_gradient(delta, classes[rows], n)[:, None]
-        class_gradient += (here * factor).T @ delta
+        class_gradient += delta.T @ (here * factor)
         np.matmul(delta, w["class"].T, out=above)
         above *= factor
         delta = _word_logits(here, blocks, by_word)
         factor = _loss_gradient(delta, inside[rows], n)[:, None]
         weighted, word_back = here * factor, np.empty_like(above)
         for one, own in blocks:
-            word_gradient[one] += weighted[own].T @ delta[own]
-            np.matmul(delta[own], w["word"][one].T, out=word_back[own])
+            word_gradient[one] += np.dot(delta[own].T, weighted[own])
+            np.dot(delta[own], w["word"][one].T, out=word_back[own])
         word_back *= factor
         above += word_back
-    into["class"] += class_gradient[:-1]
-    into["class_bias"] += class_gradient[-1]
-    into["word"] += word_gradient[:, :-1]
-    into["word_bias"] += word_gradient[:, -1]
+    into["class"] += class_gradient[:, :-1].T
+    into["class_bias"] += class_gradient[:, -1]
+    into["word"] += word_gradient[:, :, :-1].swapaxes(1, 2)
+    into["word_bias"] += word_gradient[:, :, -1]
     at = np.empty_like(order)
     at[order] = np.arange(n)
-    return np.asfortranarray(back.take(at, axis=0))
+    return back.take(at, axis=0)
 
 
 def spelling_of(pairs: np.ndarray) -> np.ndarray:
@@ -341,9 +371,15 @@ class Training:
     """Goes on training weights in place, by Adam over windows of several streams."""
 
     def __init__(self, weights: dict[str, np.ndarray]):
-        self.weights = weights
-        self.mean = {name: np.zeros_like(value) for name, value in weights.items()}
-        self.square = {name: np.zeros_like(value) for name, value in weights.items()}
+        # All parameters in one stretch of memory, of which the named ones are views; likewise their gradient.
+        self.flat = np.concatenate([value.ravel() for value in weights.values()])
+        self.slope = np.zeros_like(self.flat)
+        self.weights, self.into = weights, {}
+        at = 0
+        for name, value in weights.items():
+            weights[name], self.into[name] = (one[at : at + value.size].reshape(value.shape) for one in (self.flat, self.slope))
+            at += value.size
+        self.mean, self.square = np.zeros_like(self.flat), np.zeros_like(self.flat)
         self.updates = 0
 
     def read(self, stream: np.ndarray, full_rate: float, most: int = STREAMS) -> None:
@@ -360,75 +396,90 @@ class Training:
         for start in range(0, length, STEPS):
             inputs, targets = rows[:, start : start + STEPS], rows[:, start + 1 : start + 1 + STEPS]
             inputs = inputs[:, : targets.shape[1]]
-            gradient, hidden = _window_gradient(self.weights, inputs, targets, hidden)
+            self.slope.fill(0)
+            _, hidden = _window_gradient(self.weights, inputs, targets, hidden, self.into)
             self.updates += 1
             rate = full_rate * math.sqrt(1 - 0.999**self.updates) / (1 - 0.9**self.updates)
-            norm = math.sqrt(sum(float(np.vdot(g, g)) for g in gradient.values()))
-            for name, g in gradient.items():
-                mean, square = self.mean[name], self.square[name]
-                g *= min(1.0, 1.0 / max(norm, 1e-9))
-                mean += 0.1 * (g - mean)
-                g *= g
-                g -= square
-                g *= 0.001
-                square += g
-                np.sqrt(square, out=g)
-                g += 1e-8
-                np.divide(mean, g, out=g)
-                g *= rate
-                self.weights[name] -= g
-
-
-def _window_gradient(w, inputs: np.ndarray, targets: np.ndarray, hidden: np.ndarray) -> tuple[dict, np.ndarray]:
-    """Gradient over one window, and the state it leaves for the next; a document's state begins at zero."""
-    into = {name: np.zeros_like(value) for name, value in w.items()}
+            norm = math.sqrt(float(np.vdot(self.slope, self.slope)))
+            self._step(min(1.0, 1.0 / max(norm, 1e-9)), rate)
+
+    def _step(self, scale: float, rate: float) -> None:
+        """One step of Adam along the gradient, which is lost."""
+        for at in range(0, len(self.flat), STEP_SIZE):
+            g, mean, square, weights = (x[at : at + STEP_SIZE] for x in (self.slope, self.mean, self.square, self.flat))
+            g *= scale
+            mean += 0.1 * (g - mean)
+            g *= g
+            g -= square
+            g *= 0.001
+            square += g
+            np.sqrt(square, out=g)
+            g += 1e-8
+            np.divide(mean, g, out=g)
+            g *= rate
+            weights -= g
+
+
+def _window_gradient(w, inputs: np.ndarray, targets: np.ndarray, hidden: np.ndarray, into: dict | None = None) -> tuple[dict, np.ndarray]:
+    """Gradient over one window, added into ``into``, and the state it leaves for the next; a document's state begins at zero.
+
+    What belongs to a step is one stretch of memory, with a row per unit and a column per stream.
+    """
+    into = {name: np.zeros_like(value) for name, value in w.items()} if into is None else into
     streams, steps = inputs.shape
-    # Rows are in the order of steps, then of streams.
-    at = [slice(t * streams, (t + 1) * streams) for t in range(steps)]
+    embedding, reading, going_on = _reading_weights(w)
     read_by = inputs.T.ravel()
-    embedded = w["embedding"].take(read_by, axis=0)
-    given = np.matmul(embedded, w["input"], out=_columns(len(read_by), 3 * HIDDEN, hidden))
-    given += w["input_bias"]
-    fresh = (read_by != END)[:, None].astype(hidden.dtype)
-    states, carried, update, reset, candidate, candidate_own = (_columns(len(read_by), HIDDEN, hidden) for _ in range(6))
-    for now in at:
-        np.multiply(hidden, fresh[now], out=carried[now])
-        hidden, update[now], reset[now], candidate[now], candidate_own[now] = _gates(given[now], carried[now], w)
-        states[now] = hidden
-    back = _output_gradient(states, targets.T.ravel(), w, into)
-    # What the gradient of a state is multiplied by on its way into the gates and the candidate; what was read is not needed any more.
-    kept, own = 1 - update, given
-    to_update, to_reset, to_own = (own[:, i * HIDDEN : (i + 1) * HIDDEN] for i in range(3))
-    to_candidate = candidate * candidate
+    embedded = embedding.take(read_by, axis=0).reshape(steps, streams, HIDDEN + 1)
+    given = np.matmul(reading, embedded.swapaxes(1, 2))
+    fresh = (read_by != END).astype(hidden.dtype).reshape(steps, streams)
+    parts = (HIDDEN + 1, 3 * HIDDEN, 2 * HIDDEN, HIDDEN)
+    carried, own, gates, candidate = (np.empty((steps, units, streams), hidden.dtype) for units in parts)
+    carried[:, HIDDEN] = 1
+    states, after = np.empty((steps, streams, HIDDEN), hidden.dtype), np.ascontiguousarray(hidden.T)
+    with np.errstate(over="ignore"):
+        for now in range(steps):
+            np.multiply(after, fresh[now], out=carried[now, :HIDDEN])
+            _advance(given[now], carried[now], going_on, own[now], gates[now], candidate[now], after)
+            states[now] = after.T
+    back = _output_gradient(states.reshape(-1, HIDDEN), targets.T.ravel(), w, into).reshape(states.shape)
+    # What the gradient of a state is multiplied by on its way into a step's parts: the candidate's own, then what is read
+    # for update, reset and candidate.
+    slopes = np.empty((steps, 4 * HIDDEN, streams), hidden.dtype)
+    to_own, to_update, to_reset, to_candidate = (slopes[:, i * HIDDEN : (i + 1) * HIDDEN] for i in range(4))
+    update, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
+    kept = 1 - update
+    np.multiply(candidate, candidate, out=to_candidate)
     np.subtract(1, to_candidate, out=to_candidate)
     to_candidate *= kept
-    np.subtract(carried, candidate, out=to_update)
+    np.multiply(to_candidate, reset, out=to_own)
+    np.subtract(carried[:, :HIDDEN], candidate, out=to_update)
     to_update *= update
     to_update *= kept
-    np.multiply(to_candidate, reset, out=to_own)
     np.subtract(1, reset, out=to_reset)
     to_reset *= to_own
-    to_reset *= candidate_own
-    later = np.zeros_like(hidden)
-    for now in reversed(at):
-        up = back[now]
-        up += later
-        for gate in (to_update, to_reset, to_own):
-            gate[now] *= up
-        np.matmul(own[now], w["hidden"].T, out=later)
-        later += up * update[now]
+    to_reset *= own[:, 2 * HIDDEN :]
+    from_state, from_read = slopes[:, : 3 * HIDDEN], slopes[:, HIDDEN:]
+    into_state = np.roll(w["hidden"], HIDDEN, axis=1)
+    later, up = np.zeros((2, HIDDEN, streams), hidden.dtype)
+    for now in reversed(range(steps)):
+        np.add(back[now].T, later, out=up)
+        slopes[now].reshape(4, HIDDEN, streams)[:] *= up
+        np.dot(into_state, from_state[now], out=later)
+        up *= update[now]
+        later += up
         later *= fresh[now]
-    into["hidden"] += carried.T @ own
-    into["candidate_bias"] += _total(to_own)
-    # From here on they are the gradients of what was read: only the candidate's part differs.
-    np.multiply(to_candidate, back, out=to_own)
-    into["input"] += embedded.T @ own
-    into["input_bias"] += _total(own)
+    gradient = np.matmul(from_state, carried.swapaxes(1, 2)).sum(axis=0)
+    into["hidden"] += np.roll(gradient[:, :HIDDEN], -HIDDEN, axis=0).T
+    into["candidate_bias"] += gradient[:HIDDEN, HIDDEN]
+    gradient = np.matmul(from_read, embedded).sum(axis=0)
+    into["input"] += gradient[:, :HIDDEN].T
+    into["input_bias"] += gradient[:, HIDDEN]
     order = _small_order(read_by)
     sorted_by = read_by[order]
     firsts = np.flatnonzero(np.diff(sorted_by, prepend=-1))
-    into["embedding"][sorted_by[firsts]] = np.add.reduceat((own @ w["input"].T).take(order, axis=0), firsts)
-    return into, hidden
+    np.matmul(from_read.swapaxes(1, 2), w["input"].T, out=back)
+    into["embedding"][sorted_by[firsts]] += np.add.reduceat(back.reshape(-1, HIDDEN).take(order, axis=0), firsts)
+    return into, after.T
 
 
 def held_out(doc_id: Column) -> Column:
@@ -459,7 +510,8 @@ def training_words(training: DataFrame) -> DataFrame:
             yield table(schema, code=codes, n=np.append(n, len(part)), word=word)
 
     found = training.mapInArrow(count, "code long, n long, word binary")
-    return found.groupBy("code").agg(F.sum("n").alias("n"), F.min("word").alias("word"))
+    # A code has one word. With the word among the keys, counts are added up by hashing; a least word would need sorts.
+    return found.groupBy("code", "word").agg(F.sum("n").alias("n")).select("code", "n", "word")
 
 
 def learned_words(words: DataFrame) -> tuple[Network, np.ndarray, np.ndarray, tuple[int, int, int]]:
@@ -566,17 +618,8 @@ def score_documents(documents: DataFrame) -> DataFrame:
         for number, part in enumerate(slices(batches, "text", SLICE_TEXT)):
             yield _score_slice(f"{TaskContext.get().partitionId()}:{number}", part, *known.value)
 
-    asked_schema = pa.schema([("slice", pa.string()), ("place", pa.int32()), ("code", pa.int64())])
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                codes = np.frombuffer(row["codes"], np.int64)
-                yield table(asked_schema, slice=[row["slice"]] * len(codes), place=np.arange(len(codes)), code=codes)
-
     scored = stage(rows.mapInArrow(score, _SLICES_SQL), "scored-slices")
-    asked = scored.select("slice", "codes").mapInArrow(ask, "slice string, place int, code long")
-    answers = asked.join(words.select("code", "n"), "code").select("slice", "place", "n")
+    answers = answered(scored, words, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     schema = pa.schema(
         [("doc_id", pa.int64()), ("held_out", pa.bool_())]
         + [(name, pa.int64()) for name in ("n_tokens", "n_known", "train_tokens")]
@@ -587,7 +630,9 @@ def score_documents(documents: DataFrame) -> DataFrame:
         row = slices_.to_pylist()[0]
         about, spelled = np.frombuffer(row["about"], _ROWS), np.frombuffer(row["spelled"], np.float32)
         counts = np.zeros(len(spelled), np.int64)
-        counts[found.column("place").to_numpy()] = found.column("n").to_numpy()
+        for start, n in zip(found.column("start").to_pylist(), found.column("n").to_pylist(), strict=True):
+            n = np.frombuffer(n, np.int64)
+            counts[start : start + len(n)] = n
         word = np.repeat(np.arange(len(counts)), np.frombuffer(row["n"], np.uint32))
         base, others, n_known = _sums(counts, spelled, word, _wide(row["owner"]), _wide(row["times"]), len(about))
         return pa.table(
@@ -607,6 +652,44 @@ def score_documents(documents: DataFrame) -> DataFrame:
     return scored.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(finish, kinds)
 
 
+_ASKED = pa.schema([("bucket", pa.int64()), ("slice", pa.string()), ("start", pa.int64()), ("codes", pa.binary())])
+_ASKED_SQL = "bucket long, slice string, start long, codes binary"
+_ANSWERS = pa.schema([("slice", pa.string()), ("start", pa.int64()), ("n", pa.binary())])
+_ANSWERS_SQL = "slice string, start long, n binary"
+
+
+def answered(scored: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
+    """``slice, start, n``: the counts of the words that the slices ask for, packed, from the place ``start`` on.
+
+    Codes are even over their range. Each of ``buckets`` stretches of it meets what the slices ask of it: a row per slice
+    and bucket is shuffled, not one per word.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                codes = np.frombuffer(row["codes"], np.uint64)
+                bucket = (codes >> np.uint64(40)).astype(np.int64) * buckets >> 24
+                start = np.flatnonzero(np.diff(bucket, prepend=-1))
+                packed = [some.tobytes() for some in np.split(codes, start[1:])] if len(codes) else []
+                yield table(_ASKED, bucket=bucket[start], slice=[row["slice"]] * len(start), start=start, codes=packed)
+
+    def answer(asked: pa.Table, counted: pa.Table) -> pa.Table:
+        codes, n = (counted.column(name).to_numpy() for name in ("code", "n"))
+        order = np.argsort(codes.view(np.uint64))
+        codes, n = np.append(codes.view(np.uint64)[order], np.uint64(0)), np.append(n[order], 0)
+        found = []
+        for packed in asked.column("codes").to_pylist():
+            wanted = np.frombuffer(packed, np.uint64)
+            at = np.searchsorted(codes[:-1], wanted)
+            found.append(np.where(codes[at] == wanted, n[at], 0).tobytes())
+        return pa.table([asked.column("slice"), asked.column("start"), pa.array(found, pa.binary())], schema=_ANSWERS)
+
+    asked = scored.select("slice", "codes").mapInArrow(ask, _ASKED_SQL)
+    counted = words.select(F.shiftright(F.shiftrightunsigned("code", 40) * buckets, 24).alias("bucket"), "code", "n")
+    return asked.groupBy("bucket").cogroup(counted.groupBy("bucket")).applyInArrow(answer, _ANSWERS_SQL)
+
+
 def _sums(counts: np.ndarray, spelled: np.ndarray, word, owner, times, documents: int) -> tuple[np.ndarray, ...]:
     """Per document the logs of its words' counts, those of unknown words with their spelling, and its counted tokens."""
     logs = np.log10(counts + 0.5)

@@ -153,6 +153,38 @@ def test_frequent_words_are_counted_inside_their_slice(spark, monkeypatch):
     assert not np.isin(hot, asked).any() and len(language_model._wide(row["owner"])) == len(asked) < 400
 
 
+def test_counts_are_asked_for_by_bucket(spark):
+    rng = np.random.Generator(np.random.PCG64(10))
+    codes = np.unique(np.append(rng.integers(1, 2**64, 300, dtype=np.uint64), [np.uint64(1), np.uint64(2**64 - 1)]))
+    counts = {int(code): i + 1 for i, code in enumerate(codes[::2])}
+    words = spark.createDataFrame([(int(np.uint64(code).view(np.int64)), n) for code, n in counts.items()], "code long, n long")
+    asked = {"0:0": codes, "0:1": codes[:1], "1:0": codes[:0], "1:1": codes[-7:]}
+    scored = spark.createDataFrame([(name, some.tobytes()) for name, some in asked.items()], "slice string, codes binary")
+    found = language_model.answered(scored, words, 5).collect()
+    assert len(found) <= 3 * 5
+    for name, some in asked.items():
+        rows = sorted((row for row in found if row["slice"] == name), key=lambda row: row["start"])
+        got = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(row["n"], np.int64) for row in rows)])
+        assert got.tolist() == [counts.get(int(code), 0) for code in some]
+        assert [row["start"] for row in rows] == np.cumsum([0, *(len(row["n"]) // 8 for row in rows)])[:-1].tolist()
+
+
+def test_words_are_counted_without_sorts(spark):
+    words = language_model.training_words(documents(spark, ["a B b", None, "a \u00e9"]))
+    assert "SortAggregate" not in words._jdf.queryExecution().toString()
+    assert {(bytes(row["word"]), row["n"]) for row in words.collect()} == {(b"a", 2), (b"b", 2), ("\u00e9".encode(), 1), (b"", 3)}
+
+
+def test_gates_that_are_shut(recwarn):
+    w = language_model.fit_network([]).weights
+    read = np.repeat(np.array([[-1e4, 0, 1e4]], np.float32), language_model.HIDDEN * 3, axis=0).T
+    hidden = np.ones((3, language_model.HIDDEN), np.float32)
+    after, update, reset, _ = language_model._gates(read, hidden, w)
+    assert np.isfinite(after).all() and not recwarn.list
+    for gate in (update, reset):
+        assert (gate[0] == 0).all() and (gate[2] == 1).all() and (abs(gate[1] - 0.5) < 0.4).all()
+
+
 def test_state_is_carried_across_windows():
     rng = random.Random(5)
     network = language_model.fit_network([plain(rng, 200) for _ in range(20)])
