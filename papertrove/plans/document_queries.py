@@ -17,14 +17,13 @@ from papertrove.plans.oracle_parts import (
     text_sql,
 )
 from papertrove.plans.registry import registered
-from papertrove.sources.files import scan_binary, source_path
+from papertrove.sources.file_digests import file_digests
+from papertrove.sources.files import source_path
 from papertrove.sources.tables import load, load_spread
 
 def _file_digests(files: DataFrame) -> DataFrame:
     return files.select(
-        F.regexp_extract("path", "([^/]*)$", 1).alias("file_name"),
-        F.col("length").alias("n_bytes"),
-        F.md5("content").alias("digest"),
+        F.regexp_extract("path", "([^/]*)$", 1).alias("file_name"), F.col("length").alias("n_bytes"), "digest"
     )
 
 
@@ -35,12 +34,12 @@ def _file_digests_sql(pattern: str) -> str:
 
 @registered(_file_digests_sql("*"), name="scan_binary")
 def scan_binary_all(spark: SparkSession, folder: str) -> DataFrame:
-    return _file_digests(scan_binary(spark, folder))
+    return _file_digests(file_digests(spark, folder))
 
 
 @registered(_file_digests_sql("*s.parquet"))
 def scan_binary_glob(spark: SparkSession, folder: str) -> DataFrame:
-    return _file_digests(scan_binary(spark, folder, "*s.parquet"))
+    return _file_digests(file_digests(spark, folder, "*s.parquet"))
 
 
 @registered(f"SELECT page_id, {path_sql('url')} AS source_path FROM pages")

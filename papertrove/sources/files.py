@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -12,10 +12,20 @@ def scan_binary(spark: SparkSession, path: str | list[str], glob: str | None = N
     ``glob`` is applied while listing, before any byte is read. Project ``content`` away as early as possible: the scan
     only opens a file when the column is used.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path)
+    return _reader(spark, "binaryFile", glob).load(path)
+
+
+def scan_lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """The bytes of the same files as rows: what lies between two line feeds, in ``value``, whatever it is.
+
+    Unlike ``content`` of ``scan_binary`` a long file comes in splits, named by ``_metadata.file_block_start``.
+    """
+    return _reader(spark, "text", glob).option("lineSep", "\n").load(path)
+
+
+def _reader(spark: SparkSession, kind: str, glob: str | None) -> DataFrameReader:
+    reader = spark.read.format(kind).option("recursiveFileLookup", "true")
+    return reader.option("pathGlobFilter", glob) if glob else reader
 
 
 def source_path(col: Column | str) -> Column:
